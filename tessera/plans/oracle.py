@@ -261,4 +261,7 @@ ORACLE = {
     "population_stats": _pop_stats(),
     "grid_stats_center": _grid_stats(),
     "sample_points": _sample_points(),
+    "index_written_readback": f"SELECT h3_index, {POPS} FROM ({IDX5}) i",
+    "bbox_written": _bbox(Q.BBOX_FIXTURE),
+    "index_resumable": IDX_ALL,
 }
