@@ -127,12 +127,12 @@ def project_y(lat) -> Column:
 # --- point -> cell ---------------------------------------------------------------
 
 
-def cell_of_xy(x, y, res: int) -> Column:
-    """Cell id (BIGINT) of a projected point at a fixed resolution."""
-    k = res_constants(res)
+def axial_round(x, y, kq_x, kq_y, kr_y) -> tuple[Column, Column]:
+    """Cube-rounded axial (q, r) of a projected point; the per-resolution
+    factors may be literals or columns."""
     x, y = _col(x), _col(y)
-    qf = x * F.lit(k.kq_x) - y * F.lit(k.kq_y)
-    rf = y * F.lit(k.kr_y)
+    qf = x * kq_x - y * kq_y
+    rf = y * kr_y
     sf = -qf - rf
     qi = F.floor(qf + F.lit(0.5))
     ri = F.floor(rf + F.lit(0.5))
@@ -143,9 +143,44 @@ def cell_of_xy(x, y, res: int) -> Column:
     q_is_worst = (dq > dr) & (dq > ds)
     q = F.when(q_is_worst, -ri - si).otherwise(qi)
     r = F.when(q_is_worst, ri).when(dr > ds, -qi - si).otherwise(ri)
+    return q, r
+
+
+def cell_of_xy(x, y, res: int) -> Column:
+    """Cell id (BIGINT) of a projected point at a fixed resolution."""
+    k = res_constants(res)
+    q, r = axial_round(x, y, F.lit(k.kq_x), F.lit(k.kq_y), F.lit(k.kr_y))
     return pack_cell(res, q, r)
 
 
+def cell_of_xy_by_constants(x, y, kq_x, kq_y, kr_y, base) -> Column:
+    """Cell id with the resolution's constants given as columns (see
+    ``resolution_constants``): one expression serves every resolution."""
+    q, r = axial_round(x, y, _col(kq_x), _col(kq_y), _col(kr_y))
+    return (
+        _col(base)
+        + (q.cast("bigint") + F.lit(AXIS_OFFSET)) * F.lit(1 << Q_SHIFT)
+        + (r.cast("bigint") + F.lit(AXIS_OFFSET))
+    )
+
+
+def resolution_constants(resolutions) -> Column:
+    """Literal ``ARRAY<STRUCT<h3_res, kq_x, kq_y, kr_y, base>>``; ``inline`` it
+    to fan each point out to every resolution with that resolution's factors."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(r).cast("int").alias("h3_res"),
+                F.lit(res_constants(r).kq_x).alias("kq_x"),
+                F.lit(res_constants(r).kq_y).alias("kq_y"),
+                F.lit(res_constants(r).kr_y).alias("kr_y"),
+                F.lit(res_constants(r).base).cast("bigint").alias("base"),
+            )
+            for r in resolutions
+        ]
+    )
+
+
 def cell_of(lat, lon, res: int) -> Column:
     """Cell id (BIGINT) of a point given in degrees (``latlng_to_cell``)."""
     return cell_of_xy(project_x(lon), project_y(lat), res)

@@ -3,7 +3,8 @@
 Physical plan of ``build_index`` (one exchange)::
 
     scan(pixels) -> Filter(mask) -> Project(X, Y once per pixel)
-      -> Generate(inline: one (h3_res, h3_index) per resolution)
+      -> Generate(inline: one row per resolution with its constants)
+      -> Project(h3_index: one compact expression for every resolution)
       -> HashAggregate(partial sums)           -- map-side combine
       -> Exchange hashpartitioning(h3_res, h3_index)
       -> HashAggregate(final sums) -> Project(cast FLOAT)
@@ -31,7 +32,7 @@ CELL_SYSTEMS = ("hex", "h3")
 
 def validate_resolutions(resolutions) -> list[int]:
     """Ints in [0, 15], sorted, no duplicates."""
-    out = sorted({cells.check_res(int(r)) if not isinstance(r, int) else cells.check_res(r) for r in resolutions})
+    out = sorted({cells.check_res(int(r)) for r in resolutions})
     if not out:
         raise ValueError("no resolutions given")
     return out
@@ -53,19 +54,19 @@ def assign_cells(
     """
     res_list = validate_resolutions(resolutions)
     if system == "hex":
+        # one row per (pixel, resolution) carrying that resolution's factors,
+        # then ONE compact cell expression: generated code does not grow
+        # with the number of resolutions, and the projection (one sin) is
+        # computed once per pixel before the fan-out
         xy = pixels.select(
             *keep, cells.project_x(lon).alias("_x"), cells.project_y(lat).alias("_y")
         )
-        fan = F.array(
-            *[
-                F.struct(
-                    F.lit(r).cast("int").alias("h3_res"),
-                    cells.cell_of_xy("_x", "_y", r).alias("h3_index"),
-                )
-                for r in res_list
-            ]
+        fan = xy.select(*keep, "_x", "_y", F.inline(cells.resolution_constants(res_list)))
+        return fan.select(
+            "h3_res",
+            cells.cell_of_xy_by_constants("_x", "_y", "kq_x", "kq_y", "kr_y", "base").alias("h3_index"),
+            *keep,
         )
-        return xy.select(F.inline(fan), *keep)
     if system == "h3":
         from ..functions.h3_adapter import latlng_to_cell
 
