@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.index import DEFAULT_RESOLUTIONS, build_index, validate_resolutions
+from ..sinks.manifest import write_marker
 from ..sinks.metadata import metadata_frame, write_metadata
 from ..sinks.parquet import write_index
 from ..sources.grid import GridSpec, n_windows, pop_col, window_lattice
@@ -97,4 +98,5 @@ def build_population_index(
         source=source, cell_system=system,
     )
     write_metadata(meta, f"{out_base.rstrip('/')}/_metadata/scenario={scenario}")
+    write_marker(spark, f"{out_base.rstrip('/')}/_COMPLETE_{scenario}", time.strftime("Completed at %Y-%m-%d %H:%M:%S\n"))
     return written

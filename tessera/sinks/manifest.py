@@ -92,3 +92,24 @@ def window_status_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("status").agg(
         F.count(F.lit(1)).alias("n_windows"), F.sum("n_valid").cast("bigint").alias("n_valid")
     )
+
+
+def write_marker(spark: SparkSession, path: str, text: str) -> str:
+    """K7: a small completion marker file, through the Hadoop FileSystem of
+    ``path`` (local, HDFS, S3A ...). Written last, so its presence means the
+    index and metadata are complete."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return path
+
+
+def has_marker(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
