@@ -20,7 +20,7 @@ from ..sources.fixture import FIXTURE_GRID, FIXTURE_SCENARIO, FIXTURE_YEARS, pix
 from ..sources.grid import (
     pixels_to_tiles,
     stack_years,
-    tiles_to_pixels,
+    tiles_to_wide_pixels,
     unstack_years,
     window_lattice,
     window_of,
@@ -88,12 +88,11 @@ def year_unpivot_pivot(spark, sf):
 
 
 def tiles_roundtrip(spark, sf):
-    """[S3, F3, F17] pixels -> dense tiles -> pixels -> mask."""
+    """[S3, F3, F17] pixels -> dense tiles -> wide pixels (years aligned per tile) -> mask."""
     px = _pixels(spark, sf)
     long = unstack_years(px, ["r", "c"], FIXTURE_YEARS)
     tiles = pixels_to_tiles(long, TILE, NODATA)
-    back = tiles_to_pixels(tiles, FIXTURE_GRID, TILE)
-    wide = stack_years(back, ["r", "c", "lat", "lon"], FIXTURE_YEARS, NODATA)
+    wide = tiles_to_wide_pixels(tiles, FIXTURE_GRID, TILE, FIXTURE_YEARS)
     return apply_mask(wide, POP, NODATA)
 
 

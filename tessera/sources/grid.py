@@ -271,3 +271,62 @@ def tiles_to_pixels(
         "year",
         "value",
     )
+
+
+def tiles_to_wide_pixels(
+    tiles: DataFrame,
+    grid: GridSpec,
+    tile: int,
+    years: list[int],
+    row_range: tuple[int, int] | None = None,
+    col_range: tuple[int, int] | None = None,
+) -> DataFrame:
+    """S3 + F17 + F2 at tile granularity: tile table -> wide pixels
+    ``r, c, lat, lon, pop_<year>...``.
+
+    Years are aligned per *tile*: the only exchange groups one row per
+    (tile, year) -- a few rows per tile, each a bounded array -- instead of
+    one row per pixel and year. A tile table bucketed on (tile_row,
+    tile_col) needs no exchange at all. The arrays of all years are then
+    zipped and exploded row by row, column by column. A year missing for a
+    tile reads as nodata (the boundless fill).
+    """
+    if len(set(years)) != len(years):
+        raise ValueError(f"duplicate years: {years}")
+    t = tiles
+    if row_range is not None:
+        t = t.where(F.col("tile_row").between(row_range[0] // tile, row_range[1] // tile))
+    if col_range is not None:
+        t = t.where(F.col("tile_col").between(col_range[0] // tile, col_range[1] // tile))
+    ys = [int(y) for y in years]
+    per_tile = t.groupBy("tile_row", "tile_col").pivot("year", ys).agg(F.first("values"))
+    fill_v = np.float32(np.nan if grid.nodata is None else grid.nodata)
+    fill_row = F.array_repeat(F.lit(float(fill_v)).cast("float"), tile)
+    fill_tile = F.array_repeat(fill_row, tile)
+    yc = [F.coalesce(F.col(str(y)), fill_tile).alias(pop_col(y)) for y in ys]
+    rows = per_tile.select(
+        "tile_row", "tile_col", F.posexplode(F.arrays_zip(*yc)).alias("lr", "yrows")
+    )
+    px = rows.select(
+        (F.col("tile_row") * F.lit(tile) + F.col("lr")).cast("long").alias("r"),
+        "tile_col",
+        F.posexplode(F.arrays_zip(*[F.col("yrows")[pop_col(y)].alias(pop_col(y)) for y in ys])).alias(
+            "lc", "v"
+        ),
+    ).select(
+        "r",
+        (F.col("tile_col") * F.lit(tile) + F.col("lc")).cast("long").alias("c"),
+        *[F.col("v")[pop_col(y)].alias(pop_col(y)) for y in ys],
+    )
+    if row_range is not None:
+        px = px.where(F.col("r").between(*row_range))
+    if col_range is not None:
+        px = px.where(F.col("c").between(*col_range))
+    px = px.where((F.col("r") < grid.height) & (F.col("c") < grid.width))
+    return px.select(
+        "r",
+        "c",
+        pixel_lat("r", grid).alias("lat"),
+        pixel_lon("c", grid).alias("lon"),
+        *[pop_col(y) for y in ys],
+    )

@@ -74,3 +74,21 @@ def test_grid_checks():
     with pytest.raises(ValueError):
         GridSpec(0, 0, 1, 1, 1, 1, nodata=0.1).nodata_float32()
     assert GridSpec(0, 0, 1, 1, 1, 1, nodata=-99999.0).nodata_float32() == -99999.0
+
+
+def test_tiles_to_wide_pixels(spark):
+    from tessera.sources.grid import tiles_to_wide_pixels
+
+    px = pixel_view(spark, SF_SMALL)
+    tiles = pixels_to_tiles(unstack_years(px, ["r", "c"], YEARS), 16, -99999.0)
+    wide = tiles_to_wide_pixels(tiles, FIXTURE_GRID, 16, YEARS)
+    got = apply_mask(wide, POP, -99999.0)
+    exp = apply_mask(px, POP, -99999.0).select("r", "c", "lat", "lon", *POP)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    # a tile with no 2050 raster: that year reads as nodata, so its pixels are masked out
+    no2050 = tiles.where("NOT (year = 2050 AND tile_row = 0)")
+    w2 = tiles_to_wide_pixels(no2050, FIXTURE_GRID, 16, YEARS).where("r < 16")
+    assert w2.where("pop_2050 != -99999.0").count() == 0
+    assert apply_mask(w2, POP, -99999.0).count() == 0
+    win = tiles_to_wide_pixels(tiles, FIXTURE_GRID, 16, YEARS, row_range=(20, 40), col_range=(3, 9))
+    assert win.count() == 21 * 7
