@@ -38,6 +38,26 @@ def validate_resolutions(resolutions) -> list[int]:
     return out
 
 
+SPREAD_MIN_FANOUT = 4  # resolutions per pixel from which spreading a small input pays
+
+
+def spread_small_input(df: DataFrame, fanout: int) -> DataFrame:
+    """Round-robin a *small* input over all cores before a large fan-out.
+
+    A scan with fewer splits than the cluster's parallelism (a file with a
+    single row group) would run the whole fan-out and partial aggregation
+    in a few tasks. Only then, and only when each row fans out to many
+    resolutions, the rows are spread. A large input already has at least
+    as many splits as cores, so at scale this never adds an exchange.
+    """
+    if fanout < SPREAD_MIN_FANOUT or df.isStreaming:
+        return df
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par)
+
+
 def assign_cells(
     pixels: DataFrame,
     resolutions,
@@ -53,6 +73,7 @@ def assign_cells(
     multiplications, ``floor`` and compares.
     """
     res_list = validate_resolutions(resolutions)
+    pixels = spread_small_input(pixels, len(res_list))
     if system == "hex":
         # one row per (pixel, resolution) carrying that resolution's factors,
         # then ONE compact cell expression: generated code does not grow
