@@ -59,7 +59,9 @@ def legacy_view(index: DataFrame, res: int | None = None) -> DataFrame:
     c = F.col("h3_index")
     lat = cells.cell_lat(c, res)
     lng = cells.cell_lng(c, res)
+    keep = [k for k in ("scenario", "h3_res") if k in index.columns]
     return index.select(
+        *keep,
         cells.cell_to_string(c).alias("h3_index"),
         point_wkb(lng, lat).alias("geometry"),
         lat.cast("float").alias("lat"),

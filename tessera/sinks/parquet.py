@@ -54,3 +54,33 @@ def write_index(
         .parquet(base)
     )
     return base
+
+
+def write_legacy_index(
+    index: DataFrame,
+    base: str,
+    scenario: str,
+    n_partitions: int | None = None,
+    zstd_level: int = ZSTD_LEVEL,
+    row_group_rows: int = ROW_GROUP_ROWS,
+) -> str:
+    """K8: the legacy layout -- VARCHAR id, WKB point geometry, FLOAT lat/lon/area,
+    pop_* -- same partitioning, order and compression as ``write_index``.
+
+    The geometry column is plain WKB (BINARY); Spark writes no GeoParquet
+    ``geo`` footer key.
+    """
+    from ..operators.analytics import legacy_view
+
+    ordered = sorted_for_write(index.withColumn("scenario", F.lit(scenario)), n_partitions)
+    v1 = legacy_view(ordered)
+    (
+        v1.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .option("parquet.compression.codec.zstd.level", str(zstd_level))
+        .option("parquet.block.row.count.limit", str(row_group_rows))
+        .partitionBy("scenario", "h3_res")
+        .parquet(base)
+    )
+    return base

@@ -120,3 +120,44 @@ def test_describe(spark):
     idx = X.build_index(pixel_view(spark, SF_SMALL), Q.POP, [5], Q.NODATA)
     d = {r["column_name"]: r["column_type"] for r in describe(spark, idx).collect()}
     assert d["h3_index"] == "BIGINT" and d["pop_2025"] == "FLOAT" and d["h3_res"] == "INTEGER"
+
+
+def test_legacy_layout_and_geometry_row(spark, tmp_dir):
+    """Legacy columns with a WKB point, and the literal smoke row."""
+    from tessera.functions.geometry import point_wkb, wkb_to_lonlat
+    from tessera.sinks.parquet import write_legacy_index
+
+    idx = X.build_index(pixel_view(spark, SF_SMALL), Q.POP, [2], Q.NODATA)
+    write_legacy_index(idx, tmp_dir, "SSP2")
+    v1 = read_index(spark, tmp_dir, "SSP2", 2)
+    assert [f.name for f in v1.schema.fields][:5] == ["h3_index", "geometry", "lat", "lon", "area_km2"]
+    r = v1.first()
+    lon, lat = wkb_to_lonlat(bytes(r["geometry"]))
+    assert abs(lat - r["lat"]) < 1e-4 and abs(lon - r["lon"]) < 1e-4
+    assert v1.count() == idx.count()
+    # the literal smoke row: string id, point, FLOAT lat/lon/pop, zstd Parquet
+    row = spark.createDataFrame([("8928308280fffff", 40.730, -73.935, 1000000.0)], "h3_index string, lat double, lon double, pop_2025 double")
+    lit = row.select(
+        "h3_index", point_wkb("lon", "lat").alias("geometry"),
+        F.col("lat").cast("float").alias("lat"), F.col("lon").cast("float").alias("lon"),
+        F.col("pop_2025").cast("float").alias("pop_2025"),
+    )
+    p = os.path.join(tmp_dir, "smoke")
+    lit.write.option("compression", "zstd").parquet(p)
+    aud = layout_audit(list_files(spark, p)).collect()
+    assert {a["column"] for a in aud} == {"h3_index", "geometry", "lat", "lon", "pop_2025"}
+    assert {a["physical_type"] for a in aud if a["column"] == "geometry"} == {"BYTE_ARRAY"}
+    assert not any(a["has_geo"] for a in aud)
+
+
+def test_cli_dry_run_and_build(spark, tmp_dir, capsys):
+    from tessera.plans.cli import main as cli
+
+    px = pixel_view(spark, SF_SMALL).select("lat", "lon", *Q.POP)
+    src = os.path.join(tmp_dir, "px")
+    px.write.parquet(src)
+    cli(["--pixels", src, "--out", os.path.join(tmp_dir, "out"), "--dry-run", "--resolutions", "1,2"])
+    assert "2592 windows x 3 years x 2 resolutions" in capsys.readouterr().out
+    cli(["--pixels", src, "--out", os.path.join(tmp_dir, "out"), "--resolutions", "1,2"])
+    assert "res  2:" in capsys.readouterr().out
+    assert os.path.exists(os.path.join(tmp_dir, "out", "_COMPLETE_SSP2"))
