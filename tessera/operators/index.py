@@ -41,19 +41,29 @@ def validate_resolutions(resolutions) -> list[int]:
 SPREAD_MIN_FANOUT = 4  # resolutions per pixel from which spreading a small input pays
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of a plan (statistics only; nothing runs)."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v if isinstance(v, int) else v.toString())
+
+
 def spread_small_input(df: DataFrame, fanout: int) -> DataFrame:
     """Round-robin a *small* input over all cores before a large fan-out.
 
-    A scan with fewer splits than the cluster's parallelism (a file with a
-    single row group) would run the whole fan-out and partial aggregation
-    in a few tasks. Only then, and only when each row fans out to many
-    resolutions, the rows are spread. A large input already has at least
-    as many splits as cores, so at scale this never adds an exchange.
+    A small file (one row group) is scanned by one task, which would then run
+    the whole fan-out and partial aggregation alone. When the optimizer's
+    estimate of the input is below one advisory partition per core, rows are
+    spread first -- an extra exchange of at most that size. Larger inputs are
+    left alone: they already arrive in at least as many splits as cores, so
+    at scale this never adds an exchange. Decided from plan statistics, so
+    nothing is executed to decide.
     """
     if fanout < SPREAD_MIN_FANOUT or df.isStreaming:
         return df
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    advisory = int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864").rstrip("bB") or 67108864)
+    if estimated_bytes(df) >= par * advisory:
         return df
     return df.repartition(par)
 
