@@ -40,16 +40,23 @@ def any_positive(pop_cols: list[str]) -> Column:
 
 
 def valid_mask(pop_cols: list[str], nodata: float | None) -> Column:
-    """F4 & F5 & F6 as one Column (NULL -> not kept)."""
+    """F4 & F5 & F6 as one Column; NULL (a missing year) counts as not valid."""
     if not pop_cols:
         raise ValueError("no population columns")
     return F.coalesce(all_finite_not_nodata(pop_cols, nodata) & any_positive(pop_cols), F.lit(False))
 
 
 def apply_mask(pixels: DataFrame, pop_cols: list[str], nodata: float | None) -> DataFrame:
-    """keep valid pixels. A plain filter, so Catalyst pushes the
-    comparisons into the scan where it can and runs the rest in codegen."""
-    return pixels.where(valid_mask(pop_cols, nodata))
+    """keep valid pixels.
+
+    Written as plain conjuncts (a filter drops NULL anyway), so Catalyst can
+    hand the comparisons to the Parquet reader: ``pop_y != nodata`` and the
+    disjunction ``pop_a > 0 OR pop_b > 0 ...`` become pushed filters, and row
+    groups where every year is <= 0 (oceans, deserts) are skipped unread.
+    """
+    if not pop_cols:
+        raise ValueError("no population columns")
+    return pixels.where(any_positive(pop_cols)).where(all_finite_not_nodata(pop_cols, nodata))
 
 
 def mask_counts(pixels: DataFrame, pop_cols: list[str], nodata: float | None) -> DataFrame:
