@@ -14,9 +14,13 @@ cells per resolution) on an equal-area plane:
 
 Every function here returns a plain Column (arithmetic, ``floor``, ``sin``,
 ``asin``, bit operations), so cell assignment runs inside whole-stage
-codegen with no Python worker. Where a resolution is known when the plan
+codegen with no Python worker. Arguments are SQL expressions -- usually
+column names. Each function writes its expression as Spark SQL text and
+parses it once with ``F.expr``: building the same tree operator by operator
+costs one JVM round trip per node, which made plan construction slower than
+running the plan on small inputs. Where a resolution is known when the plan
 is built, pass it as an ``int`` and its constants become literals; pass a
-Column to select the constants per row.
+column name to select the constants per row.
 
 Limits: cells are cut at +/-180 degrees and at the poles (their nominal
 area is then larger than the covered area), shapes stretch toward the
@@ -95,192 +99,227 @@ def check_res(res: int) -> int:
     return res
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# --- SQL text helpers -------------------------------------------------------------
 
 
-def _per_res(res, attr: str, idx: int | None = None) -> Column:
-    """Constant ``attr`` of a resolution: a literal for an int, else a lookup."""
+def dbl(x: float) -> str:
+    """Exact DOUBLE literal (shortest round-trip digits, ``D`` suffix)."""
+    return f"({float(x)!r}D)"
+
+
+def lng_lit(n: int) -> str:
+    return f"({int(n)}L)"
+
+
+def _sql(e) -> str:
+    if isinstance(e, str):
+        return f"({e})"
+    raise TypeError("cell functions take SQL expressions or column names as str")
+
+
+def _per_res(res, attr: str, idx: int | None = None) -> str:
+    """Constant ``attr`` of a resolution: a literal for an int, else a lookup by ``res`` (SQL)."""
     if isinstance(res, int):
         v = getattr(res_constants(res), attr)
-        return F.lit(v if idx is None else v[idx])
+        return dbl(v if idx is None else v[idx])
     vals = []
     for r in range(MIN_RES, MAX_RES + 1):
         v = getattr(res_constants(r), attr)
-        vals.append(F.lit(v if idx is None else v[idx]))
-    return F.element_at(F.array(*vals), _col(res).cast("int") + 1)
+        vals.append(dbl(v if idx is None else v[idx]))
+    return f"element_at(array({', '.join(vals)}), CAST({res} AS INT) + 1)"
 
 
 # --- projection ----------------------------------------------------------------
 
 
-def project_x(lon) -> Column:
+def sql_project_x(lon: str) -> str:
+    return f"(({_sql(lon)} * {dbl(DEG2RAD)}) * {dbl(EARTH_RADIUS_KM)})"
+
+
+def sql_project_y(lat: str) -> str:
+    return f"(sin({_sql(lat)} * {dbl(DEG2RAD)}) * {dbl(EARTH_RADIUS_KM)})"
+
+
+def project_x(lon: str) -> Column:
     """Equal-area plane X (km) of a longitude in degrees."""
-    return (_col(lon) * F.lit(DEG2RAD)) * F.lit(EARTH_RADIUS_KM)
+    return F.expr(sql_project_x(lon))
 
 
-def project_y(lat) -> Column:
+def project_y(lat: str) -> Column:
     """Equal-area plane Y (km) of a latitude in degrees."""
-    return F.sin(_col(lat) * F.lit(DEG2RAD)) * F.lit(EARTH_RADIUS_KM)
+    return F.expr(sql_project_y(lat))
 
 
 # --- point -> cell ---------------------------------------------------------------
 
 
-def axial_round(x, y, kq_x, kq_y, kr_y) -> tuple[Column, Column]:
+def sql_axial_round(x: str, y: str, kq_x: str, kq_y: str, kr_y: str) -> tuple[str, str]:
     """Cube-rounded axial (q, r) of a projected point; the per-resolution
-    factors may be literals or columns."""
-    x, y = _col(x), _col(y)
-    qf = x * kq_x - y * kq_y
-    rf = y * kr_y
-    sf = -qf - rf
-    qi = F.floor(qf + F.lit(0.5))
-    ri = F.floor(rf + F.lit(0.5))
-    si = F.floor(sf + F.lit(0.5))
-    dq = F.abs(qi - qf)
-    dr = F.abs(ri - rf)
-    ds = F.abs(si - sf)
-    q_is_worst = (dq > dr) & (dq > ds)
-    q = F.when(q_is_worst, -ri - si).otherwise(qi)
-    r = F.when(q_is_worst, ri).when(dr > ds, -qi - si).otherwise(ri)
+    factors may be literals or column names."""
+    x, y = _sql(x), _sql(y)
+    qf = f"({x} * {kq_x} - {y} * {kq_y})"
+    rf = f"({y} * {kr_y})"
+    sf = f"(-{qf} - {rf})"
+    half = dbl(0.5)
+    qi, ri, si = f"floor({qf} + {half})", f"floor({rf} + {half})", f"floor({sf} + {half})"
+    dq, dr, ds = f"abs({qi} - {qf})", f"abs({ri} - {rf})", f"abs({si} - {sf})"
+    q_is_worst = f"({dq} > {dr} AND {dq} > {ds})"
+    q = f"(CASE WHEN {q_is_worst} THEN -{ri} - {si} ELSE {qi} END)"
+    r = f"(CASE WHEN {q_is_worst} THEN {ri} WHEN {dr} > {ds} THEN -{qi} - {si} ELSE {ri} END)"
     return q, r
 
 
-def cell_of_xy(x, y, res: int) -> Column:
-    """Cell id (BIGINT) of a projected point at a fixed resolution."""
+def _sql_pack(base: str, q: str, r: str) -> str:
+    return (
+        f"({base} + (CAST({q} AS BIGINT) + {AXIS_OFFSET}) * {1 << Q_SHIFT}"
+        f" + (CAST({r} AS BIGINT) + {AXIS_OFFSET}))"
+    )
+
+
+def sql_cell_of_xy(x: str, y: str, res: int) -> str:
     k = res_constants(res)
-    q, r = axial_round(x, y, F.lit(k.kq_x), F.lit(k.kq_y), F.lit(k.kr_y))
-    return pack_cell(res, q, r)
+    q, r = sql_axial_round(x, y, dbl(k.kq_x), dbl(k.kq_y), dbl(k.kr_y))
+    return _sql_pack(lng_lit(k.base), q, r)
 
 
-def cell_of_xy_by_constants(x, y, kq_x, kq_y, kr_y, base) -> Column:
+def cell_of_xy(x: str, y: str, res: int) -> Column:
+    """Cell id (BIGINT) of a projected point at a fixed resolution."""
+    return F.expr(sql_cell_of_xy(x, y, res))
+
+
+def cell_of_xy_by_constants(x: str, y: str, kq_x: str, kq_y: str, kr_y: str, base: str) -> Column:
     """Cell id with the resolution's constants given as columns (see
     ``resolution_constants``): one expression serves every resolution."""
-    q, r = axial_round(x, y, _col(kq_x), _col(kq_y), _col(kr_y))
-    return (
-        _col(base)
-        + (q.cast("bigint") + F.lit(AXIS_OFFSET)) * F.lit(1 << Q_SHIFT)
-        + (r.cast("bigint") + F.lit(AXIS_OFFSET))
-    )
+    q, r = sql_axial_round(x, y, _sql(kq_x), _sql(kq_y), _sql(kr_y))
+    return F.expr(_sql_pack(_sql(base), q, r))
 
 
 def resolution_constants(resolutions) -> Column:
     """Literal ``ARRAY<STRUCT<h3_res, kq_x, kq_y, kr_y, base>>``; ``inline`` it
     to fan each point out to every resolution with that resolution's factors."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(r).cast("int").alias("h3_res"),
-                F.lit(res_constants(r).kq_x).alias("kq_x"),
-                F.lit(res_constants(r).kq_y).alias("kq_y"),
-                F.lit(res_constants(r).kr_y).alias("kr_y"),
-                F.lit(res_constants(r).base).cast("bigint").alias("base"),
-            )
-            for r in resolutions
-        ]
-    )
+    structs = []
+    for r in resolutions:
+        k = res_constants(r)
+        structs.append(
+            f"named_struct('h3_res', {int(r)}, 'kq_x', {dbl(k.kq_x)}, 'kq_y', {dbl(k.kq_y)}, "
+            f"'kr_y', {dbl(k.kr_y)}, 'base', {lng_lit(k.base)})"
+        )
+    return F.expr(f"array({', '.join(structs)})")
 
 
-def cell_of(lat, lon, res: int) -> Column:
+def cell_of(lat: str, lon: str, res: int) -> Column:
     """Cell id (BIGINT) of a point given in degrees (``latlng_to_cell``)."""
-    return cell_of_xy(project_x(lon), project_y(lat), res)
+    return F.expr(sql_cell_of_xy(sql_project_x(lon), sql_project_y(lat), res))
 
 
-def pack_cell(res: int, q, r) -> Column:
-    base = res_constants(res).base
-    return (
-        F.lit(base)
-        + (_col(q).cast("bigint") + F.lit(AXIS_OFFSET)) * F.lit(1 << Q_SHIFT)
-        + (_col(r).cast("bigint") + F.lit(AXIS_OFFSET))
-    )
+# --- cell -> attributes ----------------------------------------------------------
 
 
-# --- cell -> attributes ----------------------------------------------------------
+def sql_cell_res(cell: str) -> str:
+    return f"CAST((shiftright({_sql(cell)}, {RES_SHIFT}) & 15) AS INT)"
 
 
-def cell_res(cell) -> Column:
-    return F.shiftright(_col(cell), RES_SHIFT).bitwiseAND(F.lit(15)).cast("int")
+def sql_cell_q(cell: str) -> str:
+    return f"((shiftright({_sql(cell)}, {Q_SHIFT}) & {AXIS_MASK}) - {AXIS_OFFSET})"
 
 
-def cell_q(cell) -> Column:
-    return F.shiftright(_col(cell), Q_SHIFT).bitwiseAND(F.lit(AXIS_MASK)) - F.lit(AXIS_OFFSET)
+def sql_cell_r(cell: str) -> str:
+    return f"(({_sql(cell)} & {AXIS_MASK}) - {AXIS_OFFSET})"
 
 
-def cell_r(cell) -> Column:
-    return _col(cell).bitwiseAND(F.lit(AXIS_MASK)) - F.lit(AXIS_OFFSET)
+def cell_res(cell: str) -> Column:
+    return F.expr(sql_cell_res(cell))
 
 
-def is_valid_cell(cell) -> Column:
-    c = _col(cell)
-    return (F.shiftright(c, TAG_SHIFT) == F.lit(ID_TAG)) & (
-        F.shiftright(c, 54).bitwiseAND(F.lit(1)) == F.lit(0)
-    )
+def cell_q(cell: str) -> Column:
+    return F.expr(sql_cell_q(cell))
+
+
+def cell_r(cell: str) -> Column:
+    return F.expr(sql_cell_r(cell))
+
+
+def is_valid_cell(cell: str) -> Column:
+    c = _sql(cell)
+    return F.expr(f"(shiftright({c}, {TAG_SHIFT}) = {ID_TAG} AND (shiftright({c}, 54) & 1) = 0)")
 
 
-def _res_of(cell, res):
-    return res if res is not None else cell_res(cell)
+def _res_of(cell: str, res):
+    return res if res is not None else sql_cell_res(cell)
 
 
-def centre_x(cell, res=None) -> Column:
+def sql_centre_x(cell: str, res=None) -> str:
     res = _res_of(cell, res)
-    return (cell_q(cell) + cell_r(cell) * F.lit(0.5)) * _per_res(res, "cx")
+    return f"(({sql_cell_q(cell)} + {sql_cell_r(cell)} * {dbl(0.5)}) * {_per_res(res, 'cx')})"
 
 
-def centre_y(cell, res=None) -> Column:
+def sql_centre_y(cell: str, res=None) -> str:
     res = _res_of(cell, res)
-    return cell_r(cell) * _per_res(res, "cy")
+    return f"({sql_cell_r(cell)} * {_per_res(res, 'cy')})"
 
 
-def lat_of_y(y) -> Column:
-    s = _col(y) / F.lit(EARTH_RADIUS_KM)
-    s = F.least(F.greatest(s, F.lit(-1.0)), F.lit(1.0))
-    return F.asin(s) * F.lit(RAD2DEG)
+def sql_lat_of_y(y: str) -> str:
+    s = f"({_sql(y)} / {dbl(EARTH_RADIUS_KM)})"
+    return f"(asin(least(greatest({s}, {dbl(-1.0)}), {dbl(1.0)})) * {dbl(RAD2DEG)})"
 
 
-def lng_of_x(x) -> Column:
-    d = (_col(x) / F.lit(EARTH_RADIUS_KM)) * F.lit(RAD2DEG)
-    return F.least(F.greatest(d, F.lit(-180.0)), F.lit(180.0))
+def sql_lng_of_x(x: str) -> str:
+    d = f"(({_sql(x)} / {dbl(EARTH_RADIUS_KM)}) * {dbl(RAD2DEG)})"
+    return f"least(greatest({d}, {dbl(-180.0)}), {dbl(180.0)})"
 
 
-def cell_lat(cell, res=None) -> Column:
+def centre_x(cell: str, res=None) -> Column:
+    return F.expr(sql_centre_x(cell, res))
+
+
+def centre_y(cell: str, res=None) -> Column:
+    return F.expr(sql_centre_y(cell, res))
+
+
+def sql_cell_lat(cell: str, res=None) -> str:
+    return sql_lat_of_y(sql_centre_y(cell, res))
+
+
+def sql_cell_lng(cell: str, res=None) -> str:
+    return sql_lng_of_x(sql_centre_x(cell, res))
+
+
+def cell_lat(cell: str, res=None) -> Column:
     """Latitude (degrees, DOUBLE) of the cell centre, clamped to +/-90."""
-    return lat_of_y(centre_y(cell, res))
+    return F.expr(sql_cell_lat(cell, res))
 
 
-def cell_lng(cell, res=None) -> Column:
+def cell_lng(cell: str, res=None) -> Column:
     """Longitude (degrees, DOUBLE) of the cell centre, clamped to +/-180."""
-    return lng_of_x(centre_x(cell, res))
+    return F.expr(sql_cell_lng(cell, res))
 
 
-def cell_area_km2(cell, res=None) -> Column:
+def cell_area_km2(cell: str, res=None) -> Column:
     """Nominal cell area in km^2 (DOUBLE)."""
-    return _per_res(_res_of(cell, res), "area_km2")
+    return F.expr(_per_res(_res_of(cell, res), "area_km2"))
 
 
-def cell_boundary(cell, res=None) -> Column:
+def cell_boundary(cell: str, res=None) -> Column:
     """Six vertices ``ARRAY<STRUCT<lat DOUBLE, lng DOUBLE>>``, counter-clockwise
     from the lower right, in the same clamped lat/lng as the centre."""
     res = _res_of(cell, res)
-    x, y = centre_x(cell, res), centre_y(cell, res)
-    return F.array(
-        *[
-            F.struct(
-                lat_of_y(y + _per_res(res, "vy", i)).alias("lat"),
-                lng_of_x(x + _per_res(res, "vx", i)).alias("lng"),
-            )
-            for i in range(6)
-        ]
-    )
+    x, y = sql_centre_x(cell, res), sql_centre_y(cell, res)
+    verts = []
+    for i in range(6):
+        vy = y + " + " + _per_res(res, "vy", i)
+        vx = x + " + " + _per_res(res, "vx", i)
+        verts.append(f"named_struct('lat', {sql_lat_of_y(vy)}, 'lng', {sql_lng_of_x(vx)})")
+    return F.expr(f"array({', '.join(verts)})")
 
 
 # --- id <-> string -----------------------------------------------------------------
 
 
-def cell_to_string(cell) -> Column:
+def cell_to_string(cell: str) -> Column:
     """Lower-case hexadecimal text of an id (no leading zeros)."""
-    return F.lower(F.hex(_col(cell)))
+    return F.expr(f"lower(hex({_sql(cell)}))")
 
 
-def string_to_cell(s) -> Column:
+def string_to_cell(s: str) -> Column:
     """Hexadecimal text -> BIGINT id."""
-    return F.conv(_col(s), 16, 10).cast("bigint")
+    return F.expr(f"CAST(conv({_sql(s)}, 16, 10) AS BIGINT)")

@@ -22,13 +22,30 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_float_div(num: str, den: str) -> str:
+    n, d = f"CAST(({num}) AS DOUBLE)", f"CAST(({den}) AS DOUBLE)"
+    return (
+        f"CAST(CASE WHEN {n} IS NULL OR {d} IS NULL THEN CAST(NULL AS DOUBLE) "
+        f"WHEN {d} = 0 THEN (CASE WHEN {n} > 0 THEN CAST('Infinity' AS DOUBLE) "
+        f"WHEN {n} < 0 THEN CAST('-Infinity' AS DOUBLE) ELSE CAST('NaN' AS DOUBLE) END) "
+        f"ELSE {n} / {d} END AS FLOAT)"
+    )
+
+
+def sql_is_finite(c: str) -> str:
+    return f"(NOT isnan({c}) AND abs(CAST(({c}) AS DOUBLE)) != CAST('Infinity' AS DOUBLE))"
+
+
 def float_div(num, den) -> Column:
     """``num / den`` as FLOAT with IEEE semantics on a zero divisor.
 
     Division is carried out in DOUBLE and rounded once to FLOAT; for two
     FLOAT operands that equals the correctly rounded FLOAT quotient.
-    NULL in either operand gives NULL.
+    NULL in either operand gives NULL. Column names / SQL text are parsed
+    in one step; Columns are combined operator by operator.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(sql_float_div(num, den))
     n = _col(num).cast("double")
     d = _col(den).cast("double")
     by_zero = (
@@ -51,5 +68,7 @@ def round_to_bigint(x) -> Column:
 
 def is_finite(x) -> Column:
     """True when ``x`` is neither NaN nor infinite (NULL stays NULL)."""
-    c = _col(x)
+    if isinstance(x, str):
+        return F.expr(sql_is_finite(x))
+    c = x
     return ~F.isnan(c) & (F.abs(c.cast("double")) != F.lit(INF))

@@ -43,7 +43,7 @@ def with_cell_attributes(index: DataFrame, res: int | None = None, id_col: str =
 
     With ``res`` given (a single-resolution index) the constants are literals.
     """
-    c = F.col(id_col)
+    c = id_col
     return index.withColumns(
         {
             "h3_hex": cells.cell_to_string(c),
@@ -56,7 +56,7 @@ def with_cell_attributes(index: DataFrame, res: int | None = None, id_col: str =
 
 def legacy_view(index: DataFrame, res: int | None = None) -> DataFrame:
     """The v1 layout over a v2 index: VARCHAR id, WKB point, FLOAT lat/lon/area, pop_*."""
-    c = F.col("h3_index")
+    c = "h3_index"
     lat = cells.cell_lat(c, res)
     lng = cells.cell_lng(c, res)
     keep = [k for k in ("scenario", "h3_res") if k in index.columns]
@@ -73,7 +73,7 @@ def legacy_view(index: DataFrame, res: int | None = None) -> DataFrame:
 
 def growth_ratio(num: str, den: str) -> Column:
     """``(num / den)::FLOAT`` with IEEE results on a zero divisor."""
-    return float_div(F.col(num), F.col(den))
+    return float_div(num, den)
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: str = "h3_index", ascending: bool = False) -> DataFrame:
@@ -124,31 +124,35 @@ def where_bbox(
     as a pushed filter, so row groups of a sorted index outside the box
     are skipped. The exact test on derived lat/lng decides.
     """
-    c = F.col("h3_index")
-    exact = cells.cell_lat(c, res).between(lat_min, lat_max) & cells.cell_lng(c, res).between(
-        lng_min, lng_max
+    dbl = cells.dbl
+    exact = F.expr(
+        f"{cells.sql_cell_lat('h3_index', res)} BETWEEN {dbl(lat_min)} AND {dbl(lat_max)} AND "
+        f"{cells.sql_cell_lng('h3_index', res)} BETWEEN {dbl(lng_min)} AND {dbl(lng_max)}"
     )
     if res is None:
         return index.where(exact)
     lo, hi = _id_range(res, lng_min, lng_max, lat_min, lat_max)
-    return index.where(c.between(F.lit(lo), F.lit(hi))).where(exact)
+    return index.where(F.col("h3_index").between(F.lit(lo), F.lit(hi))).where(exact)
 
 
-def continent_of(lat: Column, lng: Column) -> Column:
-    """searched CASE over the region boxes, first match wins, else 'Other'."""
-    expr = None
-    for name, la0, la1, lo0, lo1 in CONTINENT_BOXES:
-        cond = lat.between(la0, la1) & lng.between(lo0, lo1)
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr.otherwise(F.lit(OTHER_REGION))
+def continent_of(lat: str, lng: str) -> Column:
+    """searched CASE over the region boxes (inclusive), first match wins, else 'Other'.
+
+    ``lat``/``lng`` are column names or SQL expressions."""
+    dbl = cells.dbl
+    whens = " ".join(
+        f"WHEN ({lat}) BETWEEN {dbl(la0)} AND {dbl(la1)} AND ({lng}) BETWEEN {dbl(lo0)} AND {dbl(lo1)} THEN '{name}'"
+        for name, la0, la1, lo0, lo1 in CONTINENT_BOXES
+    )
+    return F.expr(f"CASE {whens} ELSE '{OTHER_REGION}' END")
 
 
 def continent_totals(index: DataFrame, pop_cols: list[str], res: int | None = None) -> DataFrame:
     """A6 + O4: ``SUM(pop)::BIGINT`` per region, ordered by the first year's total."""
-    c = F.col("h3_index")
+    c = "h3_index"
     # centres first, as columns: the CASE reads each of them ten times
     centres = index.select(cells.cell_lat(c, res).alias("_lat"), cells.cell_lng(c, res).alias("_lng"), *pop_cols)
-    tagged = centres.select(continent_of(F.col("_lat"), F.col("_lng")).alias("continent"), *pop_cols)
+    tagged = centres.select(continent_of("_lat", "_lng").alias("continent"), *pop_cols)
     agg = tagged.groupBy("continent").agg(*[round_to_bigint(F.sum(p)).alias(p) for p in pop_cols])
     # at most one row per box plus 'Other': a bounded top-k (TakeOrderedAndProject)
     # orders it without the sampling job of a global range sort; no row is dropped
@@ -159,7 +163,7 @@ def continent_totals(index: DataFrame, pop_cols: list[str], res: int | None = No
 def extent_stats(index: DataFrame) -> DataFrame:
     """A4 per resolution: cell count, lat/lon extent of centres (FLOAT, as the
     legacy layout stores them) and mean nominal area ``avg(area)::FLOAT``."""
-    c = F.col("h3_index")
+    c = "h3_index"
     v1 = index.select(
         "h3_res",
         cells.cell_lat(c).cast("float").alias("lat"),
@@ -179,12 +183,8 @@ def extent_stats(index: DataFrame) -> DataFrame:
 def population_stats(index: DataFrame, pop_cols: list[str]) -> DataFrame:
     """A5 per (resolution, year column): ``sum::BIGINT, avg::FLOAT, max::FLOAT,
     count_if(> 0)``. Long form through one ``inline`` (unpivot), one aggregate."""
-    long = index.select(
-        "h3_res",
-        F.inline(
-            F.array(*[F.struct(F.lit(p).alias("column_name"), F.col(p).alias("value")) for p in pop_cols])
-        ),
-    )
+    structs = ", ".join(f"named_struct('column_name', '{p}', 'value', {p})" for p in pop_cols)
+    long = index.select("h3_res", F.expr(f"inline(array({structs}))"))
     return long.groupBy("h3_res", "column_name").agg(
         round_to_bigint(F.sum("value")).alias("total_pop"),
         F.avg("value").cast("float").alias("avg_pop"),
@@ -195,4 +195,4 @@ def population_stats(index: DataFrame, pop_cols: list[str]) -> DataFrame:
 
 def density(pop: str, area: str = "area_km2") -> Column:
     """``(pop / area)::FLOAT``."""
-    return float_div(F.col(pop), F.col(area))
+    return float_div(pop, area)

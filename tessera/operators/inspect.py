@@ -34,17 +34,12 @@ def grid_stats_center(pixels: DataFrame, grid: GridSpec, years: list[int]) -> Da
     r0, c0, size = center_window(grid)
     win = pixels.where(F.col("r").between(r0, r0 + size - 1) & F.col("c").between(c0, c0 + size - 1))
     bands = [int(y) for y in years[:STATS_BANDS]]
-    long = win.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i + 1).alias("band"), F.lit(y).alias("year"), F.col(pop_col(y)).cast("double").alias("value"))
-                    for i, y in enumerate(bands)
-                ]
-            )
-        )
+    structs = ", ".join(
+        f"named_struct('band', {i + 1}, 'year', {y}, 'value', CAST({pop_col(y)} AS DOUBLE))"
+        for i, y in enumerate(bands)
     )
-    ok = is_finite(F.col("value"))
+    long = win.select(F.expr(f"inline(array({structs}))"))
+    ok = is_finite("value")
     if grid.nodata is not None:
         ok = ok & (F.col("value") != F.lit(float(grid.nodata)))
     total = size * size

@@ -12,38 +12,49 @@ ANDed in, so a NaN can never be the "positive" year.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.num import is_finite
+from ..functions.num import sql_is_finite
 
 
-def _nodata_lit(nodata: float) -> Column:
-    return F.lit(float(nodata)).cast("float")
+def _nodata_sql(nodata: float) -> str:
+    return f"CAST({float(nodata)!r}D AS FLOAT)"
 
 
-def not_nodata(c: str, nodata: float | None) -> Column:
+def sql_not_nodata(c: str, nodata: float | None) -> str:
     if nodata is None:
-        return F.col(c).isNotNull()
-    return F.col(c) != _nodata_lit(nodata)
+        return f"({c} IS NOT NULL)"
+    return f"({c} != {_nodata_sql(nodata)})"
+
+
+def sql_all_finite_not_nodata(pop_cols: list[str], nodata: float | None) -> str:
+    return " AND ".join(f"({sql_not_nodata(c, nodata)} AND {sql_is_finite(c)})" for c in pop_cols)
+
+
+def sql_any_positive(pop_cols: list[str]) -> str:
+    return "(" + " OR ".join(f"({c} > CAST(0.0D AS FLOAT))" for c in pop_cols) + ")"
+
+
+def not_nodata(c: str, nodata: float | None) -> Column:
+    return F.expr(sql_not_nodata(c, nodata))
 
 
 def all_finite_not_nodata(pop_cols: list[str], nodata: float | None) -> Column:
-    return reduce(and_, [not_nodata(c, nodata) & is_finite(F.col(c)) for c in pop_cols])
+    return F.expr(sql_all_finite_not_nodata(pop_cols, nodata))
 
 
 def any_positive(pop_cols: list[str]) -> Column:
-    return reduce(or_, [F.col(c) > F.lit(0.0).cast("float") for c in pop_cols])
+    return F.expr(sql_any_positive(pop_cols))
 
 
 def valid_mask(pop_cols: list[str], nodata: float | None) -> Column:
     """F4 & F5 & F6 as one Column; NULL (a missing year) counts as not valid."""
     if not pop_cols:
         raise ValueError("no population columns")
-    return F.coalesce(all_finite_not_nodata(pop_cols, nodata) & any_positive(pop_cols), F.lit(False))
+    return F.expr(
+        f"coalesce(({sql_all_finite_not_nodata(pop_cols, nodata)}) AND {sql_any_positive(pop_cols)}, false)"
+    )
 
 
 def apply_mask(pixels: DataFrame, pop_cols: list[str], nodata: float | None) -> DataFrame:
@@ -67,16 +78,16 @@ def mask_counts(pixels: DataFrame, pop_cols: list[str], nodata: float | None) ->
     ``n_valid``: kept by the mask.
     """
     if nodata is None:
-        has_nodata = F.lit(False)
+        has_nodata = "false"
     else:
-        has_nodata = reduce(or_, [~not_nodata(c, nodata) for c in pop_cols])
-    nonfinite = reduce(or_, [~is_finite(F.col(c)) for c in pop_cols])
-    clean = all_finite_not_nodata(pop_cols, nodata)
-    pos = any_positive(pop_cols)
-    return pixels.agg(
-        F.count(F.lit(1)).alias("n_pixels"),
-        F.count_if(F.coalesce(has_nodata, F.lit(False))).alias("n_nodata"),
-        F.count_if(F.coalesce(nonfinite, F.lit(False))).alias("n_nonfinite"),
-        F.count_if(F.coalesce(clean & ~pos, F.lit(False))).alias("n_no_positive"),
-        F.count_if(valid_mask(pop_cols, nodata)).alias("n_valid"),
+        has_nodata = " OR ".join(f"({c} = {_nodata_sql(nodata)})" for c in pop_cols)
+    nonfinite = " OR ".join(f"NOT {sql_is_finite(c)}" for c in pop_cols)
+    clean = sql_all_finite_not_nodata(pop_cols, nodata)
+    pos = sql_any_positive(pop_cols)
+    return pixels.selectExpr(
+        "count(1) AS n_pixels",
+        f"count_if(coalesce({has_nodata}, false)) AS n_nodata",
+        f"count_if(coalesce({nonfinite}, false)) AS n_nonfinite",
+        f"count_if(coalesce(({clean}) AND NOT {pos}, false)) AS n_no_positive",
+        f"count_if(coalesce(({clean}) AND {pos}, false)) AS n_valid",
     )

@@ -58,7 +58,7 @@ def _index(spark: SparkSession, sf: str, res=(RES,)) -> DataFrame:
 def _index_attrs(spark: SparkSession, sf: str) -> DataFrame:
     """Single-resolution index with FLOAT lat/lng/area (the legacy column types)."""
     idx = _index(spark, sf).drop("h3_res")
-    c = F.col("h3_index")
+    c = "h3_index"
     return idx.withColumns(
         {
             "lat": cells.cell_lat(c, RES).cast("float"),
@@ -165,25 +165,25 @@ def conservation(spark, sf):
 
 def cell_attributes(spark, sf):
     """[F14, G3-G6] legacy-layout attributes: hex id, lat, lng, area (FLOAT)."""
-    return _index_attrs(spark, sf).withColumn("h3_hex", cells.cell_to_string(F.col("h3_index")))
+    return _index_attrs(spark, sf).withColumn("h3_hex", cells.cell_to_string("h3_index"))
 
 
 def hex_roundtrip(spark, sf):
     """[G2, G3] id -> hex text -> id, plus the resolution read from the id."""
     idx = _index(spark, sf, ALL_RES).select("h3_index")
-    hx = idx.withColumn("h3_hex", cells.cell_to_string(F.col("h3_index")))
+    hx = idx.withColumn("h3_hex", cells.cell_to_string("h3_index"))
     return hx.select(
         "h3_index",
         "h3_hex",
-        cells.string_to_cell(F.col("h3_hex")).alias("h3_back"),
-        cells.cell_res(F.col("h3_index")).alias("res_of_id"),
+        cells.string_to_cell("h3_hex").alias("h3_back"),
+        cells.cell_res("h3_index").alias("res_of_id"),
     )
 
 
 def cell_boundary(spark, sf):
     """[G7] six boundary vertices per cell, one row each."""
     idx = _index(spark, sf).select("h3_index")
-    v = idx.select("h3_index", F.posexplode(cells.cell_boundary(F.col("h3_index"), RES)).alias("vertex", "p"))
+    v = idx.select("h3_index", F.posexplode(cells.cell_boundary("h3_index", RES)).alias("vertex", "p"))
     return v.select(
         "h3_index",
         F.col("vertex").cast("int").alias("vertex"),
@@ -199,7 +199,7 @@ def topk_population(spark, sf):
     """[O2, F12, G3] most populated cells with growth ratio."""
     df = _index_attrs(spark, sf).select(
         "h3_index",
-        cells.cell_to_string(F.col("h3_index")).alias("h3_hex"),
+        cells.cell_to_string("h3_index").alias("h3_hex"),
         "lat",
         "lng",
         *POP,
@@ -211,7 +211,7 @@ def topk_population(spark, sf):
 def topk_density(spark, sf):
     """[O2, F13] most populated cells with density per km^2 (legacy columns)."""
     df = _index_attrs(spark, sf).select(
-        cells.cell_to_string(F.col("h3_index")).alias("h3_index"),
+        cells.cell_to_string("h3_index").alias("h3_index"),
         "lat",
         F.col("lng").alias("lon"),
         "area_km2",
@@ -243,7 +243,7 @@ def _bbox(spark, sf, box):
     la0, la1, lo0, lo1 = box
     idx = _index(spark, sf).drop("h3_res")
     sel = A.where_bbox(idx, la0, la1, lo0, lo1, res=RES)
-    c = F.col("h3_index")
+    c = "h3_index"
     return sel.select(
         "h3_index",
         cells.cell_lat(c, RES).cast("float").alias("lat"),
@@ -366,7 +366,7 @@ def bbox_written(spark, sf):
     idx = read_index(spark, base, FIXTURE_SCENARIO, RES).select("h3_index", *POP)
     la0, la1, lo0, lo1 = BBOX_FIXTURE
     sel = A.where_bbox(idx, la0, la1, lo0, lo1, res=RES)
-    c = F.col("h3_index")
+    c = "h3_index"
     return sel.select(
         "h3_index",
         cells.cell_lat(c, RES).cast("float").alias("lat"),

@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .grid import GridSpec
 
@@ -46,27 +45,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pixel_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pixel_id, r, c, lat, lon, pop_2025, pop_2050, pop_2100``.
 
-    Reads two columns of ``orders``; every expression is native.
+    Reads two columns of ``orders``; the expressions are the fixture SQL,
+    parsed by Spark (one JVM call per column instead of one per operator).
     """
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    k, cust = F.col("o_orderkey"), F.col("o_custkey")
     g = FIXTURE_GRID
-    r = k % F.lit(g.height)
-    c = (F.floor(k / F.lit(float(g.height))).cast("bigint") * F.lit(COLUMN_STRIDE)) % F.lit(g.width)
-    base = o.select(k.alias("pixel_id"), cust.alias("cust"), r.alias("r"), c.alias("c"))
-    k, cust = F.col("pixel_id"), F.col("cust")
-    nan = F.lit(float("nan")).cast("float")
-    return base.select(
+    o = read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS pixel_id",
+        "o_custkey AS cust",
+        f"o_orderkey % {g.height} AS r",
+        f"(CAST(floor(o_orderkey / CAST({g.height} AS DOUBLE)) AS BIGINT) * {COLUMN_STRIDE}) % {g.width} AS c",
+    )
+    return o.selectExpr(
         "pixel_id",
         "r",
         "c",
-        (F.lit(g.origin_lat) - (F.col("r").cast("double") + F.lit(0.5)) * F.lit(g.dy)).alias("lat"),
-        (F.lit(g.origin_lon) + (F.col("c").cast("double") + F.lit(0.5)) * F.lit(g.dx)).alias("lon"),
-        F.when(k % 97 == 0, F.lit(-99999)).otherwise(cust % 500).cast("float").alias("pop_2025"),
-        F.when(k % 89 == 0, nan).otherwise(((cust + k) % 400).cast("float")).alias("pop_2050"),
-        F.when(k % 11 == 0, F.lit(0))
-        .when(k % 13 == 0, F.lit(-5))
-        .otherwise(cust % 300)
-        .cast("float")
-        .alias("pop_2100"),
+        f"CAST({g.origin_lat!r} AS DOUBLE) - (CAST(r AS DOUBLE) + CAST(0.5 AS DOUBLE)) * CAST({g.dy!r} AS DOUBLE) AS lat",
+        f"CAST({g.origin_lon!r} AS DOUBLE) + (CAST(c AS DOUBLE) + CAST(0.5 AS DOUBLE)) * CAST({g.dx!r} AS DOUBLE) AS lon",
+        "CAST(CASE WHEN pixel_id % 97 = 0 THEN -99999 ELSE cust % 500 END AS FLOAT) AS pop_2025",
+        "CASE WHEN pixel_id % 89 = 0 THEN CAST('NaN' AS FLOAT) "
+        "ELSE CAST((cust + pixel_id) % 400 AS FLOAT) END AS pop_2050",
+        "CAST(CASE WHEN pixel_id % 11 = 0 THEN 0 WHEN pixel_id % 13 = 0 THEN -5 "
+        "ELSE cust % 300 END AS FLOAT) AS pop_2100",
     )

@@ -80,16 +80,26 @@ class GridSpec:
         return spark.createDataFrame([tuple(d[f.name] for f in schema.fields)], schema)
 
 
-def pixel_lat(row, grid: GridSpec) -> Column:
-    """latitude of the pixel centre."""
-    r = F.col(row) if isinstance(row, str) else row
-    return F.lit(grid.origin_lat) - (r.cast("double") + F.lit(0.5)) * F.lit(grid.dy)
+def _d(x: float) -> str:
+    return f"({float(x)!r}D)"
 
 
-def pixel_lon(col, grid: GridSpec) -> Column:
+def sql_pixel_lat(row: str, grid: GridSpec) -> str:
+    return f"({_d(grid.origin_lat)} - (CAST(({row}) AS DOUBLE) + {_d(0.5)}) * {_d(grid.dy)})"
+
+
+def sql_pixel_lon(col: str, grid: GridSpec) -> str:
+    return f"({_d(grid.origin_lon)} + (CAST(({col}) AS DOUBLE) + {_d(0.5)}) * {_d(grid.dx)})"
+
+
+def pixel_lat(row: str, grid: GridSpec) -> Column:
+    """latitude of the pixel centre (``row`` a column name or SQL expression)."""
+    return F.expr(sql_pixel_lat(row, grid))
+
+
+def pixel_lon(col: str, grid: GridSpec) -> Column:
     """longitude of the pixel centre."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.lit(grid.origin_lon) + (c.cast("double") + F.lit(0.5)) * F.lit(grid.dx)
+    return F.expr(sql_pixel_lon(col, grid))
 
 
 # --- 5-degree windows (F1, F3b) ---------------------------------------------------
@@ -101,15 +111,15 @@ def n_windows(size: float = WINDOW_SIZE_DEG) -> tuple[int, int]:
     return n_lon, n_lat
 
 
-def _window_cols(lon_idx: Column, lat_idx: Column, size: float) -> list[Column]:
-    west = F.lit(LON_MIN) + lon_idx.cast("double") * F.lit(size)
-    south = F.lit(LAT_MIN) + lat_idx.cast("double") * F.lit(size)
+def _window_cols(lon_idx: str, lat_idx: str, size: float) -> list[Column]:
+    west = f"({_d(LON_MIN)} + CAST(({lon_idx}) AS DOUBLE) * {_d(size)})"
+    south = f"({_d(LAT_MIN)} + CAST(({lat_idx}) AS DOUBLE) * {_d(size)})"
     return [
-        F.format_string(WINDOW_ID_FORMAT, west, south).alias("win_id"),
-        west.alias("west"),
-        south.alias("south"),
-        F.least(west + F.lit(size), F.lit(LON_MAX)).alias("east"),
-        F.least(south + F.lit(size), F.lit(LAT_MAX)).alias("north"),
+        F.expr(f"format_string('{WINDOW_ID_FORMAT}', {west}, {south})").alias("win_id"),
+        F.expr(west).alias("west"),
+        F.expr(south).alias("south"),
+        F.expr(f"least({west} + {_d(size)}, {_d(LON_MAX)})").alias("east"),
+        F.expr(f"least({south} + {_d(size)}, {_d(LAT_MAX)})").alias("north"),
     ]
 
 
@@ -121,22 +131,18 @@ def window_lattice(spark: SparkSession, size: float = WINDOW_SIZE_DEG) -> DataFr
     """
     n_lon, n_lat = n_windows(size)
     ids = spark.range(n_lon * n_lat)
-    lon_idx = (F.col("id") / F.lit(n_lat)).cast("long")
-    lat_idx = F.col("id") % F.lit(n_lat)
-    return ids.select(*_window_cols(lon_idx, lat_idx, size))
+    return ids.select(*_window_cols(f"CAST(id / {n_lat} AS BIGINT)", f"id % {n_lat}", size))
 
 
-def window_of(lat="lat", lon="lon", size: float = WINDOW_SIZE_DEG) -> list[Column]:
+def window_of(lat: str = "lat", lon: str = "lon", size: float = WINDOW_SIZE_DEG) -> list[Column]:
     """The (half-open) window holding a point -> win_id, west, south, east, north.
 
     Each point falls in exactly one window; points on the +180 / +90 edge go
     to the last window.
     """
-    la = F.col(lat) if isinstance(lat, str) else lat
-    lo = F.col(lon) if isinstance(lon, str) else lon
     n_lon, n_lat = n_windows(size)
-    lon_idx = F.least(F.floor((lo - F.lit(LON_MIN)) / F.lit(size)), F.lit(n_lon - 1))
-    lat_idx = F.least(F.floor((la - F.lit(LAT_MIN)) / F.lit(size)), F.lit(n_lat - 1))
+    lon_idx = f"least(floor((({lon}) - {_d(LON_MIN)}) / {_d(size)}), {n_lon - 1})"
+    lat_idx = f"least(floor((({lat}) - {_d(LAT_MIN)}) / {_d(size)}), {n_lat - 1})"
     return _window_cols(lon_idx, lat_idx, size)
 
 
@@ -149,17 +155,8 @@ def pop_col(year: int) -> str:
 
 def unstack_years(wide: DataFrame, keys: list[str], years: list[int]) -> DataFrame:
     """Wide pixel table -> long ``(keys..., year INT, value FLOAT)`` (one row per year)."""
-    return wide.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(y).cast("int").alias("year"), F.col(pop_col(y)).alias("value"))
-                    for y in years
-                ]
-            )
-        ),
-    )
+    structs = ", ".join(f"named_struct('year', {int(y)}, 'value', {pop_col(y)})" for y in years)
+    return wide.select(*keys, F.expr(f"inline(array({structs}))"))
 
 
 def stack_years(

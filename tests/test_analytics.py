@@ -30,8 +30,7 @@ def test_bbox_range_never_drops_matches(spark):
             lo = sorted(rng.uniform(-180, 180, 2))
             boxes.append((la[0], la[1], lo[0], lo[1]))
         for la0, la1, lo0, lo1 in boxes:
-            c = F.col("h3_index")
-            exact = idx.where(cells.cell_lat(c, res).between(la0, la1) & cells.cell_lng(c, res).between(lo0, lo1))
+            exact = idx.where(cells.cell_lat("h3_index", res).between(la0, la1) & cells.cell_lng("h3_index", res).between(lo0, lo1))
             pruned = A.where_bbox(idx, la0, la1, lo0, lo1, res=res)
             assert exact.count() == pruned.count(), (res, la0, la1, lo0, lo1)
         idx.unpersist()
@@ -41,7 +40,7 @@ def test_continent_boxes_first_match_wins(spark):
     df = spark.createDataFrame(
         [(36.0, 40.0), (10.0, 100.0), (15.0, -60.0), (0.0, 0.0), (-80.0, 0.0)], "lat double, lng double"
     )
-    got = [r[0] for r in df.select(A.continent_of(F.col("lat"), F.col("lng"))).collect()]
+    got = [r[0] for r in df.select(A.continent_of("lat", "lng")).collect()]
     # (36, 40) is in both Africa and Europe: Africa comes first; (15, -60) is SA before NA
     assert got == ["Africa", "Asia", "South America", "Africa", "Other"]
 
