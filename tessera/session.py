@@ -56,14 +56,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (what a cluster names as its shared,
-    fault-tolerant storage). Only when it is unset -- local runs and tests --
-    a private temporary folder is created and recorded in the session.
+    fault-tolerant storage). Only when it is unset *and* the master is local
+    (tests, a laptop) a private temporary folder is created and recorded in
+    the session; on a cluster an unset folder is an error, never a
+    machine-local fallback.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: set it to shared storage (HDFS, S3A, ...) "
+                "so checkpoints and intermediate tables survive executor loss"
+            )
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -195,32 +195,35 @@ TILE_SCHEMA = T.StructType(
 def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFrame:
     """Long pixels ``(r, c, year, value)`` -> dense tile table, gaps = nodata.
 
-    One group per (year, tile): at most ``tile**2`` rows by construction, so
-    the pandas block per group is bounded whatever the data size.
+    One pandas call per tile builds that tile's block for every year: a group
+    holds at most ``years x tile**2`` rows by construction, so memory per
+    task is bounded whatever the data size.
     """
     fill = np.float32(np.nan if nodata is None else nodata)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        block = np.full((tile, tile), fill, dtype=np.float32)
-        block[pdf["lr"].to_numpy(), pdf["lc"].to_numpy()] = pdf["value"].to_numpy(np.float32)
+        tr, tc = int(pdf["tile_row"].iat[0]), int(pdf["tile_col"].iat[0])
+        years, codes = np.unique(pdf["year"].to_numpy(), return_inverse=True)
+        block = np.full((len(years), tile, tile), fill, dtype=np.float32)
+        block[codes, pdf["lr"].to_numpy(), pdf["lc"].to_numpy()] = pdf["value"].to_numpy(np.float32)
         return pd.DataFrame(
             {
-                "year": [int(pdf["year"].iat[0])],
-                "tile_row": [int(pdf["tile_row"].iat[0])],
-                "tile_col": [int(pdf["tile_col"].iat[0])],
-                "values": [[row for row in block]],
+                "year": years.astype(np.int32),
+                "tile_row": np.full(len(years), tr, dtype=np.int32),
+                "tile_col": np.full(len(years), tc, dtype=np.int32),
+                "values": [list(b) for b in block],
             }
         )
 
-    keyed = long.select(
-        F.col("year").cast("int").alias("year"),
-        (F.col("r") / F.lit(tile)).cast("int").alias("tile_row"),
-        (F.col("c") / F.lit(tile)).cast("int").alias("tile_col"),
-        (F.col("r") % F.lit(tile)).cast("int").alias("lr"),
-        (F.col("c") % F.lit(tile)).cast("int").alias("lc"),
-        F.col("value").cast("float").alias("value"),
+    keyed = long.selectExpr(
+        "CAST(year AS INT) AS year",
+        f"CAST(r DIV {tile} AS INT) AS tile_row",
+        f"CAST(c DIV {tile} AS INT) AS tile_col",
+        f"CAST(r % {tile} AS INT) AS lr",
+        f"CAST(c % {tile} AS INT) AS lc",
+        "CAST(value AS FLOAT) AS value",
     )
-    return keyed.groupBy("year", "tile_row", "tile_col").applyInPandas(build, TILE_SCHEMA)
+    return keyed.groupBy("tile_row", "tile_col").applyInPandas(build, TILE_SCHEMA)
 
 
 def tiles_to_pixels(
