@@ -418,3 +418,17 @@ QUERIES.update(
         "metadata_json": metadata_json,
     }
 )
+
+
+def legacy_written_readback(spark, sf):
+    """[K8, F14, S5] write the legacy layout (text id, WKB point, FLOAT lat/lon/area) and read it back."""
+    from ..session import scratch_path
+    from ..sinks.parquet import write_legacy_index
+    from ..sources.index_reader import read_index
+
+    base = scratch_path(spark, "legacy")
+    write_legacy_index(_index(spark, sf, [RES]), base, FIXTURE_SCENARIO)
+    return read_index(spark, base, FIXTURE_SCENARIO, RES).select("h3_index", "lat", "lon", "area_km2", *POP)
+
+
+QUERIES["legacy_written_readback"] = legacy_written_readback
