@@ -195,9 +195,9 @@ TILE_SCHEMA = T.StructType(
 def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFrame:
     """Long pixels ``(r, c, year, value)`` -> dense tile table, gaps = nodata.
 
-    One pandas call per tile builds that tile's block for every year: a group
-    holds at most ``years x tile**2`` rows by construction, so memory per
-    task is bounded whatever the data size.
+    One pandas call per tile builds that tile's block for every year: after
+    duplicates are collapsed a group holds at most ``years x tile**2`` rows,
+    so memory per task is bounded whatever the data size or skew.
     """
     fill = np.float32(np.nan if nodata is None else nodata)
 
@@ -223,7 +223,11 @@ def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFra
         f"CAST(c % {tile} AS INT) AS lc",
         "CAST(value AS FLOAT) AS value",
     )
-    return keyed.groupBy("tile_row", "tile_col").applyInPandas(build, TILE_SCHEMA)
+    # one value per (year, pixel) before grouping by tile: duplicate pixel rows
+    # (the largest value wins) are collapsed map-side, so even a pixel repeated
+    # in a third of all rows cannot grow a pandas group past years x tile**2
+    unique = keyed.groupBy("tile_row", "tile_col", "year", "lr", "lc").agg(F.max("value").alias("value"))
+    return unique.groupBy("tile_row", "tile_col").applyInPandas(build, TILE_SCHEMA)
 
 
 def tiles_to_pixels(

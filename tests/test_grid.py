@@ -92,3 +92,13 @@ def test_tiles_to_wide_pixels(spark):
     assert apply_mask(w2, POP, -99999.0).count() == 0
     win = tiles_to_wide_pixels(tiles, FIXTURE_GRID, 16, YEARS, row_range=(20, 40), col_range=(3, 9))
     assert win.count() == 21 * 7
+
+
+def test_pixels_to_tiles_collapses_duplicates(spark):
+    # one pixel repeated in a third of the rows: the group stays one value per year
+    rows = [(0, 0, 2025, 1.0)] * 300 + [(r, c, 2025, 2.0) for r in range(1, 20) for c in range(30)]
+    long = spark.createDataFrame(rows, "r long, c long, year int, value float")
+    t = pixels_to_tiles(long, 16, -99999.0).collect()
+    assert len(t) == 4
+    first = [x for x in t if x["tile_row"] == 0 and x["tile_col"] == 0][0]
+    assert first["values"][0][0] == 1.0 and first["values"][1][0] == 2.0
