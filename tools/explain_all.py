@@ -20,7 +20,15 @@ WIDTH = 160
 
 def _trim(line: str) -> str:
     line = re.sub(r"#\d+L?", "", line)
-    return line if len(line) <= WIDTH else line[: WIDTH - 3] + "..."
+    out = line if len(line) <= WIDTH else line[: WIDTH - 3] + "..."
+    if "FileScan" in line:
+        pad = " " * (len(line) - len(line.lstrip()) + 6)
+        for key in ("PartitionFilters", "PushedFilters", "ReadSchema"):
+            m = re.search(key + r": (\[.*?\]|struct<.*?>)(, [A-Z]|$)", line)
+            if m:
+                v = m.group(1)
+                out += f"\n{pad}{key}: " + (v if len(v) <= WIDTH else v[: WIDTH - 3] + "...")
+    return out
 
 
 def main(argv):
