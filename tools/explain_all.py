@@ -36,6 +36,7 @@ def main(argv):
     import __spark_entry__ as E
 
     spark = get_spark(master="local[8]", shuffle_partitions=8)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # full scan filter lists
     print(f"# PLANS — final physical plans of the registered queries ({os.path.basename(sf)}, local[8])\n")
     print("Generated by `tools/explain_all.py`; expression ids removed, long expressions cut.\n")
     print(
