@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cells
-from ..sources.grid import window_of
+from ..sources.grid import window_columns, window_index
 from .mask import apply_mask
 
 DEFAULT_RESOLUTIONS = [1, 2, 3, 4, 5, 6, 7, 8]
@@ -158,13 +158,14 @@ def window_cell_counts(valid: DataFrame, resolutions, system: str = "hex") -> Da
     A cell that straddles two windows is counted in both, like the partial
     outputs of a per-window run.
     """
-    win = valid.select("lat", "lon", *window_of("lat", "lon"))
-    keep = ["win_id", "west", "south", "east", "north"]
-    assigned = assign_cells(win, resolutions, keep=keep, system=system)
-    return assigned.groupBy(*keep, "h3_res").agg(
+    win = valid.select("lat", "lon", window_index("lat", "lon").alias("win_idx"))
+    assigned = assign_cells(win, resolutions, keep=["win_idx"], system=system)
+    counts = assigned.groupBy("win_idx", "h3_res").agg(
         F.count(F.lit(1)).alias("n_pixels"),
         F.countDistinct("h3_index").alias("n_cells"),
     )
+    # labels and bounds only for the <= 2,592 x resolutions result rows
+    return counts.select(*window_columns("win_idx"), "h3_res", "n_pixels", "n_cells")
 
 
 def conservation_totals(index: DataFrame, valid: DataFrame, pop_cols: list[str]) -> DataFrame:

@@ -23,6 +23,8 @@ from ..sources.grid import (
     tiles_to_wide_pixels,
     unstack_years,
     window_lattice,
+    window_columns,
+    window_index,
     window_of,
 )
 
@@ -105,9 +107,10 @@ def window_status(spark, sf):
     """[F1, A11] status of every lattice window: done (has valid pixels) or skipped."""
     per_win = (
         _valid(spark, sf)
-        .select(*window_of("lat", "lon"))
-        .groupBy("win_id")
+        .select(window_index("lat", "lon").alias("win_idx"))
+        .groupBy("win_idx")
         .agg(F.count(F.lit(1)).alias("n_valid"))
+        .select(window_columns("win_idx")[0], "n_valid")
     )
     return M.window_status_counts(M.window_outcomes(window_lattice(spark), per_win))
 
@@ -116,9 +119,10 @@ def resume_windows(spark, sf):
     """[K6] windows still to process after a run recorded the western half as done."""
     per_win = (
         _valid(spark, sf)
-        .select(*window_of("lat", "lon"))
-        .groupBy("win_id", "west", "south")
+        .select(window_index("lat", "lon").alias("win_idx"))
+        .groupBy("win_idx")
         .agg(F.count(F.lit(1)).alias("n_valid"))
+        .select(*window_columns("win_idx")[:3], "n_valid")
     )
     run_key = M.run_key(FIXTURE_SCENARIO, FIXTURE_YEARS, ALL_RES, FIXTURE_GRID, "fixture")
     done = M.manifest_rows(

@@ -30,6 +30,7 @@ FIXTURE_GRID = GridSpec(
 FIXTURE_YEARS = [2025, 2050, 2100]
 FIXTURE_SCENARIO = "SSP2"
 COLUMN_STRIDE = 481  # column step between consecutive 720-pixel runs of keys
+ORDERS_COLUMNS = "o_orderkey BIGINT, o_custkey BIGINT"
 # -------------------------------------------------------------------------------------
 
 TABLES = (
@@ -38,8 +39,11 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """A driver table; with ``schema`` the columns are declared, not inferred
+    from file footers (and only those columns are read)."""
+    r = spark.read.schema(schema) if schema else spark.read
+    return r.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def pixel_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +53,7 @@ def pixel_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed by Spark (one JVM call per column instead of one per operator).
     """
     g = FIXTURE_GRID
-    o = read_table(spark, sf_dir, "orders").selectExpr(
+    o = read_table(spark, sf_dir, "orders", ORDERS_COLUMNS).selectExpr(
         "o_orderkey AS pixel_id",
         "o_custkey AS cust",
         f"o_orderkey % {g.height} AS r",

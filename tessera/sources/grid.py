@@ -134,6 +134,25 @@ def window_lattice(spark: SparkSession, size: float = WINDOW_SIZE_DEG) -> DataFr
     return ids.select(*_window_cols(f"CAST(id / {n_lat} AS BIGINT)", f"id % {n_lat}", size))
 
 
+def window_index(lat: str = "lat", lon: str = "lon", size: float = WINDOW_SIZE_DEG) -> Column:
+    """F3b as one INT: ``lon_idx * n_lat + lat_idx`` (the lattice row number).
+
+    Group pixels by this compact key and attach the window label and bounds
+    after aggregating (``window_columns``): the shuffle carries 4 bytes per
+    row instead of a string and four doubles.
+    """
+    n_lon, n_lat = n_windows(size)
+    lon_idx = f"least(floor((({lon}) - {_d(LON_MIN)}) / {_d(size)}), {n_lon - 1})"
+    lat_idx = f"least(floor((({lat}) - {_d(LAT_MIN)}) / {_d(size)}), {n_lat - 1})"
+    return F.expr(f"CAST({lon_idx} * {n_lat} + {lat_idx} AS INT)")
+
+
+def window_columns(win_idx: str = "win_idx", size: float = WINDOW_SIZE_DEG) -> list[Column]:
+    """win_id, west, south, east, north of a window index (see ``window_index``)."""
+    _, n_lat = n_windows(size)
+    return _window_cols(f"({win_idx}) DIV {n_lat}", f"({win_idx}) % {n_lat}", size)
+
+
 def window_of(lat: str = "lat", lon: str = "lon", size: float = WINDOW_SIZE_DEG) -> list[Column]:
     """The (half-open) window holding a point -> win_id, west, south, east, north.
 
