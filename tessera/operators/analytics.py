@@ -38,12 +38,19 @@ def pop_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if re.fullmatch(r"pop_\d{4}", f.name)]
 
 
-def with_cell_attributes(index: DataFrame, res: int | None = None, id_col: str = "h3_index") -> DataFrame:
+def with_cell_attributes(
+    index: DataFrame, res: int | None = None, id_col: str = "h3_index", system: str = "hex"
+) -> DataFrame:
     """F14 (G3-G6): add ``h3_hex``, ``lat``, ``lng`` (DOUBLE) and ``area_km2`` (DOUBLE).
 
     With ``res`` given (a single-resolution index) the constants are literals.
+    ``system="h3"`` derives them from H3 ids through the optional ``h3`` package.
     """
     c = id_col
+    if system == "h3":
+        from ..functions.h3_adapter import h3_attributes
+
+        return index.withColumns({"h3_hex": cells.cell_to_string(c), **h3_attributes(F.col(c))})
     return index.withColumns(
         {
             "h3_hex": cells.cell_to_string(c),

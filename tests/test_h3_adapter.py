@@ -3,7 +3,6 @@
 The stand-in answers with our own grid's ids as hex text, so the expected
 result is the native index."""
 
-import os
 import textwrap
 
 import pytest
@@ -40,16 +39,26 @@ STUB = textwrap.dedent(
 
     def int_to_str(i):
         return format(i, "x")
+
+    def cell_to_latlng(s):
+        return (1.5, -2.5)
+
+    def cell_area(s, unit="km^2"):
+        return 7.0
     '''
 )
 
 
+@pytest.fixture(scope="module")
+def h3_stub(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("h3stub") / "h3.py"
+    path.write_text(STUB)
+    spark.sparkContext.addPyFile(str(path))
+    return path
+
+
 @pytest.mark.skipif(h3_adapter.available(), reason="real h3 installed; stand-in not needed")
-def test_h3_system_plumbing(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "h3.py")
-    with open(path, "w") as f:
-        f.write(STUB)
-    spark.sparkContext.addPyFile(path)
+def test_h3_system_plumbing(spark, h3_stub):
     px = pixel_view(spark, SF_SMALL)
     got = X.build_index(px, Q.POP, [3, 5], Q.NODATA, system="h3")
     exp = X.build_index(px, Q.POP, [3, 5], Q.NODATA, system="hex")
@@ -60,3 +69,11 @@ def test_h3_system_plumbing(spark, tmp_dir):
 def test_unknown_system(spark):
     with pytest.raises(ValueError):
         X.assign_cells(pixel_view(spark, SF_SMALL), [5], keep=[], system="s2")
+
+
+def test_h3_attribute_plumbing(spark, h3_stub):
+    from tessera.operators.analytics import with_cell_attributes
+
+    df = spark.createDataFrame([(617700169958293503,)], "h3_index long")
+    r = with_cell_attributes(df, system="h3").first()
+    assert (r["h3_hex"], r["lat"], r["lng"], r["area_km2"]) == ("8928308280fffff", 1.5, -2.5, 7.0)
