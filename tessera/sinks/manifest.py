@@ -56,10 +56,10 @@ def append_manifest(rows: DataFrame, path: str) -> None:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    except Exception:  # no manifest yet
+    """The manifest, or an empty one when nothing was recorded yet."""
+    if not has_marker(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
 def pending_windows(windows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
