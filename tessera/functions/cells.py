@@ -302,6 +302,10 @@ def cell_area_km2(cell: str, res=None) -> Column:
 def cell_boundary(cell: str, res=None) -> Column:
     """Six vertices ``ARRAY<STRUCT<lat DOUBLE, lng DOUBLE>>``, counter-clockwise
     from the lower right, in the same clamped lat/lng as the centre."""
+    return F.expr(sql_cell_boundary(cell, res))
+
+
+def sql_cell_boundary(cell: str, res=None) -> str:
     res = _res_of(cell, res)
     x, y = sql_centre_x(cell, res), sql_centre_y(cell, res)
     verts = []
@@ -309,7 +313,7 @@ def cell_boundary(cell: str, res=None) -> Column:
         vy = y + " + " + _per_res(res, "vy", i)
         vx = x + " + " + _per_res(res, "vx", i)
         verts.append(f"named_struct('lat', {sql_lat_of_y(vy)}, 'lng', {sql_lng_of_x(vx)})")
-    return F.expr(f"array({', '.join(verts)})")
+    return f"array({', '.join(verts)})"
 
 
 # --- id <-> string -----------------------------------------------------------------

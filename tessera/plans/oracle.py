@@ -264,6 +264,7 @@ ORACLE = {
     "index_written_readback": f"SELECT h3_index, {POPS} FROM ({IDX5}) i",
     "bbox_written": _bbox(Q.BBOX_FIXTURE),
     "index_resumable": IDX_ALL,
+    "sql_continent_totals": _continents(),
     "legacy_written_readback": (
         f"SELECT {hex_str()} AS h3_index, lat, lng AS lon, area_km2, {POPS} FROM ({_attrs()}) a"
     ),

@@ -436,3 +436,25 @@ def legacy_written_readback(spark, sf):
 
 
 QUERIES["legacy_written_readback"] = legacy_written_readback
+
+
+def sql_continent_totals(spark, sf):
+    """[F11, A6, O4, F15] the regional totals written as Spark SQL with the cell SQL functions."""
+    from ..functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    boxes = " ".join(
+        f"WHEN lat BETWEEN {a} AND {b} AND lng BETWEEN {c} AND {d} THEN '{n}'"
+        for n, a, b, c, d in A.CONTINENT_BOXES
+    )
+    sums = ", ".join(f"CAST(rint(SUM({p})) AS BIGINT) AS {p}" for p in POP)
+    return spark.sql(
+        f"""SELECT CASE {boxes} ELSE '{A.OTHER_REGION}' END AS continent, {sums}
+            FROM (SELECT cell_to_lat(h3_index) AS lat, cell_to_lng(h3_index) AS lng, {", ".join(POP)}
+                  FROM {{idx}}) centres
+            GROUP BY continent ORDER BY pop_2025 DESC, continent""",
+        idx=_index(spark, sf).drop("h3_res"),
+    )
+
+
+QUERIES["sql_continent_totals"] = sql_continent_totals
