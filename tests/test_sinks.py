@@ -161,3 +161,19 @@ def test_cli_dry_run_and_build(spark, tmp_dir, capsys):
     cli(["--pixels", src, "--out", os.path.join(tmp_dir, "out"), "--resolutions", "1,2"])
     assert "res  2:" in capsys.readouterr().out
     assert os.path.exists(os.path.join(tmp_dir, "out", "_COMPLETE_SSP2"))
+
+
+def test_diagnostics_report(spark, tmp_dir):
+    from tessera.plans.diagnostics import run_diagnostics
+
+    idx = X.build_index(pixel_view(spark, SF_SMALL), Q.POP, [2, 4], Q.NODATA)
+    write_index(idx, tmp_dir, "SSP2")
+    rep = run_diagnostics(spark, tmp_dir, "SSP2")
+    assert {r["h3_res"] for r in rep["extent"].collect()} == {2, 4}
+    assert rep["population"].count() == 2 * 3
+    top = rep["top_cells"].collect()
+    assert 0 < len(top) <= 10 and all(r["h3_hex"] for r in top)
+    best = idx.where("h3_res = 2").agg(F.max("pop_2025")).first()[0]
+    assert top[0]["pop_2025"] == best
+    assert rep["files"].count() > 0 and rep["layout"].count() > 0
+    assert {r["column_name"] for r in rep["schema"].collect()} >= {"h3_index", "pop_2025", "h3_res"}
