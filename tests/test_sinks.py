@@ -177,3 +177,19 @@ def test_diagnostics_report(spark, tmp_dir):
     assert top[0]["pop_2025"] == best
     assert rep["files"].count() > 0 and rep["layout"].count() > 0
     assert {r["column_name"] for r in rep["schema"].collect()} >= {"h3_index", "pop_2025", "h3_res"}
+
+
+def test_write_pixel_table_clusters_by_window(spark, tmp_dir):
+    from tessera.sinks.parquet import write_pixel_table
+    from tessera.sources.grid import window_index
+
+    px = pixel_view(spark, SF_SMALL)
+    write_pixel_table(px.repartition(5), tmp_dir)
+    back = spark.read.parquet(tmp_dir)
+    assert back.count() == px.count()
+    # each file holds a contiguous run of windows: no window is split over many files
+    per_win = back.select(window_index("lat", "lon").alias("w"), F.input_file_name().alias("f")).distinct()
+    assert per_win.groupBy("w").count().where("count > 2").count() == 0
+    idx_a = X.build_index(back, Q.POP, [4], Q.NODATA)
+    idx_b = X.build_index(px, Q.POP, [4], Q.NODATA)
+    assert idx_a.exceptAll(idx_b).count() == 0
