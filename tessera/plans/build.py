@@ -29,6 +29,7 @@ from ..sources.index_reader import read_index
 # --- fixed values of the job surface ------------------------------------------------------
 SCENARIOS = ("SSP1", "SSP2", "SSP3", "SSP4", "SSP5")
 DEFAULT_SCENARIO = "SSP2"
+METADATA_NAME = "_index_metadata.json"
 # ----------------------------------------------------------------------------------------------
 
 
@@ -97,6 +98,9 @@ def build_population_index(
         written.select("h3_res"), scenario, list(years), res, time.time() - t0, crs=grid.crs,
         source=source, cell_system=system,
     )
-    write_metadata(meta, f"{out_base.rstrip('/')}/_metadata/scenario={scenario}")
+    # beside the data of the scenario. Spark's file listing keeps every name that
+    # starts with "_metadata" (Parquet summary files), so "_metadata.json" would be
+    # read as data; any other underscore name is skipped by readers.
+    write_metadata(meta, f"{out_base.rstrip('/')}/scenario={scenario}/{METADATA_NAME}")
     write_marker(spark, f"{out_base.rstrip('/')}/_COMPLETE_{scenario}", time.strftime("Completed at %Y-%m-%d %H:%M:%S\n"))
     return written

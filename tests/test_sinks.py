@@ -61,12 +61,13 @@ def test_build_job_and_metadata(spark, tmp_dir):
     out = build_population_index(spark, px, FIXTURE_GRID, [2025, 2050, 2100], tmp_dir, "SSP2", [1, 5])
     assert os.path.exists(os.path.join(tmp_dir, "_COMPLETE_SSP2"))
     assert M.has_marker(spark, os.path.join(tmp_dir, "_COMPLETE_SSP2"))
-    meta_dir = os.path.join(tmp_dir, "_metadata", "scenario=SSP2")
+    meta_dir = os.path.join(tmp_dir, "scenario=SSP2", "_index_metadata.json")
     [jf] = [f for f in os.listdir(meta_dir) if f.endswith(".json")]
     meta = json.loads(open(os.path.join(meta_dir, jf)).read())
     counts = {int(k): v for k, v in meta["cells_per_resolution"].items()}
     assert counts == {r["h3_res"]: r["count"] for r in out.groupBy("h3_res").count().collect()}
     assert meta["years"] == [2025, 2050, 2100] and meta["h3_resolutions"] == [1, 5]
+    assert read_index(spark, tmp_dir, "SSP2").count() == out.count()  # metadata is not data
 
 
 def test_job_parameters(spark):
@@ -193,3 +194,31 @@ def test_write_pixel_table_clusters_by_window(spark, tmp_dir):
     idx_a = X.build_index(back, Q.POP, [4], Q.NODATA)
     idx_b = X.build_index(px, Q.POP, [4], Q.NODATA)
     assert idx_a.exceptAll(idx_b).count() == 0
+
+
+def test_cli_tiles_and_resumable(spark, tmp_dir, capsys):
+    import dataclasses
+
+    from tessera.plans.cli import main as cli
+    from tessera.sources.grid import pixels_to_tiles, unstack_years
+
+    px = pixel_view(spark, SF_SMALL)
+    tiles = pixels_to_tiles(unstack_years(px, ["r", "c"], [2025, 2050, 2100]), 64, -99999.0)
+    tdir = os.path.join(tmp_dir, "tiles")
+    tiles.write.parquet(tdir)
+    gpath = os.path.join(tmp_dir, "grid.json")
+    with open(gpath, "w") as f:
+        json.dump(dataclasses.asdict(FIXTURE_GRID), f)
+    out = os.path.join(tmp_dir, "out_tiles")
+    cli(["--tiles", tdir, "--tile-size", "64", "--grid", gpath, "--out", out, "--resolutions", "2,4"])
+    exp = X.build_index(px, Q.POP, [2, 4], Q.NODATA)
+    got = read_index(spark, out, "SSP2").select("h3_res", "h3_index", *Q.POP)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+    src = os.path.join(tmp_dir, "px")
+    px.select("lat", "lon", *Q.POP).repartition(3).write.parquet(src)
+    out2 = os.path.join(tmp_dir, "out_resumable")
+    cli(["--pixels", src, "--out", out2, "--resolutions", "3", "--resumable"])
+    got2 = read_index(spark, out2, "SSP2").select("h3_res", "h3_index", *Q.POP)
+    exp2 = X.build_index(px, Q.POP, [3], Q.NODATA)
+    assert got2.exceptAll(exp2).count() == 0 and exp2.exceptAll(got2).count() == 0
