@@ -34,6 +34,9 @@ def _wkb(x: pd.Series, y: pd.Series) -> pd.Series:
 
 def point_wkb(lon, lat) -> Column:
     """WKB POINT(lon lat); NULL when either coordinate is NULL."""
+    from ..session import ship_package
+
+    ship_package()
     lo = F.col(lon) if isinstance(lon, str) else lon
     la = F.col(lat) if isinstance(lat, str) else lat
     return _wkb(lo.cast("double"), la.cast("double"))

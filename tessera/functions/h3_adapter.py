@@ -59,6 +59,9 @@ def h3_cell_area_km2(cell: pd.Series) -> pd.Series:
 
 
 def h3_attributes(cell: Column) -> dict[str, Column]:
+    from ..session import ship_package
+
+    ship_package()
     return {
         "lat": h3_cell_to_lat(cell),
         "lng": h3_cell_to_lng(cell),

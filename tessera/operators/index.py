@@ -100,6 +100,9 @@ def assign_cells(
         )
     if system == "h3":
         from ..functions.h3_adapter import latlng_to_cell
+        from ..session import ship_package
+
+        ship_package(pixels.sparkSession)
 
         fan = F.array(
             *[

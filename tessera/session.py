@@ -81,3 +81,37 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``tessera`` importable in the Python workers (pandas UDFs,
+    ``applyInPandas``, ``mapInPandas``) -- what ``--py-files`` does at submit
+    time, done once per SparkContext so a session started elsewhere (a
+    notebook, a test harness) works too. The zip holds only the package's
+    source files and is served to executors by the driver.
+    """
+    import zipfile
+
+    from pyspark.sql import SparkSession as _S
+
+    spark = spark or _S.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zip_path = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(key)

@@ -218,6 +218,9 @@ def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFra
     duplicates are collapsed a group holds at most ``years x tile**2`` rows,
     so memory per task is bounded whatever the data size or skew.
     """
+    from ..session import ship_package
+
+    ship_package(long.sparkSession)
     fill = np.float32(np.nan if nodata is None else nodata)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -75,4 +75,7 @@ def _audit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def layout_audit(files: DataFrame) -> DataFrame:
     """One row per (file, row group, column chunk)."""
+    from ..session import ship_package
+
+    ship_package(files.sparkSession)
     return files.select("path").mapInPandas(_audit, AUDIT_SCHEMA)
