@@ -24,3 +24,46 @@ def test_round_half_even(spark):
 def test_is_finite(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (float("-inf"),)], "x float")
     assert [r[0] for r in df.select(is_finite(F.col("x"))).collect()] == [True, False, False, False]
+
+
+def test_float_div_matches_numpy_float32(spark):
+    import numpy as np
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    floats = st.floats(width=32, allow_nan=True, allow_infinity=True)
+    rows_st = st.lists(st.tuples(floats, floats), min_size=1, max_size=60)
+
+    @settings(max_examples=15, deadline=None)
+    @given(rows_st)
+    def check(rows):
+        df = spark.createDataFrame(rows, "n float, d float")
+        got = [r[0] for r in df.select(float_div("n", "d")).collect()]
+        with np.errstate(all="ignore"):
+            exp = [np.float32(n) / np.float32(d) for n, d in rows]
+        for g, e in zip(got, exp):
+            assert (math.isnan(g) and math.isnan(e)) or g == float(e)
+
+    check()
+
+
+def test_round_to_bigint_matches_numpy_rint(spark):
+    import numpy as np
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.floats(min_value=-1e12, max_value=1e12), min_size=1, max_size=60))
+    def check(xs):
+        df = spark.createDataFrame([(x,) for x in xs], "x double")
+        got = [r[0] for r in df.select(round_to_bigint("x")).collect()]
+        assert got == [int(np.rint(x)) for x in xs]
+
+    check()
+
+
+def test_float_div_signed_zero_column_and_text(spark):
+    df = spark.createDataFrame([(1.0, -0.0), (-1.0, -0.0), (-2.0, 0.0), (0.0, -0.0)], "n float, d float")
+    for got in ([r[0] for r in df.select(float_div("n", "d")).collect()],
+                [r[0] for r in df.select(float_div(F.col("n"), F.col("d"))).collect()]):
+        assert got[:3] == [float("-inf"), float("inf"), float("-inf")] and math.isnan(got[3])
