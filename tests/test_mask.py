@@ -51,3 +51,25 @@ def test_mask_counts(spark):
     assert r["n_nonfinite"] == 3
     assert r["n_no_positive"] == 2
     assert not math.isnan(r["n_valid"])
+
+
+def test_mask_matches_numpy(spark):
+    import numpy as np
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    val = st.one_of(
+        st.sampled_from([NODATA, NAN, INF, -INF, 0.0, -0.0, -5.0, 1.0]),
+        st.floats(min_value=-1e6, max_value=1e6, width=32),
+    )
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.tuples(val, val, val), min_size=1, max_size=80))
+    def check(rows):
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, pop_2025 float, pop_2050 float, pop_2100 float")
+        kept = {r["id"] for r in apply_mask(df, POP, NODATA).collect()}
+        a = np.array(rows, dtype=np.float32)
+        ok = np.all((a != np.float32(NODATA)) & np.isfinite(a), axis=1) & np.any(a > 0, axis=1)
+        assert kept == set(np.nonzero(ok)[0].tolist())
+
+    check()
