@@ -265,6 +265,13 @@ ORACLE = {
     "bbox_written": _bbox(Q.BBOX_FIXTURE),
     "index_resumable": IDX_ALL,
     "sql_continent_totals": _continents(),
+    "pub_topk_population": _topk_population(),
+    "pub_growth_hotspots": _growth(),
+    "pub_continent_totals": _continents(),
+    "pub_bbox_cells": _bbox(Q.BBOX_MAIN),
+    "pub_extent_stats": _extent(),
+    "pub_population_stats": _pop_stats(),
+    "pub_cell_attributes": f"SELECT *, {hex_str()} AS h3_hex FROM ({_attrs()}) a",
     "legacy_written_readback": (
         f"SELECT {hex_str()} AS h3_index, lat, lng AS lon, area_km2, {POPS} FROM ({_attrs()}) a"
     ),

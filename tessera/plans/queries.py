@@ -458,3 +458,96 @@ def sql_continent_totals(spark, sf):
 
 
 QUERIES["sql_continent_totals"] = sql_continent_totals
+
+
+# --- E2: the same analytics on the published index (built once per session) -----------------
+
+
+def _float_attrs(idx: DataFrame, res: int | None) -> DataFrame:
+    c = "h3_index"
+    return idx.withColumns(
+        {
+            "lat": cells.cell_lat(c, res).cast("float"),
+            "lng": cells.cell_lng(c, res).cast("float"),
+            "area_km2": cells.cell_area_km2(c, res).cast("float"),
+        }
+    )
+
+
+def _pub(spark, sf, res=RES):
+    from .published import published_resolution
+
+    return published_resolution(spark, sf, res)
+
+
+def pub_topk_population(spark, sf):
+    """[S5, O2, F12] top cells read from the published index."""
+    df = _float_attrs(_pub(spark, sf), RES).select(
+        "h3_index",
+        cells.cell_to_string("h3_index").alias("h3_hex"),
+        "lat",
+        "lng",
+        *POP,
+        A.growth_ratio("pop_2100", "pop_2025").alias("growth_ratio"),
+    )
+    return A.top_k(df, "pop_2025", TOPK_POP)
+
+
+def pub_growth_hotspots(spark, sf):
+    """[S5, O3, F10, F12] growth hotspots on the published index."""
+    df = (
+        _float_attrs(_pub(spark, sf), RES)
+        .where(F.col("pop_2025") > F.lit(GROWTH_MIN_POP))
+        .select("h3_index", "lat", "lng", "pop_2025", "pop_2100",
+                A.growth_ratio("pop_2100", "pop_2025").alias("growth_ratio"))
+    )
+    return A.top_k(df, "growth_ratio", TOPK_POP)
+
+
+def pub_continent_totals(spark, sf):
+    """[S5, F11, A6, O4] regional totals on the published index."""
+    return A.continent_totals(_pub(spark, sf), POP, res=RES)
+
+
+def pub_bbox_cells(spark, sf):
+    """[S5, F9] the example box on the published index (id range pushed to the scan)."""
+    la0, la1, lo0, lo1 = BBOX_MAIN
+    sel = A.where_bbox(_pub(spark, sf), la0, la1, lo0, lo1, res=RES)
+    return sel.select(
+        "h3_index",
+        cells.cell_lat("h3_index", RES).cast("float").alias("lat"),
+        cells.cell_lng("h3_index", RES).cast("float").alias("lng"),
+        *POP,
+    )
+
+
+def pub_extent_stats(spark, sf):
+    """[S5, A4] per-resolution extent on the published index."""
+    from .published import published_all
+
+    return A.extent_stats(published_all(spark, sf))
+
+
+def pub_population_stats(spark, sf):
+    """[S5, A5] per-resolution population statistics on the published index."""
+    from .published import published_all
+
+    return A.population_stats(published_all(spark, sf), POP)
+
+
+def pub_cell_attributes(spark, sf):
+    """[S5, F14, G3-G6] derived attributes of the published cells."""
+    return _float_attrs(_pub(spark, sf), RES).withColumn("h3_hex", cells.cell_to_string("h3_index"))
+
+
+QUERIES.update(
+    {
+        "pub_topk_population": pub_topk_population,
+        "pub_growth_hotspots": pub_growth_hotspots,
+        "pub_continent_totals": pub_continent_totals,
+        "pub_bbox_cells": pub_bbox_cells,
+        "pub_extent_stats": pub_extent_stats,
+        "pub_population_stats": pub_population_stats,
+        "pub_cell_attributes": pub_cell_attributes,
+    }
+)
