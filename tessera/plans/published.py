@@ -36,9 +36,13 @@ def published_base(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the published index for ``sf_dir`` (built on first use)."""
     from .build import build_population_index
 
+    from ..sinks.manifest import has_marker
+
     key = _input_key(spark, sf_dir)
     with _LOCK:
         base = _BUILT.get(key)
+        if base is not None and not has_marker(spark, f"{base}/_COMPLETE_{FIXTURE_SCENARIO}"):
+            base = None  # the folder was removed or never completed: build again
         if base is None:
             base = scratch_path(spark, "published")
             build_population_index(

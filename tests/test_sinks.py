@@ -222,3 +222,16 @@ def test_cli_tiles_and_resumable(spark, tmp_dir, capsys):
     got2 = read_index(spark, out2, "SSP2").select("h3_res", "h3_index", *Q.POP)
     exp2 = X.build_index(px, Q.POP, [3], Q.NODATA)
     assert got2.exceptAll(exp2).count() == 0 and exp2.exceptAll(got2).count() == 0
+
+
+def test_published_index_built_once_and_rebuilt_when_gone(spark):
+    import shutil
+
+    from tessera.plans.published import published_base, published_resolution
+
+    a = published_base(spark, SF_SMALL)
+    assert published_base(spark, SF_SMALL) == a  # reused
+    n = published_resolution(spark, SF_SMALL, 5).count()
+    shutil.rmtree(a)
+    b = published_base(spark, SF_SMALL)
+    assert b != a and published_resolution(spark, SF_SMALL, 5).count() == n
