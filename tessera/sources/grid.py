@@ -17,7 +17,6 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -206,50 +205,44 @@ TILE_SCHEMA = T.StructType(
         T.StructField("year", T.IntegerType(), False),
         T.StructField("tile_row", T.IntegerType(), False),
         T.StructField("tile_col", T.IntegerType(), False),
-        T.StructField("values", T.ArrayType(T.ArrayType(T.FloatType(), False), False), False),
+        T.StructField("values", T.ArrayType(T.ArrayType(T.FloatType()))),
     ]
-)
+)  # the tile-table layout (row-major blocks of tile x tile values)
 
 
 def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFrame:
     """Long pixels ``(r, c, year, value)`` -> dense tile table, gaps = nodata.
 
-    One pandas call per tile builds that tile's block for every year: after
-    duplicates are collapsed a group holds at most ``years x tile**2`` rows,
-    so memory per task is bounded whatever the data size or skew.
+    Native throughout: duplicates of a (year, pixel) are collapsed map-side
+    (the largest value wins), then each (year, tile) collects its at most
+    ``tile**2`` (position, value) entries, sorts them and expands them into
+    the dense block by emitting a run of fill values before each entry --
+    O(tile**2) per tile with higher-order functions, no Python worker. Group
+    size is bounded by the tile, whatever the data size or skew.
     """
-    from ..session import ship_package
-
-    ship_package(long.sparkSession)
-    fill = np.float32(np.nan if nodata is None else nodata)
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tr, tc = int(pdf["tile_row"].iat[0]), int(pdf["tile_col"].iat[0])
-        years, codes = np.unique(pdf["year"].to_numpy(), return_inverse=True)
-        block = np.full((len(years), tile, tile), fill, dtype=np.float32)
-        block[codes, pdf["lr"].to_numpy(), pdf["lc"].to_numpy()] = pdf["value"].to_numpy(np.float32)
-        return pd.DataFrame(
-            {
-                "year": years.astype(np.int32),
-                "tile_row": np.full(len(years), tr, dtype=np.int32),
-                "tile_col": np.full(len(years), tc, dtype=np.int32),
-                "values": [list(b) for b in block],
-            }
-        )
-
+    fill = "CAST('NaN' AS FLOAT)" if nodata is None else f"CAST({float(nodata)!r}D AS FLOAT)"
+    n = tile * tile
     keyed = long.selectExpr(
         "CAST(year AS INT) AS year",
         f"CAST(r DIV {tile} AS INT) AS tile_row",
         f"CAST(c DIV {tile} AS INT) AS tile_col",
-        f"CAST(r % {tile} AS INT) AS lr",
-        f"CAST(c % {tile} AS INT) AS lc",
+        f"CAST((r % {tile}) * {tile} + (c % {tile}) AS INT) AS pos",
         "CAST(value AS FLOAT) AS value",
     )
-    # one value per (year, pixel) before grouping by tile: duplicate pixel rows
-    # (the largest value wins) are collapsed map-side, so even a pixel repeated
-    # in a third of all rows cannot grow a pandas group past years x tile**2
-    unique = keyed.groupBy("tile_row", "tile_col", "year", "lr", "lc").agg(F.max("value").alias("value"))
-    return unique.groupBy("tile_row", "tile_col").applyInPandas(build, TILE_SCHEMA)
+    unique = keyed.groupBy("year", "tile_row", "tile_col", "pos").agg(F.max("value").alias("value"))
+    entries = unique.groupBy("year", "tile_row", "tile_col").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("e")
+    )
+    prev = "concat(array(-1), slice(transform(e, x -> x.pos), 1, size(e) - 1))"
+    runs = f"flatten(zip_with(e, {prev}, (x, p) -> concat(array_repeat({fill}, x.pos - p - 1), array(x.value))))"
+    dense = f"concat({runs}, array_repeat({fill}, {n - 1} - element_at(e, -1).pos))"
+    # `d` is read twice (size check + the row lambda): the optimizer then keeps it in
+    # its own projection instead of inlining the whole expansion into the lambda,
+    # where it would be rebuilt once per tile row
+    block = f"CASE WHEN size(d) = {n} THEN transform(sequence(0, {tile - 1}), i -> slice(d, i * {tile} + 1, {tile})) END"
+    return entries.select("year", "tile_row", "tile_col", F.expr(dense).alias("d")).select(
+        "year", "tile_row", "tile_col", F.expr(block).alias("values")
+    )
 
 
 def tiles_to_pixels(

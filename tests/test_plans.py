@@ -12,7 +12,7 @@ from tessera.sources.fixture import pixel_view
 from .conftest import SF_SMALL
 
 PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
-PYTHON_QUERIES = {"tiles_roundtrip", "layout_audit", "legacy_written_readback"}
+PYTHON_QUERIES = {"layout_audit", "legacy_written_readback"}
 
 
 def _plan(df) -> str:
