@@ -15,8 +15,20 @@ def read_index(
     spark: SparkSession, base: str, scenario: str | None = None, res: int | None = None
 ) -> DataFrame:
     """The published layout. Scenario/resolution become partition
-    filters (directory pruning), other predicates reach the Parquet reader."""
-    df = spark.read.parquet(base)
+    filters (directory pruning), other predicates reach the Parquet reader.
+
+    When both are given only that leaf directory is listed (``basePath``
+    keeps ``scenario``/``h3_res`` as columns), so the cost of opening one
+    resolution does not grow with the number of scenarios and resolutions.
+    """
+    from ..sinks.manifest import has_marker
+
+    root = base.rstrip("/")
+    leaf = f"{root}/scenario={scenario}/h3_res={int(res)}" if scenario is not None and res is not None else None
+    if leaf is not None and has_marker(spark, leaf):
+        df = spark.read.option("basePath", root).parquet(leaf)
+    else:  # whole layout; a resolution without cells has no folder and reads empty
+        df = spark.read.parquet(root)
     if scenario is not None:
         df = df.where(F.col("scenario") == F.lit(scenario))
     if res is not None:

@@ -235,3 +235,10 @@ def test_published_index_built_once_and_rebuilt_when_gone(spark):
     shutil.rmtree(a)
     b = published_base(spark, SF_SMALL)
     assert b != a and published_resolution(spark, SF_SMALL, 5).count() == n
+
+
+def test_read_index_missing_resolution_is_empty(spark, tmp_dir):
+    idx = X.build_index(pixel_view(spark, SF_SMALL), Q.POP, [2], Q.NODATA)
+    write_index(idx, tmp_dir, "SSP2")
+    assert read_index(spark, tmp_dir, "SSP2", 9).count() == 0
+    assert read_index(spark, tmp_dir, "SSP2", 2).count() == idx.count()
