@@ -17,8 +17,6 @@ resolution rows ~ cells, which is the output size and cannot shrink.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,6 +189,3 @@ def conservation_spread(totals: DataFrame, pop_cols: list[str]) -> DataFrame:
     cols = [f"total_{c[4:]}" for c in pop_cols]
     return totals.agg(*[(F.max(c) - F.min(c)).alias(f"spread_{c[6:]}") for c in cols])
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -36,10 +36,6 @@ def sql_any_positive(pop_cols: list[str]) -> str:
     return "(" + " OR ".join(f"({c} > CAST(0.0D AS FLOAT))" for c in pop_cols) + ")"
 
 
-def not_nodata(c: str, nodata: float | None) -> Column:
-    return F.expr(sql_not_nodata(c, nodata))
-
-
 def all_finite_not_nodata(pop_cols: list[str], nodata: float | None) -> Column:
     return F.expr(sql_all_finite_not_nodata(pop_cols, nodata))
 

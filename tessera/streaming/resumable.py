@@ -86,5 +86,6 @@ def run_resumable(
         .start()
     )
     q.awaitTermination()
-    partials = spark.read.parquet(partials_dir)
-    return merge_partials(partials, pop_cols)
+    from ..sources.index_reader import read_partials
+
+    return merge_partials(read_partials(spark, partials_dir), pop_cols)

@@ -73,3 +73,13 @@ def test_mask_matches_numpy(spark):
         assert kept == set(np.nonzero(ok)[0].tolist())
 
     check()
+
+
+def test_valid_mask_column_agrees_with_filter(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.mask import valid_mask
+
+    df = _df(spark)
+    n = df.agg(F.count_if(valid_mask(POP, NODATA))).first()[0]
+    assert n == apply_mask(df, POP, NODATA).count()
