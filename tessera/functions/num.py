@@ -25,14 +25,15 @@ def _col(c) -> Column:
 def sql_float_div(num: str, den: str) -> str:
     """IEEE quotient: on a zero divisor the sign is sign(n) x sign of the zero
     (``pow(d, -1)`` is -inf exactly for -0.0; Spark's ``atan2`` normalizes
-    signed zeros, so it cannot tell); 0/0 and NaN/0 are NaN."""
+    signed zeros, so it cannot tell); 0/0 and NaN/0 are NaN -- tested first,
+    since Spark orders NaN above every number."""
     n, d = f"CAST(({num}) AS DOUBLE)", f"CAST(({den}) AS DOUBLE)"
     neg_zero = f"(pow({d}, -1.0D) < 0)"
     return (
         f"CAST(CASE WHEN {n} IS NULL OR {d} IS NULL THEN CAST(NULL AS DOUBLE) "
-        f"WHEN {d} = 0 THEN (CASE WHEN {n} > 0 OR {n} < 0 THEN "
-        f"(CASE WHEN ({n} > 0) != {neg_zero} THEN CAST('Infinity' AS DOUBLE) "
-        f"ELSE CAST('-Infinity' AS DOUBLE) END) ELSE CAST('NaN' AS DOUBLE) END) "
+        f"WHEN {d} = 0 THEN (CASE WHEN isnan({n}) OR {n} = 0 THEN CAST('NaN' AS DOUBLE) "
+        f"WHEN ({n} > 0) != {neg_zero} THEN CAST('Infinity' AS DOUBLE) "
+        f"ELSE CAST('-Infinity' AS DOUBLE) END) "
         f"ELSE {n} / {d} END AS FLOAT)"
     )
 
@@ -54,9 +55,11 @@ def float_div(num, den) -> Column:
     n = _col(num).cast("double")
     d = _col(den).cast("double")
     neg_zero = F.pow(d, F.lit(-1.0)) < 0  # -inf exactly for -0.0
+    # Spark orders NaN above every number (NaN > 0 is true): test it first
     by_zero = (
-        F.when((n > 0) | (n < 0), F.when((n > 0) != neg_zero, F.lit(INF)).otherwise(F.lit(-INF)))
-        .otherwise(F.lit(NAN))
+        F.when(F.isnan(n) | (n == 0), F.lit(NAN))
+        .when((n > 0) != neg_zero, F.lit(INF))
+        .otherwise(F.lit(-INF))
     )
     return (
         F.when(n.isNull() | d.isNull(), F.lit(None).cast("double"))

@@ -67,3 +67,9 @@ def test_float_div_signed_zero_column_and_text(spark):
     for got in ([r[0] for r in df.select(float_div("n", "d")).collect()],
                 [r[0] for r in df.select(float_div(F.col("n"), F.col("d"))).collect()]):
         assert got[:3] == [float("-inf"), float("inf"), float("-inf")] and math.isnan(got[3])
+
+
+def test_float_div_nan_numerator(spark):
+    df = spark.createDataFrame([(float("nan"), 0.0), (float("nan"), -0.0), (float("nan"), 2.0)], "n float, d float")
+    for col in (float_div("n", "d"), float_div(F.col("n"), F.col("d"))):
+        assert all(math.isnan(r[0]) for r in df.select(col).collect())
