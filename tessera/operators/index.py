@@ -39,6 +39,17 @@ def validate_resolutions(resolutions) -> list[int]:
 SPREAD_MIN_FANOUT = 4  # resolutions per pixel from which spreading a small input pays
 
 
+def conf_bytes(value: str) -> int:
+    """A Spark size setting (``134217728``, ``134217728b``, ``128m``, ``1g``) in bytes."""
+    v = str(value).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+             "t": 1 << 40, "tb": 1 << 40}
+    for suffix in sorted(units, key=len, reverse=True):
+        if v.endswith(suffix) and v[: -len(suffix)].strip().isdigit():
+            return int(v[: -len(suffix)]) * units[suffix]
+    return int(v)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of a plan (statistics only; nothing runs)."""
     v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -48,22 +59,21 @@ def estimated_bytes(df: DataFrame) -> int:
 def spread_small_input(df: DataFrame, fanout: int) -> DataFrame:
     """Round-robin a *small* input over all cores before a large fan-out.
 
-    A small file (one row group) is scanned by one task, which would then run
-    the whole fan-out and partial aggregation alone. When the optimizer's
-    estimate of the input is below one advisory partition per core, rows are
-    spread first -- an extra exchange of at most that size. Larger inputs are
-    left alone: they already arrive in at least as many splits as cores, so
-    at scale this never adds an exchange. Decided from plan statistics, so
-    nothing is executed to decide.
+    An input that fits in one read split (one row group, <= one
+    ``maxPartitionBytes``) is scanned by one task, which would then run the
+    whole fan-out and partial aggregation alone. Only then -- judged from the
+    optimizer's size estimate, nothing is executed -- rows are spread: an
+    extra exchange of at most one split. The bound is absolute, not scaled
+    by the cluster, so any input larger than one split (every input at
+    scale) is left alone and no exchange is added.
     """
     if fanout < SPREAD_MIN_FANOUT or df.isStreaming:
         return df
     spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    advisory = int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864").rstrip("bB") or 67108864)
-    if estimated_bytes(df) >= par * advisory:
+    split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    if estimated_bytes(df) > split_bytes:
         return df
-    return df.repartition(par)
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def assign_cells(
