@@ -50,9 +50,13 @@ def conf_bytes(value: str) -> int:
     return int(v)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (statistics only; nothing runs)."""
-    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (statistics only; nothing runs), or
+    None where the session exposes no plan statistics."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:
+        return None
     return int(v if isinstance(v, int) else v.toString())
 
 
@@ -71,7 +75,8 @@ def spread_small_input(df: DataFrame, fanout: int) -> DataFrame:
         return df
     spark = df.sparkSession
     split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if estimated_bytes(df) > split_bytes:
+    size = estimated_bytes(df)
+    if size is None or size > split_bytes:
         return df
     return df.repartition(spark.sparkContext.defaultParallelism)
 
