@@ -105,6 +105,11 @@ def assign_cells(
         xy = pixels.select(
             *keep, cells.project_x(lon).alias("_x"), cells.project_y(lat).alias("_y")
         )
+        if len(res_list) == 1:  # one resolution: literal constants, no fan-out
+            r = res_list[0]
+            return xy.select(
+                F.lit(r).cast("int").alias("h3_res"), cells.cell_of_xy("_x", "_y", r).alias("h3_index"), *keep
+            )
         fan = xy.select(*keep, "_x", "_y", F.inline(cells.resolution_constants(res_list)))
         return fan.select(
             "h3_res",
