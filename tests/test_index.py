@@ -105,3 +105,24 @@ def test_spread_bound_is_one_split(spark):
         assert X.spread_small_input(px, 8) is px  # larger than one split: left alone
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_hot_window_counts(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    hot = [(float(a), float(b)) for a, b in zip(rng.uniform(40.1, 44.9, 3000), rng.uniform(10.1, 14.9, 3000))]
+    rest = [(float(a), float(b)) for a, b in zip(rng.uniform(-60, 60, 6000), rng.uniform(-170, 170, 6000))]
+    rows = [(i, la, lo, 1.0, 1.0, 1.0) for i, (la, lo) in enumerate(hot + rest)]
+    df = spark.createDataFrame(rows, "pixel_id long, lat double, lon double, pop_2025 float, pop_2050 float, pop_2100 float")
+    got = {(r["win_id"], r["h3_res"]): (r["n_pixels"], r["n_cells"]) for r in X.window_cell_counts(df.repartition(8), [3, 6]).collect()}
+    wins = [f"w_{-180 + 5 * int((lo + 180) // 5):+08.1f}_{-90 + 5 * int((la + 90) // 5):+07.1f}" for _, la, lo, *_ in rows]
+    assert got[("w_+00010.0_+0040.0", 3)][0] == wins.count("w_+00010.0_+0040.0") >= 3000
+    exp = {}
+    for res in (3, 6):
+        ids = np_cell(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), res)
+        for w, c in zip(wins, ids):
+            n, cs = exp.setdefault((w, res), [0, set()])
+            exp[(w, res)][0] = n + 1
+            cs.add(int(c))
+    assert got == {k: (n, len(cs)) for k, (n, cs) in exp.items()}
