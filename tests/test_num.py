@@ -34,7 +34,7 @@ def test_float_div_matches_numpy_float32(spark):
     floats = st.floats(width=32, allow_nan=True, allow_infinity=True)
     rows_st = st.lists(st.tuples(floats, floats), min_size=1, max_size=60)
 
-    @settings(max_examples=15, deadline=None)
+    @settings(max_examples=25, deadline=None, derandomize=True)
     @given(rows_st)
     def check(rows):
         df = spark.createDataFrame(rows, "n float, d float")
@@ -52,7 +52,7 @@ def test_round_to_bigint_matches_numpy_rint(spark):
     from hypothesis import given, settings
     from hypothesis import strategies as st
 
-    @settings(max_examples=15, deadline=None)
+    @settings(max_examples=25, deadline=None, derandomize=True)
     @given(st.lists(st.floats(min_value=-1e12, max_value=1e12), min_size=1, max_size=60))
     def check(xs):
         df = spark.createDataFrame([(x,) for x in xs], "x double")
