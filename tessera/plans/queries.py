@@ -395,22 +395,21 @@ def index_resumable(spark, sf):
 
 
 def layout_audit(spark, sf):
-    """[S10, S11] footers of the written index: one row per (file, row group, column)."""
+    """[S10, S11] footers of the published index: one row per (file, row group, column)."""
     from ..sources.index_reader import list_files
     from ..sources.layout import layout_audit as audit
+    from .published import published_base
 
-    base = _written_index(spark, sf)
-    return audit(list_files(spark, base))
+    return audit(list_files(spark, published_base(spark, sf)))
 
 
 def metadata_json(spark, sf):
-    """[K4] the dataset metadata document of a written index."""
-    from ..sinks.metadata import metadata_frame
-    from ..sources.index_reader import read_index
+    """[K4] the metadata document the index job wrote, read back."""
+    from .build import METADATA_NAME
+    from .published import published_base
 
-    base = _written_index(spark, sf)
-    written = read_index(spark, base, FIXTURE_SCENARIO)
-    return metadata_frame(written.select("h3_res"), FIXTURE_SCENARIO, FIXTURE_YEARS, ALL_RES, 0.0)
+    base = published_base(spark, sf)
+    return spark.read.json(f"{base}/scenario={FIXTURE_SCENARIO}/{METADATA_NAME}")
 
 
 QUERIES.update(
