@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans.oracle import ORACLE
 
 from .conftest import SF_SMALL
 
@@ -33,17 +34,20 @@ def duck():
 
 
 def test_registry_complete():
-    qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"layout_audit", "metadata_json"}
+    from tessera.plans.oracle import ORACLE
+    from tessera.plans.queries import QUERIES
 
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLE) == {"layout_audit", "metadata_json"}
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     s_types = {f.name: TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     s_rec = [r.asDict() for r in df.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(ORACLE[name])
     d_types = dict(zip(rel.columns, map(str, rel.types)))
     d_rec = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert s_types == d_types
