@@ -44,6 +44,19 @@ N_STATES = 11
 # Fixed value: what the pattern's \s matches.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
+# Letters and numbers of Unicode 16, for Pythons whose tables are older (first, last).
+LETTERS_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
+    (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E),
+    (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0),
+    (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED),
+    (0x1E5F0, 0x1E5F0),
+]
+NUMBERS_16 = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+    (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+]
+
 CACHE_PIECES = 600_000  # entries of each of a worker's two generations
 NO_RANK = 1 << 40
 CACHE_LONGEST = 64  # longer pieces are merged each time
@@ -59,6 +72,9 @@ def class_table() -> np.ndarray:
             t[c] = LETTER
         elif k == "N":
             t[c] = NUMBER
+    for ranges, k in ((LETTERS_16, LETTER), (NUMBERS_16, NUMBER)):
+        for a, b in ranges:
+            t[a : b + 1] = k
     t[WHITE_SPACE] = WHITE
     t[0x20] = SPACE
     t[ord("'")] = QUOTE
@@ -335,8 +351,9 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, data binary")
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """Encode every text, decode the ids again, and give the digests of both (one pass, no join)."""
+def round_trip(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
+    """Encode every text, decode the ids again, and give the digests of both (one pass, no join);
+    ``ids``: the packed ids as well."""
     workers(docs.sparkSession)
 
     def run(batches):
@@ -344,17 +361,20 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
         m = merger(path)
         for b in batches:
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, kept = [], [], [], []
             for group in _batches(b.column("text").to_pylist()):
                 for packed, _ in encode_texts(group, m):
                     n.append(len(packed) // 4)
                     ids_sha.append(hashlib.sha256(packed).hexdigest())
                     text_sha.append(hashlib.sha256(m.decode(packed)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+                    if ids:
+                        kept.append(packed)
+            cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if ids:
+                cols.append(pa.array(kept, pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
