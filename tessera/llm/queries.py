@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minmax_hash, quality_rules, substrings, topk
+from . import chat_tree, minmax_hash, quality_rules, substrings, topk
 from .common import table
 
 
@@ -97,4 +97,4 @@ LLM_QUERIES = {
     )
 }
 
-LLM_ORACLE = {"op2_topk": topk.ORACLE, "op5_substrings": substrings.ORACLE, "op7_minmax": minmax_hash.ORACLE, "op9_rules": quality_rules.ORACLE}
+LLM_ORACLE = {"op2_topk": topk.ORACLE, "op4_chat": chat_tree.ORACLE, "op5_substrings": substrings.ORACLE, "op7_minmax": minmax_hash.ORACLE, "op9_rules": quality_rules.ORACLE}
