@@ -16,11 +16,13 @@ Flow, none of it quadratic in a group:
 2. *Stars*: in every bucket each member is compared with the smallest member.
    Confirmed links are contracted to components.
 3. *Completion*: where a bucket still holds members of different components,
-   the members outside its largest component are compared with the others --
-   first those with the best signature estimate, then all that remain. The
-   comparison of signatures is cut into blocks of bounded size, a pair is
-   taken up in its first common bucket only, and pairs whose estimate is more
-   than ``SLACK`` below the limit are left (4.5 standard deviations).
+   the members outside its largest component are compared with the others, in
+   blocks of bounded size: first on signatures, then, for the rows that may
+   link, on full sets. A pair is compared in its first common bucket only; a
+   member that has reached a component need not meet the rest of it. Pairs are
+   left out that can't be links by the triangle inequality over the bucket's
+   smallest member, and those whose estimate is more than ``SLACK`` below the
+   limit (4.5 standard deviations).
 4. Components by repeated contraction to the least neighbour; each round is
    two aggregations and a join, cut at the shared checkpoint folder.
 
@@ -45,7 +47,7 @@ PERMS = 64
 ROWS = 4  # signature values (16 bits each) of a band
 BANDS = 2 * PERMS // ROWS
 BLOCK = 512  # representatives on either side of a block
-BEST = 4  # partners by estimate in the first completion round
+BLOCK_SHINGLES = 1 << 20  # shingles on either side of a block (8 bytes each)
 SLACK = 0.16
 BROADCAST_IDS = 500_000  # ids (8 bytes each) sent to all tasks instead of shuffling texts; beyond: a join
 
@@ -107,29 +109,28 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, set binary")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of the intersection and of the union of their sets."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            keep = []
+            both, either = [], []
             for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
-                if 100 * len(x) < percent * len(y):
-                    keep.append(False)
-                    continue
                 at = np.searchsorted(y, x)
                 at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                both.append(int((y[at] == x).sum()))
+                either.append(len(x) + len(y) - both[-1])
+            cols = [b.column("a"), b.column("b"), pa.array(both, pa.int64()), pa.array(either, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["a", "b", "both", "either"])
 
     of = lambda name: sets.select(F.col("doc_id").alias(name), F.col("set").alias("s" + name))
-    return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+    joined = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "sa", "sb")
+    return joined.mapInArrow(run, "a bigint, b bigint, both bigint, either bigint")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -155,62 +156,103 @@ def connected(links: DataFrame) -> DataFrame:
         edges = new
 
 
-def _estimates(best: int | None, floor: float):
-    """Block comparison: pivots against members of one bucket, on signatures."""
+def _candidates(pdf, floor: float, apart: float):
+    """For each pivot row of a block: the rows that may link to it, best estimate first.
+
+    A pair counts in its first common bucket only. Jaccard distance is a metric
+    and every member's exact distance to the bucket's smallest member is known,
+    so a pair whose distances differ by more than ``apart`` can't be within it.
+    """
+    sigs = np.frombuffer(b"".join(pdf["sig"]), "<u2").reshape(len(pdf), -1)
+    reps, labels, far = pdf["rep"].to_numpy(), pdf["label"].to_numpy(), pdf["distance"].to_numpy()
+    pivot = pdf["pivot"].to_numpy()
+    band = int(pdf["band"].iloc[0])
+    members = np.flatnonzero(~pivot)
+    ms, ml, mf = sigs[members], labels[members], far[members]
+    for i in np.flatnonzero(pivot):
+        other = np.flatnonzero((ml != labels[i]) & (np.abs(mf - far[i]) <= apart + 1e-9))
+        same = ms[other] == sigs[i]
+        est = same.mean(1)
+        first = same.reshape(len(other), BANDS, ROWS).all(2).argmax(1)
+        good = np.flatnonzero((first == band) & (est >= floor))
+        if len(good):
+            found = members[other[good]]
+            yield i, found[np.lexsort((reps[found], -est[good]))]
+
+
+def _asked(floor: float, apart: float):
+    """Of a block, the rows that take part in any comparison."""
+
+    def run(pdf):
+        keep = np.zeros(len(pdf), bool)
+        for i, found in _candidates(pdf, floor, apart):
+            keep[i] = True
+            keep[found] = True
+        return pdf[keep]
+
+    return run
+
+
+def _linked(floor: float, apart: float, percent: int):
+    """Confirmed links of a block: for each pivot, one to every other component it reaches."""
 
     def run(pdf):
         import pandas as pd
 
-        out_a, out_b = [], []
-        sigs = np.frombuffer(b"".join(pdf["sig"]), "<u2").reshape(len(pdf), -1)
         reps, labels = pdf["rep"].to_numpy(), pdf["label"].to_numpy()
-        pivot = pdf["pivot"].to_numpy()
-        band = int(pdf["band"].iloc[0])
-        members = ~pivot
-        ms, mr, ml = sigs[members], reps[members], labels[members]
-        for s, r, lab in zip(sigs[pivot], reps[pivot], labels[pivot], strict=True):
-            other = np.flatnonzero(ml != lab)
-            same = ms[other] == s
-            est = same.mean(1)
-            first = same.reshape(len(other), BANDS, ROWS).all(2).argmax(1)
-            good = np.flatnonzero((first == band) & (est >= floor))
-            if best is not None and len(good) > best:
-                good = good[np.lexsort((mr[other[good]], -est[good]))[:best]]
-            m = mr[other[good]]
-            out_a.append(np.minimum(m, r))
-            out_b.append(np.maximum(m, r))
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+        out = []
+        for i, found in _candidates(pdf, floor, apart):
+            own, met = sets[i], set()
+            while len(found):
+                some, found = found[:32], found[32:]
+                sizes = np.array([len(sets[j]) for j in some])
+                flat = np.concatenate([sets[j] for j in some])
+                at = np.searchsorted(own, flat)
+                at[at == len(own)] = 0
+                both = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+                for j in some[100 * both >= percent * (sizes + len(own) - both)]:
+                    if labels[j] not in met:
+                        met.add(labels[j])
+                        out.append((min(reps[i], reps[j]), max(reps[i], reps[j])))
+                if met and len(found):
+                    found = found[~np.isin(labels[found], list(met))]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, best: int | None, floor: float) -> DataFrame:
-    """Pairs of unlike components that share a bucket, from blocks of bounded size."""
+def _completion(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between unlike components that share a bucket, from blocks of bounded size."""
     # a node without any confirmed link is its own component
     named = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     named = cut(named, "named")
-    per_label = named.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
+    per_label = named.groupBy("band", "key", "label").agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum("n").alias("w")).alias("c"))
     per_bucket = (
         per_label.groupBy("band", "key")
-        .agg(F.count(F.lit(1)).alias("n_labels"), F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"))
+        .agg(
+            F.count(F.lit(1)).alias("n_labels"), F.sum("c.n").alias("n"), F.sum("c.w").alias("w"),
+            F.max(F.struct("c", "label")).alias("top"),
+        )
         .where("n_labels > 1")
-        .select("band", "key", F.col("top.label").alias("major"), "size", (F.col("size") - F.col("top.n")).alias("minor"))
-    )
-    rows = named.join(per_bucket, ["band", "key"]).join(sigs, "rep")
-    chunks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    own = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), chunks(n)).cast("int")
-    as_member = rows.select(
-        "band", "key", "rep", "label", "sig", F.lit(False).alias("pivot"),
-        own("size", 1).alias("mc"), F.explode(F.sequence(F.lit(0), chunks("minor") - 1)).alias("pc"),
     )
-    as_pivot = rows.where("label <> major").select(
-        "band", "key", "rep", "label", "sig", F.lit(True).alias("pivot"),
-        F.explode(F.sequence(F.lit(0), chunks("size") - 1)).alias("mc"), own("minor", 2).alias("pc"),
+    # chunks of either side, by members and by shingles
+    chunks = lambda n, w: F.greatest(F.ceil(n / BLOCK), F.ceil(w / BLOCK_SHINGLES)).cast("int")
+    per_bucket = per_bucket.select(
+        "band", "key", F.col("top.label").alias("major"), chunks(F.col("n"), F.col("w")).alias("mn"),
+        chunks(F.col("n") - F.col("top.c.n"), F.col("w") - F.col("top.c.w")).alias("pn"),
     )
-    blocks = as_member.unionByName(as_pivot).groupBy("band", "key", "pc", "mc")
-    return blocks.applyInPandas(_estimates(best, floor), "a bigint, b bigint").distinct()
+    rows = named.join(per_bucket, ["band", "key"]).join(sigs, "rep")
+    own = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys, cols = ["band", "key", "pc", "mc"], ["rep", "label", "sig", "distance"]
+    as_member = rows.select("band", "key", all_of("pn").alias("pc"), own("mn", 1).alias("mc"), *cols, F.lit(False).alias("pivot"))
+    as_pivot = rows.where("label <> major").select("band", "key", own("pn", 2).alias("pc"), all_of("mn").alias("mc"), *cols, F.lit(True).alias("pivot"))
+    blocks = as_member.union(as_pivot)
+    limits = (percent / 100 - SLACK, 1 - percent / 100)
+    asked = cut(blocks.groupBy(*keys).applyInPandas(_asked(*limits), blocks.schema), "asked")
+    full = asked.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return full.groupBy(*keys).applyInPandas(_linked(*limits, percent), "a bigint, b bigint")
 
 
 def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -224,12 +266,12 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     classes = cut(
         sketch.where("n_shingles > 0")
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")),
+        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")),
         "classes",
     )
-    reps = classes.where("rep is not null").select("rep", "sig")
+    reps = classes.where("rep is not null").select("rep", "sig", "n")
     bands = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.substr(F.col("sig"), b * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
-    every = reps.select("rep", bands.alias("band", "key"))
+    every = reps.select("rep", "n", bands.alias("band", "key"))
     shared = every.groupBy("band", "key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last")
     buckets = cut(every.join(shared.select("band", "key", "centre"), ["band", "key"]), "buckets")
 
@@ -238,25 +280,18 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     few = ids.count() <= BROADCAST_IDS
     sets = cut(_sets(docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), n), "sets")
 
+    enough = F.col("both") * 100 >= F.col("either") * percent
+    # the smallest member of a bucket meets all others
     stars = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    asked = cut(stars, "pairs")
-    links = cut(confirm(asked, sets, percent), "links")
-    labels = cut(connected(links), "labels")
-
-    # the smallest member has met its whole bucket
-    rest = buckets.where("rep <> centre").select("band", "key", "rep")
-    sigs = reps.join(ids.select(F.col("doc_id").alias("rep")), "rep", "left_semi").dropDuplicates(["rep"])
-    for best in (BEST, None):
-        pairs = _open_pairs(rest, labels, sigs, best, percent / 100 - SLACK)
-        pairs = cut(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if best is None:
-                break
-            continue
-        found = confirm(pairs, sets, percent)
-        links = cut(found.union(labels.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))), "links")
-        labels = cut(connected(links), "labels")
-        asked = asked.union(pairs)
+    met = cut(similarities(stars, sets), "pairs")
+    labels = cut(connected(met.where(enough)), "labels")
+
+    distance = met.select(F.col("a").alias("centre"), F.col("b").alias("rep"), (1 - F.col("both") / F.col("either")).alias("distance"))
+    rest = cut(buckets.join(distance, ["centre", "rep"]).select("band", "key", "rep", "n", "distance"), "rest")
+    sigs = reps.join(ids.select(F.col("doc_id").alias("rep")), "rep", "left_semi").select("rep", "sig").dropDuplicates(["rep"])
+    more = _completion(rest, labels, sigs, sets, percent)
+    known = labels.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+    labels = cut(connected(more.union(known)), "labels")
 
     named = classes.select("d1", "d2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("d1", "d2", F.coalesce("label", "rep").alias("component_id"))
