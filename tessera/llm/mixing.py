@@ -8,7 +8,7 @@ are a budget, fitted on the histogram of exact document lengths:
 * each length gives its proportional part of the budget (rounded down),
 * large lengths fill what is left down to a small rest, and
 * a bounded knapsack (reachable sums, each length at most as often as it is
-  left) picks the lengths that meet the rest exactly or come nearest below.
+  left) picks the lengths that meet the rest exactly or come nearest.
 
 How many documents of each length to take is then turned into a cut in seeded
 hash order. Counts per hash range find the range that holds the cut, and only
@@ -58,19 +58,21 @@ def targets(sizes: np.ndarray, weights: np.ndarray, total: float, most: float =
 
 
 def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How often to take each length so that the sum is the largest one up to ``budget``."""
+    """How often to take each length so that the sum comes nearest ``budget`` (the lower of two as near)."""
     taken = [0] * len(lengths)
     if budget <= 0:
         return taken
-    by = np.full(budget + 1, -1, np.int32)  # the length that first reached each sum
-    reached = np.zeros(budget + 1, bool)
+    # a sum of 2 * budget is as far off as nothing, so larger ones don't matter
+    top = budget + min(budget, max((x for x, c in zip(lengths, counts, strict=True) if c), default=0))
+    by = np.full(top + 1, -1, np.int32)  # the length that first reached each sum
+    reached = np.zeros(top + 1, bool)
     reached[0] = True
     for i, (size, count) in enumerate(zip(lengths, counts, strict=True)):
-        if not 0 < size <= budget or reached[budget]:
+        if not 0 < size <= top or reached[budget]:
             continue
         front = reached
-        for _ in range(min(count, budget // size)):
-            new = np.zeros(budget + 1, bool)
+        for _ in range(min(count, top // size)):
+            new = np.zeros(top + 1, bool)
             new[size:] = front[:-size]
             new &= ~reached
             if not new.any():
@@ -78,7 +80,8 @@ def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
             by[new] = i
             reached = reached | new
             front = new
-    s = int(np.flatnonzero(reached)[-1])
+    sums = np.flatnonzero(reached)
+    s = int(sums[np.argmin(np.abs(sums - budget))])
     while s:
         taken[by[s]] += 1
         s -= lengths[by[s]]

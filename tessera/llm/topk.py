@@ -106,7 +106,9 @@ def _histogram(shared, k: int):
             lo, hi, w = low[which][:, None], high[which][:, None], width[which][:, None]
             ok &= (s >= lo) & (s <= hi)
             r, c = np.nonzero(ok)
-            bins = (high[which][r] - s[r, c]) // width[which][r]
+            # the difference of two 64-bit integers fits unsigned
+            below = high[which][r].astype(np.uint64) - s[r, c].astype(np.uint64)
+            bins = (below // width[which][r].astype(np.uint64)).astype(np.int64)
             counts += np.bincount(which[r] * BINS + bins, minlength=counts.size).reshape(counts.shape)
         # bins below the one where this task alone has enough can't hold the k-th
         before = np.cumsum(counts, 1) - counts
