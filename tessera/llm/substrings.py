@@ -1,7 +1,7 @@
 """Substring dedup: repeated windows of ``n`` words are found by Rabin-Karp hashes and removed.
 
 A word goes if some ``n``-word window that covers it also starts in a document
-with a smaller doc_id. Three steps, two shuffles:
+with a smaller doc_id. Three steps:
 
 1. Each task hashes every window of its texts and, batch by batch, keeps one
    row per distinct window: the smallest document of the batch that holds it,
@@ -12,8 +12,9 @@ with a smaller doc_id. Three steps, two shuffles:
    document is smaller than the batch's own is a repeat. Hashes travel packed
    (sorted, differences in byte planes, zstd), several thousand windows a row,
    in a number of groups that follows the amount of text.
-3. A document's repeated window starts become maximal removal intervals (union
-   of [start, start + n)); the words outside are kept.
+3. The starts of repeated windows go back packed, are gathered by document and
+   become maximal removal intervals (union of [start, start + n)); the words
+   outside are kept.
 
 Equal windows mean equal hashes of 64 bits, and of 96 where the text is so
 large (``WIDE_CHARS``) that 64 would make chance matches likely.
@@ -132,14 +133,34 @@ def _windows(n: int, groups: int, wide: bool):
     return run
 
 
-def _repeats(pdf):
-    """One group: windows whose smallest document is smaller than their own."""
-    import pandas as pd
+def _replies(ids, rows, first, length, groups: int):
+    """(to, a, b): runs of repeated starts of many documents, packed by the group their document is dealt to."""
+    to = (rows % groups).astype(np.int64)
+    order = np.lexsort((first, rows, ids, to))
+    ids, rows, first, length, to = ids[order], rows[order], first[order], length[order], to[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1])
+    for part in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(to)) + 1):
+        if len(part):
+            head = part[new[part]]
+            count = np.diff(np.append(np.flatnonzero(new[part]), len(part)))
+            heads = np.stack([ids[head], rows[head], count]).astype("<i8")
+            yield int(to[part[0]]), pack(heads.ravel()), pack(np.stack([first[part], length[part]]).astype("<u4").ravel())
+
+
+def _repeats(groups: int):
+    """One group of windows: those whose smallest document is smaller than their own."""
+
+    def run(pdf):
+        import pandas as pd
 
-    out = [(int(d), int(r), a) for d, r, k, a in zip(pdf["doc"], pdf["row"], pdf["kind"], pdf["a"], strict=True) if k == 1]
-    ids, rows, place, h1, h2 = [], [], [], [], []
-    for k, a, b, c in zip(pdf["kind"], pdf["a"], pdf["b"], pdf["c"], strict=True):
-        if k == 0:
+        ids, rows, place, h1, h2 = [], [], [], [], []
+        found = []  # (ids, rows, first, length)
+        for d, r, k, a, b, c in zip(pdf["doc"], pdf["row"], pdf["kind"], pdf["a"], pdf["b"], pdf["c"], strict=True):
+            if k == 1:
+                x = np.frombuffer(a, "<u4").astype(np.int64).reshape(-1, 2)
+                found.append((np.full(len(x), d), np.full(len(x), r), x[:, 0], x[:, 1]))
+                continue
             h = np.cumsum(unpack(a, "<u8"), dtype=np.uint64)
             heads = unpack(b, "<i8").reshape(2, -1)
             where = unpack(c, "<u4").reshape(-1, len(h))
@@ -148,24 +169,46 @@ def _repeats(pdf):
             rows.append(heads[1][where[0]])
             place.append(where[1])
             h2.append(where[2] if len(where) > 2 else np.zeros(len(h), np.uint32))
-    if h1:
-        ids, rows, place, h1, h2 = map(np.concatenate, (ids, rows, place, h1, h2))
-        order = np.lexsort((ids, h2, h1))
-        ids, rows, place, h1, h2 = ids[order], rows[order], place[order], h1[order], h2[order]
-        hit = np.flatnonzero(ids > ids[_first_equal(h1, h2)])
-        hit = hit[np.lexsort((place[hit], rows[hit], ids[hit]))]
-        split = (np.diff(ids[hit]) != 0) | (np.diff(rows[hit]) != 0)
-        for part in np.split(hit, np.flatnonzero(split) + 1):
-            if len(part):
-                out.append((int(ids[part[0]]), int(rows[part[0]]), _runs(place[part].astype(np.int64))))
+        if h1:
+            ids, rows, place, h1, h2 = map(np.concatenate, (ids, rows, place, h1, h2))
+            order = np.lexsort((ids, h2, h1))
+            ids, rows, place, h1, h2 = ids[order], rows[order], place[order], h1[order], h2[order]
+            hit = np.flatnonzero(ids > ids[_first_equal(h1, h2)])
+            found.append((ids[hit], rows[hit], place[hit].astype(np.int64), np.ones(len(hit), np.int64)))
+        out = list(_replies(*map(np.concatenate, zip(*found, strict=True)), groups)) if found else []
+        return pd.DataFrame(out, columns=["to", "a", "b"])
+
+    return run
+
+
+def _gather(pdf):
+    """Replies to one group of documents: one row for each document that loses words."""
+    import pandas as pd
+
+    parts = []
+    for a, b in zip(pdf["a"], pdf["b"], strict=True):
+        heads = unpack(a, "<i8").reshape(3, -1)
+        first, length = unpack(b, "<u4").reshape(2, -1).astype(np.int64)
+        parts.append((np.repeat(heads[0], heads[2]), np.repeat(heads[1], heads[2]), first, length))
+    ids, rows, first, length = map(np.concatenate, zip(*parts, strict=True))
+    order = np.lexsort((first, rows, ids))
+    ids, rows, first, length = ids[order], rows[order], first[order], length[order]
+    split = np.flatnonzero((np.diff(ids) != 0) | (np.diff(rows) != 0)) + 1
+    out = []
+    for part in np.split(np.arange(len(ids)), split):
+        # consecutive runs as one
+        f, e = first[part], first[part] + length[part]
+        new = np.append(True, f[1:] > np.maximum.accumulate(e)[:-1])
+        end = np.maximum.reduceat(e, np.flatnonzero(new))
+        out.append((int(ids[part[0]]), int(rows[part[0]]), np.stack([f[new], end - f[new]], 1).astype("<u4").tobytes()))
     return pd.DataFrame(out, columns=["doc_id", "row", "runs"])
 
 
-def intervals(runs: list[bytes], n: int) -> list[tuple[int, int]]:
+def intervals(runs: bytes | None, n: int) -> list[tuple[int, int]]:
     """Maximal [start, end) in words of everything the repeated windows cover."""
     if not runs:
         return []
-    r = np.frombuffer(b"".join(runs), "<u4").astype(np.int64).reshape(-1, 2)
+    r = np.frombuffer(runs, "<u4").astype(np.int64).reshape(-1, 2)
     a, e = r[:, 0], r[:, 0] + r[:, 1] + n - 1
     order = np.argsort(a, kind="stable")
     a, e = a[order], np.maximum.accumulate(e[order])
@@ -182,7 +225,7 @@ def _finish(n: int, with_text: bool):
             total, gone, sha, kept_text, spans = [], [], [], [], []
             for text, runs in zip(b.column("text").to_pylist(), b.column("runs").to_pylist(), strict=True):
                 words = text.encode().split()
-                cuts = intervals(runs or [], n)
+                cuts = intervals(runs, n)
                 kept, at = [], 0
                 for x, y in cuts:
                     kept += words[at:x]
@@ -215,12 +258,8 @@ def remove_repeats(docs: DataFrame, n: int = 13, with_text: bool = False) -> Dat
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // GROUP_CHARS))
     sent = docs.where("doc_id IS NOT NULL").mapInPandas(_windows(n, groups, chars >= WIDE_CHARS), _SENT)
-    hits = (
-        sent.groupBy("grp")
-        .applyInPandas(_repeats, "doc_id bigint, row bigint, runs binary")
-        .groupBy("doc_id", "row")
-        .agg(F.collect_list("runs").alias("runs"))
-    )
+    replies = sent.groupBy("grp").applyInPandas(_repeats(groups), "to bigint, a binary, b binary")
+    hits = replies.groupBy("to").applyInPandas(_gather, "doc_id bigint, row bigint, runs binary")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     schema += ", kept_text string, removed array<struct<start: bigint, end: bigint>>" * with_text
     return docs.join(hits, ["doc_id", "row"], "left").select("doc_id", "text", "runs").mapInArrow(_finish(n, with_text), schema)
