@@ -38,9 +38,18 @@ def drop_cut(df: DataFrame) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+# Bytes of a batch handed to a Python worker, where the session still has Spark's default of 64 MB:
+# the batch, its copy in the worker and what is made of it must fit beside the executor's heap.
+BATCH_BYTES = 16 << 20
+DEFAULT_BATCH_BYTES = "67108864b"
+
+
 def workers(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers."""
+    """Make this package importable in the Python workers, and bound the batches they get."""
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def text_chunks(text: str, size: int = 1 << 20):

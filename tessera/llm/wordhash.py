@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1 << 21  # bytes hashed at once: bounds memory whatever the length of a text
+CHUNK = 1 << 19  # bytes hashed at once: bounds memory whatever the length of a text
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
