@@ -215,16 +215,30 @@ def cell_of(lat: str, lon: str, res: int) -> Column:
 # --- cell -> attributes ----------------------------------------------------------
 
 
+FOREIGN = "not an id of this cell system (H3 ids are not decoded here)"
+
+
+def sql_own(cell: str) -> str:
+    """The id itself; fails on an id without this system's tag. NULL stays NULL."""
+    c = _sql(cell)
+    return f"CASE WHEN shiftright({c}, {TAG_SHIFT}) <> {ID_TAG} THEN raise_error('{FOREIGN}') ELSE {c} END"
+
+
+def own_id_range() -> tuple[int, int]:
+    """Least and largest id with this system's tag."""
+    return ID_TAG << TAG_SHIFT, ((ID_TAG + 1) << TAG_SHIFT) - 1
+
+
 def sql_cell_res(cell: str) -> str:
-    return f"CAST((shiftright({_sql(cell)}, {RES_SHIFT}) & 15) AS INT)"
+    return f"CAST((shiftright({sql_own(cell)}, {RES_SHIFT}) & 15) AS INT)"
 
 
 def sql_cell_q(cell: str) -> str:
     return f"((shiftright({_sql(cell)}, {Q_SHIFT}) & {AXIS_MASK}) - {AXIS_OFFSET})"
 
 
-def sql_cell_r(cell: str) -> str:
-    return f"(({_sql(cell)} & {AXIS_MASK}) - {AXIS_OFFSET})"
+def sql_cell_r(cell: str, checked: bool = True) -> str:
+    return f"((({sql_own(cell) if checked else _sql(cell)}) & {AXIS_MASK}) - {AXIS_OFFSET})"
 
 
 def cell_res(cell: str) -> Column:
@@ -248,14 +262,14 @@ def _res_of(cell: str, res):
     return res if res is not None else sql_cell_res(cell)
 
 
-def sql_centre_x(cell: str, res=None) -> str:
+def sql_centre_x(cell: str, res=None, checked: bool = True) -> str:
     res = _res_of(cell, res)
-    return f"(({sql_cell_q(cell)} + {sql_cell_r(cell)} * {dbl(0.5)}) * {_per_res(res, 'cx')})"
+    return f"(({sql_cell_q(cell)} + {sql_cell_r(cell, checked)} * {dbl(0.5)}) * {_per_res(res, 'cx')})"
 
 
-def sql_centre_y(cell: str, res=None) -> str:
+def sql_centre_y(cell: str, res=None, checked: bool = True) -> str:
     res = _res_of(cell, res)
-    return f"({sql_cell_r(cell)} * {_per_res(res, 'cy')})"
+    return f"({sql_cell_r(cell, checked)} * {_per_res(res, 'cy')})"
 
 
 def sql_lat_of_y(y: str) -> str:
@@ -276,12 +290,13 @@ def centre_y(cell: str, res=None) -> Column:
     return F.expr(sql_centre_y(cell, res))
 
 
-def sql_cell_lat(cell: str, res=None) -> str:
-    return sql_lat_of_y(sql_centre_y(cell, res))
+def sql_cell_lat(cell: str, res=None, checked: bool = True) -> str:
+    # least and greatest skip nulls, so a null id needs a test of its own
+    return f"CASE WHEN {_sql(cell)} IS NOT NULL THEN {sql_lat_of_y(sql_centre_y(cell, res, checked))} END"
 
 
-def sql_cell_lng(cell: str, res=None) -> str:
-    return sql_lng_of_x(sql_centre_x(cell, res))
+def sql_cell_lng(cell: str, res=None, checked: bool = True) -> str:
+    return f"CASE WHEN {_sql(cell)} IS NOT NULL THEN {sql_lng_of_x(sql_centre_x(cell, res, checked))} END"
 
 
 def cell_lat(cell: str, res=None) -> Column:
@@ -294,9 +309,15 @@ def cell_lng(cell: str, res=None) -> Column:
     return F.expr(sql_cell_lng(cell, res))
 
 
+def sql_cell_area(cell: str, res=None) -> str:
+    if res is None:
+        return f"CASE WHEN {_sql(cell)} IS NOT NULL THEN {_per_res(sql_cell_res(cell), 'area_km2')} END"
+    return f"CASE WHEN {sql_own(cell)} IS NOT NULL THEN {_per_res(res, 'area_km2')} END"
+
+
 def cell_area_km2(cell: str, res=None) -> Column:
     """Nominal cell area in km^2 (DOUBLE)."""
-    return F.expr(_per_res(_res_of(cell, res), "area_km2"))
+    return F.expr(sql_cell_area(cell, res))
 
 
 def cell_boundary(cell: str, res=None) -> Column:
@@ -313,14 +334,14 @@ def sql_cell_boundary(cell: str, res=None) -> str:
         vy = y + " + " + _per_res(res, "vy", i)
         vx = x + " + " + _per_res(res, "vx", i)
         verts.append(f"named_struct('lat', {sql_lat_of_y(vy)}, 'lng', {sql_lng_of_x(vx)})")
-    return f"array({', '.join(verts)})"
+    return f"CASE WHEN {_sql(cell)} IS NOT NULL THEN array({', '.join(verts)}) END"
 
 
 # --- id <-> string -----------------------------------------------------------------
 
 
 def cell_to_string(cell: str) -> Column:
-    """Lower-case hexadecimal text of an id (no leading zeros)."""
+    """Lower-case hexadecimal text of an id (no leading zeros); the same text for any 64-bit id system."""
     return F.expr(f"lower(hex({_sql(cell)}))")
 
 

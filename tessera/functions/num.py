@@ -11,6 +11,8 @@ All are plain Column expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,3 +82,10 @@ def is_finite(x) -> Column:
         return F.expr(sql_is_finite(x))
     c = x
     return ~F.isnan(c) & (F.abs(c.cast("double")) != F.lit(INF))
+
+
+def sql_float_literal(x: float) -> str:
+    """A FLOAT literal, also for NaN and the infinities."""
+    x = float(x)
+    text = f"{x!r}D" if math.isfinite(x) else "'NaN'" if math.isnan(x) else "'Infinity'" if x > 0 else "'-Infinity'"
+    return f"CAST({text} AS FLOAT)"

@@ -41,7 +41,7 @@ def function_bodies() -> dict[str, tuple[str, str, str]]:
         "latlng_to_cell": ("lat DOUBLE, lng DOUBLE, res INT", "BIGINT", _latlng_to_cell_body()),
         "cell_to_lat": ("cell BIGINT", "DOUBLE", cells.sql_cell_lat("cell")),
         "cell_to_lng": ("cell BIGINT", "DOUBLE", cells.sql_cell_lng("cell")),
-        "cell_area": ("cell BIGINT", "DOUBLE", cells._per_res(cells.sql_cell_res("cell"), "area_km2")),
+        "cell_area": ("cell BIGINT", "DOUBLE", cells.sql_cell_area("cell")),
         "cell_resolution": ("cell BIGINT", "INT", cells.sql_cell_res("cell")),
         "cell_to_string": ("cell BIGINT", "STRING", "lower(hex(cell))"),
         "string_to_cell": ("s STRING", "BIGINT", "CAST(conv(s, 16, 10) AS BIGINT)"),

@@ -129,17 +129,26 @@ def where_bbox(
     For a single-resolution index a conservative ``h3_index BETWEEN lo AND
     hi`` is added in front of the exact test: it reaches the Parquet scan
     as a pushed filter, so row groups of a sorted index outside the box
-    are skipped. The exact test on derived lat/lng decides.
+    are skipped. The exact test on derived lat/lng decides. Ids of another
+    system lie outside this system's id range; they are let through to the
+    exact test, which fails on them.
     """
     dbl = cells.dbl
+    # bound as a lambda variable: over an index that isn't written yet the filter moves below the
+    # aggregate, and each mention of the id would be a copy of the whole cell expression
     exact = F.expr(
-        f"{cells.sql_cell_lat('h3_index', res)} BETWEEN {dbl(lat_min)} AND {dbl(lat_max)} AND "
-        f"{cells.sql_cell_lng('h3_index', res)} BETWEEN {dbl(lng_min)} AND {dbl(lng_max)}"
+        f"exists(array(h3_index), id -> CASE WHEN shiftright(id, {cells.TAG_SHIFT}) <> {cells.ID_TAG} "
+        f"THEN raise_error('{cells.FOREIGN}') ELSE "
+        f"{cells.sql_cell_lat('id', res, False)} BETWEEN {dbl(lat_min)} AND {dbl(lat_max)} AND "
+        f"{cells.sql_cell_lng('id', res, False)} BETWEEN {dbl(lng_min)} AND {dbl(lng_max)} END)"
     )
     if res is None:
         return index.where(exact)
     lo, hi = _id_range(res, lng_min, lng_max, lat_min, lat_max)
-    return index.where(F.col("h3_index").between(F.lit(lo), F.lit(hi))).where(exact)
+    least, largest = cells.own_id_range()
+    near = F.col("h3_index").between(F.lit(lo), F.lit(hi))
+    foreign = (F.col("h3_index") < F.lit(least)) | (F.col("h3_index") > F.lit(largest))
+    return index.where(near | foreign).where(exact)
 
 
 def continent_of(lat: str, lng: str) -> Column:
@@ -161,10 +170,7 @@ def continent_totals(index: DataFrame, pop_cols: list[str], res: int | None = No
     centres = index.select(cells.cell_lat(c, res).alias("_lat"), cells.cell_lng(c, res).alias("_lng"), *pop_cols)
     tagged = centres.select(continent_of("_lat", "_lng").alias("continent"), *pop_cols)
     agg = tagged.groupBy("continent").agg(*[round_to_bigint(F.sum(p)).alias(p) for p in pop_cols])
-    # at most one row per box plus 'Other': a bounded top-k (TakeOrderedAndProject)
-    # orders it without the sampling job of a global range sort; no row is dropped
-    n_regions = len(CONTINENT_BOXES) + 1
-    return agg.orderBy(F.col(pop_cols[0]).desc_nulls_last(), F.col("continent")).limit(n_regions)
+    return agg.orderBy(F.col(pop_cols[0]).desc_nulls_last(), F.col("continent"))
 
 
 def extent_stats(index: DataFrame) -> DataFrame:
@@ -189,15 +195,21 @@ def extent_stats(index: DataFrame) -> DataFrame:
 
 def population_stats(index: DataFrame, pop_cols: list[str]) -> DataFrame:
     """A5 per (resolution, year column): ``sum::BIGINT, avg::FLOAT, max::FLOAT,
-    count_if(> 0)``. Long form through one ``inline`` (unpivot), one aggregate."""
-    structs = ", ".join(f"named_struct('column_name', '{p}', 'value', {p})" for p in pop_cols)
-    long = index.select("h3_res", F.expr(f"inline(array({structs}))"))
-    return long.groupBy("h3_res", "column_name").agg(
-        round_to_bigint(F.sum("value")).alias("total_pop"),
-        F.avg("value").cast("float").alias("avg_pop"),
-        F.max("value").cast("float").alias("max_pop"),
-        F.count_if(F.col("value") > 0).alias("cells_with_pop"),
-    )
+    count_if(> 0)``. One aggregate over all years per resolution; only its (at
+    most 16) rows are turned into one row per year."""
+    aggs, structs = [], []
+    for p in pop_cols:
+        aggs += [
+            round_to_bigint(F.sum(p)).alias(f"t_{p}"),
+            F.avg(p).cast("float").alias(f"a_{p}"),
+            F.max(p).cast("float").alias(f"m_{p}"),
+            F.count_if(F.col(p) > 0).alias(f"c_{p}"),
+        ]
+        structs.append(
+            f"named_struct('column_name', '{p}', 'total_pop', t_{p}, 'avg_pop', a_{p}, 'max_pop', m_{p}, "
+            f"'cells_with_pop', c_{p})"
+        )
+    return index.groupBy("h3_res").agg(*aggs).select("h3_res", F.expr(f"inline(array({', '.join(structs)}))"))
 
 
 def density(pop: str, area: str = "area_km2") -> Column:

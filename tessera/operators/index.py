@@ -36,51 +36,6 @@ def validate_resolutions(resolutions) -> list[int]:
     return out
 
 
-SPREAD_MIN_FANOUT = 4  # resolutions per pixel from which spreading a small input pays
-
-
-def conf_bytes(value: str) -> int:
-    """A Spark size setting (``134217728``, ``134217728b``, ``128m``, ``1g``) in bytes."""
-    v = str(value).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
-             "t": 1 << 40, "tb": 1 << 40}
-    for suffix in sorted(units, key=len, reverse=True):
-        if v.endswith(suffix) and v[: -len(suffix)].strip().isdigit():
-            return int(v[: -len(suffix)]) * units[suffix]
-    return int(v)
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (statistics only; nothing runs), or
-    None where the session exposes no plan statistics."""
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:
-        return None
-    return int(v if isinstance(v, int) else v.toString())
-
-
-def spread_small_input(df: DataFrame, fanout: int) -> DataFrame:
-    """Round-robin a *small* input over all cores before a large fan-out.
-
-    An input that fits in one read split (one row group, <= one
-    ``maxPartitionBytes``) is scanned by one task, which would then run the
-    whole fan-out and partial aggregation alone. Only then -- judged from the
-    optimizer's size estimate, nothing is executed -- rows are spread: an
-    extra exchange of at most one split. The bound is absolute, not scaled
-    by the cluster, so any input larger than one split (every input at
-    scale) is left alone and no exchange is added.
-    """
-    if fanout < SPREAD_MIN_FANOUT or df.isStreaming:
-        return df
-    spark = df.sparkSession
-    split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    size = estimated_bytes(df)
-    if size is None or size > split_bytes:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def assign_cells(
     pixels: DataFrame,
     resolutions,
@@ -96,7 +51,6 @@ def assign_cells(
     multiplications, ``floor`` and compares.
     """
     res_list = validate_resolutions(resolutions)
-    pixels = spread_small_input(pixels, len(res_list))
     if system == "hex":
         # one row per (pixel, resolution) carrying that resolution's factors,
         # then ONE compact cell expression: generated code does not grow

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.num import is_finite
+from ..functions.num import sql_is_finite
+from .mask import sql_is_nodata
 from ..sources.grid import GridSpec, pixel_lat, pixel_lon, pop_col
 
 # --- fixed values of the inspection ----------------------------------------------------
 CENTER_WINDOW_MAX = 1000  # side of the centre window, pixels
-STATS_BANDS = 5  # statistics for the first five years
-SAMPLE_BANDS = 3  # point values for the first three years
 CORNER_INSET = 10  # sample points sit 10 pixels in from each corner
 # -------------------------------------------------------------------------------------------
 
@@ -24,40 +23,39 @@ def center_window(grid: GridSpec) -> tuple[int, int, int]:
 
 
 def grid_stats_center(pixels: DataFrame, grid: GridSpec, years: list[int]) -> DataFrame:
-    """Per year (first five): min, max, mean, population std of valid values
-    in the centre window, valid count and share of the window's pixels.
+    """Per year: min, max, mean, population std of valid values in the centre
+    window, valid count and share of the window's pixels.
 
     Valid = not nodata and finite (no positivity test). Values are widened to
     DOUBLE before comparing, as the inspection does. One range filter on
-    (r, c), pushed to the scan; one grouped aggregate.
+    (r, c), pushed to the scan; one aggregate over all years at once, then one
+    row per year from its single row. A year without a valid value is there
+    with ``n_valid`` 0 and null statistics.
     """
     r0, c0, size = center_window(grid)
     win = pixels.where(F.col("r").between(r0, r0 + size - 1) & F.col("c").between(c0, c0 + size - 1))
-    bands = [int(y) for y in years[:STATS_BANDS]]
-    structs = ", ".join(
-        f"named_struct('band', {i + 1}, 'year', {y}, 'value', CAST({pop_col(y)} AS DOUBLE))"
-        for i, y in enumerate(bands)
-    )
-    long = win.select(F.expr(f"inline(array({structs}))"))
-    ok = is_finite("value")
-    if grid.nodata is not None:
-        ok = ok & (F.col("value") != F.lit(float(grid.nodata)))
+    aggs, structs = [], []
+    for i, y in enumerate(int(y) for y in years):
+        v = f"CAST({pop_col(y)} AS DOUBLE)"
+        ok = f"CASE WHEN {sql_is_finite(pop_col(y))} AND NOT {sql_is_nodata(pop_col(y), grid.nodata)} THEN {v} END"
+        for name, f in (("min", "min"), ("max", "max"), ("mean", "avg"), ("std", "stddev_pop"), ("n", "count")):
+            aggs.append(F.expr(f"{f}({ok})").alias(f"{name}_{y}"))
+        structs.append(
+            f"named_struct('band', {i + 1}, 'year', {y}, 'min', min_{y}, 'max', max_{y}, 'mean', mean_{y}, "
+            f"'std', std_{y}, 'n_valid', n_{y})"
+        )
     total = size * size
     return (
-        long.where(ok)
-        .groupBy("band", "year")
-        .agg(
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.avg("value").alias("mean"),
-            F.stddev_pop("value").alias("std"),
-            F.count(F.lit(1)).alias("n_valid"),
-        )
+        win.agg(*aggs)
+        .select(F.expr(f"inline(array({', '.join(structs)}))"))
         .withColumn("n_total", F.lit(total).cast("bigint"))
         .withColumn("pct_valid", F.col("n_valid") * F.lit(100.0) / F.lit(float(total)))
     )
 
 
+# --- fixed values: names of the sample points, in order
+SAMPLE_LABELS = ("Center", "Top-left", "Top-right", "Bot-left", "Bot-right")
+
 SAMPLE_SCHEMA = T.StructType(
     [
         T.StructField("label", T.StringType(), False),
@@ -70,24 +68,18 @@ SAMPLE_SCHEMA = T.StructType(
 def sample_point_table(spark: SparkSession, grid: GridSpec) -> DataFrame:
     """The five inspection points: centre and 10 px in from each corner."""
     h, w, d = grid.height, grid.width, CORNER_INSET
-    pts = [
-        ("Center", h // 2, w // 2),
-        ("Top-left", d, d),
-        ("Top-right", d, w - d),
-        ("Bot-left", h - d, d),
-        ("Bot-right", h - d, w - d),
-    ]
-    return spark.createDataFrame(pts, SAMPLE_SCHEMA)
+    places = [(h // 2, w // 2), (d, d), (d, w - d), (h - d, d), (h - d, w - d)]
+    return spark.createDataFrame([(n, r, c) for n, (r, c) in zip(SAMPLE_LABELS, places, strict=True)], SAMPLE_SCHEMA)
 
 
 def sample_points(spark: SparkSession, pixels: DataFrame, grid: GridSpec, years: list[int]) -> DataFrame:
-    """Values of the first three years at the inspection points.
+    """Values of every year at the inspection points.
 
     The point table has five rows (fixed by the grid, not the data), so it is
     broadcast to the pixel scan: a map-side hash join, no shuffle of the
     pixels. A point with no pixel row reads as nodata (boundless fill).
     """
-    cols = [pop_col(y) for y in years[:SAMPLE_BANDS]]
+    cols = [pop_col(y) for y in years]
     pts = sample_point_table(spark, grid)
     hit = pixels.select("r", "c", *cols).join(F.broadcast(pts), ["r", "c"])
     fill = F.lit(grid.nodata).cast("float") if grid.nodata is not None else F.lit(None).cast("float")

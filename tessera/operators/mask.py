@@ -15,17 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.num import sql_is_finite
+from ..functions.num import sql_float_literal, sql_is_finite
 
 
-def _nodata_sql(nodata: float) -> str:
-    return f"CAST({float(nodata)!r}D AS FLOAT)"
+def sql_is_nodata(c: str, nodata: float | None) -> str:
+    """Spark holds NaN equal to NaN, so one comparison covers a NaN nodata too."""
+    return "false" if nodata is None else f"({c} = {sql_float_literal(nodata)})"
 
 
 def sql_not_nodata(c: str, nodata: float | None) -> str:
     if nodata is None:
         return f"({c} IS NOT NULL)"
-    return f"({c} != {_nodata_sql(nodata)})"
+    return f"({c} != {sql_float_literal(nodata)})"
 
 
 def sql_all_finite_not_nodata(pop_cols: list[str], nodata: float | None) -> str:
@@ -69,15 +70,13 @@ def apply_mask(pixels: DataFrame, pop_cols: list[str], nodata: float | None) ->
 def mask_counts(pixels: DataFrame, pop_cols: list[str], nodata: float | None) -> DataFrame:
     """How many pixels each rule removes (one row, one pass, partial aggregation).
 
-    ``n_nodata``: some year equals nodata; ``n_nonfinite``: some year NaN/inf;
+    ``n_nodata``: some year equals nodata; ``n_nonfinite``: some year NaN/inf
+    (other than a NaN or infinite nodata);
     ``n_no_positive``: all years finite and not nodata, but none > 0;
     ``n_valid``: kept by the mask.
     """
-    if nodata is None:
-        has_nodata = "false"
-    else:
-        has_nodata = " OR ".join(f"({c} = {_nodata_sql(nodata)})" for c in pop_cols)
-    nonfinite = " OR ".join(f"NOT {sql_is_finite(c)}" for c in pop_cols)
+    has_nodata = " OR ".join(sql_is_nodata(c, nodata) for c in pop_cols)
+    nonfinite = " OR ".join(f"(NOT {sql_is_finite(c)} AND NOT {sql_is_nodata(c, nodata)})" for c in pop_cols)
     clean = sql_all_finite_not_nodata(pop_cols, nodata)
     pos = sql_any_positive(pop_cols)
     return pixels.selectExpr(

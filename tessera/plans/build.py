@@ -92,15 +92,35 @@ def build_population_index(
 
     t0 = time.time()
     index = build_index(pixels, pop_cols, res, nodata, system=system, lat=lat, lon=lon)
+    return publish_index(spark, index, out_base, scenario, years, res, grid, system, source, t0)
+
+
+def publish_index(
+    spark: SparkSession,
+    index: DataFrame,
+    out_base: str,
+    scenario: str,
+    years: list[int],
+    res: list[int],
+    grid: GridSpec,
+    system: str = "hex",
+    source: dict | None = None,
+    started: float | None = None,
+) -> DataFrame:
+    """Write the index, then its metadata, then the completion marker; the written index, read back."""
     write_index(index, out_base, scenario)
-    written = read_index(spark, out_base, scenario)
+    written = read_index(spark, out_base, scenario, years=years)
     meta = metadata_frame(
-        written.select("h3_res"), scenario, list(years), res, time.time() - t0, crs=grid.crs,
+        written.select("h3_res"), scenario, list(years), res, time.time() - (started or time.time()), crs=grid.crs,
         source=source, cell_system=system,
     )
     # beside the data of the scenario. Spark's file listing keeps every name that
     # starts with "_metadata" (Parquet summary files), so "_metadata.json" would be
     # read as data; any other underscore name is skipped by readers.
     write_metadata(meta, f"{out_base.rstrip('/')}/scenario={scenario}/{METADATA_NAME}")
-    write_marker(spark, f"{out_base.rstrip('/')}/_COMPLETE_{scenario}", time.strftime("Completed at %Y-%m-%d %H:%M:%S\n"))
+    write_marker(spark, marker_path(out_base, scenario), time.strftime("index finished %Y-%m-%dT%H:%M:%S\n"))
     return written
+
+
+def marker_path(out_base: str, scenario: str) -> str:
+    return f"{out_base.rstrip('/')}/_COMPLETE_{scenario}"

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 
 from ..sources.grid import GridSpec, pop_col, tiles_to_wide_pixels
 from .build import DEFAULT_SCENARIO, SCENARIOS, build_population_index, parse_resolutions, plan_index
@@ -23,21 +22,23 @@ def _args(argv=None):
     p = argparse.ArgumentParser(description="Gridded population -> hexagonal cell index")
     p.add_argument("--pixels", help="wide pixel table (Parquet)")
     p.add_argument("--tiles", help="tile table (Parquet): year, tile_row, tile_col, values")
-    p.add_argument("--tile-size", type=int, default=1000)
+    p.add_argument("--tile-size", type=int, help="side of the blocks (default: the grid descriptor's)")
     p.add_argument("--grid", help="grid descriptor JSON (required with --tiles)")
     p.add_argument("--years", help="comma-separated years (default: every pop_YYYY column / tile year)")
     p.add_argument("--out", required=True, help="output base folder (any Hadoop URI)")
     p.add_argument("--scenario", default=DEFAULT_SCENARIO, choices=SCENARIOS)
     p.add_argument("--resolutions", default="1,2,3,4,5,6,7,8")
     p.add_argument("--system", default="hex", choices=("hex", "h3"))
-    p.add_argument("--nodata", type=float, default=-99999.0)
+    p.add_argument("--nodata", default="-99999.0", help="a number, nan, inf, or none (with --pixels)")
+    p.add_argument("--crs", default="EPSG:4326", help="CRS of lat/lon (with --pixels)")
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--resumable", action="store_true")
     return p.parse_args(argv)
 
 
 def main(argv=None) -> None:
-    from ..session import checkpoint_root, get_spark
+    from ..session import get_spark
+    from ..sources.index_reader import listing_key
 
     a = _args(argv)
     spark = get_spark("tessera-build")
@@ -45,7 +46,7 @@ def main(argv=None) -> None:
     if a.tiles:
         if not a.grid:
             raise SystemExit("--tiles needs --grid")
-        grid = GridSpec(**json.loads(open(a.grid).read()))
+        grid = GridSpec(**json.loads("\n".join(r[0] for r in spark.read.text(a.grid).collect())))
         tiles = spark.read.parquet(a.tiles)
         years = (
             [int(y) for y in a.years.split(",")]
@@ -60,21 +61,23 @@ def main(argv=None) -> None:
         from ..operators.analytics import pop_columns
 
         years = [int(y) for y in a.years.split(",")] if a.years else [int(c[4:]) for c in pop_columns(pixels)]
-        grid = GridSpec(-180.0, 90.0, 0.0, 0.0, 0, 0, nodata=a.nodata)
+        nodata = None if a.nodata.lower() == "none" else float(a.nodata)
+        grid = GridSpec(-180.0, 90.0, 0.0, 0.0, 0, 0, nodata=nodata, crs=a.crs)
+    grid.check_geographic()
     if a.dry_run:
         plan = plan_index(spark, years, res)
         print(f"Dry run: {plan.count()} windows x {len(years)} years x {len(res)} resolutions")
         plan.show(5, truncate=False)
         return
     if a.resumable:
-        from ..sinks.parquet import write_index
-        from ..streaming.resumable import run_resumable
+        from ..streaming.resumable import resumable_build
 
-        work = os.path.join(checkpoint_root(spark), f"resumable-{a.scenario}")
-        idx = run_resumable(spark, a.pixels, pixels.schema, [pop_col(y) for y in years], res, a.nodata, work)
-        write_index(idx, a.out, a.scenario)
-        return
-    out = build_population_index(spark, pixels, grid, years, a.out, a.scenario, res, system=a.system)
+        inputs = f"{a.tiles or a.pixels} {listing_key(spark, a.tiles or a.pixels)}"
+        out = resumable_build(
+            spark, pixels, inputs, grid, years, a.out, a.scenario, res, a.system, pixel_dir=None if a.tiles else a.pixels
+        )
+    else:
+        out = build_population_index(spark, pixels, grid, years, a.out, a.scenario, res, system=a.system)
     for r in out.groupBy("h3_res").count().orderBy("h3_res").collect():
         print(f"  res {r['h3_res']:2d}: {r['count']:12d} cells")
 

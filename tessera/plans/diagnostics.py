@@ -4,8 +4,8 @@
 
 One Spark job per report, over all resolutions at once (the per-file loop
 becomes a ``groupBy("h3_res")``): file listing with sizes (S10), schema
-(S8), extent statistics (A4), population statistics for the first four
-year columns (S9, A5), the ten most populated cells of the coarsest
+(S8), extent statistics (A4), population statistics for every year
+column (S9, A5), the ten most populated cells of the coarsest
 resolution with density (O2, F13) and the footer audit (S11).
 """
 
@@ -18,17 +18,19 @@ from pyspark.sql import functions as F
 
 from ..functions import cells
 from ..operators import analytics as A
-from ..sources.index_reader import describe, list_files, read_index
+from ..sources.index_reader import cell_system, describe, list_files, read_index
 from ..sources.layout import layout_audit
 
 # --- fixed values of the report ---------------------------------------------------------
-STATS_COLUMNS = 4  # population statistics for the first four year columns
 TOP_CELLS = 10
 # ------------------------------------------------------------------------------------------
 
 
 def run_diagnostics(spark: SparkSession, base: str, scenario: str = "SSP2") -> dict[str, DataFrame]:
     """Lazy report frames, keyed by section."""
+    system = cell_system(spark, base, scenario)
+    if system not in (None, "hex"):
+        raise ValueError(f"the index at {base} has ids of the system {system!r}; its cells can't be decoded here")
     idx = read_index(spark, base, scenario)
     pops = A.pop_columns(idx)
     coarsest = idx.agg(F.min("h3_res")).first()[0]  # one number, from partition values
@@ -50,7 +52,7 @@ def run_diagnostics(spark: SparkSession, base: str, scenario: str = "SSP2") -> d
         "files": list_files(spark, base),
         "schema": describe(spark, idx.drop("scenario")),
         "extent": A.extent_stats(idx),
-        "population": A.population_stats(idx, pops[:STATS_COLUMNS]),
+        "population": A.population_stats(idx, pops),
         "top_cells": top,
         "layout": layout_audit(list_files(spark, base)),
     }

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from ..functions import cells
-from ..sources.grid import LAT_MIN, LON_MIN, WINDOW_ID_FORMAT, WINDOW_SIZE_DEG, n_windows
-from . import queries as Q
 from .oracle_sql import (
     NODATA,
     PIXEL_VIEW,
     POP,
+    SIX_YEARS,
     VALID,
     area,
     assign,
+    cells,
     continent,
     d,
     float_div,
@@ -27,10 +26,17 @@ from .oracle_sql import (
     res_of,
 )
 
-ALL = Q.ALL_RES
-RES = Q.RES
+# Parameters of the queries and the window lattice, stated again.
+ALL = [1, 2, 3, 4, 5, 6, 7, 8]
+RES = 5
 POPS = ", ".join(POP)
-N_LON, N_LAT = n_windows()
+WINDOW_SIZE_DEG, LON_MIN, LAT_MIN = 5.0, -180.0, -90.0
+N_LON, N_LAT = 72, 36
+WINDOW_ID_FORMAT = "w_%+08.1f_%+07.1f"
+BBOX_MAIN = (20.0, 35.0, 68.0, 90.0)
+BBOX_LIMITED = (35.0, 45.0, -10.0, 5.0)
+BBOX_FIXTURE = (-30.0, 30.0, 55.0, 70.0)
+HEIGHT, WIDTH, STEP = 720, 1440, 0.25
 
 
 def _win_cols(lon_idx: str, lat_idx: str) -> str:
@@ -107,7 +113,7 @@ def _resume() -> str:
     )
     return (
         f"WITH pw AS ({pw}) SELECT win_id, west, south, n_valid FROM pw "
-        f"WHERE win_id NOT IN (SELECT win_id FROM pw WHERE west < {Q.RESUME_DONE_WEST_BELOW})"
+        f"WHERE win_id NOT IN (SELECT win_id FROM pw WHERE west < {0.0})"
     )
 
 
@@ -144,7 +150,7 @@ def _topk_population() -> str:
     return (
         f"SELECT h3_index, {hex_str()} AS h3_hex, lat, lng, {POPS}, "
         f"{float_div('pop_2100', 'pop_2025')} AS growth_ratio FROM ({_attrs()}) a "
-        f"ORDER BY pop_2025 DESC, h3_index LIMIT {Q.TOPK_POP}"
+        f"ORDER BY pop_2025 DESC, h3_index LIMIT {20}"
     )
 
 
@@ -152,15 +158,15 @@ def _topk_density() -> str:
     return (
         f"SELECT {hex_str()} AS h3_index, lat, lng AS lon, area_km2, pop_2025, "
         f"{float_div('pop_2025', 'area_km2')} AS density_per_km2 FROM ({_attrs()}) a "
-        f"ORDER BY pop_2025 DESC, a.h3_index LIMIT {Q.TOPK_DENSITY}"
+        f"ORDER BY pop_2025 DESC, a.h3_index LIMIT {10}"
     )
 
 
 def _growth() -> str:
     return (
         f"SELECT h3_index, lat, lng, pop_2025, pop_2100, {float_div('pop_2100', 'pop_2025')} AS growth_ratio "
-        f"FROM ({_attrs()}) a WHERE pop_2025 > {Q.GROWTH_MIN_POP} "
-        f"ORDER BY growth_ratio DESC, h3_index LIMIT {Q.TOPK_POP}"
+        f"FROM ({_attrs()}) a WHERE pop_2025 > {400.0} "
+        f"ORDER BY growth_ratio DESC, h3_index LIMIT {20}"
     )
 
 
@@ -191,42 +197,73 @@ def _pop_stats() -> str:
     )
 
 
-def _grid_stats() -> str:
-    from ..operators.inspect import center_window
+YEARS_6 = [2025, 2030, 2040, 2050, 2060, 2100]
+
 
-    g = Q.FIXTURE_GRID
-    r0, c0, size = center_window(g)
+def _grid_stats() -> str:
+    r0, c0, size = HEIGHT // 2 - 360, WIDTH // 2 - 360, 720  # min(1000, height, width)
     total = size * size
-    years = Q.FIXTURE_YEARS[:5]
     parts = " UNION ALL ".join(
-        f"SELECT {i + 1} AS band, {y} AS year, CAST(pop_{y} AS DOUBLE) AS value FROM win"
-        for i, y in enumerate(years)
+        f"SELECT {i + 1} AS band, {y} AS year, CASE WHEN isfinite(pop_{y}) AND pop_{y} <> {NODATA} "
+        f"THEN CAST(pop_{y} AS DOUBLE) END AS value FROM win"
+        for i, y in enumerate(YEARS_6)
     )
     return (
-        f"WITH win AS (SELECT * FROM ({PIXEL_VIEW}) p WHERE r BETWEEN {r0} AND {r0 + size - 1} "
+        f"WITH win AS (SELECT * FROM ({SIX_YEARS}) p WHERE r BETWEEN {r0} AND {r0 + size - 1} "
         f"AND c BETWEEN {c0} AND {c0 + size - 1}) "
-        "SELECT band, year, CAST(min(value) AS FLOAT) AS min, CAST(max(value) AS FLOAT) AS max, "
+        "SELECT b.band, b.year, CAST(min(value) AS FLOAT) AS min, CAST(max(value) AS FLOAT) AS max, "
         "CAST(avg(value) AS FLOAT) AS mean, CAST(stddev_pop(value) AS FLOAT) AS std, "
-        f"count(*) AS n_valid, CAST({total} AS BIGINT) AS n_total, "
-        f"CAST(CAST(count(*) AS DOUBLE) * {d(100.0)} / {d(float(total))} AS FLOAT) AS pct_valid "
-        f"FROM ({parts}) l WHERE value <> {d(float(g.nodata))} AND isfinite(value) GROUP BY band, year"
+        f"count(value) AS n_valid, CAST({total} AS BIGINT) AS n_total, "
+        f"CAST(CAST(count(value) AS DOUBLE) * {d(100.0)} / {d(float(total))} AS FLOAT) AS pct_valid "
+        f"FROM (VALUES {', '.join(f'({i + 1}, {y})' for i, y in enumerate(YEARS_6))}) b(band, year) "
+        f"LEFT JOIN ({parts}) l ON l.band = b.band GROUP BY b.band, b.year"
     )
 
 
 def _sample_points() -> str:
-    g = Q.FIXTURE_GRID
-    h, w, k = g.height, g.width, 10
+    h, w, k = HEIGHT, WIDTH, 10
     pts = [("Center", h // 2, w // 2), ("Top-left", k, k), ("Top-right", k, w - k), ("Bot-left", h - k, k), ("Bot-right", h - k, w - k)]
     vals = ", ".join(f"('{a}', {b}, {c})" for a, b, c in pts)
-    cols = ", ".join(f"coalesce(v.{c}, {NODATA}) AS {c}" for c in POP)
+    cols = ", ".join(f"coalesce(v.pop_{y}, {NODATA}) AS pop_{y}" for y in YEARS_6)
     return (
         f"SELECT p.label, CAST(p.r AS BIGINT) AS r, CAST(p.c AS BIGINT) AS c, "
-        f"{d(g.origin_lat)} - (CAST(p.r AS DOUBLE) + {d(0.5)}) * {d(g.dy)} AS lat, "
-        f"{d(g.origin_lon)} + (CAST(p.c AS DOUBLE) + {d(0.5)}) * {d(g.dx)} AS lon, {cols} "
-        f"FROM (VALUES {vals}) p(label, r, c) LEFT JOIN ({PIXEL_VIEW}) v ON v.r = p.r AND v.c = p.c"
+        f"{d(90.0)} - (CAST(p.r AS DOUBLE) + {d(0.5)}) * {d(STEP)} AS lat, "
+        f"{d(-180.0)} + (CAST(p.c AS DOUBLE) + {d(0.5)}) * {d(STEP)} AS lon, {cols} "
+        f"FROM (VALUES {vals}) p(label, r, c) LEFT JOIN ({SIX_YEARS}) v ON v.r = p.r AND v.c = p.c"
+    )
+
+
+def _tile_conservation() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT {y} AS year, CASE WHEN isfinite(pop_{y}) AND pop_{y} <> {NODATA} THEN CAST(pop_{y} AS DOUBLE) END AS v "
+        f"FROM ({PIXEL_VIEW}) p"
+        for y in (2025, 2050, 2100)
+    )
+    return (
+        "SELECT year, count(v) AS n_pixels, sum(v) AS total_pixels, count(v) AS n_tiles, sum(v) AS total_tiles "
+        f"FROM ({parts}) t GROUP BY year"
     )
 
 
+def _half_even() -> str:
+    src = _pixel_windows(VALID, "pop_2025, pop_2050, pop_2100")
+    return (
+        "SELECT win_id, sum(CAST(pop_2025 AS DOUBLE) * 0.5::DOUBLE) AS half_2025, "
+        "CAST(sum(CAST(pop_2025 AS DOUBLE) * 0.5::DOUBLE) AS BIGINT) AS total_2025, "
+        f"CAST(sum(CAST(pop_2100 AS DOUBLE) * 0.5::DOUBLE) AS BIGINT) AS total_2100 FROM ({src}) s GROUP BY win_id"
+    )
+
+
+def _wkb(lng_e: str, lat_e: str) -> str:
+    """Little-endian WKB of a point as upper-case hex: the bytes of each double in reverse."""
+
+    def little(e: str) -> str:
+        big = f"hex(CAST(CAST(CAST({e} AS DOUBLE) AS BIT) AS BLOB))"
+        return " || ".join(f"substr({big}, {2 * i + 1}, 2)" for i in range(7, -1, -1))
+
+    return f"'01' || '01000000' || {little(lng_e)} || {little(lat_e)}"
+
+
 ORACLE = {
     "valid_pixels": VALID,
     "pixel_mask_counts": _mask_counts(),
@@ -253,22 +290,33 @@ ORACLE = {
     "topk_population": _topk_population(),
     "topk_density": _topk_density(),
     "growth_hotspots": _growth(),
-    "bbox_cells": _bbox(Q.BBOX_MAIN),
-    "bbox_cells_fixture": _bbox(Q.BBOX_FIXTURE),
-    "bbox_limit": f"SELECT h3_index, pop_2025, pop_2050 FROM ({_bbox(Q.BBOX_LIMITED)}) b ORDER BY h3_index LIMIT {Q.BBOX_LIMIT}",
+    "bbox_cells": _bbox(BBOX_MAIN),
+    "bbox_cells_fixture": _bbox(BBOX_FIXTURE),
+    "bbox_limit": f"SELECT h3_index, pop_2025, pop_2050 FROM ({_bbox(BBOX_LIMITED)}) b ORDER BY h3_index LIMIT {100}",
     "continent_totals": _continents(),
     "extent_stats": _extent(),
     "population_stats": _pop_stats(),
     "grid_stats_center": _grid_stats(),
     "sample_points": _sample_points(),
+    "tile_conservation": _tile_conservation(),
+    "half_even_totals": _half_even(),
+    "cell_points": f"SELECT h3_index, {_wkb('lng', 'lat')} AS wkb_hex FROM ({_attrs()}) a",
+    "index_file_ranges": (
+        "SELECT h3_res, count(*) AS n_cells, min(h3_index) AS min_id, max(h3_index) AS max_id, "
+        f"CAST(0 AS BIGINT) AS n_overlaps, TRUE AS files_sorted FROM ({IDX_ALL}) i GROUP BY h3_res"
+    ),
+    "metadata_json": (
+        "SELECT 'SSP2' AS scenario, 'EPSG:4326' AS crs, 'hex' AS cell_system, '2025,2050,2100' AS years, "
+        f"CAST(h3_res AS INTEGER) AS h3_res, count(*) AS n_cells FROM ({IDX_ALL}) i GROUP BY h3_res"
+    ),
     "index_written_readback": f"SELECT h3_index, {POPS} FROM ({IDX5}) i",
-    "bbox_written": _bbox(Q.BBOX_FIXTURE),
+    "bbox_written": _bbox(BBOX_FIXTURE),
     "index_resumable": IDX_ALL,
     "sql_continent_totals": _continents(),
     "pub_topk_population": _topk_population(),
     "pub_growth_hotspots": _growth(),
     "pub_continent_totals": _continents(),
-    "pub_bbox_cells": _bbox(Q.BBOX_MAIN),
+    "pub_bbox_cells": _bbox(BBOX_MAIN),
     "pub_extent_stats": _extent(),
     "pub_population_stats": _pop_stats(),
     "pub_cell_attributes": f"SELECT *, {hex_str()} AS h3_hex FROM ({_attrs()}) a",

@@ -3,9 +3,9 @@
 The reference workload runs its pipeline once and then answers queries from
 the published files. ``published_base`` runs the index build job on the
 pixel fixture of ``sf_dir`` into the shared checkpoint folder the first time
-it is asked, and returns the same folder afterwards -- keyed by the input
-file's path, length and modification time (read through the Hadoop
-FileSystem), so a changed input is rebuilt, never served stale.
+it is asked, and returns the same folder afterwards -- keyed by the listing
+of the input's files (paths, lengths, modification times), so a changed input
+is rebuilt, never served stale.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 from ..sources.fixture import FIXTURE_GRID, FIXTURE_SCENARIO, FIXTURE_YEARS, pixel_view
-from ..sources.index_reader import read_index
+from ..sources.index_reader import listing_key, read_index
 
 PUBLISHED_RESOLUTIONS = [1, 2, 3, 4, 5, 6, 7, 8]
 
@@ -26,10 +26,9 @@ _BUILT: dict = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, "orders.parquet"))
-    st = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
-    return (spark.sparkContext.applicationId, str(st.getPath()), st.getLen(), st.getModificationTime())
+    """The application and the listing of the input: one file, or all files of a folder."""
+    path = os.path.join(sf_dir, "orders.parquet")
+    return (spark.sparkContext.applicationId, path, listing_key(spark, path, "*"))
 
 
 def published_base(spark: SparkSession, sf_dir: str) -> str:
@@ -59,10 +58,10 @@ def published_base(spark: SparkSession, sf_dir: str) -> str:
 
 def published_resolution(spark: SparkSession, sf_dir: str, res: int) -> DataFrame:
     """One resolution of the published index: ``h3_index, pop_*`` (partition-pruned read)."""
-    idx = read_index(spark, published_base(spark, sf_dir), FIXTURE_SCENARIO, res)
+    idx = read_index(spark, published_base(spark, sf_dir), FIXTURE_SCENARIO, res, FIXTURE_YEARS)
     return idx.drop("scenario", "h3_res")
 
 
 def published_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every resolution: ``h3_res, h3_index, pop_*``."""
-    return read_index(spark, published_base(spark, sf_dir), FIXTURE_SCENARIO).drop("scenario")
+    return read_index(spark, published_base(spark, sf_dir), FIXTURE_SCENARIO, years=FIXTURE_YEARS).drop("scenario")

@@ -1,4 +1,8 @@
-"""Registered queries: each takes ``(spark, sf_dir)`` and returns a lazy DataFrame.
+"""Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
+
+Most are lazy. Those that show a writer or the published index (``*_written*``,
+``index_resumable``, ``index_file_ranges``, ``metadata_json``, ``pub_*``) run the job
+that writes it first and return what is read back.
 
 Inputs are the driver tables: the pixel fixture is derived from ``orders``
 (``tessera.sources.fixture``), so every query's work grows with the data.
@@ -7,25 +11,26 @@ Names follow the operator ids of the survey (in brackets).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cells
+from ..functions.num import round_to_bigint, sql_float_div, sql_is_finite
 from ..operators import analytics as A
 from ..operators import index as X
 from ..operators import inspect as I
-from ..operators.mask import apply_mask, mask_counts
+from ..operators.mask import apply_mask, mask_counts, sql_is_nodata
 from ..sinks import manifest as M
-from ..sources.fixture import FIXTURE_GRID, FIXTURE_SCENARIO, FIXTURE_YEARS, pixel_view
+from ..sources.fixture import FIXTURE_GRID, FIXTURE_SCENARIO, FIXTURE_YEARS, FIXTURE_YEARS_6, pixel_view
 from ..sources.grid import (
     pixels_to_tiles,
     stack_years,
+    tiles_to_pixels,
     tiles_to_wide_pixels,
     unstack_years,
     window_lattice,
     window_columns,
     window_index,
-    window_of,
 )
 
 # --- fixed parameters of the registered queries ------------------------------------------
@@ -199,48 +204,55 @@ def cell_boundary(spark, sf):
 # --- analytics on the index ---------------------------------------------------------------
 
 
-def topk_population(spark, sf):
-    """[O2, F12, G3] most populated cells with growth ratio."""
-    df = _index_attrs(spark, sf).select(
+def _top_population(idx: DataFrame) -> DataFrame:
+    """The k best first (id and values only), attributes for those rows."""
+    best = A.top_k(idx.select("h3_index", *POP), "pop_2025", TOPK_POP)
+    return best.select(
         "h3_index",
         cells.cell_to_string("h3_index").alias("h3_hex"),
-        "lat",
-        "lng",
+        cells.cell_lat("h3_index", RES).cast("float").alias("lat"),
+        cells.cell_lng("h3_index", RES).cast("float").alias("lng"),
         *POP,
         A.growth_ratio("pop_2100", "pop_2025").alias("growth_ratio"),
     )
-    return A.top_k(df, "pop_2025", TOPK_POP)
+
+
+def _growth_hotspots(idx: DataFrame) -> DataFrame:
+    ratio = A.growth_ratio("pop_2100", "pop_2025").alias("growth_ratio")
+    grown = idx.where(F.col("pop_2025") > F.lit(GROWTH_MIN_POP)).select("h3_index", "pop_2025", "pop_2100", ratio)
+    return A.top_k(grown, "growth_ratio", TOPK_POP).select(
+        "h3_index",
+        cells.cell_lat("h3_index", RES).cast("float").alias("lat"),
+        cells.cell_lng("h3_index", RES).cast("float").alias("lng"),
+        "pop_2025",
+        "pop_2100",
+        "growth_ratio",
+    )
+
+
+def topk_population(spark, sf):
+    """[O2, F12, G3] most populated cells with growth ratio."""
+    return _top_population(_index(spark, sf))
 
 
 def topk_density(spark, sf):
     """[O2, F13] most populated cells with density per km^2 (legacy columns)."""
-    df = _index_attrs(spark, sf).select(
+    best = A.top_k(_index(spark, sf).select("h3_index", "pop_2025"), "pop_2025", TOPK_DENSITY)
+    area = f"CAST({cells.sql_cell_area('h3_index', RES)} AS FLOAT)"
+    # one projection, which the top-k applies to its k rows
+    return best.select(
         cells.cell_to_string("h3_index").alias("h3_index"),
-        "lat",
-        F.col("lng").alias("lon"),
-        "area_km2",
+        cells.cell_lat("h3_index", RES).cast("float").alias("lat"),
+        cells.cell_lng("h3_index", RES).cast("float").alias("lon"),
+        F.expr(area).alias("area_km2"),
         "pop_2025",
-        A.density("pop_2025", "area_km2").alias("density_per_km2"),
-        F.col("h3_index").alias("_id"),
+        F.expr(sql_float_div("pop_2025", area)).alias("density_per_km2"),
     )
-    return A.top_k(df, "pop_2025", TOPK_DENSITY, tie="_id").drop("_id")
 
 
 def growth_hotspots(spark, sf):
     """[O3, F10, F12] fastest-growing cells above a population threshold."""
-    df = (
-        _index_attrs(spark, sf)
-        .where(F.col("pop_2025") > F.lit(GROWTH_MIN_POP))
-        .select(
-            "h3_index",
-            "lat",
-            "lng",
-            "pop_2025",
-            "pop_2100",
-            A.growth_ratio("pop_2100", "pop_2025").alias("growth_ratio"),
-        )
-    )
-    return A.top_k(df, "growth_ratio", TOPK_POP)
+    return _growth_hotspots(_index(spark, sf))
 
 
 def _bbox(spark, sf, box):
@@ -288,7 +300,7 @@ def population_stats(spark, sf):
 
 def grid_stats_center(spark, sf):
     """[A9] centre-window value statistics of the raster (doubles as FLOAT)."""
-    st = I.grid_stats_center(_pixels(spark, sf), FIXTURE_GRID, FIXTURE_YEARS)
+    st = I.grid_stats_center(pixel_view(spark, sf, six_years=True), FIXTURE_GRID, FIXTURE_YEARS_6)
     return st.select(
         "band",
         "year",
@@ -303,8 +315,37 @@ def grid_stats_center(spark, sf):
 
 
 def sample_points_q(spark, sf):
-    """[O7] values at the centre and near-corner pixels, first three years."""
-    return I.sample_points(spark, _pixels(spark, sf), FIXTURE_GRID, FIXTURE_YEARS)
+    """[O7] values at the centre and near-corner pixels, every year."""
+    return I.sample_points(spark, pixel_view(spark, sf, six_years=True), FIXTURE_GRID, FIXTURE_YEARS_6)
+
+
+def tile_conservation(spark, sf):
+    """[S3, F17] per year: valid values and their total, in the pixels and read back from tiles."""
+    long = unstack_years(_pixels(spark, sf), ["r", "c"], FIXTURE_YEARS)
+    tiles = tiles_to_pixels(pixels_to_tiles(long, TILE, NODATA), FIXTURE_GRID, TILE)
+    ok = F.expr(f"CASE WHEN {sql_is_finite('value')} AND NOT {sql_is_nodata('value', NODATA)} THEN CAST(value AS DOUBLE) END")
+    sums = lambda df, name: df.groupBy("year").agg(F.count(ok).alias(f"n_{name}"), F.sum(ok).alias(f"total_{name}"))
+    return sums(long, "pixels").join(sums(tiles, "tiles"), "year")
+
+
+def half_even_totals(spark, sf):
+    """halves summed per window and rounded half to even."""
+    win = _valid(spark, sf).select(window_index("lat", "lon").alias("win_idx"), *POP)
+    half = lambda p: F.sum(F.col(p).cast("double") * F.lit(0.5))
+    sums = win.groupBy("win_idx").agg(
+        half("pop_2025").alias("half_2025"),
+        round_to_bigint(half("pop_2025")).alias("total_2025"),
+        round_to_bigint(half("pop_2100")).alias("total_2100"),
+    )
+    return sums.select(window_columns("win_idx")[0], "half_2025", "total_2025", "total_2100")
+
+
+def cell_points(spark, sf):
+    """[K8, G8] the centre of every cell as a WKB point (hex), from FLOAT coordinates."""
+    from ..functions.geometry import point_wkb
+
+    p = _index_attrs(spark, sf).select("h3_index", F.col("lng").cast("double").alias("x"), F.col("lat").cast("double").alias("y"))
+    return p.select("h3_index", F.hex(point_wkb(F.col("x"), F.col("y"))).alias("wkb_hex"))
 
 
 QUERIES = {
@@ -335,13 +376,16 @@ QUERIES = {
     "population_stats": population_stats,
     "grid_stats_center": grid_stats_center,
     "sample_points": sample_points_q,
+    "tile_conservation": tile_conservation,
+    "half_even_totals": half_even_totals,
+    "cell_points": cell_points,
 }
 
 
 # --- written index, resumable build, layout ---------------------------------------------------
 
-STREAM_PIXEL_FILES = 12  # pixel files staged for the resumable build (whole windows per file)
-STREAM_FILES_PER_BATCH = 4
+STREAM_FILE_ROWS = 4_000  # rows a staged pixel file; their number grows with the data
+STREAM_BATCH_BYTES = 512 << 10  # bytes a micro-batch takes
 
 
 def _written_index(spark, sf):
@@ -385,31 +429,53 @@ def index_resumable(spark, sf):
     from ..streaming.resumable import run_resumable
 
     work = scratch_path(spark, "resumable")
-    px = _pixels(spark, sf).select("pixel_id", "lat", "lon", *POP, *window_of("lat", "lon")[:1])
     staged = f"{work}/pixels"
-    px.repartition(STREAM_PIXEL_FILES, "win_id").write.parquet(staged)
+    _pixels(spark, sf).select("pixel_id", "lat", "lon", *POP).write.option("maxRecordsPerFile", STREAM_FILE_ROWS).parquet(staged)
     schema = spark.read.parquet(staged).schema
-    return run_resumable(
-        spark, staged, schema, POP, ALL_RES, NODATA, work, max_files_per_trigger=STREAM_FILES_PER_BATCH
-    )
+    return run_resumable(spark, staged, schema, POP, ALL_RES, NODATA, work, max_bytes_per_trigger=STREAM_BATCH_BYTES)
 
 
-def layout_audit(spark, sf):
-    """[S10, S11] footers of the published index: one row per (file, row group, column)."""
-    from ..sources.index_reader import list_files
-    from ..sources.layout import layout_audit as audit
-    from .published import published_base
+def index_file_ranges(spark, sf):
+    """[S10, O1, K2] id ranges of the published files: per resolution the cells, their range, how many
+    files begin before the one ahead ends, and whether every file is sorted."""
+    from .published import published_all
 
-    return audit(list_files(spark, published_base(spark, sf)))
+    rows = published_all(spark, sf).select(
+        "h3_res", "h3_index", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")
+    )
+    # ids are unique, so a file is sorted when order by id and by place agree: compare each row's neighbours in it
+    nth = Window.partitionBy("h3_res", "file").orderBy("place")
+    late = (F.col("h3_index") <= F.lag("h3_index").over(nth)).cast("int")
+    files = (
+        rows.withColumn("late", F.coalesce(late, F.lit(0)))
+        .groupBy("h3_res", "file")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("h3_index").alias("lo"), F.max("h3_index").alias("hi"), F.sum("late").alias("late"))
+    )
+    before = F.max("hi").over(Window.partitionBy("h3_res").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        files.withColumn("over", F.coalesce((F.col("lo") <= before).cast("long"), F.lit(0)))
+        .groupBy("h3_res")
+        .agg(
+            F.sum("n").alias("n_cells"),
+            F.min("lo").alias("min_id"),
+            F.max("hi").alias("max_id"),
+            F.sum("over").alias("n_overlaps"),
+            (F.sum("late") == 0).alias("files_sorted"),
+        )
+    )
 
 
 def metadata_json(spark, sf):
-    """[K4] the metadata document the index job wrote, read back."""
+    """[K4] what the metadata document of the index job says, one row per resolution."""
     from .build import METADATA_NAME
     from .published import published_base
 
     base = published_base(spark, sf)
-    return spark.read.json(f"{base}/scenario={FIXTURE_SCENARIO}/{METADATA_NAME}")
+    schema = "scenario string, crs string, cell_system string, years array<int>, cells_per_resolution map<string, bigint>"
+    doc = spark.read.schema(schema).json(f"{base}/scenario={FIXTURE_SCENARIO}/{METADATA_NAME}")
+    return doc.select(
+        "scenario", "crs", "cell_system", F.array_join("years", ",").alias("years"), F.explode("cells_per_resolution").alias("res", "n_cells")
+    ).select("scenario", "crs", "cell_system", "years", F.col("res").cast("int").alias("h3_res"), "n_cells")
 
 
 QUERIES.update(
@@ -417,7 +483,7 @@ QUERIES.update(
         "index_written_readback": index_written_readback,
         "bbox_written": bbox_written,
         "index_resumable": index_resumable,
-        "layout_audit": layout_audit,
+        "index_file_ranges": index_file_ranges,
         "metadata_json": metadata_json,
     }
 )
@@ -481,26 +547,12 @@ def _pub(spark, sf, res=RES):
 
 def pub_topk_population(spark, sf):
     """[S5, O2, F12] top cells read from the published index."""
-    df = _float_attrs(_pub(spark, sf), RES).select(
-        "h3_index",
-        cells.cell_to_string("h3_index").alias("h3_hex"),
-        "lat",
-        "lng",
-        *POP,
-        A.growth_ratio("pop_2100", "pop_2025").alias("growth_ratio"),
-    )
-    return A.top_k(df, "pop_2025", TOPK_POP)
+    return _top_population(_pub(spark, sf))
 
 
 def pub_growth_hotspots(spark, sf):
     """[S5, O3, F10, F12] growth hotspots on the published index."""
-    df = (
-        _float_attrs(_pub(spark, sf), RES)
-        .where(F.col("pop_2025") > F.lit(GROWTH_MIN_POP))
-        .select("h3_index", "lat", "lng", "pop_2025", "pop_2100",
-                A.growth_ratio("pop_2100", "pop_2025").alias("growth_ratio"))
-    )
-    return A.top_k(df, "growth_ratio", TOPK_POP)
+    return _growth_hotspots(_pub(spark, sf))
 
 
 def pub_continent_totals(spark, sf):

@@ -5,9 +5,7 @@ in shared storage. ``run_key`` fingerprints everything that changes the
 output (scenario, years, resolutions, grid, input listing), so a finished
 run of one configuration is never reused by another.
 
-Size bound: a run has one row per lattice window (2,592 at 5 degrees) and
-status, so the rows of one run_key are bounded by the lattice, independent
-of the data volume -- which is what makes broadcasting them safe.
+A run has one row per lattice window and status.
 """
 
 from __future__ import annotations
@@ -32,7 +30,7 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-def run_key(scenario: str, years, resolutions, grid, inputs: str) -> str:
+def run_key(scenario: str, years, resolutions, grid, inputs: str, system: str = "hex") -> str:
     """Fingerprint of a run configuration (small, computed on the driver)."""
     payload = {
         "scenario": scenario,
@@ -40,8 +38,9 @@ def run_key(scenario: str, years, resolutions, grid, inputs: str) -> str:
         "resolutions": sorted(int(r) for r in resolutions),
         "grid": asdict(grid) if is_dataclass(grid) else grid,
         "inputs": inputs,
+        "system": system,
     }
-    return hashlib.sha256(json.dumps(payload, sort_keys=True).encode()).hexdigest()[:16]
+    return hashlib.sha256(json.dumps(payload, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
 
 def manifest_rows(win_ids: DataFrame, key: str, status: str) -> DataFrame:
@@ -65,11 +64,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def pending_windows(windows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
     """K6: windows not yet recorded for this run (left anti join).
 
-    The finished set of one run is bounded by the lattice size (see module
-    doc), so it is broadcast: the window table is never shuffled.
+    Both sides have at most one row per lattice window; how they are joined
+    is left to Spark.
     """
     finished = manifest.where(F.col("run_key") == F.lit(key)).select("win_id").distinct()
-    return windows.join(F.broadcast(finished), "win_id", "left_anti")
+    return windows.join(finished, "win_id", "left_anti")
 
 
 def window_outcomes(lattice: DataFrame, per_window: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def write_pixel_table(pixels: DataFrame, path: str, lat: str = "lat", lon: str =
 
     clustered = (
         pixels.withColumn("_win", window_index(lat, lon))
-        .repartitionByRange("_win")
+        .repartitionByRange("_win", F.col(lat).desc(), lon)  # a hot window is split
         .sortWithinPartitions("_win", F.col(lat).desc(), lon)
         .drop("_win")
     )

@@ -37,8 +37,15 @@ def catalog_from_paths(paths: DataFrame) -> DataFrame:
     )
 
 
-def discover_rasters(spark: SparkSession, root: str, glob: str = RASTER_GLOB) -> DataFrame:
-    """Recursive listing under ``root`` -> catalog (lazy)."""
+def discover_rasters(
+    spark: SparkSession, root: str, glob: str = RASTER_GLOB, bands: DataFrame | None = None
+) -> DataFrame:
+    """Recursive listing under ``root`` -> catalog (lazy).
+
+    ``bands`` (``path, band, description`` of multi-band files, see
+    ``multiband_catalog``) is used for the files found when no file name
+    holds a year.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -46,7 +53,11 @@ def discover_rasters(spark: SparkSession, root: str, glob: str = RASTER_GLOB) ->
         .load(root)
         .select("path")
     )
-    return catalog_from_paths(files)
+    named = catalog_from_paths(files)
+    if bands is None or not named.isEmpty():
+        return named
+    stems = files.select(file_stem("path").alias("stem"))
+    return multiband_catalog(bands.withColumn("stem", file_stem("path")).join(stems, "stem", "left_semi").drop("stem"))
 
 
 def multiband_catalog(bands: DataFrame) -> DataFrame:

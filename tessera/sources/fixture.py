@@ -28,8 +28,9 @@ FIXTURE_GRID = GridSpec(
     crs="EPSG:4326",
 )
 FIXTURE_YEARS = [2025, 2050, 2100]
+FIXTURE_YEARS_6 = [2025, 2030, 2040, 2050, 2060, 2100]  # with a year that has no valid value
 FIXTURE_SCENARIO = "SSP2"
-COLUMN_STRIDE = 481  # column step between consecutive 720-pixel runs of keys
+COLUMN_STRIDE = 89  # column step between consecutive 720-pixel runs of keys: runs lie all around the globe
 ORDERS_COLUMNS = "o_orderkey BIGINT, o_custkey BIGINT"
 # -------------------------------------------------------------------------------------
 
@@ -46,11 +47,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None =
     return r.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def pixel_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``pixel_id, r, c, lat, lon, pop_2025, pop_2050, pop_2100``.
+def pixel_view(spark: SparkSession, sf_dir: str, six_years: bool = False) -> DataFrame:
+    """``pixel_id, r, c, lat, lon, pop_2025, pop_2050, pop_2100``; ``six_years``: also
+    pop_2030 (nodata throughout), pop_2040 (halves) and pop_2060 (with infinities).
 
     Reads two columns of ``orders``; the expressions are the fixture SQL,
     parsed by Spark (one JVM call per column instead of one per operator).
+    The rows are dealt out here, whatever their number: a pixel table is many
+    files, ``orders`` is one row group and would be read by a single task.
     """
     g = FIXTURE_GRID
     o = read_table(spark, sf_dir, "orders", ORDERS_COLUMNS).selectExpr(
@@ -59,7 +63,13 @@ def pixel_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"o_orderkey % {g.height} AS r",
         f"(CAST(floor(o_orderkey / CAST({g.height} AS DOUBLE)) AS BIGINT) * {COLUMN_STRIDE}) % {g.width} AS c",
     )
-    return o.selectExpr(
+    more = [
+        "CAST(-99999 AS FLOAT) AS pop_2030",
+        "CAST(cust % 9 AS FLOAT) * CAST(0.5 AS FLOAT) AS pop_2040",
+        "CASE WHEN pixel_id % 83 = 0 THEN CAST('Infinity' AS FLOAT) ELSE CAST(cust % 50 AS FLOAT) END AS pop_2060",
+    ]
+    return o.repartition(spark.sparkContext.defaultParallelism).selectExpr(
+        *(more if six_years else []),
         "pixel_id",
         "r",
         "c",

@@ -14,6 +14,7 @@ read of a raster).
 
 from __future__ import annotations
 
+import re
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -21,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.num import sql_float_literal
+
 # --- fixed values of the processing grid ----------------------------------------
 WINDOW_SIZE_DEG = 5.0
 LAT_MIN, LAT_MAX = -90.0, 90.0
@@ -29,7 +32,35 @@ WINDOW_ID_FORMAT = "w_%+08.1f_%+07.1f"  # west, south
 DEFAULT_NODATA_FILL = -99999.0
 # ---------------------------------------------------------------------------------
 
-GEOGRAPHIC_CRS = {"EPSG:4326", "OGC:CRS84", "EPSG:4258", "EPSG:4269"}
+# --- fixed values: geographic (lat/lon degree) systems known by code
+GEOGRAPHIC_CRS = {
+    "EPSG:4326", "EPSG:4979", "EPSG:4258", "EPSG:4269", "EPSG:4267", "EPSG:4230", "EPSG:4277", "EPSG:4283",
+    "EPSG:7844", "EPSG:4490", "EPSG:4610", "EPSG:4612", "EPSG:6668", "EPSG:4674", "EPSG:4148", "EPSG:4167",
+    "EPSG:4171", "EPSG:4289", "EPSG:4314", "EPSG:4322", "EPSG:4617", "EPSG:9057", "EPSG:9000", "EPSG:10598",
+    "OGC:CRS84", "OGC:CRS83", "OGC:CRS27", "OGC:CRS84H", "WGS84", "WGS 84",
+}
+
+
+def crs_refusal(crs: str) -> str | None:
+    """Why a CRS is refused, or None for a geographic one.
+
+    Known codes, well-known text and PROJ strings are told apart by what they
+    say; a code that isn't known here is refused with the way to pass it.
+    """
+    text = " ".join(str(crs).split())
+    upper = text.upper().removeprefix("URN:OGC:DEF:CRS:").replace("::", ":")
+    if upper in GEOGRAPHIC_CRS:
+        return None
+    if upper.startswith(("GEOGCS[", "GEOGCRS[", "GEOGRAPHICCRS[")):
+        return None
+    if upper.startswith(("PROJCS[", "PROJCRS[", "PROJECTEDCRS[")):
+        return "it is projected, and cells need degrees"
+    if upper.startswith(("GEOCCS[", "GEODCRS[")):
+        return "it is geocentric, and cells need degrees"
+    if "+PROJ=" in upper:
+        return None if re.search(r"\+PROJ=(LONGLAT|LATLONG|LATLON|LONLAT)\b", upper) else "it is projected, and cells need degrees"
+    return "its code is not known to be geographic; pass its well-known text or a PROJ string"
+
 
 
 @dataclass(frozen=True)
@@ -45,13 +76,24 @@ class GridSpec:
     width: int
     nodata: float | None = DEFAULT_NODATA_FILL
     crs: str = "EPSG:4326"
+    tile: int | None = None  # side of the blocks of a tile table of this grid, pixels
 
     def check_geographic(self) -> "GridSpec":
         """a projected CRS gives wrong cells -- fail instead of warning."""
-        if self.crs.upper() not in GEOGRAPHIC_CRS:
-            raise ValueError(f"grid CRS {self.crs!r} is not geographic (lat/lon degrees)")
+        why = crs_refusal(self.crs)
+        if why:
+            raise ValueError(f"grid CRS {self.crs!r} is refused: {why}")
         return self
 
+    def tile_side(self, tile: int | None) -> int:
+        """The side of the blocks: the descriptor's, which an argument must not contradict."""
+        if tile is not None and self.tile is not None and tile != self.tile:
+            raise ValueError(f"tile side {tile} differs from the grid descriptor's {self.tile}")
+        side = self.tile if tile is None else tile
+        if not side or side < 1:
+            raise ValueError("the tile side is neither given nor in the grid descriptor")
+        return side
+
     def nodata_float32(self) -> float | None:
         """Nodata as the FLOAT the values are stored in (mask compares in FLOAT)."""
         if self.nodata is None:
@@ -73,6 +115,7 @@ class GridSpec:
                 T.StructField("width", T.IntegerType(), False),
                 T.StructField("nodata", T.FloatType(), True),
                 T.StructField("crs", T.StringType(), False),
+                T.StructField("tile", T.IntegerType(), True),
             ]
         )
         d = asdict(self)
@@ -177,6 +220,16 @@ def unstack_years(wide: DataFrame, keys: list[str], years: list[int]) -> DataFra
     return wide.select(*keys, F.expr(f"inline(array({structs}))"))
 
 
+def _one_per_year(value: str, years: list[int], largest: str) -> tuple[list[Column], dict[int, str]]:
+    """Aggregates that pick each year's value, and SQL that fails where a year came twice."""
+    aggs, picked = [], {}
+    for y in years:
+        aggs.append(F.expr(f"{largest}({value}) FILTER (WHERE year = {y})").alias(f"v_{y}"))
+        aggs.append(F.expr(f"count(1) FILTER (WHERE year = {y})").alias(f"n_{y}"))
+        picked[y] = f"CASE WHEN n_{y} > 1 THEN raise_error('year {y} came twice for one {{what}}') ELSE v_{y} END"
+    return aggs, picked
+
+
 def stack_years(
     long: DataFrame, keys: list[str], years: list[int], nodata: float | None
 ) -> DataFrame:
@@ -184,17 +237,19 @@ def stack_years(
 
     The year list is explicit (no extra pass to discover pivot values). A
     pixel missing in a year gets ``nodata`` (the boundless read fill) -- or
-    NULL when the grid has none; both are removed by the validity mask.
-    Duplicate years are rejected.
+    NULL when the grid has none; both are removed by the validity mask. A
+    year named twice is rejected; a pixel with two values for one year fails
+    the job.
     """
     if len(set(years)) != len(years):
         raise ValueError(f"duplicate years: {years}")
-    piv = long.groupBy(*keys).pivot("year", [int(y) for y in years]).agg(F.first("value"))
-    fill = None if nodata is None else F.lit(nodata).cast("float")
+    ys = [int(y) for y in years]
+    aggs, picked = _one_per_year("value", ys, "max")
+    piv = long.where(F.col("year").isin(ys)).groupBy(*keys).agg(*aggs)
     out = [F.col(k) for k in keys]
-    for y in years:
-        v = F.col(str(int(y))).cast("float")
-        out.append((F.coalesce(v, fill) if fill is not None else v).alias(pop_col(y)))
+    for y in ys:
+        v = f"CAST({picked[y].format(what='pixel')} AS FLOAT)"
+        out.append(F.expr(v if nodata is None else f"coalesce({v}, {sql_float_literal(nodata)})").alias(pop_col(y)))
     return piv.select(*out)
 
 
@@ -213,42 +268,61 @@ TILE_SCHEMA = T.StructType(
 def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFrame:
     """Long pixels ``(r, c, year, value)`` -> dense tile table, gaps = nodata.
 
-    Native throughout: duplicates of a (year, pixel) are collapsed map-side
-    (the largest value wins), then each (year, tile) collects its at most
-    ``tile**2`` (position, value) entries, sorts them and expands them into
-    the dense block by emitting a run of fill values before each entry --
-    O(tile**2) per tile with higher-order functions, no Python worker. Group
-    size is bounded by the tile, whatever the data size or skew.
+    Pixels are dealt by tile once; grouping by (year, tile) here and by tile in
+    the reader both hold on that partitioning, so the pixel data moves once.
+    Each (year, tile) collects its at most ``tile**2`` (position, value)
+    entries, sorts them and expands them into the dense block by emitting a run
+    of fill values before each entry -- O(tile**2) per tile with higher-order
+    functions, no Python worker.
+
+    A (year, pixel) that comes twice and a pixel left of or above the grid fail
+    the job: nothing is picked or dropped.
     """
-    fill = "CAST('NaN' AS FLOAT)" if nodata is None else f"CAST({float(nodata)!r}D AS FLOAT)"
+    fill = sql_float_literal(float("nan") if nodata is None else nodata)
     n = tile * tile
     keyed = long.selectExpr(
         "CAST(year AS INT) AS year",
         f"CAST(r DIV {tile} AS INT) AS tile_row",
         f"CAST(c DIV {tile} AS INT) AS tile_col",
-        f"CAST((r % {tile}) * {tile} + (c % {tile}) AS INT) AS pos",
+        "CASE WHEN r >= 0 AND c >= 0 AND year IS NOT NULL "
+        f"THEN CAST((r % {tile}) * {tile} + (c % {tile}) AS INT) "
+        "ELSE raise_error('pixel outside the grid: its row, column or year is negative or missing') END AS pos",
         "CAST(value AS FLOAT) AS value",
-    )
-    unique = keyed.groupBy("year", "tile_row", "tile_col", "pos").agg(F.max("value").alias("value"))
-    entries = unique.groupBy("year", "tile_row", "tile_col").agg(
+    ).repartition("tile_row", "tile_col")
+    entries = keyed.groupBy("year", "tile_row", "tile_col").agg(
         F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("e")
     )
     prev = "concat(array(-1), slice(transform(e, x -> x.pos), 1, size(e) - 1))"
-    runs = f"flatten(zip_with(e, {prev}, (x, p) -> concat(array_repeat({fill}, x.pos - p - 1), array(x.value))))"
+    runs = f"flatten(zip_with(e, {prev}, (x, p) -> concat(array_repeat({fill}, greatest(x.pos - p - 1, 0)), array(x.value))))"
     dense = f"concat({runs}, array_repeat({fill}, {n - 1} - element_at(e, -1).pos))"
     # `d` is read twice (size check + the row lambda): the optimizer then keeps it in
     # its own projection instead of inlining the whole expansion into the lambda,
-    # where it would be rebuilt once per tile row
-    block = f"CASE WHEN size(d) = {n} THEN transform(sequence(0, {tile - 1}), i -> slice(d, i * {tile} + 1, {tile})) END"
+    # where it would be rebuilt once per tile row. A repeated position makes it too long.
+    block = (
+        f"CASE WHEN size(d) = {n} THEN transform(sequence(0, {tile - 1}), i -> slice(d, i * {tile} + 1, {tile})) "
+        "ELSE raise_error('a year and pixel came twice') END"
+    )
     return entries.select("year", "tile_row", "tile_col", F.expr(dense).alias("d")).select(
         "year", "tile_row", "tile_col", F.expr(block).alias("values")
     )
 
 
+def _blocks(tiles: DataFrame, tile: int, row_range, col_range) -> DataFrame:
+    """The tiles of a window; a block that isn't ``tile x tile`` fails the job."""
+    t = tiles
+    if row_range is not None:
+        t = t.where(F.col("tile_row").between(row_range[0] // tile, row_range[1] // tile))
+    if col_range is not None:
+        t = t.where(F.col("tile_col").between(col_range[0] // tile, col_range[1] // tile))
+    fits = f"size(values) = {tile} AND forall(values, x -> x IS NOT NULL AND size(x) = {tile}) AND tile_row >= 0 AND tile_col >= 0"
+    checked = f"CASE WHEN {fits} THEN values ELSE raise_error('a block is missing or not {tile} x {tile}, or lies outside the grid') END"
+    return t.select("year", "tile_row", "tile_col", F.expr(checked).alias("values"))
+
+
 def tiles_to_pixels(
     tiles: DataFrame,
     grid: GridSpec,
-    tile: int,
+    tile: int | None = None,
     row_range: tuple[int, int] | None = None,
     col_range: tuple[int, int] | None = None,
 ) -> DataFrame:
@@ -258,11 +332,8 @@ def tiles_to_pixels(
     tile-range part is a plain predicate on the tile columns, pushed to the
     scan; the exact pixel range is applied after the explode.
     """
-    t = tiles
-    if row_range is not None:
-        t = t.where(F.col("tile_row").between(row_range[0] // tile, row_range[1] // tile))
-    if col_range is not None:
-        t = t.where(F.col("tile_col").between(col_range[0] // tile, col_range[1] // tile))
+    tile = grid.tile_side(tile)
+    t = _blocks(tiles, tile, row_range, col_range)
     rows = t.select(
         "year", "tile_row", "tile_col", F.posexplode("values").alias("lr", "row_values")
     )
@@ -295,7 +366,7 @@ def tiles_to_pixels(
 def tiles_to_wide_pixels(
     tiles: DataFrame,
     grid: GridSpec,
-    tile: int,
+    tile: int | None,
     years: list[int],
     row_range: tuple[int, int] | None = None,
     col_range: tuple[int, int] | None = None,
@@ -308,21 +379,19 @@ def tiles_to_wide_pixels(
     one row per pixel and year. A tile table bucketed on (tile_row,
     tile_col) needs no exchange at all. The arrays of all years are then
     zipped and exploded row by row, column by column. A year missing for a
-    tile reads as nodata (the boundless fill).
+    tile reads as nodata (the boundless fill); a tile with two blocks for one
+    year, or a block of another size than the descriptor says, fails the job.
     """
     if len(set(years)) != len(years):
         raise ValueError(f"duplicate years: {years}")
-    t = tiles
-    if row_range is not None:
-        t = t.where(F.col("tile_row").between(row_range[0] // tile, row_range[1] // tile))
-    if col_range is not None:
-        t = t.where(F.col("tile_col").between(col_range[0] // tile, col_range[1] // tile))
+    tile = grid.tile_side(tile)
+    t = _blocks(tiles, tile, row_range, col_range)
     ys = [int(y) for y in years]
-    per_tile = t.groupBy("tile_row", "tile_col").pivot("year", ys).agg(F.first("values"))
-    fill_v = np.float32(np.nan if grid.nodata is None else grid.nodata)
-    fill_row = F.array_repeat(F.lit(float(fill_v)).cast("float"), tile)
-    fill_tile = F.array_repeat(fill_row, tile)
-    yc = [F.coalesce(F.col(str(y)), fill_tile).alias(pop_col(y)) for y in ys]
+    aggs, picked = _one_per_year("values", ys, "first")
+    per_tile = t.where(F.col("year").isin(ys)).groupBy("tile_row", "tile_col").agg(*aggs)
+    fill = sql_float_literal(float("nan") if grid.nodata is None else grid.nodata)
+    fill_tile = f"array_repeat(array_repeat({fill}, {tile}), {tile})"
+    yc = [F.expr(f"coalesce({picked[y].format(what='tile')}, {fill_tile})").alias(pop_col(y)) for y in ys]
     rows = per_tile.select(
         "tile_row", "tile_col", F.posexplode(F.arrays_zip(*yc)).alias("lr", "yrows")
     )

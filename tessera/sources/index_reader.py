@@ -11,8 +11,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def index_schema(years: list[int]) -> T.StructType:
+    """The published columns; ``scenario`` and ``h3_res`` come from the folders."""
+    fields = [T.StructField("h3_index", T.LongType())]
+    fields += [T.StructField(f"pop_{int(y)}", T.FloatType()) for y in years]
+    return T.StructType([*fields, T.StructField("scenario", T.StringType()), T.StructField("h3_res", T.IntegerType())])
+
+
+def cell_system(spark: SparkSession, base: str, scenario: str) -> str | None:
+    """The id system the metadata document names, or None without a document."""
+    from ..sinks.manifest import has_marker
+
+    path = f"{base.rstrip('/')}/scenario={scenario}/_index_metadata.json"
+    if not has_marker(spark, path):
+        return None
+    row = spark.read.schema("cell_system string").json(path).first()
+    return row["cell_system"] if row else None
+
+
 def read_index(
-    spark: SparkSession, base: str, scenario: str | None = None, res: int | None = None
+    spark: SparkSession,
+    base: str,
+    scenario: str | None = None,
+    res: int | None = None,
+    years: list[int] | None = None,
 ) -> DataFrame:
     """The published layout. Scenario/resolution become partition
     filters (directory pruning), other predicates reach the Parquet reader.
@@ -20,15 +42,17 @@ def read_index(
     When both are given only that leaf directory is listed (``basePath``
     keeps ``scenario``/``h3_res`` as columns), so the cost of opening one
     resolution does not grow with the number of scenarios and resolutions.
+    With ``years`` the schema is declared and no file footer is opened for it.
     """
     from ..sinks.manifest import has_marker
 
     root = base.rstrip("/")
     leaf = f"{root}/scenario={scenario}/h3_res={int(res)}" if scenario is not None and res is not None else None
+    reader = spark.read.schema(index_schema(years)) if years is not None else spark.read
     if leaf is not None and has_marker(spark, leaf):
-        df = spark.read.option("basePath", root).parquet(leaf)
+        df = reader.option("basePath", root).parquet(leaf)
     else:  # whole layout; a resolution without cells has no folder and reads empty
-        df = spark.read.parquet(root)
+        df = reader.parquet(root)
     if scenario is not None:
         df = df.where(F.col("scenario") == F.lit(scenario))
     if res is not None:
@@ -66,6 +90,15 @@ def list_files(spark: SparkSession, base: str, glob: str = "*.parquet") -> DataF
     return files.orderBy("path")
 
 
+def listing_key(spark: SparkSession, base: str, glob: str = "*.parquet") -> str:
+    """A fingerprint of the files under ``base`` (paths, lengths, times), whatever their order or number."""
+    one = F.xxhash64("path", "length", F.col("modificationTime").cast("long"))
+    r = list_files(spark, base, glob).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.coalesce(F.bit_xor(one), F.lit(0)).alias("x")
+    ).first()
+    return f"{r['n']}-{r['bytes']}-{r['x']}"
+
+
 _DUCK_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",

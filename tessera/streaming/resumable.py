@@ -21,6 +21,7 @@ serves one-shot backfills and incremental runs over new files.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,8 +56,9 @@ def run_resumable(
     resolutions,
     nodata: float | None,
     work_dir: str,
-    max_files_per_trigger: int = 64,
+    max_bytes_per_trigger: int = 64 << 30,
     system: str = "hex",
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Consume all pixel files under ``pixel_dir`` (resuming if ``work_dir``
     holds an earlier attempt) and return the merged index (lazy)."""
@@ -74,11 +76,13 @@ def run_resumable(
             .parquet(partials_dir)
         )
 
-    stream = (
-        spark.readStream.schema(pixel_schema)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(pixel_dir)
-    )
+    # batches are bounded by bytes, so a backlog is few large batches whatever the file sizes
+    reader = spark.readStream.schema(pixel_schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    stream = reader.parquet(pixel_dir)
     q = (
         stream.writeStream.foreachBatch(process)
         .option("checkpointLocation", ckpt)
@@ -89,3 +93,66 @@ def run_resumable(
     from ..sources.index_reader import read_partials
 
     return merge_partials(read_partials(spark, partials_dir), pop_cols)
+
+
+def resumable_build(
+    spark: SparkSession,
+    pixels: DataFrame,
+    inputs: str,
+    grid,
+    years: list[int],
+    out_base: str,
+    scenario: str,
+    resolutions,
+    system: str = "hex",
+    pixel_dir: str | None = None,
+    max_bytes_per_trigger: int = 64 << 30,
+) -> DataFrame:
+    """The index job in resumable form, finished like the one-pass job (metadata, then marker).
+
+    The work folder is named by a key over scenario, years, resolutions, grid
+    (with nodata), id system and the input's listing, so an attempt is only
+    ever resumed by the same run. ``pixel_dir`` is streamed as it is; without it
+    ``pixels`` (say, unpacked tiles) are staged in the work folder first.
+    The outcome of every lattice window goes to the run manifest; a run whose
+    windows are all recorded and whose output is complete is not repeated.
+    """
+    import time
+
+    from ..plans.build import marker_path, publish_index, validate_scenario
+    from ..session import checkpoint_root
+    from ..sinks import manifest as M
+    from ..sinks.parquet import write_pixel_table
+    from ..sources.grid import pop_col, window_columns, window_index, window_lattice
+    from ..sources.index_reader import read_index
+
+    started = time.time()
+    validate_scenario(scenario)
+    grid.check_geographic()
+    res = validate_resolutions(resolutions)
+    nodata = grid.nodata_float32()
+    pops = [pop_col(y) for y in years]
+    key = M.run_key(scenario, years, res, grid, inputs, system)
+    work = os.path.join(checkpoint_root(spark), f"resumable-{key}")
+    recorded = os.path.join(work, "manifest")
+    lattice = window_lattice(spark)
+    published = os.path.join(work, "_PUBLISHED_" + hashlib.sha256(out_base.encode()).hexdigest()[:16])
+    if M.has_marker(spark, marker_path(out_base, scenario)) and M.has_marker(spark, published):
+        if M.pending_windows(lattice, M.read_manifest(spark, recorded), key).isEmpty():
+            return read_index(spark, out_base, scenario, years=years)
+    if pixel_dir is None:
+        pixel_dir = os.path.join(work, "pixels")
+        if not M.has_marker(spark, os.path.join(pixel_dir, "_SUCCESS")):
+            write_pixel_table(pixels.select("lat", "lon", *pops), pixel_dir)
+    source = spark.read.parquet(pixel_dir)
+    index = run_resumable(
+        spark, pixel_dir, source.schema, pops, res, nodata, work, max_bytes_per_trigger=max_bytes_per_trigger, system=system
+    )
+    written = publish_index(spark, index, out_base, scenario, years, res, grid, system, None, started)
+    if not M.has_marker(spark, recorded):
+        valid = apply_mask(source, pops, nodata).select(window_index("lat", "lon").alias("win_idx"))
+        counts = valid.groupBy("win_idx").agg(F.count(F.lit(1)).alias("n_valid"))
+        outcomes = M.window_outcomes(lattice, counts.select(window_columns("win_idx")[0], "n_valid"))
+        M.append_manifest(outcomes.select(F.lit(key).alias("run_key"), "win_id", "status"), recorded)
+    M.write_marker(spark, published, key)
+    return written

@@ -1,6 +1,7 @@
 """Analytics operators: bbox pruning never loses a match, regions, top-k, stats, inspection."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import cells
@@ -9,8 +10,9 @@ from tessera.operators import index as X
 from tessera.operators.inspect import center_window, grid_stats_center, sample_points
 from tessera.plans import queries as Q
 from tessera.sources.fixture import FIXTURE_GRID, pixel_view
+from tessera.sources.grid import GridSpec
 
-from .conftest import SF_SMALL
+from .conftest import SF_MID, SF_SMALL
 
 
 def _global_cells(spark, res, n=3000, seed=3):
@@ -68,7 +70,7 @@ def test_pop_columns_strict(spark):
 
 
 def test_grid_stats_center_matches_numpy(spark):
-    px = pixel_view(spark, SF_SMALL)
+    px = pixel_view(spark, SF_MID)
     r0, c0, size = center_window(FIXTURE_GRID)
     st = {r["year"]: r for r in grid_stats_center(px, FIXTURE_GRID, [2025, 2050, 2100]).collect()}
     pdf = px.toPandas()
@@ -90,8 +92,44 @@ def test_sample_points_fill(spark):
             assert r["pop_2025"] == -99999.0
 
 
-def test_spread_only_small_inputs(spark):
-    px = pixel_view(spark, SF_SMALL)
-    assert X.spread_small_input(px, 8) is not px
-    assert X.spread_small_input(px, 1) is px
-    assert X.estimated_bytes(spark.range(10)) > 0
+def test_grid_stats_reports_a_year_without_values(spark):
+    grid = GridSpec(-180.0, 90.0, 1.0, 1.0, 4, 4, nodata=float("nan"))
+    rows = [(r, c, float("nan"), 2.0 if r else float("inf")) for r in range(4) for c in range(4)]
+    df = spark.createDataFrame(rows, "r long, c long, pop_2030 float, pop_2040 float")
+    st = {x["year"]: x for x in grid_stats_center(df, grid, [2030, 2040]).collect()}
+    assert st[2030]["n_valid"] == 0 and st[2030]["mean"] is None and st[2030]["n_total"] == 16
+    assert st[2040]["n_valid"] == 12 and st[2040]["min"] == st[2040]["max"] == 2.0
+
+
+H3_ID = 617700169958293503  # a real H3 id (resolution 9)
+
+
+def test_foreign_ids_fail(spark):
+    df = spark.createDataFrame([(H3_ID, 1.0)], "h3_index long, pop_2025 float")
+    frames = [
+        A.with_cell_attributes(df).select("lat"),
+        A.with_cell_attributes(df).select("lng"),
+        A.with_cell_attributes(df).select("area_km2"),
+        A.with_cell_attributes(df, 5).select("area_km2"),
+        df.select(cells.cell_res("h3_index")),
+        df.select(cells.cell_boundary("h3_index")),
+        A.where_bbox(df, -90, 90, -180, 180),
+        A.where_bbox(df, 0, 1, 0, 1, res=5),
+        A.continent_totals(df, ["pop_2025"]),
+        A.extent_stats(df.selectExpr("9 AS h3_res", "*")),
+    ]
+    for f in frames:
+        with pytest.raises(Exception, match="not an id of this cell system"):
+            f.collect()
+    assert df.select(cells.cell_to_string("h3_index")).first()[0] == "8928308280fffff"
+    null = spark.createDataFrame([(None, 1.0)], "h3_index long, pop_2025 float")
+    assert list(A.with_cell_attributes(null).select("lat", "lng", "area_km2").first()) == [None, None, None]
+
+
+def test_foreign_ids_fail_in_sql(spark):
+    from tessera.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    for f in ("cell_to_lat", "cell_to_lng", "cell_area", "cell_resolution", "cell_boundary"):
+        with pytest.raises(Exception, match="not an id of this cell system"):
+            spark.sql(f"SELECT {f}(CAST({H3_ID} AS BIGINT))").collect()

@@ -94,11 +94,67 @@ def test_tiles_to_wide_pixels(spark):
     assert win.count() == 21 * 7
 
 
-def test_pixels_to_tiles_collapses_duplicates(spark):
-    # one pixel repeated in a third of the rows: the group stays one value per year
-    rows = [(0, 0, 2025, 1.0)] * 300 + [(r, c, 2025, 2.0) for r in range(1, 20) for c in range(30)]
-    long = spark.createDataFrame(rows, "r long, c long, year int, value float")
-    t = pixels_to_tiles(long, 16, -99999.0).collect()
-    assert len(t) == 4
-    first = [x for x in t if x["tile_row"] == 0 and x["tile_col"] == 0][0]
-    assert first["values"][0][0] == 1.0 and first["values"][1][0] == 2.0
+def _long(spark, rows):
+    return spark.createDataFrame(rows, "r long, c long, year int, value float")
+
+
+def test_tiles_reject_what_they_cannot_hold(spark):
+    ok = [(r, c, 2025, 2.0) for r in range(20) for c in range(30)]
+    assert pixels_to_tiles(_long(spark, ok), 16, -99999.0).count() == 4
+    with pytest.raises(Exception, match="came twice"):  # values 1 and 9 for one pixel
+        pixels_to_tiles(_long(spark, [*ok, (0, 0, 2025, 9.0)]), 16, -99999.0).collect()
+    with pytest.raises(Exception, match="came twice"):
+        pixels_to_tiles(_long(spark, [(15, 15, 2025, 1.0)] * 300), 16, -99999.0).collect()
+    for bad in ((-1, 3, 2025, 1.0), (3, -1, 2025, 1.0), (None, 3, 2025, 1.0)):
+        with pytest.raises(Exception, match="outside the grid"):
+            pixels_to_tiles(_long(spark, [*ok, bad]), 16, -99999.0).collect()
+
+
+def test_tile_side_is_checked(spark):
+    from dataclasses import replace
+
+    from tessera.sources.grid import tiles_to_wide_pixels
+
+    tiles = pixels_to_tiles(unstack_years(pixel_view(spark, SF_SMALL), ["r", "c"], YEARS), 32, -99999.0)
+    for read in (lambda g, t: tiles_to_pixels(tiles, g, t), lambda g, t: tiles_to_wide_pixels(tiles, g, t, YEARS)):
+        with pytest.raises(Exception, match="not 1000 x 1000"):
+            read(FIXTURE_GRID, 1000).count()
+        with pytest.raises(ValueError, match="differs"):
+            read(replace(FIXTURE_GRID, tile=32), 16)
+        with pytest.raises(ValueError, match="neither"):
+            read(FIXTURE_GRID, None)
+    n = tiles_to_pixels(tiles, replace(FIXTURE_GRID, tile=32)).where("value != -99999.0").count()
+    assert n == unstack_years(pixel_view(spark, SF_SMALL), ["r", "c"], YEARS).where("value != -99999.0").count()
+    broken = tiles.withColumn("values", F.when(F.col("year") == 2050, None).otherwise(F.col("values")))
+    with pytest.raises(Exception, match="block is missing"):
+        tiles_to_pixels(broken, FIXTURE_GRID, 32).collect()
+    with pytest.raises(Exception, match="came twice for one tile"):
+        tiles_to_wide_pixels(tiles.union(tiles.limit(1)), FIXTURE_GRID, 32, YEARS).collect()
+
+
+def test_stack_rejects_a_second_value(spark):
+    twice = spark.createDataFrame([(1, 2025, 1.0), (1, 2025, 2.0)], "pid int, year int, value float")
+    with pytest.raises(Exception, match="came twice for one pixel"):
+        stack_years(twice, ["pid"], YEARS, -99999.0).collect()
+
+
+@pytest.mark.parametrize("nodata", [float("nan"), float("inf"), float("-inf"), None])
+def test_unusual_nodata(spark, nodata):
+    from tessera.sources.grid import tiles_to_wide_pixels
+
+    rows = [(0, 0, 2025, 5.0), (0, 0, 2050, 6.0), (0, 1, 2025, 7.0), (3, 3, 2025, float("nan")), (3, 3, 2050, 1.0)]
+    grid = GridSpec(-180.0, 90.0, 1.0, 1.0, 4, 4, nodata=nodata, tile=2)
+    wide = tiles_to_wide_pixels(pixels_to_tiles(_long(spark, rows), 2, nodata), grid, None, [2025, 2050])
+    kept = apply_mask(wide, ["pop_2025", "pop_2050"], grid.nodata_float32()).collect()
+    assert [(x["r"], x["c"], x["pop_2025"], x["pop_2050"]) for x in kept] == [(0, 0, 5.0, 6.0)]
+    stacked = apply_mask(stack_years(_long(spark, rows), ["r", "c"], [2025, 2050], nodata), ["pop_2025", "pop_2050"], nodata)
+    assert [(x["r"], x["c"]) for x in stacked.collect()] == [(0, 0)]
+
+
+def test_geographic_crs():
+    wkt = 'GEOGCS["WGS 84",DATUM["WGS_1984"]]'
+    for crs in ("EPSG:4326", "epsg:4269", "OGC:CRS84", "urn:ogc:def:crs:EPSG::4326", wkt, "+proj=longlat +datum=WGS84"):
+        GridSpec(0, 0, 1, 1, 1, 1, crs=crs).check_geographic()
+    for crs, why in (('PROJCS["UTM"]', "projected"), ("+proj=utm +zone=33", "projected"), ("EPSG:3857", "not known"), ('GEOCCS["x"]', "geocentric")):
+        with pytest.raises(ValueError, match=why):
+            GridSpec(0, 0, 1, 1, 1, 1, crs=crs).check_geographic()

@@ -90,23 +90,6 @@ def test_validate_resolutions():
         X.validate_resolutions([16])
 
 
-def test_conf_bytes():
-    assert X.conf_bytes("134217728b") == 134217728
-    assert X.conf_bytes("128m") == 128 << 20
-    assert X.conf_bytes("1g") == 1 << 30
-    assert X.conf_bytes("4096") == 4096
-
-
-def test_spread_bound_is_one_split(spark):
-    px = pixel_view(spark, SF_SMALL)
-    assert X.spread_small_input(px, 8) is not px
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        assert X.spread_small_input(px, 8) is px  # larger than one split: left alone
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def test_hot_window_counts(spark):
     import numpy as np
 

@@ -11,7 +11,7 @@ from tessera.plans.oracle import ORACLE
 
 from .conftest import SF_SMALL
 
-TYPE = {"bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPE = {"bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -39,7 +39,7 @@ def test_registry_complete():
 
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(QUERIES) <= set(E.queries())
-    assert set(QUERIES) - set(ORACLE) == {"layout_audit", "metadata_json"}
+    assert set(QUERIES) - set(ORACLE) == set()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -55,13 +55,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(cols, s_rec) == _rows(cols, d_rec)
 
 
-def test_rows_only_queries(spark):
-    qs = E.queries()
-    assert qs["layout_audit"](spark, SF_SMALL).count() > 0
-    meta = qs["metadata_json"](spark, SF_SMALL).collect()
-    assert len(meta) == 1 and len(meta[0]["cells_per_resolution"]) == 8
-
-
 def test_entry(spark):
     df = E.entry(spark)
     rows = df.collect()

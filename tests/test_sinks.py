@@ -4,6 +4,7 @@ import json
 import os
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import index as X
@@ -222,6 +223,51 @@ def test_cli_tiles_and_resumable(spark, tmp_dir, capsys):
     got2 = read_index(spark, out2, "SSP2").select("h3_res", "h3_index", *Q.POP)
     exp2 = X.build_index(px, Q.POP, [3], Q.NODATA)
     assert got2.exceptAll(exp2).count() == 0 and exp2.exceptAll(got2).count() == 0
+    assert os.path.exists(os.path.join(out2, "_COMPLETE_SSP2"))
+    assert read_metadata(spark, out2)["cells_per_resolution"]["3"] == got2.count()
+
+    # another configuration is another run: nothing of the first is reused
+    out3 = os.path.join(tmp_dir, "out_resumable_5")
+    cli(["--pixels", src, "--out", out3, "--resolutions", "5,6", "--resumable"])
+    assert {r[0] for r in read_index(spark, out3, "SSP2").select("h3_res").distinct().collect()} == {5, 6}
+    out4 = os.path.join(tmp_dir, "out_resumable_nodata")
+    cli(["--pixels", src, "--out", out4, "--resolutions", "3", "--resumable", "--nodata", "7", "--years", "2025"])
+    exp4 = X.build_index(px, ["pop_2025"], [3], 7.0)
+    got4 = read_index(spark, out4, "SSP2").select("h3_res", "h3_index", "pop_2025")
+    assert got4.exceptAll(exp4).count() == 0 and exp4.exceptAll(got4).count() == 0
+
+    # another input is another run as well; the same run again does nothing
+    px.where("lat > 0").select("lat", "lon", *Q.POP).write.parquet(os.path.join(tmp_dir, "px2"))
+    out5 = os.path.join(tmp_dir, "out_resumable_px2")
+    cli(["--pixels", os.path.join(tmp_dir, "px2"), "--out", out5, "--resolutions", "3", "--resumable"])
+    assert read_index(spark, out5, "SSP2").count() == X.build_index(px.where("lat > 0"), Q.POP, [3], Q.NODATA).count()
+    written = os.path.getmtime(os.path.join(out2, "_COMPLETE_SSP2"))
+    cli(["--pixels", src, "--out", out2, "--resolutions", "3", "--resumable"])
+    assert os.path.getmtime(os.path.join(out2, "_COMPLETE_SSP2")) == written
+
+    # tiles are unpacked first
+    out6 = os.path.join(tmp_dir, "out_resumable_tiles")
+    cli(["--tiles", tdir, "--tile-size", "64", "--grid", gpath, "--out", out6, "--resolutions", "2,4", "--resumable"])
+    got6 = read_index(spark, out6, "SSP2").select("h3_res", "h3_index", *Q.POP)
+    assert got6.exceptAll(exp).count() == 0 and exp.exceptAll(got6).count() == 0
+    with pytest.raises(ValueError, match="refused"):
+        cli(["--pixels", src, "--out", out6, "--crs", "EPSG:3857"])
+
+
+def read_metadata(spark, base):
+    return spark.read.json(f"{base}/scenario=SSP2/_index_metadata.json").first().asDict(recursive=True)
+
+
+def test_diagnostics_refuse_another_id_system(spark, tmp_dir):
+    from tessera.plans.build import publish_index
+    from tessera.plans.diagnostics import run_diagnostics
+    from tessera.sources.index_reader import cell_system
+
+    idx = X.build_index(pixel_view(spark, SF_SMALL), Q.POP, [2], Q.NODATA)
+    publish_index(spark, idx, tmp_dir, "SSP2", [2025, 2050, 2100], [2], FIXTURE_GRID, system="h3")
+    assert cell_system(spark, tmp_dir, "SSP2") == "h3"
+    with pytest.raises(ValueError, match="can't be decoded"):
+        run_diagnostics(spark, tmp_dir)
 
 
 def test_published_index_built_once_and_rebuilt_when_gone(spark):
