@@ -79,10 +79,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique sub-folder of this application's scratch folder.
+
+    The scratch folder lies in the shared checkpoint folder and goes when the
+    driver's JVM ends.
+    """
+    top = os.path.join(checkpoint_root(spark), f"scratch-{spark.sparkContext.applicationId}")
+    if top not in _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(top)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _SCRATCH.add(top)
+    return os.path.join(top, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_SCRATCH: set = set()
 _SHIPPED: set = set()
 
 
