@@ -288,3 +288,18 @@ def test_read_index_missing_resolution_is_empty(spark, tmp_dir):
     write_index(idx, tmp_dir, "SSP2")
     assert read_index(spark, tmp_dir, "SSP2", 9).count() == 0
     assert read_index(spark, tmp_dir, "SSP2", 2).count() == idx.count()
+
+
+def test_catalog_falls_back_to_bands(spark, tmp_dir):
+    for name in ("all_years.tif", "other.tif"):
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(b"x")
+    bands = spark.createDataFrame(
+        [("all_years.tif", 1, "population 2030"), ("all_years.tif", 2, None), ("gone.tif", 1, "2040")], "path string, band int, description string"
+    )
+    assert discover_rasters(spark, tmp_dir).count() == 0
+    got = [(r["year"], r["band"]) for r in discover_rasters(spark, tmp_dir, bands=bands).collect()]
+    assert got == [(2025, 2), (2030, 1)]
+    with open(os.path.join(tmp_dir, "pop_2060.tif"), "wb") as f:
+        f.write(b"x")
+    assert [r["year"] for r in discover_rasters(spark, tmp_dir, bands=bands).collect()] == [2060]
