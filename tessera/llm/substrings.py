@@ -217,14 +217,27 @@ def intervals(runs: bytes | None, n: int) -> list[tuple[int, int]]:
     return list(zip(a[first].tolist(), e[last].tolist(), strict=True))
 
 
+def _compressed(batches):
+    """Texts as zstd for the way to their removal intervals."""
+    import pyarrow as pa
+    import zstandard
+
+    for b in batches:
+        press = zstandard.ZstdCompressor(level=1)
+        data = [press.compress(t.encode()) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(data, pa.binary())], names=["doc_id", "row", "data"])
+
+
 def _finish(n: int, with_text: bool):
     def run(batches):
         import pyarrow as pa
+        import zstandard
 
         for b in batches:
             total, gone, sha, kept_text, spans = [], [], [], [], []
-            for text, runs in zip(b.column("text").to_pylist(), b.column("runs").to_pylist(), strict=True):
-                words = text.encode().split()
+            plain = zstandard.ZstdDecompressor()
+            for text, runs in zip(b.column("data").to_pylist(), b.column("runs").to_pylist(), strict=True):
+                words = plain.decompress(text).split()
                 cuts = intervals(runs, n)
                 kept, at = [], 0
                 for x, y in cuts:
@@ -262,7 +275,8 @@ def remove_repeats(docs: DataFrame, n: int = 13, with_text: bool = False) -> Dat
     hits = replies.groupBy("to").applyInPandas(_gather, "doc_id bigint, row bigint, runs binary")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     schema += ", kept_text string, removed array<struct<start: bigint, end: bigint>>" * with_text
-    return docs.join(hits, ["doc_id", "row"], "left").select("doc_id", "text", "runs").mapInArrow(_finish(n, with_text), schema)
+    whole = docs.mapInArrow(_compressed, "doc_id bigint, row bigint, data binary")
+    return whole.join(hits, ["doc_id", "row"], "left").select("doc_id", "data", "runs").mapInArrow(_finish(n, with_text), schema)
 
 
 # DuckDB SQL of ``remove_repeats(documents, 13)``.
