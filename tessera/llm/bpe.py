@@ -57,7 +57,7 @@ NUMBERS_16 = [
     (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
 ]
 
-CACHE_PIECES = 200_000  # entries of each of a worker's two generations
+CACHE_PIECES = 150_000  # entries of each of a worker's two generations
 NO_RANK = 1 << 40
 CACHE_LONGEST = 64  # longer pieces are merged each time
 BATCH_CHARS = 1 << 20

@@ -40,7 +40,7 @@ def drop_cut(df: DataFrame) -> None:
 
 # Bytes of a batch handed to a Python worker, where the session still has Spark's default of 64 MB:
 # the batch, its copy in the worker and what is made of it must fit beside the executor's heap.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 DEFAULT_BATCH_BYTES = "67108864b"
 
 
