@@ -33,7 +33,7 @@ def _trim(line: str) -> str:
 
 def main(argv):
     sf = argv[0] if argv else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from tessera.plans.queries import QUERIES
 
     spark = get_spark(master="local[8]", shuffle_partitions=8)
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # full scan filter lists
@@ -41,13 +41,12 @@ def main(argv):
     print("Generated by `tools/explain_all.py`; expression ids removed, long expressions cut.\n")
     print(
         "What to look for: `*(n)` marks whole-stage codegen; the index build has one hash exchange "
-        "(partial `HashAggregate` below it, final above); `Exchange RoundRobinPartitioning` appears "
-        "only because the fixture file is one row group (the small-input spread, never on large "
-        "inputs); top-k is `TakeOrderedAndProject`; broadcasts are the 5 sample points and "
-        "lattice-bounded window tables; the written-index reads show `PartitionFilters` and, for "
-        "boxes, the `h3_index` range in `PushedFilters`.\n"
+        "(partial `HashAggregate` below it, final above); `Exchange RoundRobinPartitioning` belongs to the "
+        "fixture's reader (`orders` is one row group, a pixel table is many files), whatever the size; "
+        "top-k is `TakeOrderedAndProject`, attributes derived above it; the written-index reads show "
+        "`PartitionFilters` and, for boxes, the `h3_index` range in `PushedFilters`.\n"
     )
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
         df.collect()  # run it, so the adaptive plan below is the final one
         plan = df._jdf.queryExecution().executedPlan().toString()
