@@ -50,16 +50,3 @@ def workers(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == DEFAULT_BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
-
-
-def text_chunks(text: str, size: int = 1 << 20):
-    """Cut a text into pieces of about ``size`` code points that end at white
-    space, so a very long text is split into words piece by piece."""
-    n, a = len(text), 0
-    while n - a > size:
-        b = a + size
-        while b < n and text[b] not in " \t\n\v\f\r":
-            b += 1
-        yield text[a:b]
-        a = b
-    yield text[a:]

@@ -185,17 +185,15 @@ def decide(sized: DataFrame) -> DataFrame:
 
 
 def _taken(sized: DataFrame, decisions: DataFrame) -> DataFrame:
-    """``sized`` with the decision of its source and size, and ``_times``."""
-    d = decisions.select(
-        F.col("source").alias("_s"), F.col("size").alias("_z"), "source_size", "target", "full", "extra", F.col("n").alias("_n"), "below", "cut"
-    )
-    joined = sized.join(d, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
+    """``sized`` with the decision of its source and size (columns ``_d_...``), and ``_times``."""
+    d = decisions.select([F.col(c).alias(f"_d_{c}") for c in decisions.columns])
+    joined = sized.join(d, F.col("source").eqNullSafe(F.col("_d_source")) & (F.col("_size") == F.col("_d_size")))
     once_more = (
-        F.when(F.col("extra") == 0, False)
-        .when(F.col("extra") == F.col("_n"), True)
-        .otherwise((_bucket(F.col("_n")) < F.col("below")) | F.coalesce(F.col("_mark") <= F.col("cut"), F.lit(False)))
+        F.when(F.col("_d_extra") == 0, False)
+        .when(F.col("_d_extra") == F.col("_d_n"), True)
+        .otherwise((_bucket(F.col("_d_n")) < F.col("_d_below")) | F.coalesce(F.col("_mark") <= F.col("_d_cut"), F.lit(False)))
     )
-    return joined.withColumn("_times", F.col("full") + F.coalesce(once_more, F.lit(False)).cast("int"))
+    return joined.withColumn("_times", F.col("_d_full") + F.coalesce(once_more, F.lit(False)).cast("int"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -203,7 +201,8 @@ def mix(docs: DataFrame) -> DataFrame:
     sized = cut(_sized(docs.select("doc_id", "text", "source")).select("doc_id", "source", "_size", "_mark"), "sized")
     return _taken(sized, decide(sized)).select(
         F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("_size").alias("size"),
-        "source_size", "target", (F.col("_size") * F.col("_times")).alias("taken"),
+        F.col("_d_source_size").alias("source_size"), F.col("_d_target").alias("target"),
+        (F.col("_size") * F.col("_times")).alias("taken"),
     )
 
 

@@ -146,11 +146,12 @@ def votes(x: np.ndarray, model: dict) -> np.ndarray:
     return np.clip(score, 0.0, 1.0)
 
 
-def score(docs: DataFrame, model: dict, cut: float = CUT) -> DataFrame:
-    """``docs`` (all its columns) with ``score`` and ``predicted``; columns of those names are replaced."""
+def score(docs: DataFrame, model: dict, cut: float = CUT, added: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` (all its columns) with the score and the prediction, named ``added``; columns of
+    those names are replaced."""
     spark = docs.sparkSession
     workers(spark)
-    names = [c for c in docs.columns if c not in ("score", "predicted")]
+    names = [c for c in docs.columns if c not in added]
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
@@ -169,7 +170,7 @@ def score(docs: DataFrame, model: dict, cut: float = CUT) -> DataFrame:
                 a = e
             s = np.concatenate(found)
             cols = [*b.columns, pa.array(s, pa.float64()), pa.array((s >= cut).astype(np.int32), pa.int32())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, *added])
 
-    schema = docs.select(names).schema.add("score", "double").add("predicted", "integer")
+    schema = docs.select(names).schema.add(added[0], "double").add(added[1], "integer")
     return docs.select(names).mapInArrow(run, schema)

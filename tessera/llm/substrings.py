@@ -36,7 +36,7 @@ from .common import workers
 from .wordhash import window_hashes, word_hashes
 
 # Parameters.
-GROUP_CHARS = 1 << 24  # characters of text whose windows make one group
+GROUP_CHARS = 1 << 23  # characters of text whose windows make one group
 WIDE_CHARS = 1 << 33  # from here on 32 bits of a second hash tell windows apart as well
 BATCH_CHARS = 1 << 22  # characters hashed before their windows are sent
 

@@ -5,9 +5,10 @@ import pytest
 # more columns than the operators read, some named as their own working columns
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, predicted bigint, size bigint, "
-    "row string, runs string, grp string, label string, sig string, host string, n bigint, spans string"
+    "row string, runs string, grp string, label string, sig string, host string, n bigint, spans string, "
+    "target string, extra int, full int, below int, cut string, k int, data string"
 )
-EXTRA = (0.5, 1, 3, "r", "x", "g", "l", "s", "h", 2, "sp")
+EXTRA = (0.5, 1, 3, "r", "x", "g", "l", "s", "h", 2, "sp", "t", 1, 2, 3, "c", 4, "d")
 
 
 def sentence(r: random.Random, n: int) -> str:

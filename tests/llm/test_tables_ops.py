@@ -354,3 +354,21 @@ def test_pipeline_runs_on_nothing(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
     assert docs.collect() == []
+
+
+def test_pipeline_on_odd_rows(spark, odd):
+    """Nulls, empty and long texts, copies, repeated rows and clashing columns go through every stage."""
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = corpus_pipeline.cut(stage(spark, docs, SF_SMALL), "odd-stage")
+        if name != "bpe":
+            assert docs.dtypes == before.dtypes
+        if name == "minhash near-dedup":
+            left = sorted(r.doc_id for r in docs.collect() if r.doc_id is not None)
+            assert not {2, 3, 17} & set(left) or 1 not in left  # one of the copies at most
+            rows = [(r.doc_id, r.text) for r in before.collect() if r.doc_id is not None]
+            assert set(left) == {d for d, _, _, k in brute.near_components(rows, n=5) if k}
+            assert docs.where("doc_id IS NULL").count() == before.where("doc_id IS NULL").count()
+        if name == "secret scan":
+            assert docs.count() == before.count()
