@@ -74,13 +74,13 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?|[^<]+|<""",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORDS = re.compile(r"[a-z]+")
-_DIGITS = re.compile(r"[0-9]+")
+_NUMBERED = re.compile(r"[a-z]*[0-9][a-z0-9]*")  # counters and generated names: one symbol for all of them
 
 
 def _element(name: str, attributes: str) -> tuple[str, bool]:
-    """Symbol part of an element (name, role, classes, id; digits as 0), and whether it is outside the main text."""
+    """Symbol part of an element (name, role, classes, id; numbered names as 0), and whether it is outside the main text."""
     if not attributes or attributes.isspace():
         return name, name in OUTSIDE
     said, words = [], set()
@@ -94,7 +94,7 @@ def _element(name: str, attributes: str) -> tuple[str, bool]:
             outside |= v in OUTSIDE_ROLES
         elif k in ("class", "id"):
             words.update(_WORDS.findall(v))
-            said.append("." + _DIGITS.sub("0", ".".join(sorted(v.split()))))
+            said.append("." + ".".join(sorted({_NUMBERED.sub("0", x) for x in v.split()})))
     outside |= bool(words & (COMMENT_WORDS if name in ("html", "body", "article", "main") else OUTSIDE_WORDS))
     return name + "".join(sorted(said)).replace("/", "_").replace("!", "_"), outside
 

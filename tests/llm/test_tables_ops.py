@@ -94,6 +94,15 @@ def test_wrapper_odd_pages(spark):
     assert got[7] == got[8] != "" and got[9] == "a < b & c"
 
 
+def test_wrapper_attributes(spark):
+    """Only an element's own class, id, role and hiding count, not what other attributes say."""
+    page = (
+        "<article><p title='hidden gem' data-role='banner'>a</p><p hidden>b</p><p style='display: none'>c</p><p CLASS=comment>d</p>"
+        "<p data-x=\"class='ad'\">e</p><div role=\"search\"><p>f</p></div><p id='menu-1'>g</p><p aria-hidden=\"false\">h</p></article>"
+    )
+    assert _text(spark, page) == ["a\ne\nh"]
+
+
 def test_wrapper_without_article(spark):
     """The container of most varying text is the main text; what reads the same on every page is not."""
     pages = [
@@ -124,6 +133,14 @@ def test_wrapper_alignment():
         assert len(s) == len(set(s)) and set(s) == set("".join(streams))
 
 
+def test_wrapper_symbols_do_not_count_pages():
+    """Generated ids and classes share a symbol, so a host's wrapper doesn't grow with its pages."""
+    seen = {}
+    pages = [wrappers.read(f"<div id='post-{i}' class='c{i}x{i * 7919:x} body'><p>t {i}</p></div>") for i in range(1, 50)]
+    shape = wrappers.learn(None, seen, pages)
+    assert len(shape[0]) == 1 and seen[shape[0][0]][0] == 49
+
+
 def test_wrapper_merge_is_order_free():
     r = random.Random(3)
     streams = ["".join(r.choice("nahpf") for _ in range(r.randint(1, 9))) for _ in range(12)]
