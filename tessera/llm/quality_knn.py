@@ -104,7 +104,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
             for a in range(0, len(b), BLOCK):
                 p = b.iloc[a : a + BLOCK]
                 x = features(list(p["text"]))
-                yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(), "quality": p["quality"].to_numpy(), "x": [r.tobytes() for r in x]})
+                yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(), "quality": p["quality"].to_numpy(), "x": [r.tobytes() for r in x.astype(np.float16)]})  # half the bytes to the driver
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
@@ -116,18 +116,19 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     )
     if not rows:
         return {"prior": 0.5, "vectors": None}
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
+    x = np.stack([np.frombuffer(r.x, np.float16) for r in rows]).astype(np.float32)
     y = np.array([1 if r.quality == 1 else 0 for r in rows], np.float32)
+    del rows
     df = (x > 0).sum(0)
     idf = np.log((1 + len(x)) / (1 + df)).astype(np.float32) + 1
     rank = min(RANK, *x.shape)
     r = np.random.default_rng(3)
     w = x * idf
-    q = np.linalg.qr(w.T @ (w @ r.normal(size=(w.shape[1], rank + 10))))[0]
+    q = np.linalg.qr(w.T @ (w @ r.normal(size=(w.shape[1], rank + 10)).astype(np.float32)))[0]
     for _ in range(4):
         q = np.linalg.qr(w.T @ (w @ q))[0]
     _, _, vt = np.linalg.svd(w @ q, full_matrices=False)
-    basis = (q @ vt.T[:, :rank]).astype(np.float32)
+    basis = np.ascontiguousarray(q @ vt.T[:, :rank], dtype=np.float32)
     return {"prior": float(y.mean()), "idf": idf, "basis": basis, "vectors": embed(x, idf, basis), "labels": y}
 
 
