@@ -27,7 +27,7 @@ MAX_REPEAT_PCT = 30
 SYMBOLS = "[#*$%&|<>]"
 
 # Parameters of the line rules.
-MAX_LOST_PCT = 50
+MAX_LOST_PCT = 60  # a short clean document may lose a long license line
 MAX_SYMBOL_PCT = 5  # of a line's characters
 MIN_NAV_BARS = 2  # separators that make a line a menu
 MIN_PLAIN_WORDS = 8  # a line this long has some sentence punctuation
