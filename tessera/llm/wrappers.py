@@ -11,11 +11,15 @@ aligned one after another into a union-free regular expression over symbols:
 * a slot whose texts differ is a *text slot*; one that always reads the same is
   template text.
 
-The wrapper then says which slots are the main text: those inside the host's
-article, else its main element, else the container that holds most of the
-varying text; never what lies in menus, headers, footers, asides, forms,
-adverts, notices or comments (by element, role, class or id). Each page is
-matched against its host's wrapper and the blocks of those slots are joined.
+Which slots are the main text is decided by lists and by the wrapper. Lists of
+elements, roles, classes and ids leave out menus, headers, footers, asides,
+forms, adverts, notices and comments, and prefer the article, else the main
+element. The wrapper tells text slots from template text, which is dropped in
+an article too, and where there is neither article nor main it names the
+container that holds most of the varying text. Every symbol stands once in a
+wrapper, so a slot's place in it is found by its symbol; the order, optional
+slots and repeated groups of the expression describe the host's pages and
+choose no text. The blocks of the chosen slots are joined.
 
 Wrappers merge associatively as far as the chosen slots go: tasks align their
 own pages (equal streams once), salted groups and then hosts merge what the
@@ -75,6 +79,7 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_HEADING = re.compile(r"\^?h[1-6]\b")
 _WORDS = re.compile(r"[a-z]+")
 _NUMBERED = re.compile(r"[a-z]*[0-9][a-z0-9]*")  # counters and generated names: one symbol for all of them
 
@@ -285,7 +290,8 @@ def _inside(symbol: str, name: str) -> bool:
 
 def levels(wrapper: dict) -> list[list[str]]:
     """Slots of the main text, best kind first: in an article, in the main element, in the container of most
-    varying text, or anywhere not outside."""
+    varying text, or anywhere not outside. Text slots come before template text everywhere: a page has the
+    template text of its article only where it has no other. The headings of an article always count as text."""
     seen = wrapper["seen"]
     allowed = [s for s in wrapper["shape"][0] if not is_outside(s)]
     varying = [s for s in allowed if seen[s][2] == "" or seen[s][0] < TEMPLATE_PAGES]
@@ -294,8 +300,11 @@ def levels(wrapper: dict) -> list[list[str]]:
         container = s.rpartition("/")[0]
         mass[container] = mass.get(container, 0) + seen[s][1]
     most = max(mass, key=lambda c: (mass[c], c), default=None)
+    text = set(varying).union(s for s in allowed if _HEADING.match(s.rpartition("/")[2]))
     return [
+        [s for s in allowed if s in text and _inside(s, "article")],
         [s for s in allowed if _inside(s, "article")],
+        [s for s in allowed if s in text and _inside(s, "main")],
         [s for s in allowed if _inside(s, "main")],
         [s for s in varying if most is not None and (s.rpartition("/")[0] + "/").startswith(most + "/")],
         varying,

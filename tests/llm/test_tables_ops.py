@@ -113,6 +113,16 @@ def test_wrapper_without_article(spark):
     assert _text(spark, *pages)[2] == f"Head 2\n{'word ' * 20}2\nmore 2"
 
 
+def test_wrapper_template_text_of_an_article(spark):
+    """What reads the same on every page of a host is not main text, in an article or the main element either."""
+    pages = [f"<{e}><h1>Head {i}</h1><p>text {i}</p><p class='more'>Read more on our site</p></{e}>" for e in ("article", "main") for i in range(3)]
+    urls = [f"http://{h}/{i}" for h in ("a", "m") for i in range(3)]
+    assert _text(spark, *pages, urls=urls) == [f"Head {i}\ntext {i}" for i in range(3)] * 2
+    # so do the headings of near copies, and an article of nothing else
+    assert _text(spark, *[f"<article><h1>Head</h1><p>{i}</p></article>" for i in range(4)])[1] == "Head\n1"
+    assert _text(spark, *["<article><p>same</p></article>"] * 4) == ["same"] * 4
+
+
 def test_wrapper_alignment():
     def wrapper(*streams):
         shape = None
