@@ -50,7 +50,8 @@ from .common import cut, workers
 # Parameters.
 SALTS = 16
 BROADCAST_BYTES = 16 << 20
-TEMPLATE_PAGES = 3  # a slot that reads the same on so many pages is template text
+TEMPLATE_PAGES = 3  # a slot that reads the same on so many unlike pages is template text
+PAGES = ""  # the key that counts all pages of a host
 
 # HTML's element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,40 +74,100 @@ OUTSIDE_WORDS = frozenset(
     "replies disqus share sharing social related recommended newsletter subscribe signup login pagination pager widget".split()
 )
 COMMENT_WORDS = frozenset("comment comments reply replies disqus related ad ads advert".split())
+# What may stand beside such a word in the name of a class or id ("site-header", "cookie-notice", "left_sidebar"). Any other
+# part says something else ("has-sidebar", "ad-free", "header-fixed").
+BESIDE = frozenset(
+    "area bar block body bottom box btn button buttons col column container content element footer form global google header icon icons "
+    "inner item items left link links list main outer page panel post posts articles stories primary right row secondary section site "
+    "slot text title toggle top unit wrap wrapper entry article blog user".split()
+)
+TITLES = frozenset("post posts article articles entry blog stories content title".split())  # "post-header" holds a title
+PROSE = frozenset("p blockquote pre article main section".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?|[^<]+|<""",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_HEADING = re.compile(r"\^?h[1-6]\b")
+_HEADING = re.compile(r"h[1-6]\b")
 _WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[^a-z0-9]+")
 _NUMBERED = re.compile(r"[a-z]*[0-9][a-z0-9]*")  # counters and generated names: one symbol for all of them
 
 
-def _element(name: str, attributes: str) -> tuple[str, bool]:
-    """Symbol part of an element (name, role, classes, id; numbered names as 0), and whether it is outside the main text."""
+def _words(name: str) -> set[str]:
+    """The outside words of a class or id, if all of its parts are such words, their usual company or numbers."""
+    parts = [w for x in _PARTS.split(name.partition("--")[0]) for w in _WORDS.findall(x) if len(w) > 1 or not x.strip(w)]
+    found = OUTSIDE_WORDS.intersection(parts)
+    if not found or not all(w in found or w in BESIDE for w in parts) or (found == {"header"} and not TITLES.isdisjoint(parts)):
+        return set()
+    return found
+
+
+def _element(name: str, attributes: str) -> tuple[str, str]:
+    """Symbol part of an element (name, role, classes, id; numbered names as 0), and why it is outside the main text:
+    ``!`` (what it is, hides or comments on), ``h`` (a header by its element name alone), ``~`` (words of class or id),
+    or nothing."""
+    mark = "h" if name == "header" else "!" if name in OUTSIDE else ""
     if not attributes or attributes.isspace():
-        return name, name in OUTSIDE
+        return name, mark
     said, words = [], set()
-    outside = name in OUTSIDE
     for k, v in _ATTRIBUTE.findall(attributes):
         k, v = k.lower(), v.strip("\"'").lower()
         if k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and "display:none" in v.replace(" ", "")):
-            outside = True
+            mark = "!"
         elif k == "role":
             said.append("@" + v)
-            outside |= v in OUTSIDE_ROLES
+            if v in OUTSIDE_ROLES:
+                mark = "!"
         elif k in ("class", "id"):
-            words.update(_WORDS.findall(v))
+            words.update(*map(_words, v.split()))
             said.append("." + ".".join(sorted({_NUMBERED.sub("0", x) for x in v.split()})))
-    outside |= bool(words & (COMMENT_WORDS if name in ("html", "body", "article", "main") else OUTSIDE_WORDS))
-    return name + "".join(sorted(said)).replace("/", "_").replace("!", "_"), outside
+    if words & COMMENT_WORDS:
+        mark = "!"
+    elif words and not mark and name not in ("html", "body", "article", "main"):
+        mark = "~"
+    return name + "".join(sorted(said)).replace("/", "_").replace("!", "_"), mark
+
+
+def _symbols(found: list[tuple[tuple, str]]) -> list[tuple[str, str]]:
+    """Paths as symbols. Words don't put an element outside that holds most of the page's prose."""
+    prose: dict[int, int] = {}
+    total = 0
+    if any(e[2] == "~" for path, _ in found for e in path):
+        for path, text in found:
+            if any(e[2] in ("!", "h") for e in path) or not (path and (path[-1][0] in PROSE or any(e[0] in ("article", "main") for e in path))):
+                continue
+            total += len(text)
+            for e in path:
+                if e[2] == "~":
+                    prose[e[3]] = prose.get(e[3], 0) + len(text)
+    out = []
+    for path, text in found:
+        # the title of an article stays although its header goes
+        titled, inside, under = False, False, False
+        for e in path:
+            inside = inside or e[0] in ("article", "main")
+            under = under or (inside and e[2] == "h")
+            titled = titled or (under and e[0][0] == "h" and e[0][1:].isdigit())
+        inside = False
+        parts = []
+        for _, part, mark, serial in path:
+            inside = inside or part.startswith(("article", "main"))
+            go = mark == "!" or (mark == "h" and not (titled and inside)) or (mark == "~" and 2 * prose.get(serial, 0) <= total)
+            parts.append("!" + part if go else part)
+        out.append(("/".join(parts) or "/", text))
+    return out
 
 
-def slots(html: str) -> Iterator[tuple[str, str]]:
+def slots(html: str) -> list[tuple[str, str]]:
     """(symbol, text) of every block of text, in page order. Elements outside the main text are marked ``!``."""
-    stack: list[tuple[str, str]] = []  # (name, symbol part)
+    return _symbols(list(_paths(html)))
+
+
+def _paths(html: str) -> Iterator[tuple[tuple, str]]:
+    """(open elements, text) of every block of text."""
+    stack: list[tuple[str, str, str, int]] = []  # (name, symbol part, why outside, position)
     text: list[str] = []
     dropped: list[str] = []  # open inline elements whose text is outside
     pos, n = 0, len(html)
@@ -116,7 +177,7 @@ def slots(html: str) -> Iterator[tuple[str, str]]:
             words = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if words:
-                yield "/".join(p for _, p in stack) or "/", words
+                yield tuple(stack), words
 
     def open_at(names, upto=()) -> int:
         """Index of the innermost open element of these names, -1 if none (not beyond ``upto``)."""
@@ -140,8 +201,14 @@ def slots(html: str) -> Iterator[tuple[str, str]]:
         closing = m.group(1) or m.group(4)
         attributes = m.group(3) if m.group(2) else m.group(6)
         if name in RAW and not closing:
+            foreign = name in ("svg", "math")
+            if foreign and attributes.rstrip().endswith("/"):
+                continue
             end = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(html, pos)
-            pos = n if end is None else end.start()
+            if end is not None:
+                pos = end.start()
+            elif not foreign:  # an svg that never ends doesn't take the page with it
+                pos = n
             continue
         if name not in BLOCKS:
             if name == "br":
@@ -167,29 +234,20 @@ def slots(html: str) -> Iterator[tuple[str, str]]:
         if name in ENDS:
             while (at := open_at(ENDS[name], BOUNDARY.get(name, ()))) >= 0:
                 del stack[at:]
-        part, outside = _element(name, attributes)
-        heading = name[0] == "h" and name[1:].isdigit()
-        if heading and stack and stack[-1][1] == "!header" and any(s[0] == "article" for s in stack):
-            # the title of an article stays although its header goes
-            stack.append((name, "^" + part))
-        else:
-            stack.append((name, "!" * outside + part))
+        stack.append((name, *_element(name, attributes), pos))
     yield from flush()
 
 
 def is_outside(symbol: str) -> bool:
-    parts = symbol.split("/")
-    if parts[-1].startswith("^"):
-        parts = [p for p in parts if p != "!header"]
-    return any(p.startswith("!") for p in parts)
+    return any(p.startswith("!") for p in symbol.split("/"))
 
 
 # --- wrappers ------------------------------------------------------------------------------
-# A wrapper: symbols in order; for each [optional, group or -1, pages, characters, hash of its text or "" if it differs].
+# A wrapper: symbols in order; for each optional, group or -1, and what _count keeps of it.
 
 
 def read(html: str) -> tuple[tuple[str, ...], list[tuple[str, str]]]:
-    found = list(slots(html))
+    found = slots(html)
     return tuple(s for s, _ in found), found
 
 
@@ -247,6 +305,24 @@ def align(a: tuple, b: tuple) -> tuple:
     return fold(symbols, optional, group)
 
 
+def _count(seen: dict, symbol: str, new: list) -> None:
+    """Pages, characters, hash of the text ("" if it differs), and 64 bits of which each page sets one by its content."""
+    if symbol not in seen:
+        seen[symbol] = list(new)
+        return
+    old = seen[symbol]
+    old[0] += new[0]
+    old[1] += new[1]
+    old[2] = old[2] if old[2] == new[2] else ""
+    old[3] |= new[3]
+
+
+def is_template(seen: dict, symbol: str) -> bool:
+    """Reads the same on half of the host's pages, and on enough that are not copies of each other."""
+    pages, _, said, bits = seen[symbol]
+    return said != "" and 2 * pages >= seen[PAGES][0] and bits.bit_count() >= TEMPLATE_PAGES
+
+
 def learn(shape: tuple | None, seen: dict, pages: list) -> tuple:
     """Align the streams of ``pages`` (each: symbols, slots) to ``shape`` and count their slots in ``seen``."""
     met = set()
@@ -258,13 +334,11 @@ def learn(shape: tuple | None, seen: dict, pages: list) -> tuple:
         texts: dict[str, list[str]] = {}
         for s, t in found:
             texts.setdefault(s, []).append(t)
+        page = 1 << hashlib.blake2b(json.dumps(found).encode(), digest_size=1).digest()[0] % 64
+        if found:
+            _count(seen, PAGES, [1, 0, "", page])
         for s, ts in texts.items():
-            said = hashlib.blake2b("\n".join(ts).encode(), digest_size=8).hexdigest()
-            count = seen.setdefault(s, [0, 0, said])
-            count[0] += 1
-            count[1] += sum(map(len, ts))
-            if count[2] != said:
-                count[2] = ""
+            _count(seen, s, [1, sum(map(len, ts)), hashlib.blake2b("\n".join(ts).encode(), digest_size=8).hexdigest(), page])
     return shape
 
 
@@ -275,12 +349,8 @@ def merge(parts: list[dict]) -> dict:
         own = tuple(map(list, p["shape"]))
         if own[0]:
             shape = own if shape is None else align(shape, own)
-        for s, (pages, chars, said) in p["seen"].items():
-            count = seen.setdefault(s, [0, 0, said])
-            count[0] += pages
-            count[1] += chars
-            if count[2] != said:
-                count[2] = ""
+        for s, count in p["seen"].items():
+            _count(seen, s, count)
     return {"shape": shape or ([], [], []), "seen": seen}
 
 
@@ -288,37 +358,43 @@ def _inside(symbol: str, name: str) -> bool:
     return any(re.match(rf"{name}\b", p) or p.endswith(f"@{name}") for p in symbol.split("/"))
 
 
-def levels(wrapper: dict) -> list[list[str]]:
-    """Slots of the main text, best kind first: in an article, in the main element, in the container of most
+def levels(wrapper: dict) -> list[list[list[str]]]:
+    """Slots of the main text (and what goes with them where a page has any), best kind first: in an article, in the main element, in the container of most
     varying text, or anywhere not outside. Text slots come before template text everywhere: a page has the
     template text of its article only where it has no other. The headings of an article always count as text."""
     seen = wrapper["seen"]
     allowed = [s for s in wrapper["shape"][0] if not is_outside(s)]
-    varying = [s for s in allowed if seen[s][2] == "" or seen[s][0] < TEMPLATE_PAGES]
+    varying = [s for s in allowed if not is_template(seen, s)]
+    # the innermost container of nine tenths of the varying prose (of all varying text where there is no prose)
+    prose = [s for s in varying if re.split("[.@]", s.rpartition("/")[2])[0] in PROSE] or varying
     mass: dict[str, int] = {}
-    for s in varying:
-        container = s.rpartition("/")[0]
-        mass[container] = mass.get(container, 0) + seen[s][1]
-    most = max(mass, key=lambda c: (mass[c], c), default=None)
-    text = set(varying).union(s for s in allowed if _HEADING.match(s.rpartition("/")[2]))
+    for s in prose:
+        at = s.rfind("/")
+        while at > 0:
+            mass[s[:at]] = mass.get(s[:at], 0) + seen[s][1]
+            at = s.rfind("/", 0, at)
+    enough = 0.9 * sum(seen[s][1] for s in prose)
+    most = max((c for c in mass if mass[c] >= enough), key=lambda c: (c.count("/"), c), default=None)
+    titles = [s for s in allowed if s not in varying and _HEADING.match(s.rpartition("/")[2])]
+    of = lambda slots, name: [s for s in slots if _inside(s, name)]
     return [
-        [s for s in allowed if s in text and _inside(s, "article")],
-        [s for s in allowed if _inside(s, "article")],
-        [s for s in allowed if s in text and _inside(s, "main")],
-        [s for s in allowed if _inside(s, "main")],
-        [s for s in varying if most is not None and (s.rpartition("/")[0] + "/").startswith(most + "/")],
-        varying,
-        allowed,
+        [of(varying, "article"), of(titles, "article")],
+        [of(allowed, "article")],
+        [of(varying, "main"), of(titles, "main")],
+        [of(allowed, "main")],
+        [[s for s in varying if most is not None and (s.rpartition("/")[0] + "/").startswith(most + "/")]],
+        [varying],
+        [allowed],
     ]
 
 
-def main_text(found: list[tuple[str, str]], kinds: list[list[str]]) -> str:
+def main_text(found: list[tuple[str, str]], kinds: list[list[list[str]]]) -> str:
     """The blocks of the first kind of slots that the page has."""
-    for kind in kinds:
-        wanted = set(kind)
-        blocks = [t for s, t in found if s in wanted]
-        if blocks:
-            return "\n".join(blocks)
+    for wanted, *more in kinds:
+        wanted = set(wanted)
+        if any(s in wanted for s, _ in found):
+            wanted = wanted.union(*more)
+            return "\n".join(t for s, t in found if s in wanted)
     return ""
 
 
@@ -369,7 +445,7 @@ def _extract_batches(batches):
                 if len(known) > 10_000:
                     known.clear()
                 known[kinds] = json.loads(kinds)
-            out.append(main_text(list(slots(html)), known[kinds]))
+            out.append(main_text(slots(html), known[kinds]))
         yield pa.RecordBatch.from_arrays(
             [b.column("page_id"), b.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"]
         )

@@ -113,6 +113,29 @@ def test_wrapper_without_article(spark):
     assert _text(spark, *pages)[2] == f"Head 2\n{'word ' * 20}2\nmore 2"
 
 
+def test_wrapper_keeps_text_in_odd_company(spark):
+    """Names that only contain an outside word, words around most of a page's text, and foreign elements lose no text."""
+    around = ["layout has-sidebar", "no-sidebar", "header-fixed", "ad-free", "social", "login", "post-header"]
+    pages = [f"<body><p>top</p><div class='{c}'><article><h1>T</h1><p>text {c}</p><div class='share'>Share</div></article></div></body>" for c in around]
+    assert _text(spark, *pages) == [f"T\ntext {c}" for c in around]
+    outside = ["sidebar", "left-sidebar", "site-header", "cookie-notice", "post-comments", "ad-300x250", "footer__links", "nav2"]
+    pages = [f"<article><p>some text</p><div class='{c}'><p>x</p></div></article>" for c in outside]
+    assert _text(spark, *pages) == ["some text"] * len(outside)
+    foreign = ["<svg width='1'/>", "<svg viewBox='0 0 1 1' />", "<math/>", "<svg><path>", "<svg><text>x</text></svg>"]
+    assert _text(spark, *[f"<article><p>a {f} b</p><p>{i}</p></article>" for i, f in enumerate(foreign)]) == [f"a b\n{i}" for i in range(len(foreign))]
+    heads = ["<header class='entry-header'>", "<header class='header'><div>", "<header id='h'><hgroup>"]
+    assert _text(spark, *[f"<article>{h}<h1>T</h1><p>by me</p></header><p>{i}</p></article>" for i, h in enumerate(heads)]) == [f"T\n{i}" for i in range(len(heads))]
+
+
+def test_wrapper_container_is_a_common_ancestor(spark):
+    """Text dealt over several sections of one box is taken whole."""
+    pages = [
+        f"<body><div class='box'><div class='a'><p>{'one ' * 30}{i}</p></div><div class='b'><p>{'two ' * 20}{i}</p></div></div><div class='links'>x{i}</div></body>"
+        for i in range(4)
+    ]
+    assert _text(spark, *pages)[2] == f"{'one ' * 30}2\n{'two ' * 20}2"
+
+
 def test_wrapper_template_text_of_an_article(spark):
     """What reads the same on every page of a host is not main text, in an article or the main element either."""
     pages = [f"<{e}><h1>Head {i}</h1><p>text {i}</p><p class='more'>Read more on our site</p></{e}>" for e in ("article", "main") for i in range(3)]
@@ -120,7 +143,10 @@ def test_wrapper_template_text_of_an_article(spark):
     assert _text(spark, *pages, urls=urls) == [f"Head {i}\ntext {i}" for i in range(3)] * 2
     # so do the headings of near copies, and an article of nothing else
     assert _text(spark, *[f"<article><h1>Head</h1><p>{i}</p></article>" for i in range(4)])[1] == "Head\n1"
-    assert _text(spark, *["<article><p>same</p></article>"] * 4) == ["same"] * 4
+    assert _text(spark, *["<article><h1>H</h1><p>same</p></article>"] * 4) == ["H\nsame"] * 4
+    # copies of one page among others are no template
+    copies = ["<article><p class='lead'>same</p><p>text</p></article>"] * 4 + [f"<article><p>{i}</p></article>" for i in range(3)]
+    assert _text(spark, *copies) == ["same\ntext"] * 4 + ["0", "1", "2"]
 
 
 def test_wrapper_alignment():
