@@ -7,7 +7,7 @@ aligned one after another into a union-free regular expression over symbols:
 * a symbol both have stays, one that only one has becomes *optional*,
 * a symbol met again turns everything since its first place into a *repeated
   group* (so every symbol occurs once and a wrapper is bounded by the host's
-  distinct symbols, whatever the number of pages),
+  distinct symbols),
 * a slot whose texts differ is a *text slot*; one that always reads the same is
   template text.
 
@@ -21,11 +21,16 @@ wrapper, so a slot's place in it is found by its symbol; the order, optional
 slots and repeated groups of the expression describe the host's pages and
 choose no text. The blocks of the chosen slots are joined.
 
-Wrappers merge associatively as far as the chosen slots go: tasks align their
-own pages (equal streams once), salted groups and then hosts merge what the
-tasks sent, so a host with a third of all pages costs no more rows than others.
-Wrappers are broadcast when all of them together are small (``BROADCAST_BYTES``),
-otherwise joined.
+Symbols hold only names (classes, ids) that recur on one in ``SHARE`` of the
+host's pages, others share one name; a path that does not recur so stands under
+its nearest ancestor that does. Both are counted before alignment, so a wrapper
+has at most some ``MAX_SYMBOLS`` symbols whatever the number of pages and names.
+
+Wrappers merge associatively as far as the chosen slots go: batches of pages are
+aligned by themselves (equal streams once), then groups of some ``FAN_IN``
+wrappers are merged until a host has one, so a host with a third of all pages
+has no larger task than others. What is known of hosts is sent to all tasks when
+small (``BROADCAST_BYTES``), otherwise once to each slice of a host's pages.
 
 Null html is an empty text. A null url or one without a host shares the host
 "". Repeated rows are extracted separately. Truncated and badly nested pages
@@ -40,15 +45,21 @@ import hashlib
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, workers
+from .common import cut, drop_cut, workers
 
 # Parameters.
-SALTS = 16
+SHARE = 100  # a name or path that recurs on one in so many pages of its host is told apart
+MAX_SYMBOLS = 1000  # names, and paths, told apart in one host
+MAX_SYMBOL_CHARS = 1000
+FAN_IN = 32  # wrappers merged at a time
+SLICES = 1000  # beyond BROADCAST_BYTES a host's pages are dealt out in slices of one in so many pages
 BROADCAST_BYTES = 16 << 20
 TEMPLATE_PAGES = 3  # a slot that reads the same on so many unlike pages is template text
 PAGES = ""  # the key that counts all pages of a host
@@ -83,6 +94,7 @@ BESIDE = frozenset(
 )
 TITLES = frozenset("post posts article articles entry blog stories content title".split())  # "post-header" holds a title
 PROSE = frozenset("p blockquote pre article main section".split())
+PROSE_SLOTS = PROSE | {"*"}  # and slots of paths that are not told apart
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?|[^<]+|<""",
@@ -117,12 +129,12 @@ def _element(name: str, attributes: str) -> tuple[str, str]:
         if k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and "display:none" in v.replace(" ", "")):
             mark = "!"
         elif k == "role":
-            said.append("@" + v)
+            said.append("@" + (v if v in OUTSIDE_ROLES or v in ("article", "main") else "0"))
             if v in OUTSIDE_ROLES:
                 mark = "!"
         elif k in ("class", "id"):
             words.update(*map(_words, v.split()))
-            said.append("." + ".".join(sorted({_NUMBERED.sub("0", x) for x in v.split()})))
+            said.append("." + ".".join(sorted({_NUMBERED.sub("0", x).replace("@", "_") for x in v.split()})))
     if words & COMMENT_WORDS:
         mark = "!"
     elif words and not mark and name not in ("html", "body", "article", "main"):
@@ -242,6 +254,53 @@ def is_outside(symbol: str) -> bool:
     return any(p.startswith("!") for p in symbol.split("/"))
 
 
+# --- bounded symbols -----------------------------------------------------------------------
+
+
+@lru_cache(1 << 16)
+def key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(errors="replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def _part(part: str) -> tuple[str, list[str], str]:
+    """Element, names and role of a symbol's part."""
+    part, at, role = part.partition("@")
+    name, *names = part.split(".")
+    return name, sorted({x for x in names if x}), at + role
+
+
+def names_of(symbol: str) -> set[str]:
+    return {x for p in symbol.split("/") for x in _part(p)[1]}
+
+
+def renamed(symbol: str, names: frozenset) -> str:
+    """The symbol with names that are not known as 0."""
+    out = []
+    for p in symbol.split("/"):
+        name, own, role = _part(p)
+        out.append(".".join([name, *sorted({x if key(x) in names else "0" for x in own})]) + role)
+    return "/".join(out)
+
+
+def prefixes(symbol: str) -> Iterator[str]:
+    """The symbol and the containers around it, innermost first."""
+    while symbol:
+        if len(symbol) <= MAX_SYMBOL_CHARS:
+            yield symbol
+        symbol = symbol.rpartition("/")[0]
+
+
+def bounded(symbol: str, names: frozenset, paths: frozenset) -> str:
+    """The symbol if it is known, else a slot of its innermost container that is; of the same kind as before."""
+    symbol = renamed(symbol, names)
+    base = next((p for p in prefixes(symbol) if key(p) in paths), "")
+    if base == symbol or symbol == "/":
+        return symbol
+    parts = [base] if base else []
+    parts += [e for e in ("article", "main") if _inside(symbol, e) and not _inside(base, e)]
+    return "/".join([*parts, "!*" if is_outside(symbol) else "*"])
+
+
 # --- wrappers ------------------------------------------------------------------------------
 # A wrapper: symbols in order; for each optional, group or -1, and what _count keeps of it.
 
@@ -271,11 +330,12 @@ def fold(symbols: list[str], optional: list[bool], group: list[int]) -> tuple[li
             j += 1
         span = range(i, end + 1)
         repeated = end > i or group[i] >= 0
-        times = {s: sum(symbols[k] == s for k in span) for s in symbols[i : end + 1]} if end > i else {symbols[i]: 1}
+        times = Counter(symbols[k] for k in span)
+        always = {symbols[k] for k in span if not optional[k]}
         most = max(times.values())
         for s in dict.fromkeys(symbols[i : end + 1]):
             out[0].append(s)
-            out[1].append(all(optional[k] for k in span if symbols[k] == s) or times[s] < most)
+            out[1].append(s not in always or times[s] < most)
             out[2].append(number if repeated else -1)
         number += repeated
         i = end + 1
@@ -324,7 +384,8 @@ def is_template(seen: dict, symbol: str) -> bool:
 
 
 def learn(shape: tuple | None, seen: dict, pages: list) -> tuple:
-    """Align the streams of ``pages`` (each: symbols, slots) to ``shape`` and count their slots in ``seen``."""
+    """Align the streams of ``pages`` (each: symbols, slots) to ``shape`` and count their slots in ``seen``.
+    A slot is a symbol and its text, or a symbol, a hash of its text and its characters."""
     met = set()
     for stream, found in pages:
         if stream and stream not in met:
@@ -332,13 +393,15 @@ def learn(shape: tuple | None, seen: dict, pages: list) -> tuple:
             own = fold(list(stream), [False] * len(stream), [-1] * len(stream))
             shape = own if shape is None else align(shape, own)
         texts: dict[str, list[str]] = {}
-        for s, t in found:
+        chars: Counter = Counter()
+        for s, t, *n in found:
             texts.setdefault(s, []).append(t)
+            chars[s] += n[0] if n else len(t)
         page = 1 << hashlib.blake2b(json.dumps(found).encode(), digest_size=1).digest()[0] % 64
         if found:
             _count(seen, PAGES, [1, 0, "", page])
         for s, ts in texts.items():
-            _count(seen, s, [1, sum(map(len, ts)), hashlib.blake2b("\n".join(ts).encode(), digest_size=8).hexdigest(), page])
+            _count(seen, s, [1, chars[s], hashlib.blake2b("\n".join(ts).encode(), digest_size=8).hexdigest(), page])
     return shape
 
 
@@ -366,7 +429,7 @@ def levels(wrapper: dict) -> list[list[list[str]]]:
     allowed = [s for s in wrapper["shape"][0] if not is_outside(s)]
     varying = [s for s in allowed if not is_template(seen, s)]
     # the innermost container of nine tenths of the varying prose (of all varying text where there is no prose)
-    prose = [s for s in varying if re.split("[.@]", s.rpartition("/")[2])[0] in PROSE] or varying
+    prose = [s for s in varying if re.split("[.@]", s.rpartition("/")[2])[0] in PROSE_SLOTS] or varying
     mass: dict[str, int] = {}
     for s in prose:
         at = s.rfind("/")
@@ -388,7 +451,7 @@ def levels(wrapper: dict) -> list[list[list[str]]]:
     ]
 
 
-def main_text(found: list[tuple[str, str]], kinds: list[list[list[str]]]) -> str:
+def main_text(found: list[tuple], kinds: list[list[list]]) -> str:
     """The blocks of the first kind of slots that the page has."""
     for wanted, *more in kinds:
         wanted = set(wanted)
@@ -401,54 +464,158 @@ def main_text(found: list[tuple[str, str]], kinds: list[list[list[str]]]) -> str
 # --- Spark ----------------------------------------------------------------------------------
 
 
-def _learn_batches(batches):
-    import pandas as pd
-
-    for b in batches:
-        rows = []
-        for (host, salt), p in b.groupby(["host", "salt"], sort=True):
-            seen: dict = {}
-            shape = learn(None, seen, [read(h) for h in p["html"]])
-            if seen:
-                rows.append((host, salt, json.dumps({"shape": shape, "seen": seen})))
-        yield pd.DataFrame(rows, columns=["host", "salt", "wrapper"])
-
-
-def _merge_salted(pdf):
-    return pdf.iloc[:1].assign(wrapper=json.dumps(merge([json.loads(w) for w in pdf["wrapper"]])))
-
-
-def _merge_host(pdf):
-    whole = merge([json.loads(w) for w in pdf["wrapper"]])
-    return pdf.iloc[:1][["host"]].assign(wrapper=json.dumps(whole), kinds=json.dumps(levels(whole)))
-
+@lru_cache(256)
+def _known(data: str | None) -> tuple[frozenset, frozenset, list]:
+    """Known names and paths of a host, and the kinds of slots, all by key."""
+    names, paths, kinds = [*json.loads(data or "[]"), [], [], []][:3]
+    return frozenset(names), frozenset(paths), kinds
 
-def infer(pages: DataFrame) -> DataFrame:
-    """``pages(host, html)`` -> host, wrapper, kinds (JSON)."""
-    salted = pages.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
-    learned = salted.select("host", "salt", "html").mapInPandas(_learn_batches, "host string, salt int, wrapper string")
-    some = learned.groupBy("host", "salt").applyInPandas(_merge_salted, "host string, salt int, wrapper string")
-    return some.groupBy("host").applyInPandas(_merge_host, "host string, wrapper string, kinds string")
 
-
-def _extract_batches(batches):
+def _streams(batches):
+    """host, and each slot's symbol, hash of text and characters."""
     import pyarrow as pa
 
-    known: dict[str, list] = {}
     for b in batches:
         out = []
-        for html, kinds in zip(b.column("html").to_pylist(), b.column("kinds").to_pylist(), strict=True):
-            if not html or kinds is None:
-                out.append("")
-                continue
-            if kinds not in known:
-                if len(known) > 10_000:
-                    known.clear()
-                known[kinds] = json.loads(kinds)
-            out.append(main_text(slots(html), known[kinds]))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("page_id"), b.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"]
-        )
+        for h in b.column("html").to_pylist():
+            at: dict[str, int] = {}
+            slot = [(at.setdefault(s, len(at)), key.__wrapped__(t), len(t)) for s, t in slots(h)]
+            out.append(json.dumps([list(at), slot]))
+        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(out, pa.string())], names=["host", "stream"])
+
+
+def _counter(of: Callable) -> Callable:
+    """Pages of each host on which each key occurs; key null: all its pages."""
+
+    def run(b, known):
+        import pyarrow as pa
+
+        pages: Counter = Counter()
+        for host, stream, data in zip(b.column("host").to_pylist(), b.column("stream").to_pylist(), known, strict=True):
+            symbols = json.loads(stream)[0]
+            if symbols:
+                pages[host, None, 0] += 1
+                pages.update((host, key(x), x.count("/")) for x in {x for s in symbols for x in of(s, *_known(data)[:2])})
+        rows = [(*k, n) for k, n in pages.items()]
+        types = {"host": pa.string(), "key": pa.int64(), "depth": pa.int64(), "pages": pa.int64()}
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types.values())], names=list(types))
+
+    return run
+
+
+def _recurring(counts: DataFrame) -> DataFrame:
+    """host, keys (JSON): those that recur on enough of the host's pages, the most frequent ``MAX_SYMBOLS``
+    (outer paths first, so that a known path's containers are known)."""
+    counts = cut(counts.groupBy("host", "key").agg(F.sum("pages").alias("pages"), F.min("depth").alias("depth")), "counts")
+    total = counts.where("key IS NULL").select("host", F.col("pages").alias("total"))
+    least = F.greatest(F.ceil(F.col("total") / SHARE), F.when(F.col("total") > TEMPLATE_PAGES, 2).otherwise(1))
+    found = counts.where("key IS NOT NULL").join(total, "host").where(F.col("pages") >= least)
+    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("pages"), "depth", "key"))
+    found = found.withColumn("rank", rank).where(F.col("rank") <= MAX_SYMBOLS)
+    found = found.groupBy("host").agg(F.to_json(F.sort_array(F.collect_list("key"))).alias("keys"))
+    return total.select("host").join(found, "host", "left").select("host", F.coalesce("keys", F.lit("[]")).alias("keys"))
+
+
+def with_known(rows: DataFrame, known: DataFrame, f: Callable, schema: str) -> DataFrame:
+    """``f(batch, what is known of each row's host)`` over ``rows(host, ...)``; ``known(host, data)``."""
+    size = known.agg(F.sum(F.length("host") + F.length("data"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        sent = {r.host: r.data for r in known.collect()}
+
+        def run(batches):
+            for b in batches:
+                yield f(b, [sent.get(h) for h in b.column("host").to_pylist()])
+
+        return rows.mapInArrow(run, schema)
+
+    # pages meet their host's data in slices of bounded size; only hosts of several slices are broadcast, SLICES at most
+    pages = cut(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "host-pages")
+    total = pages.agg(F.sum("pages")).first()[0] or 1
+    large = F.broadcast(pages.where(F.col("pages") * SLICES > total).select("host", F.ceil(F.col("pages") * SLICES / total).cast("int").alias("slices")))
+    slices = F.coalesce("slices", F.lit(1))
+    cols = rows.columns
+    dealt = rows.join(large, "host", "left").withColumn("slice", F.pmod(F.xxhash64(*cols), slices).cast("int")).select(*cols, "slice", F.lit(None).cast("string").alias("data"))
+    sides = known.join(large, "host", "left").withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).select("host", "slice", "data")
+    whole = dealt.unionByName(sides, allowMissingColumns=True).repartition("host", "slice").sortWithinPartitions("host", "slice", F.col("data").isNull())
+
+    def stream(batches):
+        import pyarrow as pa
+
+        at, data = None, None
+        for b in batches:
+            own, said = [], []
+            for i, (host, new) in enumerate(zip(b.column("host").to_pylist(), b.column("data").to_pylist(), strict=True)):
+                if new is not None:
+                    at, data = host, new
+                else:
+                    own.append(i)
+                    said.append(data if at == host else None)
+            if own:
+                yield f(b.take(pa.array(own)), said)
+
+    return whole.mapInArrow(stream, schema)
+
+
+def _learn(b, known):
+    """One wrapper of each host in the batch."""
+    import pyarrow as pa
+
+    pages: dict[str, list] = {}
+    for host, stream, data in zip(b.column("host").to_pylist(), b.column("stream").to_pylist(), known, strict=True):
+        symbols, found = json.loads(stream)
+        names, paths, _ = _known(data)
+        symbols = [bounded(s, names, paths) for s in symbols]
+        found = [(symbols[i], str(h), n) for i, h, n in found]
+        pages.setdefault(host, []).append((tuple(s for s, _, _ in found), found))
+    rows = []
+    for host, own in pages.items():
+        seen: dict = {}
+        shape = learn(None, seen, own)
+        if seen:
+            rows.append((host, json.dumps({"shape": shape, "seen": seen})))
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["host", "wrapper"])
+
+
+def _merge(pdf):
+    return pdf.iloc[:1][["host"]].assign(wrapper=json.dumps(merge([json.loads(w) for w in pdf["wrapper"]])))
+
+
+def _kinds(pdf):
+    whole = [json.dumps([[[key(s) for s in some] for some in kind] for kind in levels(json.loads(w))]) for w in pdf["wrapper"]]
+    return pdf[["host"]].assign(kinds=whole)
+
+
+def infer(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pages(host, html)`` -> wrappers (host, wrapper: JSON), and what extraction asks of a host (host, data: JSON)."""
+    streams = cut(pages.select("host", "html").mapInArrow(_streams, "host string, stream string"), "streams")
+    data = lambda *cols: F.concat(F.lit("["), F.concat_ws(",", *cols), F.lit("]")).alias("data")
+    counts, nothing = "host string, key bigint, depth bigint, pages bigint", streams.sparkSession.createDataFrame([], "host string, data string")
+    names = cut(_recurring(with_known(streams, nothing, _counter(lambda s, *_: names_of(s)), counts)), "names")
+    known = names.select("host", data("keys"))
+    paths = _recurring(with_known(streams, known, _counter(lambda s, own, _: prefixes(renamed(s, own))), counts))
+    both = cut(names.join(paths.withColumnRenamed("keys", "paths"), "host"), "paths")
+    parts = cut(with_known(streams, both.select("host", data("keys", "paths")), _learn, "host string, wrapper string"), "wrappers")
+    schema = "host string, wrapper string"
+    while (most := parts.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > 1:
+        # by groups of some FAN_IN, evenly by number of the row
+        group = F.lit(0) if most <= FAN_IN else F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-most // FAN_IN)))
+        new = cut(parts.withColumn("part", group).groupBy("host", "part").applyInPandas(_merge, schema), "wrappers")
+        drop_cut(parts)
+        parts = new
+    kinds = parts.groupBy("host").applyInPandas(_kinds, "host string, kinds string")
+    return parts, both.join(kinds, "host").select("host", data("keys", "paths", "kinds"))
+
+
+def _extract(b, known):
+    import pyarrow as pa
+
+    out = []
+    for html, data in zip(b.column("html").to_pylist(), known, strict=True):
+        names, paths, kinds = _known(data)
+        found = slots(html) if html and kinds else []
+        symbols = {s: key(bounded(s, names, paths)) for s in {s for s, _ in found}}
+        out.append(main_text([(symbols[s], t) for s, t in found], kinds))
+    return pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -456,8 +623,5 @@ def extract(pages: DataFrame) -> DataFrame:
     workers(pages.sparkSession)
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    wrappers = cut(infer(own), "wrappers").select("host", "kinds")
-    size = wrappers.agg(F.sum(F.length("host") + F.length("kinds"))).first()[0] or 0
-    side = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
-    joined = own.join(side, "host", "left").select("page_id", "url", "html", "kinds")
-    return joined.mapInArrow(_extract_batches, "page_id bigint, url string, text string")
+    known = cut(infer(own)[1], "known")
+    return with_known(own, known, _extract, "page_id bigint, url string, text string")

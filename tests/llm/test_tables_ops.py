@@ -177,6 +177,26 @@ def test_wrapper_symbols_do_not_count_pages():
     assert len(shape[0]) == 1 and seen[shape[0][0]][0] == 49
 
 
+def test_wrapper_size_does_not_grow_with_names(spark, monkeypatch):
+    """Names and paths of single pages share symbols; the text stays, also where nothing is broadcast."""
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    page = lambda i: (
+        f"<body><div class='top'>Our site</div><div class='box'><div id='post-{word(i)}' class='tag-{word(7 * i)} body'>"
+        f"<p>text {i}</p>{'<div>' * (i % 7)}<blockquote class='by-{word(i)}'>said {i}</blockquote></div></div></body>"
+    )
+    rows = [(i, "http://h/x" if i % 3 else f"http://{i % 4}/x", page(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(8)
+    wrapper = wrappers.infer(df.selectExpr("'h' AS host", "html"))[0].collect()
+    assert len(wrapper) == 1 and len(wrappers.json.loads(wrapper[0].wrapper)["shape"][0]) < 20
+    want = [f"text {i}\nsaid {i}" for i in range(300)]
+    assert [r.text for r in wrappers.extract(df).orderBy("page_id").collect()] == want
+    monkeypatch.setattr(wrappers, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(wrappers, "FAN_IN", 2)
+    assert [r.text for r in wrappers.extract(df).orderBy("page_id").collect()] == want
+    monkeypatch.setattr(wrappers, "MAX_SYMBOLS", 2)  # paths beyond the limit stand under what is known of them
+    assert all(f"text {i}\nsaid {i}" in r.text for i, r in enumerate(wrappers.extract(df).orderBy("page_id").collect()))
+
+
 def test_wrapper_merge_is_order_free():
     r = random.Random(3)
     streams = ["".join(r.choice("nahpf") for _ in range(r.randint(1, 9))) for _ in range(12)]
