@@ -429,6 +429,17 @@ def test_pipeline_runs_on_nothing(spark, no_docs):
     assert docs.collect() == []
 
 
+def test_pipeline_keeps_one_row_of_a_document(spark):
+    """Repeated rows of one doc_id go; unlike texts of one doc_id, and rows without doc_id, stay."""
+    a, b, c = ("".join(f"{x}{i} " for i in range(60)) for x in "abc")
+    rows = [(2, a), (2, a), (1, a + "tail"), (1, a + "tail"), (3, b), (3, b), (3, c), (4, ""), (4, None), (5, None), (None, a), (None, a), (None, None)]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id bigint, text string, _row string").repartition(4)
+    got = corpus_pipeline.near_dedup(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns
+    found = sorted([(r.doc_id, r.text or "") for r in got.collect()], key=repr)
+    assert found == sorted([(1, a + "tail"), (3, b), (3, c), (4, ""), (5, ""), (None, a), (None, a), (None, "")], key=repr)
+
+
 def test_pipeline_on_odd_rows(spark, odd):
     """Nulls, empty and long texts, copies, repeated rows and clashing columns go through every stage."""
     docs = odd
