@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_tree, minmax_hash, quality_rules, substrings, topk
+from . import chat_tree, minmax_hash, prefix_trie, quality_rules, substrings, topk, vector_cells
 from .common import table
 
 
@@ -89,12 +89,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_cells.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_html, op2_topk, op3_secrets, op4_chat, op5_substrings,
         op6_mix, op7_minmax, op8_bpe, op9_rules, op10_quality,
+        op11_whiten, op12_trie, op13_cells,
     )
 }
 
-LLM_ORACLE = {"op2_topk": topk.ORACLE, "op4_chat": chat_tree.ORACLE, "op5_substrings": substrings.ORACLE, "op7_minmax": minmax_hash.ORACLE, "op9_rules": quality_rules.ORACLE}
+LLM_ORACLE = {"op2_topk": topk.ORACLE, "op4_chat": chat_tree.ORACLE, "op5_substrings": substrings.ORACLE, "op7_minmax": minmax_hash.ORACLE, "op9_rules": quality_rules.ORACLE, "op12_trie": prefix_trie.ORACLE, "op13_cells": vector_cells.ORACLE}
