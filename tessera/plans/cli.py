@@ -6,7 +6,7 @@
 Input is a wide pixel table (``lat, lon, pop_<year>...``) or, with
 ``--tiles``, a tile table plus ``--grid`` (JSON of the grid descriptor).
 ``--dry-run`` prints the window plan and stops. ``--resumable`` runs the
-window-batched stream build (restartable, see ``tessera.streaming``).
+build by windows (restartable, see ``tessera.streaming.windows``).
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ def _args(argv=None):
     p.add_argument("--crs", default="EPSG:4326", help="CRS of lat/lon (with --pixels)")
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--resumable", action="store_true")
+    p.add_argument("--input-version", help="with --resumable: a name for the input's content (default: the listing of its files)")
+    p.add_argument("--keep-versions", type=int, help="after the build, delete all but the newest so many versions of the scenario")
     return p.parse_args(argv)
 
 
@@ -72,12 +74,15 @@ def main(argv=None) -> None:
     if a.resumable:
         from ..streaming.resumable import resumable_build
 
-        inputs = f"{a.tiles or a.pixels} {listing_key(spark, a.tiles or a.pixels)}"
-        out = resumable_build(
-            spark, pixels, inputs, grid, years, a.out, a.scenario, res, a.system, pixel_dir=None if a.tiles else a.pixels
-        )
+        where = a.tiles or a.pixels
+        inputs = f"{where} {a.input_version or listing_key(spark, where)}"
+        out = resumable_build(spark, pixels, inputs, grid, years, a.out, a.scenario, res, a.system)
     else:
         out = build_population_index(spark, pixels, grid, years, a.out, a.scenario, res, system=a.system)
+    if a.keep_versions:
+        from ..sinks.snapshots import expire
+
+        expire(spark, a.out, a.scenario, a.keep_versions)
     for r in out.groupBy("h3_res").count().orderBy("h3_res").collect():
         print(f"  res {r['h3_res']:2d}: {r['count']:12d} cells")
 

@@ -254,6 +254,10 @@ def _half_even() -> str:
     )
 
 
+def _northern(cols: list[str]) -> str:
+    return f"SELECT * FROM ({PIXEL_VIEW}) pv WHERE {mask(cols)} AND lat > 0"
+
+
 def _wkb(lng_e: str, lat_e: str) -> str:
     """Little-endian WKB of a point as upper-case hex: the bytes of each double in reverse."""
 
@@ -307,8 +311,21 @@ ORACLE = {
     ),
     "metadata_json": (
         "SELECT 'SSP2' AS scenario, 'EPSG:4326' AS crs, 'hex' AS cell_system, '2025,2050,2100' AS years, "
-        f"CAST(h3_res AS INTEGER) AS h3_res, count(*) AS n_cells FROM ({IDX_ALL}) i GROUP BY h3_res"
+        "CAST(h3_res AS INTEGER) AS h3_res, count(*) AS n_cells, min(h3_index) AS first_id, max(h3_index) AS last_id, "
+        + ", ".join(f"sum(CAST({c} AS DOUBLE)) AS total_{c[4:]}" for c in POP)
+        + f" FROM ({IDX_ALL}) i GROUP BY h3_res"
+    ),
+    "snapshot_republish": (
+        f"WITH i AS ({index([1, 2], ['pop_2025'], _northern(['pop_2025']))}) "
+        "SELECT h3_res, h3_index, pop_2025, count(*) OVER (PARTITION BY h3_res) AS n_told FROM i"
+    ),
+    "snapshot_crash": index([1, 2, 3, 4]),
+    "window_resume": (
+        "SELECT l.win_id, CAST(1 AS BIGINT) AS n_runs, CASE WHEN p.n IS NULL THEN 'skipped_no_data' ELSE 'done' END AS status, "
+        f"coalesce(p.n, 0) AS n_valid FROM ({LATTICE}) l LEFT JOIN "
+        f"(SELECT win_id, count(*) AS n FROM ({_pixel_windows(VALID)}) w GROUP BY win_id) p ON p.win_id = l.win_id"
     ),
+    "window_resume_index": index([2, 5]),
     "index_written_readback": f"SELECT h3_index, {POPS} FROM ({IDX5}) i",
     "bbox_written": _bbox(BBOX_FIXTURE),
     "index_resumable": IDX_ALL,

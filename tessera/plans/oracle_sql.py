@@ -101,10 +101,10 @@ def assign(src: str, keep: list[str], resolutions) -> str:
     return "\nUNION ALL\n".join(cells_at(xy, keep, r) for r in resolutions)
 
 
-def index(resolutions, cols=POP) -> str:
+def index(resolutions, cols=POP, src: str = VALID) -> str:
     sums = ", ".join(f"CAST(SUM(CAST({c} AS DOUBLE)) AS FLOAT) AS {c}" for c in cols)
     return (
-        f"SELECT h3_res, h3_index, {sums} FROM ({assign(VALID, cols, resolutions)}) a "
+        f"SELECT h3_res, h3_index, {sums} FROM ({assign(src, cols, resolutions)}) a "
         f"GROUP BY h3_res, h3_index"
     )
 

@@ -33,13 +33,13 @@ def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
 
 def published_base(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the published index for ``sf_dir`` (built on first use)."""
-    from ..sinks.manifest import has_marker
+    from ..sinks.snapshots import current
     from .build import build_population_index
 
     key = _input_key(spark, sf_dir)
     with _LOCK:
         base = _BUILT.get(key)
-        if base is not None and not has_marker(spark, f"{base}/_COMPLETE_{FIXTURE_SCENARIO}"):
+        if base is not None and current(spark, base, FIXTURE_SCENARIO) is None:
             base = None  # the folder was removed or never completed: build again
         if base is None:
             base = scratch_path(spark, "published")

@@ -466,16 +466,116 @@ def index_file_ranges(spark, sf):
 
 
 def metadata_json(spark, sf):
-    """[K4] what the metadata document of the index job says, one row per resolution."""
+    """[K4] what the metadata document of the index job says, one row per resolution: all of it observed by the write."""
+    from ..sinks.metadata import METADATA_SCHEMA
+    from ..sinks.snapshots import current
     from .build import METADATA_NAME
     from .published import published_base
 
-    base = published_base(spark, sf)
-    schema = "scenario string, crs string, cell_system string, years array<int>, cells_per_resolution map<string, bigint>"
-    doc = spark.read.schema(schema).json(f"{base}/scenario={FIXTURE_SCENARIO}/{METADATA_NAME}")
-    return doc.select(
-        "scenario", "crs", "cell_system", F.array_join("years", ",").alias("years"), F.explode("cells_per_resolution").alias("res", "n_cells")
-    ).select("scenario", "crs", "cell_system", "years", F.col("res").cast("int").alias("h3_res"), "n_cells")
+    root = current(spark, published_base(spark, sf), FIXTURE_SCENARIO).root
+    doc = spark.read.schema(METADATA_SCHEMA).json(f"{root}/scenario={FIXTURE_SCENARIO}/{METADATA_NAME}")
+    rows = doc.select("*", F.array_join("years", ",").alias("year_list"), F.explode("cells_per_resolution").alias("res", "n_cells"))
+    ids, totals = (F.element_at(c, F.col("res")) for c in ("ids_per_resolution", "totals_per_resolution"))
+    return rows.select(
+        "scenario", "crs", "cell_system", F.col("year_list").alias("years"), F.col("res").cast("int").alias("h3_res"), "n_cells",
+        ids["first"].alias("first_id"), ids["last"].alias("last_id"), *[totals[p].alias(f"total_{p[4:]}") for p in POP],
+    )
+
+
+# --- snapshots: what a second build leaves to be read -----------------------------------------
+
+REBUILD_RES = [1, 2]
+REBUILD_YEARS = [2025]
+
+
+def _build_into(spark, sf, base, years, res, northern=False):
+    from .build import build_population_index
+
+    px = _pixels(spark, sf)
+    return build_population_index(spark, px.where("lat > 0") if northern else px, FIXTURE_GRID, years, base, FIXTURE_SCENARIO, res)
+
+
+def snapshot_republish(spark, sf):
+    """[K3, K4, K7] publish res 1-4 with three years, then res 1-2 with one year of fewer pixels into the same base: what is read,
+    beside the cells that the metadata counts."""
+    from ..session import scratch_path
+    from ..sinks.snapshots import current
+    from ..sources.index_reader import read_index
+    from .build import METADATA_NAME
+
+    base = scratch_path(spark, "republish")
+    _build_into(spark, sf, base, FIXTURE_YEARS, [1, 2, 3, 4])
+    _build_into(spark, sf, base, REBUILD_YEARS, REBUILD_RES, northern=True)
+    root = current(spark, base, FIXTURE_SCENARIO).root
+    doc = spark.read.schema("cells_per_resolution map<string, bigint>").json(f"{root}/scenario={FIXTURE_SCENARIO}/{METADATA_NAME}")
+    told = doc.select(F.explode("cells_per_resolution").alias("res", "n_told")).select(F.col("res").cast("int").alias("h3_res"), "n_told")
+    # every resolution that is read shows, whether the metadata names it or not
+    return read_index(spark, base, FIXTURE_SCENARIO).drop("scenario").join(F.broadcast(told), "h3_res", "left")
+
+
+def snapshot_crash(spark, sf):
+    """[K3, K7] a second build that ends between its write and its swap: the first one is read, its marker stands for it."""
+    from ..operators.index import build_index
+    from ..session import scratch_path
+    from ..sources.index_reader import read_index
+    from .build import stage_index
+
+    base = scratch_path(spark, "crash")
+    _build_into(spark, sf, base, FIXTURE_YEARS, [1, 2, 3, 4])
+    northern = build_index(_pixels(spark, sf).where("lat > 0"), ["pop_2025"], REBUILD_RES, NODATA)
+    stage_index(spark, northern, base, FIXTURE_SCENARIO, REBUILD_YEARS, REBUILD_RES, FIXTURE_GRID)
+    return read_index(spark, base, FIXTURE_SCENARIO).drop("scenario")
+
+
+QUERIES.update({"snapshot_republish": snapshot_republish, "snapshot_crash": snapshot_crash})
+
+
+# --- resume by window: a build stopped after some batches and taken up again -------------------
+
+RESUME_RES = [2, 5]
+RESUME_BATCHES = 6  # batches that the staged pixels make, about
+RESUME_STOP_AFTER = 2  # batches of the first attempt
+
+
+def _stopped_and_resumed(spark, sf):
+    """A run by windows that stops after some batches, has a batch in flight when it ends, finds its files rewritten and goes on."""
+    from ..session import scratch_path
+    from ..streaming.windows import BAND, WINDOW, WindowRun, stage_by_window, staged_bytes, window_partials
+
+    work = scratch_path(spark, "windows")
+    px = _pixels(spark, sf).select("lat", "lon", *POP)
+    stage_by_window(px, f"{work}/pixels")
+    key = M.run_key(FIXTURE_SCENARIO, FIXTURE_YEARS, RESUME_RES, FIXTURE_GRID, "fixture")
+    run = lambda staged: WindowRun(spark, f"{work}/{staged}", px.schema, POP, RESUME_RES, NODATA, work, key)
+    first = run("pixels")
+    size = staged_bytes(spark, f"{work}/pixels").agg(F.sum("bytes")).first()[0] // RESUME_BATCHES
+    first.run(size, max_batches=RESUME_STOP_AFTER)
+    # a batch that wrote its partial sums and ended before it recorded its windows
+    lost = first._batches(size)[0]
+    window_partials(first.read(lost), POP, RESUME_RES, NODATA).write.parquet(f"{work}/partials/attempt=lost")
+    # the files of the remaining windows are written anew elsewhere, those of finished windows are gone
+    left = first.pending().select(WINDOW)
+    stored = spark.read.schema(first.schema).parquet(f"{work}/pixels")
+    stage_by_window(stored.join(F.broadcast(left), WINDOW, "left_semi").drop(WINDOW, BAND), f"{work}/rewritten")  # a lattice of rows at most
+    second = run("rewritten")
+    second.run(size)
+    return second
+
+
+def window_resume(spark, sf):
+    """[K5, K6, A11] per window: how often it ran, its outcome and its valid pixels, after a stop and a resumption."""
+    run = _stopped_and_resumed(spark, sf)
+    ran = run.manifest().groupBy("win_id").agg(F.count(F.lit(1)).alias("n_runs"), F.first("status").alias("status"), F.sum("n_valid").alias("n_valid"))
+    lattice = run.lattice().select("win_id")
+    return lattice.join(ran, "win_id", "left").select("win_id", F.coalesce("n_runs", F.lit(0).cast("bigint")).alias("n_runs"), "status", "n_valid")
+
+
+def window_resume_index(spark, sf):
+    """[K1, K5, S4, A2] the index of that run."""
+    return _stopped_and_resumed(spark, sf).index()
+
+
+QUERIES.update({"window_resume": window_resume, "window_resume_index": window_resume_index})
 
 
 QUERIES.update(

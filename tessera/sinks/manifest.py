@@ -1,11 +1,13 @@
 """Run manifest: which windows a run has finished.
 
-The manifest is an append-only Parquet table ``(run_key, win_id, status)``
-in shared storage. ``run_key`` fingerprints everything that changes the
-output (scenario, years, resolutions, grid, input listing), so a finished
+The manifest is an append-only Parquet table ``(run_key, win_id, status, n_valid,
+attempt)`` in shared storage. ``run_key`` fingerprints everything that changes the
+output (scenario, years, resolutions, grid, input), so a finished
 run of one configuration is never reused by another.
 
-A run has one row per lattice window and status.
+A run has one row per lattice window. ``attempt`` names the folder of partial sums
+that hold the window; each batch of windows appends its rows as one file after its
+partial sums are written, and only partial sums that a row names count.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("run_key", T.StringType(), False),
         T.StructField("win_id", T.StringType(), False),
         T.StructField("status", T.StringType(), False),
+        T.StructField("n_valid", T.LongType(), True),
+        T.StructField("attempt", T.StringType(), True),
     ]
 )
 
@@ -50,8 +54,11 @@ def manifest_rows(win_ids: DataFrame, key: str, status: str) -> DataFrame:
 
 
 def append_manifest(rows: DataFrame, path: str) -> None:
-    """K5: append finished windows (a committed Parquet append is atomic per job)."""
-    rows.select("run_key", "win_id", "status").write.mode("append").parquet(path)
+    """K5: append finished windows, as one file (at most a lattice of rows): all of a batch or none of it."""
+    for name, kind in (("n_valid", "bigint"), ("attempt", "string")):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
+    rows.select(*MANIFEST_SCHEMA.names).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -36,18 +36,23 @@ def write_index(
     n_partitions: int | None = None,
     zstd_level: int = ZSTD_LEVEL,
     row_group_rows: int = ROW_GROUP_ROWS,
+    fresh: bool = False,
+    observe: tuple | None = None,
 ) -> str:
     """K2 + K3: write ``h3_index, pop_*`` partitioned by scenario and resolution.
 
-    Dynamic partition overwrite: rewriting one scenario/resolution leaves the
-    others in place; a task retried after an executor loss rewrites only its
-    own attempt files (the commit protocol publishes one attempt).
+    ``fresh``: into a folder of its own, which must not exist (a version, see
+    ``snapshots``). Otherwise dynamic partition overwrite: rewriting one scenario/resolution
+    leaves the others in place. A task retried after an executor loss rewrites only its
+    own attempt files (the commit protocol publishes one attempt). ``observe``: an
+    Observation and its aggregates, taken of the rows as they are written.
     """
     df = sorted_for_write(index.withColumn("scenario", F.lit(scenario)), n_partitions)
+    if observe is not None:  # above the last exchange: rows of a retried task count once
+        df = df.observe(observe[0], *observe[1])
+    writer = df.write.mode("errorifexists") if fresh else df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
+        writer.option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", str(zstd_level))
         .option("parquet.block.row.count.limit", str(row_group_rows))
         .partitionBy("scenario", "h3_res")

@@ -21,14 +21,22 @@ def index_schema(years: list[int]) -> T.StructType:
 def cell_system(spark: SparkSession, base: str, scenario: str) -> str | None:
     """The id system the metadata document names, or None without a document."""
     from ..sinks.manifest import has_marker
+    from ..sinks.snapshots import current
 
-    path = f"{base.rstrip('/')}/scenario={scenario}/_index_metadata.json"
+    snapshot = current(spark, base, scenario)
+    root = snapshot.root if snapshot else base.rstrip("/")
+    path = f"{root}/scenario={scenario}/_index_metadata.json"
     if not has_marker(spark, path):
         return None
     row = spark.read.schema("cell_system string").json(path).first()
     return row["cell_system"] if row else None
 
 
+def read_snapshot(spark: SparkSession, snapshot, res: int | None = None, years: list[int] | None = None) -> DataFrame:
+    """One version of a scenario. The pointer names its years, so no file footer is opened for the schema."""
+    return _read_plain(spark, snapshot.root, snapshot.scenario, res, snapshot.years if years is None else years)
+
+
 def read_index(
     spark: SparkSession,
     base: str,
@@ -39,11 +47,29 @@ def read_index(
     """The published layout. Scenario/resolution become partition
     filters (directory pruning), other predicates reach the Parquet reader.
 
-    When both are given only that leaf directory is listed (``basePath``
-    keeps ``scenario``/``h3_res`` as columns), so the cost of opening one
-    resolution does not grow with the number of scenarios and resolutions.
+    A base with committed versions (``sinks.snapshots``) reads the current one of the
+    scenario, or of each scenario, whose unlike year columns are then merged (null where a scenario lacks
+    one). Plain folders ``scenario=<S>/h3_res=<N>``, as other tools write them, are read as they lie.
     With ``years`` the schema is declared and no file footer is opened for it.
     """
+    from ..sinks.snapshots import current, scenarios
+
+    if scenario is not None:
+        snapshot = current(spark, base, scenario)
+        return read_snapshot(spark, snapshot, res, years) if snapshot else _read_plain(spark, base, scenario, res, years)
+    found = scenarios(spark, base)
+    if not found:
+        return _read_plain(spark, base, None, res, years)
+    out = None
+    for s in found:  # at most a handful
+        df = read_snapshot(spark, current(spark, base, s), res, years)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
+def _read_plain(spark: SparkSession, base: str, scenario: str | None, res: int | None, years: list[int] | None) -> DataFrame:
+    """When scenario and resolution are given only that leaf directory is listed (``basePath`` keeps
+    ``scenario``/``h3_res`` as columns), so opening one resolution doesn't cost more with more of them."""
     from ..sinks.manifest import has_marker
 
     root = base.rstrip("/")
@@ -61,12 +87,14 @@ def read_index(
 
 
 def read_index_files(spark: SparkSession, base: str, glob: str = "*.parquet") -> DataFrame:
-    """Every data file under ``base`` as one table, partition inference off
+    """Every current data file under ``base`` as one table, partition inference off
     (the directory names are not turned into columns)."""
+    from ..sinks.snapshots import data_roots
+
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .parquet(base)
+        .parquet(*data_roots(spark, base))
     )
 
 
@@ -75,25 +103,29 @@ def read_partials(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def list_files(spark: SparkSession, base: str, glob: str = "*.parquet") -> DataFrame:
-    """``path, length, modificationTime`` of matching files, sorted by path.
-
-    The ``content`` column is never selected, so no file body is read.
-    """
-    files = (
+def _listing(spark: SparkSession, roots: list[str], glob: str) -> DataFrame:
+    """The ``content`` column is never selected, so no file body is read."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .load(base)
+        .load(roots)
         .select("path", "length", "modificationTime")
     )
-    return files.orderBy("path")
+
+
+def list_files(spark: SparkSession, base: str, glob: str = "*.parquet") -> DataFrame:
+    """``path, length, modificationTime`` of matching files, sorted by path; of a published index
+    those of its current versions."""
+    from ..sinks.snapshots import data_roots
+
+    return _listing(spark, data_roots(spark, base), glob).orderBy("path")
 
 
 def listing_key(spark: SparkSession, base: str, glob: str = "*.parquet") -> str:
     """A fingerprint of the files under ``base`` (paths, lengths, times), whatever their order or number."""
     one = F.xxhash64("path", "length", F.col("modificationTime").cast("long"))
-    r = list_files(spark, base, glob).agg(
+    r = _listing(spark, [base], glob).agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.coalesce(F.bit_xor(one), F.lit(0)).alias("x")
     ).first()
     return f"{r['n']}-{r['bytes']}-{r['x']}"

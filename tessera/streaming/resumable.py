@@ -1,16 +1,15 @@
-"""Resumable index build on Structured Streaming.
+"""Index build on a stream of pixel files, and the resumable job.
 
-The batch job restarts from scratch after a driver failure. For long runs,
-pixel files (one or more per window, as a raster tiler writes them) are
-consumed as a file stream:
+``resumable_build`` goes by windows (``streaming.windows``). ``run_resumable`` is
+for pixel files that keep arriving: they are consumed as a file stream:
 
 * each micro-batch turns its files into *partial* sums per (resolution,
   cell) and writes them under ``partials/batch_id=<n>`` -- with dynamic
   partition overwrite, so a replayed batch replaces its own output;
 * the stream checkpoint (in the shared checkpoint folder) records which
   files each batch took, so a restarted run skips finished files and
-  replays at most the batch in flight: the "skip completed windows" logic
-  is Spark's own offset log;
+  replays at most the batch in flight (finished *files* are skipped, by Spark's
+  own offset log; finished windows are the other job's);
 * the merge is the final phase of the same aggregation: SUM of partials
   per (resolution, cell), cast to FLOAT once (partials stay DOUBLE, so the
   result equals the one-pass build).
@@ -21,7 +20,6 @@ serves one-shot backfills and incremental runs over new files.
 
 from __future__ import annotations
 
-import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,54 +103,47 @@ def resumable_build(
     scenario: str,
     resolutions,
     system: str = "hex",
-    pixel_dir: str | None = None,
-    max_bytes_per_trigger: int = 64 << 30,
-) -> DataFrame:
-    """The index job in resumable form, finished like the one-pass job (metadata, then marker).
+    max_bytes_per_batch: int = 64 << 30,
+    max_batches: int | None = None,
+) -> DataFrame | None:
+    """The index job in resumable form, finished like the one-pass job (metadata, pointer, marker).
 
     The work folder is named by a key over scenario, years, resolutions, grid
-    (with nodata), id system and the input's listing, so an attempt is only
-    ever resumed by the same run. ``pixel_dir`` is streamed as it is; without it
-    ``pixels`` (say, unpacked tiles) are staged in the work folder first.
-    The outcome of every lattice window goes to the run manifest; a run whose
-    windows are all recorded and whose output is complete is not repeated.
+    (with nodata), id system and ``inputs`` (the input's listing, or a label the caller gives
+    to data whose files may be rewritten), so an attempt is only ever resumed by the same run.
+    ``pixels`` are staged by window once; windows then run in batches and are recorded
+    with each batch (``streaming.windows``). A run whose version is the current one is not
+    repeated; after another build over the same output it is published anew from its
+    partial sums. ``max_batches`` stops early: then None is returned, and nothing is published.
     """
     import time
 
-    from ..plans.build import marker_path, publish_index, validate_scenario
+    from ..plans.build import publish_index, validate_scenario
     from ..session import checkpoint_root
     from ..sinks import manifest as M
-    from ..sinks.parquet import write_pixel_table
-    from ..sources.grid import pop_col, window_columns, window_index, window_lattice
-    from ..sources.index_reader import read_index
+    from ..sinks.snapshots import current
+    from ..sources.grid import pop_col
+    from ..sources.index_reader import read_snapshot
+    from .windows import WindowRun, stage_by_window
 
     started = time.time()
     validate_scenario(scenario)
     grid.check_geographic()
     res = validate_resolutions(resolutions)
-    nodata = grid.nodata_float32()
     pops = [pop_col(y) for y in years]
     key = M.run_key(scenario, years, res, grid, inputs, system)
     work = os.path.join(checkpoint_root(spark), f"resumable-{key}")
-    recorded = os.path.join(work, "manifest")
-    lattice = window_lattice(spark)
-    published = os.path.join(work, "_PUBLISHED_" + hashlib.sha256(out_base.encode()).hexdigest()[:16])
-    if M.has_marker(spark, marker_path(out_base, scenario)) and M.has_marker(spark, published):
-        if M.pending_windows(lattice, M.read_manifest(spark, recorded), key).isEmpty():
-            return read_index(spark, out_base, scenario, years=years)
-    if pixel_dir is None:
-        pixel_dir = os.path.join(work, "pixels")
-        if not M.has_marker(spark, os.path.join(pixel_dir, "_SUCCESS")):
-            write_pixel_table(pixels.select("lat", "lon", *pops), pixel_dir)
-    source = spark.read.parquet(pixel_dir)
-    index = run_resumable(
-        spark, pixel_dir, source.schema, pops, res, nodata, work, max_bytes_per_trigger=max_bytes_per_trigger, system=system
-    )
-    written = publish_index(spark, index, out_base, scenario, years, res, grid, system, None, started)
-    if not M.has_marker(spark, recorded):
-        valid = apply_mask(source, pops, nodata).select(window_index("lat", "lon").alias("win_idx"))
-        counts = valid.groupBy("win_idx").agg(F.count(F.lit(1)).alias("n_valid"))
-        outcomes = M.window_outcomes(lattice, counts.select(window_columns("win_idx")[0], "n_valid"))
-        M.append_manifest(outcomes.select(F.lit(key).alias("run_key"), "win_id", "status"), recorded)
-    M.write_marker(spark, published, key)
-    return written
+    staged = os.path.join(work, "pixels")
+    wide = pixels.select("lat", "lon", *pops)
+    run = WindowRun(spark, staged, wide.schema, pops, res, grid.nodata_float32(), work, key, system)
+    complete = run.pending().isEmpty()
+    snapshot = current(spark, out_base, scenario)
+    if complete and snapshot is not None and snapshot.run_key == key:
+        return read_snapshot(spark, snapshot)
+    if not complete:
+        if not M.has_marker(spark, os.path.join(staged, "_SUCCESS")):
+            stage_by_window(wide, staged)
+        run.run(max_bytes_per_batch, max_batches)
+        if max_batches is not None and not run.pending().isEmpty():
+            return None
+    return publish_index(spark, run.index(), out_base, scenario, years, res, grid, system, None, started, run_key=key)

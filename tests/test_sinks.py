@@ -12,6 +12,7 @@ from tessera.plans import queries as Q
 from tessera.plans.build import build_population_index, parse_resolutions, plan_index, validate_scenario
 from tessera.sinks import manifest as M
 from tessera.sinks.parquet import write_index
+from tessera.sinks.snapshots import current
 from tessera.sources.catalog import catalog_from_paths, check_catalog, discover_rasters, multiband_catalog
 from tessera.sources.fixture import FIXTURE_GRID, pixel_view
 from tessera.sources.index_reader import describe, list_files, read_index, read_index_files
@@ -62,7 +63,7 @@ def test_build_job_and_metadata(spark, tmp_dir):
     out = build_population_index(spark, px, FIXTURE_GRID, [2025, 2050, 2100], tmp_dir, "SSP2", [1, 5])
     assert os.path.exists(os.path.join(tmp_dir, "_COMPLETE_SSP2"))
     assert M.has_marker(spark, os.path.join(tmp_dir, "_COMPLETE_SSP2"))
-    meta_dir = os.path.join(tmp_dir, "scenario=SSP2", "_index_metadata.json")
+    meta_dir = os.path.join(current(spark, tmp_dir, "SSP2").root, "scenario=SSP2", "_index_metadata.json")
     [jf] = [f for f in os.listdir(meta_dir) if f.endswith(".json")]
     meta = json.loads(open(os.path.join(meta_dir, jf)).read())
     counts = {int(k): v for k, v in meta["cells_per_resolution"].items()}
@@ -255,7 +256,7 @@ def test_cli_tiles_and_resumable(spark, tmp_dir, capsys):
 
 
 def read_metadata(spark, base):
-    return spark.read.json(f"{base}/scenario=SSP2/_index_metadata.json").first().asDict(recursive=True)
+    return spark.read.json(f"{current(spark, base, 'SSP2').root}/scenario=SSP2/_index_metadata.json").first().asDict(recursive=True)
 
 
 def test_diagnostics_refuse_another_id_system(spark, tmp_dir):
