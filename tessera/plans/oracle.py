@@ -254,6 +254,28 @@ def _half_even() -> str:
     )
 
 
+def _tile_split() -> str:
+    """Cells whose bounding box (in the plane) lies within the one tile that holds their pixels, by the grid's own border too."""
+    t, km = 32, d(cells.EARTH_RADIUS_KM)
+    a = assign(f"SELECT lat, lon, r // {t} AS tr, c // {t} AS tc FROM ({VALID}) v", ["tr", "tc"], ALL)
+    half_w = "([" + ", ".join(d(cells.res_constants(r).cx / 2 + 1e-6) for r in range(16)) + "])[h3_res + 1]"
+    half_h = "([" + ", ".join(d(cells.res_constants(r).cy / 1.5 + 1e-6) for r in range(16)) + "])[h3_res + 1]"
+    side = d(t * STEP)
+    x = lambda lon: f"radians({lon}) * {km}"
+    y = lambda lat_e: f"sin(radians({lat_e})) * {km}"
+    last_row, last_col = -(-HEIGHT // t) - 1, -(-WIDTH // t) - 1
+    inside = (
+        f"(tc = 0 OR x - {half_w} >= {x(f'(-180 + tc * {side})')}) AND (tc = {last_col} OR x + {half_w} <= {x(f'(-180 + (tc + 1) * {side})')}) "
+        f"AND (tr = 0 OR y + {half_h} <= {y(f'(90 - tr * {side})')}) AND (tr = {last_row} OR y - {half_h} >= {y(f'(90 - (tr + 1) * {side})')})"
+    )
+    return (
+        f"WITH s AS (SELECT DISTINCT tr, tc, h3_res, h3_index, {centre_x()} AS x, {centre_y()} AS y FROM ({a}) a), "
+        f"p AS (SELECT h3_res, h3_index, bool_or({inside}) AS inside, count(*) AS n FROM s GROUP BY ALL) "
+        "SELECT h3_res, count(*) FILTER (inside) AS n_interior, count(*) FILTER (NOT inside) AS n_boundary, "
+        "CAST(sum(CASE WHEN inside THEN 0 ELSE n END) AS BIGINT) AS n_boundary_rows FROM p GROUP BY h3_res"
+    )
+
+
 def _northern(cols: list[str]) -> str:
     return f"SELECT * FROM ({PIXEL_VIEW}) pv WHERE {mask(cols)} AND lat > 0"
 
@@ -326,6 +348,9 @@ ORACLE = {
         f"(SELECT win_id, count(*) AS n FROM ({_pixel_windows(VALID)}) w GROUP BY win_id) p ON p.win_id = l.win_id"
     ),
     "window_resume_index": index([2, 5]),
+    "tile_window": f"SELECT r, c, lat, lon, {POPS} FROM ({VALID}) v WHERE r BETWEEN 100 AND 419 AND c BETWEEN 200 AND 1103",
+    "index_tiled": IDX_ALL,
+    "tile_split": _tile_split(),
     "index_written_readback": f"SELECT h3_index, {POPS} FROM ({IDX5}) i",
     "bbox_written": _bbox(BBOX_FIXTURE),
     "index_resumable": IDX_ALL,

@@ -578,6 +578,55 @@ def window_resume_index(spark, sf):
 QUERIES.update({"window_resume": window_resume, "window_resume_index": window_resume_index})
 
 
+# --- stored tiles: window reads without an exchange, and an index that shuffles boundary cells only
+
+STORE_BUCKETS = 8
+WINDOW_ROWS = (100, 419)  # inclusive pixel ranges of the window read
+WINDOW_COLS = (200, 1103)
+
+
+def _stored_tiles(spark, sf):
+    """The pixel fixture as tiles, stored; opened from its descriptor."""
+    from ..session import scratch_path
+    from ..sources.tile_store import open_tiles, write_tiles
+
+    path = scratch_path(spark, "tiles")
+    long = unstack_years(_pixels(spark, sf), ["r", "c"], FIXTURE_YEARS)
+    write_tiles(pixels_to_tiles(long, TILE, NODATA), path, FIXTURE_GRID, TILE, STORE_BUCKETS)
+    return open_tiles(spark, path)
+
+
+def tile_window(spark, sf):
+    """[S3, F17] stored tiles, read by a window of pixel rows and columns: no exchange, tile ranges pushed to the scan."""
+    tiles, grid, tile = _stored_tiles(spark, sf)
+    return apply_mask(tiles_to_wide_pixels(tiles, grid, tile, FIXTURE_YEARS, WINDOW_ROWS, WINDOW_COLS), POP, NODATA)
+
+
+def index_tiled(spark, sf):
+    """[A1, A2, S3] the index of all resolutions from stored tiles: interior cells are final per tile, boundary cells are shuffled."""
+    from ..operators.tiled_index import build_index_from_tiles
+
+    tiles, grid, tile = _stored_tiles(spark, sf)
+    return build_index_from_tiles(tiles, grid, FIXTURE_YEARS, ALL_RES, tile)
+
+
+def tile_split(spark, sf):
+    """[A1, A2] per resolution: cells that are final within their tile, and the rows and cells that are summed over tiles."""
+    from ..operators.tiled_index import tile_sums
+
+    tiles, grid, tile = _stored_tiles(spark, sf)
+    sums = tile_sums(tiles, grid, tile, FIXTURE_YEARS, ALL_RES)
+    per_cell = sums.groupBy("h3_res", "h3_index").agg(F.max("interior").alias("interior"), F.count(F.lit(1)).alias("n"))
+    count = lambda c: F.count(F.when(c, F.lit(1)))
+    return per_cell.groupBy("h3_res").agg(
+        count(F.col("interior")).alias("n_interior"), count(~F.col("interior")).alias("n_boundary"),
+        F.sum(F.when(F.col("interior"), F.lit(0)).otherwise(F.col("n"))).alias("n_boundary_rows"),
+    )
+
+
+QUERIES.update({"tile_window": tile_window, "index_tiled": index_tiled, "tile_split": tile_split})
+
+
 QUERIES.update(
     {
         "index_written_readback": index_written_readback,

@@ -56,7 +56,7 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
     p, fs = _fs(spark, path)
     stream = fs.open(p)
     try:
@@ -117,7 +117,7 @@ def commit(spark: SparkSession, base: str, snapshot: Snapshot) -> Snapshot:
 
 
 def _load(spark: SparkSession, base: str, scenario: str, number: int) -> Snapshot:
-    facts = json.loads(_read_text(spark, f"{_pointers(base, scenario)}/{number:0{NUMBER_DIGITS}d}"))
+    facts = json.loads(read_text(spark, f"{_pointers(base, scenario)}/{number:0{NUMBER_DIGITS}d}"))
     root = _folder(base, scenario, facts["version"])
     return Snapshot(scenario, facts["version"], root, number, facts["years"], facts["resolutions"], facts["run_key"])
 

@@ -370,14 +370,15 @@ def tiles_to_wide_pixels(
     years: list[int],
     row_range: tuple[int, int] | None = None,
     col_range: tuple[int, int] | None = None,
+    keep_tile: bool = False,
 ) -> DataFrame:
     """S3 + F17 + F2 at tile granularity: tile table -> wide pixels
-    ``r, c, lat, lon, pop_<year>...``.
+    ``r, c, lat, lon, pop_<year>...``; with ``keep_tile`` also ``tile_row, tile_col``.
 
     Years are aligned per *tile*: the only exchange groups one row per
     (tile, year) -- a few rows per tile, each a bounded array -- instead of
     one row per pixel and year. A tile table bucketed on (tile_row,
-    tile_col) needs no exchange at all. The arrays of all years are then
+    tile_col) (``sources.tile_store``) needs no exchange at all. The arrays of all years are then
     zipped and exploded row by row, column by column. A year missing for a
     tile reads as nodata (the boundless fill); a tile with two blocks for one
     year, or a block of another size than the descriptor says, fails the job.
@@ -395,13 +396,16 @@ def tiles_to_wide_pixels(
     rows = per_tile.select(
         "tile_row", "tile_col", F.posexplode(F.arrays_zip(*yc)).alias("lr", "yrows")
     )
+    own = ["tile_row", "tile_col"] if keep_tile else []
     px = rows.select(
+        *own[:1],
         (F.col("tile_row") * F.lit(tile) + F.col("lr")).cast("long").alias("r"),
         "tile_col",
         F.posexplode(F.arrays_zip(*[F.col("yrows")[pop_col(y)].alias(pop_col(y)) for y in ys])).alias(
             "lc", "v"
         ),
     ).select(
+        *own,
         "r",
         (F.col("tile_col") * F.lit(tile) + F.col("lc")).cast("long").alias("c"),
         *[F.col("v")[pop_col(y)].alias(pop_col(y)) for y in ys],
@@ -412,6 +416,7 @@ def tiles_to_wide_pixels(
         px = px.where(F.col("c").between(*col_range))
     px = px.where((F.col("r") < grid.height) & (F.col("c") < grid.width))
     return px.select(
+        *own,
         "r",
         "c",
         pixel_lat("r", grid).alias("lat"),
