@@ -337,6 +337,13 @@ def sql_cell_boundary(cell: str, res=None) -> str:
     return f"CASE WHEN {_sql(cell)} IS NOT NULL THEN array({', '.join(verts)}) END"
 
 
+def resolution_geometry() -> Column:
+    """Literal ``ARRAY<STRUCT<vx ARRAY<DOUBLE>, vy ARRAY<DOUBLE>>>``: corner offsets (km) of every resolution, by resolution + 1."""
+    offsets = lambda v: f"array({', '.join(dbl(x) for x in v)})"
+    every = [res_constants(r) for r in range(MIN_RES, MAX_RES + 1)]
+    return F.expr("array(" + ", ".join(f"named_struct('vx', {offsets(k.vx)}, 'vy', {offsets(k.vy)})" for k in every) + ")")
+
+
 # --- id <-> string -----------------------------------------------------------------
 
 

@@ -193,10 +193,14 @@ def extent_stats(index: DataFrame) -> DataFrame:
     )
 
 
-def population_stats(index: DataFrame, pop_cols: list[str]) -> DataFrame:
+def population_stats(
+    index: DataFrame, pop_cols: list[str], keys: list[str] | None = None, only_present: bool = False
+) -> DataFrame:
     """A5 per (resolution, year column): ``sum::BIGINT, avg::FLOAT, max::FLOAT,
     count_if(> 0)``. One aggregate over all years per resolution; only its (at
-    most 16) rows are turned into one row per year."""
+    most 16) rows are turned into one row per year. ``keys`` groups by more, say the scenario;
+    ``only_present`` leaves out year columns that hold no value in a group (of another dataset)."""
+    keys = keys or ["h3_res"]
     aggs, structs = [], []
     for p in pop_cols:
         aggs += [
@@ -204,12 +208,14 @@ def population_stats(index: DataFrame, pop_cols: list[str]) -> DataFrame:
             F.avg(p).cast("float").alias(f"a_{p}"),
             F.max(p).cast("float").alias(f"m_{p}"),
             F.count_if(F.col(p) > 0).alias(f"c_{p}"),
+            F.count(p).alias(f"n_{p}"),
         ]
         structs.append(
             f"named_struct('column_name', '{p}', 'total_pop', t_{p}, 'avg_pop', a_{p}, 'max_pop', m_{p}, "
-            f"'cells_with_pop', c_{p})"
+            f"'cells_with_pop', c_{p}, 'present', n_{p} > 0)"
         )
-    return index.groupBy("h3_res").agg(*aggs).select("h3_res", F.expr(f"inline(array({', '.join(structs)}))"))
+    stats = index.groupBy(*keys).agg(*aggs).select(*keys, F.expr(f"inline(array({', '.join(structs)}))"))
+    return (stats.where("present") if only_present else stats).drop("present")
 
 
 def density(pop: str, area: str = "area_km2") -> Column:

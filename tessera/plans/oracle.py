@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from .oracle_sql import (
     NODATA,
     PIXEL_VIEW,
@@ -280,14 +282,61 @@ def _northern(cols: list[str]) -> str:
     return f"SELECT * FROM ({PIXEL_VIEW}) pv WHERE {mask(cols)} AND lat > 0"
 
 
+def _little(e: str) -> str:
+    big = f"hex(CAST(CAST(CAST({e} AS DOUBLE) AS BIT) AS BLOB))"
+    return " || ".join(f"substr({big}, {2 * i + 1}, 2)" for i in range(7, -1, -1))
+
+
 def _wkb(lng_e: str, lat_e: str) -> str:
     """Little-endian WKB of a point as upper-case hex: the bytes of each double in reverse."""
+    return f"'01' || '01000000' || {_little(lng_e)} || {_little(lat_e)}"
+
+
+def _polygons() -> str:
+    """Corners as rows (x, y, place), cut at four lines one after another, then strung together."""
+    corners = " UNION ALL ".join(
+        f"SELECT h3_res, h3_index, {i} AS place, {centre_x(r)} + {d(cells.res_constants(r).vx[i])} AS x, "
+        f"{centre_y(r)} + {d(cells.res_constants(r).vy[i])} AS y FROM ids WHERE h3_res = {r}"
+        for r in (1, 2, 5)
+        for i in range(6)
+    )
+    steps, last = [f"c0 AS ({corners})"], "c0"
+    east, north = math.pi * cells.EARTH_RADIUS_KM, cells.EARTH_RADIUS_KM
+    for k, (a, o, bound, test) in enumerate((("x", "y", east, "<="), ("x", "y", -east, ">="), ("y", "x", north, "<="), ("y", "x", -north, ">="))):
+        nxt = lambda c: f"coalesce(lead({c}) OVER w, first_value({c}) OVER w)"
+        steps.append(
+            f"n{k} AS (SELECT *, {nxt('x')} AS nx, {nxt('y')} AS ny FROM {last} "
+            "WINDOW w AS (PARTITION BY h3_index ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"
+        )
+        cross = f"{o} + (n{o} - {o}) * (({d(bound)} - {a}) / (n{a} - {a}))"
+        steps.append(
+            f"c{k + 1} AS (SELECT h3_res, h3_index, place * 2 AS place, x, y FROM n{k} WHERE {a} {test} {d(bound)} UNION ALL "
+            f"SELECT h3_res, h3_index, place * 2 + 1, {d(bound) if a == 'x' else cross}, {d(bound) if a == 'y' else cross} "
+            f"FROM n{k} WHERE ({a} {test} {d(bound)}) <> (n{a} {test} {d(bound)}))"
+        )
+        last = f"c{k + 1}"
+    km, deg = d(cells.EARTH_RADIUS_KM), d(cells.RAD2DEG)
+    lng_e = f"CAST(CAST(x / {km} * {deg} AS FLOAT) AS DOUBLE)"
+    lat_e = f"CAST(CAST(asin(least(greatest(y / {km}, {d(-1.0)}), {d(1.0)})) * {deg} AS FLOAT) AS DOUBLE)"
+    return (
+        f"WITH ids AS (SELECT h3_res, h3_index FROM ({index([1, 2, 5])}) i), {', '.join(steps)}, "
+        f"p AS (SELECT h3_res, h3_index, place, {_little(lng_e)} || {_little(lat_e)} AS b FROM {last}) "
+        "SELECT h3_res, h3_index, CAST(count(*) AS INTEGER) AS n_corners, '0103000000' || '01000000' || lpad(hex(count(*) + 1), 2, '0') || '000000' "
+        "|| string_agg(b, '' ORDER BY place) || first(b ORDER BY place) AS wkb_hex FROM p GROUP BY h3_res, h3_index"
+    )
+
 
-    def little(e: str) -> str:
-        big = f"hex(CAST(CAST(CAST({e} AS DOUBLE) AS BIT) AS BLOB))"
-        return " || ".join(f"substr({big}, {2 * i + 1}, 2)" for i in range(7, -1, -1))
+def _unlike_years() -> str:
+    def part(scenario, cols, res, where):
+        src = f"SELECT * FROM ({PIXEL_VIEW}) pv WHERE {mask(cols)} AND {where}"
+        one = lambda c: (
+            f"SELECT '{scenario}' AS scenario, h3_res, '{c}' AS column_name, CAST(SUM({c}) AS BIGINT) AS total_pop, CAST(avg({c}) AS FLOAT) AS avg_pop, "
+            f"CAST(max({c}) AS FLOAT) AS max_pop, CAST(count(*) FILTER (WHERE {c} > 0) AS BIGINT) AS cells_with_pop "
+            f"FROM ({index(res, cols, src)}) i GROUP BY h3_res"
+        )
+        return " UNION ALL ".join(one(c) for c in cols)
 
-    return f"'01' || '01000000' || {little(lng_e)} || {little(lat_e)}"
+    return part("SSP1", ["pop_2025", "pop_2050"], [2, 4], "TRUE") + " UNION ALL " + part("SSP2", ["pop_2050", "pop_2100"], [4, 6], "lon > 0")
 
 
 ORACLE = {
@@ -363,6 +412,8 @@ ORACLE = {
     "pub_population_stats": _pop_stats(),
     "pub_cell_attributes": f"SELECT *, {hex_str()} AS h3_hex FROM ({_attrs()}) a",
     "legacy_written_readback": (
-        f"SELECT {hex_str()} AS h3_index, lat, lng AS lon, area_km2, {POPS} FROM ({_attrs()}) a"
+        f"SELECT {hex_str()} AS h3_index, 21 AS n_bytes, lng AS point_lon, lat AS point_lat, lat, lng AS lon, area_km2, {POPS} FROM ({_attrs()}) a"
     ),
+    "cell_polygons": _polygons(),
+    "merged_population_stats": _unlike_years(),
 }

@@ -578,6 +578,38 @@ def window_resume_index(spark, sf):
 QUERIES.update({"window_resume": window_resume, "window_resume_index": window_resume_index})
 
 
+# --- polygons, and datasets of unlike years -----------------------------------------------------
+
+POLYGON_RES = [1, 2, 5]  # coarse cells reach over 180 degrees and the poles
+
+
+def cell_polygons(spark, sf):
+    """[G7, K8] every cell as a WKB polygon (hex) of FLOAT corners, cut at 180 degrees and the poles."""
+    from ..functions.geometry import cell_ring, polygon_wkb
+
+    ids = _index(spark, sf, POLYGON_RES).select("h3_res", "h3_index")
+    single = lambda p: F.struct(p["lng"].cast("float").cast("double").alias("lng"), p["lat"].cast("float").cast("double").alias("lat"))
+    rings = ids.select("h3_res", "h3_index", F.transform(cell_ring("h3_index"), single).alias("ring"))
+    return rings.select("h3_res", "h3_index", F.size("ring").cast("int").alias("n_corners"), F.hex(polygon_wkb(F.col("ring"))).alias("wkb_hex"))
+
+
+def merged_population_stats(spark, sf):
+    """[S6, S9, A5] two published scenarios of unlike years and resolutions, read together: year columns discovered from the
+    files, resolutions taken from the ids."""
+    from ..session import scratch_path
+    from ..sources.index_reader import read_merged
+    from .build import build_population_index
+
+    base, px = scratch_path(spark, "unlike"), _pixels(spark, sf)
+    build_population_index(spark, px, FIXTURE_GRID, [2025, 2050], base, "SSP1", [2, 4])
+    build_population_index(spark, px.where("lon > 0"), FIXTURE_GRID, [2050, 2100], base, "SSP2", [4, 6])
+    found = read_merged(spark, base)
+    return A.population_stats(found, A.pop_columns(found), ["scenario", "h3_res"], only_present=True)
+
+
+QUERIES.update({"cell_polygons": cell_polygons, "merged_population_stats": merged_population_stats})
+
+
 # --- stored tiles: window reads without an exchange, and an index that shuffles boundary cells only
 
 STORE_BUCKETS = 8
@@ -639,14 +671,18 @@ QUERIES.update(
 
 
 def legacy_written_readback(spark, sf):
-    """[K8, F14, S5] write the legacy layout (text id, WKB point, FLOAT lat/lon/area) and read it back."""
+    """[K8, F14, S5] write the legacy layout (text id, WKB point, FLOAT lat/lon/area) and read it back, the point decoded."""
+    from ..functions.geometry import point_lonlat
     from ..session import scratch_path
     from ..sinks.parquet import write_legacy_index
     from ..sources.index_reader import read_index
 
     base = scratch_path(spark, "legacy")
     write_legacy_index(_index(spark, sf, [RES]), base, FIXTURE_SCENARIO)
-    return read_index(spark, base, FIXTURE_SCENARIO, RES).select("h3_index", "lat", "lon", "area_km2", *POP)
+    back = read_index(spark, base, FIXTURE_SCENARIO, RES)
+    point = back.withColumn("point", point_lonlat("geometry"))
+    at = [F.col(f"point.{c}").cast("float").alias(f"point_{c}") for c in ("lon", "lat")]
+    return point.select("h3_index", F.octet_length("geometry").alias("n_bytes"), *at, "lat", "lon", "area_km2", *POP)
 
 
 QUERIES["legacy_written_readback"] = legacy_written_readback

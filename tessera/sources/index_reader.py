@@ -98,6 +98,38 @@ def read_index_files(spark: SparkSession, base: str, glob: str = "*.parquet") ->
     )
 
 
+def read_merged(spark: SparkSession, base: str, glob: str = "*.parquet") -> DataFrame:
+    """S6 + S9: ``scenario, h3_res, h3_index`` and every ``pop_<year>`` that any file has, in order of years; null where a file
+    lacks the year.
+
+    For data of unlike runs: files under ``base`` may differ in year columns (their schemas are merged, by a
+    Spark job over the footers) and, from one version to another, in the type of a year (FLOAT and DOUBLE read as
+    DOUBLE). Folder names are not trusted: partition inference is off, the resolution is that of the
+    id, and the scenario is what the file's path names (null if it names none).
+    """
+    from ..functions import cells
+    from ..operators.analytics import pop_columns
+    from ..sinks.snapshots import data_roots
+
+    parts, kinds = [], {}
+    for root in data_roots(spark, base):  # one for plain folders, else one a scenario
+        df = (
+            spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(root)
+        )
+        for c in pop_columns(df):
+            kinds.setdefault(c, set()).add(df.schema[c].dataType.simpleString())
+        parts.append(df)
+    years = sorted(kinds)
+    named = F.regexp_extract(F.col("_metadata.file_path"), "/scenario=([^/]+)/", 1)
+    out = None
+    for df in parts:
+        own = set(df.columns)
+        value = lambda c, own=own: (F.col(c) if c in own else F.lit(None)).cast("float" if kinds[c] == {"float"} else "double").alias(c)
+        rows = df.select(F.nullif(named, F.lit("")).alias("scenario"), cells.cell_res("h3_index").alias("h3_res"), "h3_index", *[value(c) for c in years])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def read_partials(spark: SparkSession, path: str) -> DataFrame:
     """Partial results of a resumable run (one folder per batch)."""
     return spark.read.parquet(path)

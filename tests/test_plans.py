@@ -11,7 +11,7 @@ from tessera.sources.fixture import pixel_view
 from .conftest import SF_SMALL
 
 PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
-PYTHON_QUERIES = {"cell_points"}
+PYTHON_QUERIES: set = set()
 
 
 def _plan(df) -> str:
