@@ -151,6 +151,24 @@ def where_bbox(
     return index.where(near | foreign).where(exact)
 
 
+def where_bbox_curve(
+    index: DataFrame, lat_min: float, lat_max: float, lng_min: float, lng_max: float, res: int, most_ranges: int = 32
+) -> DataFrame:
+    """F9 on a stored index clustered by ``h3_curve`` (``sinks.parquet.write_curve_index``), of one resolution: the box as a few
+    ranges of the curve, which reach the scan and narrow it in both axes; the exact test decides. (Over an index that isn't
+    stored yet the ranges would be pushed below its aggregate, with a copy of the cell expression for each bound.)"""
+    from ..functions.curve import ranges, rectangle
+
+    dbl = cells.dbl
+    spans = ranges(*rectangle(res, lat_min, lat_max, lng_min, lng_max), most_ranges)
+    near = F.lit(False)
+    for low, high in spans:
+        near = F.col("h3_curve").between(F.lit(low), F.lit(high)) if low == spans[0][0] else near | F.col("h3_curve").between(F.lit(low), F.lit(high))
+    lat, lng = cells.sql_cell_lat("h3_index", res), cells.sql_cell_lng("h3_index", res)
+    exact = F.expr(f"{lat} BETWEEN {dbl(lat_min)} AND {dbl(lat_max)} AND {lng} BETWEEN {dbl(lng_min)} AND {dbl(lng_max)}")
+    return index.where(near).where(exact)
+
+
 def continent_of(lat: str, lng: str) -> Column:
     """searched CASE over the region boxes (inclusive), first match wins, else 'Other'.
 

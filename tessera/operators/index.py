@@ -143,6 +143,31 @@ def window_cell_counts(valid: DataFrame, resolutions, system: str = "hex") -> Da
     return counts.select(*window_columns("win_idx"), "h3_res", "n_pixels", "n_cells")
 
 
+def cell_bitmaps(valid: DataFrame, resolutions, by: list[str] | None = None) -> DataFrame:
+    """A3 + A7 in a form that merges: per (``by``..., resolution, bucket) the cells seen, as a bitmap, and the pixels.
+
+    ``by`` are columns of ``valid`` (default: its 5-degree window, ``win_idx``). A cell's bit is its place on the curve of its
+    resolution (``functions.curve``), so a bucket is a compact block of 32,768 cells and its bitmap dense where pixels
+    are; 4 KB of bits, mostly zero and so compressed where they aren't. A stored table of these answers distinct counts
+    per group, per union of groups and of the globe, without going back to pixels, and takes in new windows by a further OR.
+    """
+    from ..functions.curve import curve
+
+    if by is None:
+        valid = valid.select("lat", "lon", window_index("lat", "lon").alias("win_idx"))
+        by = ["win_idx"]
+    seen = assign_cells(valid, resolutions, keep=by).select(*by, "h3_res", curve("h3_index").alias("place"))
+    return seen.groupBy(*by, "h3_res", F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"), F.count(F.lit(1)).alias("n_pixels")
+    )
+
+
+def count_bitmaps(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact distinct cells and pixels per ``keys``, from a bitmap table; groups that ``keys`` leave out are merged by OR."""
+    merged = bitmaps.groupBy(*dict.fromkeys([*keys, "h3_res"]), "bucket").agg(F.bitmap_or_agg("bits").alias("bits"), F.sum("n_pixels").alias("n_pixels"))
+    return merged.groupBy(*keys).agg(F.sum("n_pixels").alias("n_pixels"), F.sum(F.bitmap_count("bits")).alias("n_cells"))
+
+
 def conservation_totals(index: DataFrame, valid: DataFrame, pop_cols: list[str]) -> DataFrame:
     """A10: world totals per resolution, plus the valid-pixel totals (``h3_res`` NULL).
 

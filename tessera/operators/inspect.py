@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.num import sql_is_finite
 from .mask import sql_is_nodata
-from ..sources.grid import GridSpec, pixel_lat, pixel_lon, pop_col
+from ..sources.grid import GridSpec, pixel_lat, pixel_lon, pop_col, tiles_to_wide_pixels
 
 # --- fixed values of the inspection ----------------------------------------------------
 CENTER_WINDOW_MAX = 1000  # side of the centre window, pixels
@@ -92,3 +92,36 @@ def sample_points(spark: SparkSession, pixels: DataFrame, grid: GridSpec, years:
         pixel_lon("c", grid).alias("lon"),
         *[F.coalesce(F.col(c), fill).alias(c) for c in cols],
     )
+
+
+def sample_points_tiles(spark: SparkSession, tiles: DataFrame, grid: GridSpec, years: list[int], tile: int | None = None) -> DataFrame:
+    """O7 on a stored tile table with a folder per tile: the points' tiles are the only ones read.
+
+    The five points carry their tile; their filter (inside the grid) makes the join prune the tile folders at run
+    time (dynamic partition pruning), and a pixel is picked out of its block without unpacking it.
+    """
+    side = grid.tile_side(tile)
+    h, w, d = grid.height, grid.width, CORNER_INSET
+    places = [(h // 2, w // 2), (d, d), (d, w - d), (h - d, d), (h - d, w - d)]
+    rows = ", ".join(f"named_struct('label', '{n}', 'r', {r}L, 'c', {c}L)" for n, (r, c) in zip(SAMPLE_LABELS, places, strict=True))
+    pts = spark.range(0, 1, 1, 1).select(F.expr(f"inline(array({rows}))")).where(f"r BETWEEN 0 AND {h - 1} AND c BETWEEN 0 AND {w - 1}")
+    # one key of both folder columns: two keys would be pruned one by one, to all combinations of their values
+    cols = -(-w // side)
+    at = pts.withColumn("tile_key", F.expr(f"CAST(r DIV {side} AS INT) * {cols} + CAST(c DIV {side} AS INT)"))
+    value = F.expr(f"values[CAST(r % {side} AS INT)][CAST(c % {side} AS INT)]")
+    wanted = tiles.where(F.col("year").isin([int(y) for y in years]))
+    hit = wanted.join(F.broadcast(at), F.expr(f"tile_row * {cols} + tile_col = tile_key")).select("label", "year", value.alias("value"))
+    per_point = hit.groupBy("label").agg(*[F.max(F.when(F.col("year") == int(y), F.col("value"))).alias(pop_col(y)) for y in years])
+    fill = F.lit(grid.nodata).cast("float") if grid.nodata is not None else F.lit(None).cast("float")
+    out = pts.join(F.broadcast(per_point), "label", "left")  # five rows on either side
+    return out.select(
+        "label", "r", "c", pixel_lat("r", grid).alias("lat"), pixel_lon("c", grid).alias("lon"),
+        *[F.coalesce(F.col(pop_col(y)), fill).alias(pop_col(y)) for y in years],
+    )
+
+
+def grid_stats_center_tiles(tiles: DataFrame, grid: GridSpec, years: list[int], tile: int | None = None) -> DataFrame:
+    """A9 on a stored tile table: the window's tiles are read (partition or pushed filter on tile_row, tile_col), nothing else."""
+    r0, c0, size = center_window(grid)
+    px = tiles_to_wide_pixels(tiles, grid, tile, years, (r0, r0 + size - 1), (c0, c0 + size - 1))
+    return grid_stats_center(px, grid, years)

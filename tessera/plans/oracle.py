@@ -414,6 +414,14 @@ ORACLE = {
     "legacy_written_readback": (
         f"SELECT {hex_str()} AS h3_index, 21 AS n_bytes, lng AS point_lon, lat AS point_lat, lat, lng AS lon, area_km2, {POPS} FROM ({_attrs()}) a"
     ),
+    "sample_points_tiles": _sample_points(),
+    "grid_stats_tiles": _grid_stats(),
     "cell_polygons": _polygons(),
+    "bbox_curve": _bbox(BBOX_FIXTURE),
+    "bitmap_cell_counts": (
+        f"WITH a AS ({assign(_pixel_windows(VALID), ['win_id'], ALL)}) "
+        "SELECT win_id, h3_res, count(*) AS n_pixels, count(DISTINCT h3_index) AS n_cells FROM a GROUP BY win_id, h3_res UNION ALL "
+        "SELECT NULL, h3_res, count(*), count(DISTINCT h3_index) FROM a GROUP BY h3_res"
+    ),
     "merged_population_stats": _unlike_years(),
 }

@@ -298,9 +298,7 @@ def population_stats(spark, sf):
     return A.population_stats(_index(spark, sf, ALL_RES), POP)
 
 
-def grid_stats_center(spark, sf):
-    """[A9] centre-window value statistics of the raster (doubles as FLOAT)."""
-    st = I.grid_stats_center(pixel_view(spark, sf, six_years=True), FIXTURE_GRID, FIXTURE_YEARS_6)
+def _float_stats(st: DataFrame) -> DataFrame:
     return st.select(
         "band",
         "year",
@@ -314,6 +312,11 @@ def grid_stats_center(spark, sf):
     )
 
 
+def grid_stats_center(spark, sf):
+    """[A9] centre-window value statistics of the raster (doubles as FLOAT)."""
+    return _float_stats(I.grid_stats_center(pixel_view(spark, sf, six_years=True), FIXTURE_GRID, FIXTURE_YEARS_6))
+
+
 def sample_points_q(spark, sf):
     """[O7] values at the centre and near-corner pixels, every year."""
     return I.sample_points(spark, pixel_view(spark, sf, six_years=True), FIXTURE_GRID, FIXTURE_YEARS_6)
@@ -610,6 +613,40 @@ def merged_population_stats(spark, sf):
 QUERIES.update({"cell_polygons": cell_polygons, "merged_population_stats": merged_population_stats})
 
 
+# --- clustering by a curve, and bitmaps that merge ----------------------------------------------
+
+CURVE_GROUP_ROWS = 512  # rows of a row group, so that a small index has several
+
+
+def bbox_curve(spark, sf):
+    """[F9, O1] box selection on an index clustered along a space-filling curve: ranges of the curve reach the scan."""
+    from ..session import scratch_path
+    from ..sinks.parquet import write_curve_index
+    from ..sources.index_reader import read_index
+
+    base = write_curve_index(_index(spark, sf, ALL_RES), scratch_path(spark, "curve"), FIXTURE_SCENARIO, row_group_rows=CURVE_GROUP_ROWS)
+    la0, la1, lo0, lo1 = BBOX_FIXTURE
+    sel = A.where_bbox_curve(read_index(spark, base, FIXTURE_SCENARIO, RES), la0, la1, lo0, lo1, RES)
+    c = "h3_index"
+    return sel.select(c, cells.cell_lat(c, RES).cast("float").alias("lat"), cells.cell_lng(c, RES).cast("float").alias("lng"), *POP)
+
+
+def bitmap_cell_counts(spark, sf):
+    """[A3, A7] distinct cells per window and resolution, and of the globe (win_id NULL), from one stored bitmap table."""
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "bitmaps")
+    made = X.cell_bitmaps(_valid(spark, sf), ALL_RES)
+    made.write.parquet(path)
+    stored = spark.read.schema(made.schema).parquet(path)
+    windows = X.count_bitmaps(stored, ["win_idx", "h3_res"])
+    globe = X.count_bitmaps(stored, ["h3_res"]).select(F.lit(None).cast("int").alias("win_idx"), "h3_res", "n_pixels", "n_cells")
+    return windows.union(globe).select(F.when(F.col("win_idx").isNotNull(), window_columns("win_idx")[0]).alias("win_id"), "h3_res", "n_pixels", "n_cells")
+
+
+QUERIES.update({"bbox_curve": bbox_curve, "bitmap_cell_counts": bitmap_cell_counts})
+
+
 # --- stored tiles: window reads without an exchange, and an index that shuffles boundary cells only
 
 STORE_BUCKETS = 8
@@ -656,7 +693,36 @@ def tile_split(spark, sf):
     )
 
 
-QUERIES.update({"tile_window": tile_window, "index_tiled": index_tiled, "tile_split": tile_split})
+POINT_TILE = 90  # tile side of the folder-per-tile store
+
+
+def _tile_folders(spark, sf):
+    from ..session import scratch_path
+    from ..sources.tile_store import write_tile_folders
+
+    long = unstack_years(pixel_view(spark, sf, six_years=True), ["r", "c"], FIXTURE_YEARS_6)
+    return write_tile_folders(pixels_to_tiles(long, POINT_TILE, NODATA), scratch_path(spark, "tile-folders"), FIXTURE_GRID, POINT_TILE)
+
+
+def sample_points_tiles(spark, sf):
+    """[O7, S3] the inspection points from stored tiles: at most five tile folders are read."""
+    return I.sample_points_tiles(spark, _tile_folders(spark, sf), FIXTURE_GRID, FIXTURE_YEARS_6, POINT_TILE)
+
+
+def grid_stats_tiles(spark, sf):
+    """[A9, S3] centre-window statistics from stored tiles: the window's folders are read."""
+    return _float_stats(I.grid_stats_center_tiles(_tile_folders(spark, sf), FIXTURE_GRID, FIXTURE_YEARS_6, POINT_TILE))
+
+
+QUERIES.update(
+    {
+        "tile_window": tile_window,
+        "index_tiled": index_tiled,
+        "tile_split": tile_split,
+        "sample_points_tiles": sample_points_tiles,
+        "grid_stats_tiles": grid_stats_tiles,
+    }
+)
 
 
 QUERIES.update(

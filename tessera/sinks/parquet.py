@@ -22,9 +22,9 @@ ROW_GROUP_ROWS = 1_000_000
 # --------------------------------------------------------------------------------------------
 
 
-def sorted_for_write(index: DataFrame, n_partitions: int | None = None) -> DataFrame:
+def sorted_for_write(index: DataFrame, n_partitions: int | None = None, key: str = "h3_index") -> DataFrame:
     """O1: range-partition on (h3_res, h3_index) and sort within partitions."""
-    keys = ["h3_res", "h3_index"]
+    keys = ["h3_res", key]
     parted = index.repartitionByRange(n_partitions, *keys) if n_partitions else index.repartitionByRange(*keys)
     return parted.sortWithinPartitions(*keys)
 
@@ -61,6 +61,30 @@ def write_index(
     return base
 
 
+def write_curve_index(
+    index: DataFrame,
+    base: str,
+    scenario: str,
+    n_partitions: int | None = None,
+    zstd_level: int = ZSTD_LEVEL,
+    row_group_rows: int = ROW_GROUP_ROWS,
+) -> str:
+    """O1 for boxes: the same layout with a column ``h3_curve`` and sorted by it, so that row groups and files cover compact
+    areas instead of stripes from pole to pole (``operators.analytics.where_bbox_curve`` reads it). ``base`` must be new."""
+    from ..functions.curve import curve
+
+    placed = index.withColumns({"scenario": F.lit(scenario), "h3_curve": curve("h3_index")})
+    (
+        sorted_for_write(placed, n_partitions, "h3_curve").write.mode("errorifexists")
+        .option("compression", "zstd")
+        .option("parquet.compression.codec.zstd.level", str(zstd_level))
+        .option("parquet.block.row.count.limit", str(row_group_rows))
+        .partitionBy("scenario", "h3_res")
+        .parquet(base)
+    )
+    return base
+
+
 def write_legacy_index(
     index: DataFrame,
     base: str,

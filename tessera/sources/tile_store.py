@@ -6,6 +6,9 @@ Every block of a tile, whatever its year, lies in one bucket, sorted by tile. So
 * a window read is a predicate on tile_row and tile_col, pushed to the scan, where the
   sorted buckets let it skip row groups.
 
+``write_tile_folders`` is the other layout, for points: a folder per tile, which a join with a
+table of points prunes at run time.
+
 The blocks are plain Parquet with the bucket layout in a descriptor beside them
 (``_tile_store.json``: grid, tile side, buckets), from which any session opens the table.
 """
@@ -54,6 +57,26 @@ def write_tiles(tiles: DataFrame, path: str, grid: GridSpec, tile: int | None, b
     return _opened(spark, name)
 
 
+def write_tile_folders(tiles: DataFrame, path: str, grid: GridSpec, tile: int | None) -> DataFrame:
+    """Store a tile table with a folder per tile, for point reads; the stored table. ``path`` must be new.
+
+    A folder holds a tile's blocks of all years. Meant for tiles of a few hundred pixels a side: a 1 km grid of
+    the globe has some 3,000 of 512.
+    """
+    from ..sinks.manifest import write_marker
+
+    spark = tiles.sparkSession
+    dealt = tiles.select("year", *KEYS, "values").repartition(*KEYS).sortWithinPartitions(*KEYS, "year")
+    dealt.write.mode("errorifexists").option("compression", "zstd").partitionBy(*KEYS).parquet(path)
+    write_marker(spark, f"{path}/{DESCRIPTOR}", json.dumps({"grid": asdict(grid), "tile": grid.tile_side(tile)}))
+    return read_tile_folders(spark, path)
+
+
+def read_tile_folders(spark: SparkSession, path: str) -> DataFrame:
+    """``year, values, tile_row, tile_col`` of a table with a folder per tile."""
+    return spark.read.schema(COLUMNS).parquet(path)
+
+
 def _opened(spark: SparkSession, name: str) -> DataFrame:
     """The table's frame; its name leaves the catalog again (the files are external to it), the frame keeps the bucket layout."""
     frame = spark.table(name)
