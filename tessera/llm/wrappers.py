@@ -16,7 +16,8 @@ elements, roles, classes and ids leave out menus, headers, footers, asides,
 forms, adverts, notices and comments, and prefer the article, else the main
 element. The wrapper tells text slots from template text, which is dropped in
 an article too, and where there is neither article nor main it names the
-container that holds most of the varying text. Every symbol stands once in a
+container that holds most of the varying prose (prose outside it stays as well). A page whose
+main element holds as much prose beside its articles as in them is taken by its main element. Every symbol stands once in a
 wrapper, so a slot's place in it is found by its symbol; the order, optional
 slots and repeated groups of the expression describe the host's pages and
 choose no text. The blocks of the chosen slots are joined.
@@ -32,7 +33,9 @@ wrappers are merged until a host has one, so a host with a third of all pages
 has no larger task than others. What is known of hosts is sent to all tasks when
 small (``BROADCAST_BYTES``), otherwise once to each slice of a host's pages.
 
-Null html is an empty text. A null url or one without a host shares the host
+Pages may be of any length and depth: time and memory grow with the page, and text deeper than
+``MAX_DEPTH`` elements is kept, under a symbol of the last of them. An empty table gives an empty result;
+other columns are ignored, whatever their names. Null html is an empty text. A null url or one without a host shares the host
 "". Repeated rows are extracted separately. Truncated and badly nested pages
 follow the usual implied ends (a block ends an open paragraph, an end tag ends
 all that is open inside it, the end of the page ends everything).
@@ -58,6 +61,7 @@ from .common import cut, drop_cut, workers
 SHARE = 100  # a name or path that recurs on one in so many pages of its host is told apart
 MAX_SYMBOLS = 1000  # names, and paths, told apart in one host
 MAX_SYMBOL_CHARS = 1000
+MAX_DEPTH = 128  # elements of a path told apart; text further in stands under the last of them
 FAN_IN = 32  # wrappers merged at a time
 SLICES = 1000  # beyond BROADCAST_BYTES a host's pages are dealt out in slices of one in so many pages
 BROADCAST_BYTES = 16 << 20
@@ -82,15 +86,15 @@ OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search di
 OUTSIDE_WORDS = frozenset(
     "ad ads advert advertisement adverts sponsor sponsored promo promotion banner nav navbar navigation menu sidebar footer header "
     "masthead breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay comment comments reply "
-    "replies disqus share sharing social related recommended newsletter subscribe signup login pagination pager widget".split()
+    "replies respond disqus share sharing social related recommended newsletter subscribe signup login pagination pager widget".split()
 )
-COMMENT_WORDS = frozenset("comment comments reply replies disqus related ad ads advert".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus related ad ads advert".split())
 # What may stand beside such a word in the name of a class or id ("site-header", "cookie-notice", "left_sidebar"). Any other
 # part says something else ("has-sidebar", "ad-free", "header-fixed").
 BESIDE = frozenset(
     "area bar block body bottom box btn button buttons col column container content element footer form global google header icon icons "
     "inner item items left link links list main outer page panel post posts articles stories primary right row secondary section site "
-    "slot text title toggle top unit wrap wrapper entry article blog user".split()
+    "slot text thread threads title toggle top unit wrap wrapper entry article blog user".split()
 )
 TITLES = frozenset("post posts article articles entry blog stories content title".split())  # "post-header" holds a title
 PROSE = frozenset("p blockquote pre article main section".split())
@@ -142,44 +146,70 @@ def _element(name: str, attributes: str) -> tuple[str, str]:
     return name + "".join(sorted(said)).replace("/", "_").replace("!", "_"), mark
 
 
-def _symbols(found: list[tuple[tuple, str]]) -> list[tuple[str, str]]:
-    """Paths as symbols. Words don't put an element outside that holds most of the page's prose."""
-    prose: dict[int, int] = {}
+class _Node:
+    """An open element: what it is, and what holds of it and all around it. Nodes know their parent only, so a page's nodes
+    take memory in proportion to its elements however deep they lie."""
+
+    __slots__ = ("name", "part", "mark", "parent", "depth", "main", "gone", "under", "titled", "worded", "prose", "plain", "title")
+
+    def __init__(self, name: str, part: str, mark: str, parent: "_Node | None"):
+        self.name, self.part, self.mark, self.parent = name, part, mark, parent
+        self.depth = parent.depth + 1 if parent else 1
+        self.main = name in ("article", "main") or bool(parent and parent.main)
+        self.gone = mark in ("!", "h") or bool(parent and parent.gone)
+        # the title of an article stays although its header goes
+        self.under = (self.main and mark == "h") or bool(parent and parent.under)
+        self.titled = (self.under and bool(_HEADING.fullmatch(name))) or bool(parent and parent.titled)
+        self.worded = self if mark == "~" else parent.worded if parent else None  # the innermost with words of class or id
+        self.prose = 0  # characters of prose in it, counted for worded ones
+        self.plain = self.title = None  # symbols of text in it, and of a title
+
+
+def _label(node: _Node, titled: bool, total: int) -> tuple[str, bool, bool]:
+    """(symbol, inside by name, outside) of a node whose parent has its own. Beyond ``MAX_DEPTH`` a slot stands under its
+    ancestor there, of the same kind."""
+    above = (node.parent.title if titled else node.parent.plain) if node.parent else ("", False, False)
+    inside = above[1] or node.part.startswith(("article", "main"))
+    go = node.mark == "!" or (node.mark == "h" and not (titled and inside)) or (node.mark == "~" and 2 * node.prose <= total)
+    if node.depth <= MAX_DEPTH:
+        part = "!" + node.part if go else node.part
+        return f"{above[0]}/{part}" if above[0] else part, inside, above[2] or go
+    base = above[0] if node.depth == MAX_DEPTH + 1 else above[0].rpartition("/")[0]
+    if node.name in ("article", "main") and not _inside(base, node.name):
+        base = f"{base}/{node.name}"
+    return base + ("/!*" if above[2] or go else "/*"), inside, above[2] or go
+
+
+def _symbols(nodes: list[_Node], found: list[tuple[_Node | None, str]]) -> list[tuple[str, str]]:
+    """Slots with their symbols. Words don't put an element outside that holds most of the page's prose."""
     total = 0
-    if any(e[2] == "~" for path, _ in found for e in path):
-        for path, text in found:
-            if any(e[2] in ("!", "h") for e in path) or not (path and (path[-1][0] in PROSE or any(e[0] in ("article", "main") for e in path))):
-                continue
+    for node, text in found:
+        if node and not node.gone and (node.main or node.name in PROSE):
             total += len(text)
-            for e in path:
-                if e[2] == "~":
-                    prose[e[3]] = prose.get(e[3], 0) + len(text)
-    out = []
-    for path, text in found:
-        # the title of an article stays although its header goes
-        titled, inside, under = False, False, False
-        for e in path:
-            inside = inside or e[0] in ("article", "main")
-            under = under or (inside and e[2] == "h")
-            titled = titled or (under and e[0][0] == "h" and e[0][1:].isdigit())
-        inside = False
-        parts = []
-        for _, part, mark, serial in path:
-            inside = inside or part.startswith(("article", "main"))
-            go = mark == "!" or (mark == "h" and not (titled and inside)) or (mark == "~" and 2 * prose.get(serial, 0) <= total)
-            parts.append("!" + part if go else part)
-        out.append(("/".join(parts) or "/", text))
-    return out
+            if node.worded:
+                node.worded.prose += len(text)
+    titles = any(node and node.titled for node, _ in found)
+    for node in reversed(nodes):  # from inner elements to outer ones
+        if node.mark == "~" and node.parent and node.parent.worded:
+            node.parent.worded.prose += node.prose
+    for node in nodes:  # from outer elements to inner ones
+        node.plain = _label(node, False, total)
+        if titles:
+            node.title = _label(node, True, total)
+    return [((node.title if node.titled else node.plain)[0] if node else "/", text) for node, text in found]
 
 
 def slots(html: str) -> list[tuple[str, str]]:
     """(symbol, text) of every block of text, in page order. Elements outside the main text are marked ``!``."""
-    return _symbols(list(_paths(html)))
+    nodes: list[_Node] = []
+    return _symbols(nodes, list(_blocks(html, nodes)))
 
 
-def _paths(html: str) -> Iterator[tuple[tuple, str]]:
-    """(open elements, text) of every block of text."""
-    stack: list[tuple[str, str, str, int]] = []  # (name, symbol part, why outside, position)
+def _blocks(html: str, nodes: list[_Node]) -> Iterator[tuple[_Node | None, str]]:
+    """(innermost open element, text) of every block of text; all elements met go to ``nodes``, outer ones first. The time
+    grows with the page only, not with the depth: open elements are found by name."""
+    stack: list[_Node] = []
+    places: dict[str, list[int]] = {}  # of open elements in the stack, by name
     text: list[str] = []
     dropped: list[str] = []  # open inline elements whose text is outside
     pos, n = 0, len(html)
@@ -189,16 +219,19 @@ def _paths(html: str) -> Iterator[tuple[tuple, str]]:
             words = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if words:
-                yield tuple(stack), words
+                yield (stack[-1] if stack else None), words
+
+    def last(names) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=-1)
 
     def open_at(names, upto=()) -> int:
         """Index of the innermost open element of these names, -1 if none (not beyond ``upto``)."""
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in upto:
-                break
-        return -1
+        at = last(names)
+        return at if at > last(upto) else -1
+
+    def close(at: int) -> None:
+        while len(stack) > at:
+            places[stack.pop().name].pop()
 
     while pos < n:
         m = _TOKEN.match(html, pos)
@@ -239,14 +272,16 @@ def _paths(html: str) -> Iterator[tuple[tuple, str]]:
         if closing:
             at = open_at((name,))
             if at >= 0:
-                del stack[at:]
+                close(at)
             continue
         if name != "option" and (at := open_at(("p",), ("td", "th", "table", "button", "object"))) >= 0:
-            del stack[at:]
+            close(at)
         if name in ENDS:
             while (at := open_at(ENDS[name], BOUNDARY.get(name, ()))) >= 0:
-                del stack[at:]
-        stack.append((name, *_element(name, attributes), pos))
+                close(at)
+        nodes.append(_Node(name, *_element(name, attributes), stack[-1] if stack else None))
+        places.setdefault(name, []).append(len(stack))
+        stack.append(nodes[-1])
     yield from flush()
 
 
@@ -428,8 +463,10 @@ def levels(wrapper: dict) -> list[list[list[str]]]:
     seen = wrapper["seen"]
     allowed = [s for s in wrapper["shape"][0] if not is_outside(s)]
     varying = [s for s in allowed if not is_template(seen, s)]
-    # the innermost container of nine tenths of the varying prose (of all varying text where there is no prose)
-    prose = [s for s in varying if re.split("[.@]", s.rpartition("/")[2])[0] in PROSE_SLOTS] or varying
+    # the innermost container of nine tenths of the varying prose; prose outside it stays too, and where a host has no
+    # prose there is no container
+    ends = {s: re.split("[.@]", s.rpartition("/")[2])[0] for s in varying}
+    prose = [s for s in varying if ends[s] in PROSE_SLOTS] if PROSE.intersection(ends.values()) else []
     mass: dict[str, int] = {}
     for s in prose:
         at = s.rfind("/")
@@ -438,6 +475,7 @@ def levels(wrapper: dict) -> list[list[list[str]]]:
             at = s.rfind("/", 0, at)
     enough = 0.9 * sum(seen[s][1] for s in prose)
     most = max((c for c in mass if mass[c] >= enough), key=lambda c: (c.count("/"), c), default=None)
+    kept = set(prose)
     titles = [s for s in allowed if s not in varying and _HEADING.match(s.rpartition("/")[2])]
     of = lambda slots, name: [s for s in slots if _inside(s, name)]
     return [
@@ -445,12 +483,27 @@ def levels(wrapper: dict) -> list[list[list[str]]]:
         [of(allowed, "article")],
         [of(varying, "main"), of(titles, "main")],
         [of(allowed, "main")],
-        [[s for s in varying if most is not None and (s.rpartition("/")[0] + "/").startswith(most + "/")]],
+        [[s for s in varying if most is not None and (s in kept or (s.rpartition("/")[0] + "/").startswith(most + "/"))]],
         [varying],
         [allowed],
     ]
 
 
+ARTICLE_KINDS = 2  # of levels(): they come first
+
+
+def of_main(symbols: list[str]) -> bool:
+    """Whether a page's articles are but parts of its main element: as many blocks of prose stand in main beside them as in them."""
+    beside = within = 0
+    for s in symbols:
+        if not is_outside(s):
+            if _inside(s, "article"):
+                within += 1
+            elif _inside(s, "main") and re.split("[.@]", s.rpartition("/")[2])[0] in PROSE_SLOTS:
+                beside += 1
+    return 0 < within <= beside
+
+
 def main_text(found: list[tuple], kinds: list[list[list]]) -> str:
     """The blocks of the first kind of slots that the page has."""
     for wanted, *more in kinds:
@@ -614,7 +667,8 @@ def _extract(b, known):
         names, paths, kinds = _known(data)
         found = slots(html) if html and kinds else []
         symbols = {s: key(bounded(s, names, paths)) for s in {s for s, _ in found}}
-        out.append(main_text([(symbols[s], t) for s, t in found], kinds))
+        own = kinds[ARTICLE_KINDS:] if of_main([s for s, _ in found]) else kinds
+        out.append(main_text([(symbols[s], t) for s, t in found], own) or main_text([(symbols[s], t) for s, t in found], kinds))
     return pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 
