@@ -17,6 +17,9 @@ id range can be decoded and located in its text.
 One map-only pass; a text is never split between tasks and a batch is cut by
 characters, not rows, so very long texts bound memory by themselves. Null text
 counts as empty: no ids, decoded to the empty string.
+
+Repeated rows are encoded separately. An empty table gives an empty result; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

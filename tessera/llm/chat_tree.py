@@ -30,6 +30,10 @@ collapse in an aggregation, and a tree may span any number of partitions.
 Rows come in order of turn (null first), then role, then text, so ties and
 repeated rows have a defined order and all count as turns. Null role or text is
 empty. Rows without conv_id belong to no conversation and are left out.
+
+An empty table gives no nodes, paths or members. Other columns are ignored, whatever their
+names. Texts may be of any length, but one conversation's turns and segments pass through a task as one
+row (see the README's limits).
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ variance for the same work). ``ROWS`` consecutive values form a band; equal
 bands make a bucket. With 32 bands of 4 a pair at J = 0.8 misses all buckets
 with probability 5e-8.
 
-Flow, none of it quadratic in a group:
+Flow; copies and members of one component cost no pairs, but a bucket of n unlike components has its members sent to
+some n / ``BLOCK`` blocks and its pairs of signatures compared there:
 
 1. One scan gives each document its set size, a 128-bit digest of the set and
    the signature. Equal sets collapse to one representative before anything
@@ -22,13 +23,17 @@ Flow, none of it quadratic in a group:
    member that has reached a component need not meet the rest of it. Pairs are
    left out that can't be links by the triangle inequality over the bucket's
    smallest member, and those whose estimate is more than ``SLACK`` below the
-   limit (4.5 standard deviations).
+   limit (4.5 standard deviations: a pair at exactly the limit falls below it with probability 9e-6, and is then lost
+   unless other links join its components).
 4. Components by repeated contraction to the least neighbour; each round is
    two aggregations and a join, cut at the shared checkpoint folder.
 
 Null or empty text: an empty set, linked with nothing. Repeated rows have equal
 sets. Rows that share a doc_id are one node. A null doc_id takes the component
 of its class (null if none has an id).
+
+Texts may be of any length. An empty table gives an empty result; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations

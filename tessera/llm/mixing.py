@@ -19,6 +19,9 @@ A histogram has one row per source and length; one source's lengths (at most
 its longest document's many) go to one task. Null text has size 0 and takes
 nothing; a null source is a source of its own, last in order. Rows that agree
 in doc_id and text share their verdict.
+
+An empty table gives an empty result. Texts may be of any length; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

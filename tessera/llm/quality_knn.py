@@ -15,6 +15,9 @@ Map-only over whole texts. Null text counts as empty: the score of a document
 without terms is the sample's share of label 1. Rows of ``labels`` without
 quality or without a document teach nothing; a document labelled twice teaches
 its larger label. Without any labelled row every score is 0.5.
+
+Repeated rows are scored separately (and equally). An empty table gives an empty result. Texts may be of any length;
+other columns are kept or ignored, whatever their names.
 """
 
 from __future__ import annotations

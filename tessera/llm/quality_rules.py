@@ -11,6 +11,8 @@ inline the split into every element of the higher-order functions.
 
 Null text counts as empty: all counts 0, ``base_failed`` true (fewer than 20
 words). Repeated rows are judged separately; other columns are ignored.
+
+Lines and texts may be of any length; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -52,7 +54,9 @@ def _either_case(phrase: str) -> str:
 
 # The rules as patterns that mean the same to Java's and to RE2's engine.
 HAS_WORD = WORD[:-1]
-SENTENCE_MARK = "[.!?…。,;:]"
+# Ends and pauses of sentences: Latin and Greek, Armenian, Hebrew, Arabic and Urdu, Syriac, Indic, Tibetan, Myanmar, Ethiopic,
+# Khmer, Mongolian, Chinese and Japanese, full width, half width.
+SENTENCE_MARK = "[.!?…,;:·։՝՞׃،؛؟۔܀।॥།༎၊။።፣፤፥፧។៕᠂᠃。、！，．：；？｡､]"
 SHOUT = "!![ ].*!![ ].*!!"
 UPPER_WORD = "[A-Z][A-Z]"
 LOWER = "[a-z]"

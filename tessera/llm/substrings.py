@@ -22,6 +22,9 @@ large (``WIDE_CHARS``) that 64 would make chance matches likely.
 Null text has no words. Texts shorter than ``n`` words lose nothing. Rows that
 share a doc_id are judged separately and don't make each other repeat; a null
 doc_id is never the smaller one, and its rows lose nothing.
+
+Empty texts have no words; texts may be of any length (a batch is cut by characters). An empty table
+gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,6 +14,9 @@ Vectors that are null or hold a null or non-finite component take no part, nor
 do null ids. Vectors of unlike length have no score. A query excludes every
 row of its own id; of several query rows with one id the least vector counts.
 Scores are exact integers; beyond 64 bits they saturate.
+
+Repeated candidate rows are candidates each. Without queries, candidates or any rows
+the result is empty; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

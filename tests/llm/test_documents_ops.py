@@ -1,6 +1,7 @@
 """Operators on documents: odd rows, empty tables and brute force."""
 
 import base64
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -348,3 +349,24 @@ def test_targets_against_brute():
         w = [(5, 2, 1)[i % 3] for i in range(7)]
         got, want = mixing.targets(sizes, w, 1.5 * sizes.sum()), brute.targets(sizes, w, 1.5 * sizes.sum())
         assert np.allclose(got, want) and (got <= 2 * sizes + 1e-9).all()
+
+
+def test_rules_know_the_sentence_marks_of_other_scripts(spark):
+    """Plain prose in scripts with marks of their own is kept; the same words without any mark are not."""
+    line = {
+        "hindi": ("यह एक साधारण वाक्य है जो बहुत लंबा है और यहाँ समाप्त होता है", "।"),
+        "urdu": ("یہ ایک سادہ جملہ ہے جو کافی لمبا ہے اور یہاں ختم ہوتا ہے", "۔"),
+        "arabic": ("هل هذه جملة بسيطة طويلة جدا وفيها كلمات كثيرة وتنتهي هنا الآن", "؟"),
+        "amharic": ("ይህ ቀላል ዓረፍተ ነገር ነው ብዙ ቃላት አሉት እና እዚህ ያበቃል አሁን", "።"),
+        "korean": ("이것 은 아주 긴 문장 이고 여기 에서 끝 난다 그리고 또", "．"),
+    }
+    r = random.Random(5)
+    mixed = lambda words: " ".join(r.sample(words.split(), len(words.split())))
+    rows = []
+    for k, (words, mark) in enumerate(line.values()):
+        rows += [(2 * k + bare, "\n".join(f"{mixed(words)}{'' if bare else mark}" for _ in range(8))) for bare in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in quality_rules.line_clean(docs).collect()}
+    for k, name in enumerate(line):
+        assert not got[2 * k].base_failed and got[2 * k].kept, name
+        assert not got[2 * k + 1].base_failed and not got[2 * k + 1].kept, name
