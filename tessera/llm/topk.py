@@ -27,6 +27,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import scratch_path
+
 from .common import cut, workers
 
 # Parameters.
@@ -158,7 +160,8 @@ def _select(shared, k: int):
     return run
 
 
-def _page_top(rows, vectors: DataFrame, longest: float, k: int) -> DataFrame:
+def _page_top(rows, vectors: DataFrame, longest: float, k: int, path: str) -> None:
+    """Append the best of a page of queries to the table at ``path``; what was sent to the tasks is released."""
     spark = vectors.sparkSession
     ids = np.array([r.id for r in rows], np.int64)
     dims: dict[int, list[int]] = {}
@@ -193,31 +196,38 @@ def _page_top(rows, vectors: DataFrame, longest: float, k: int) -> DataFrame:
             above[i] += r.upto - r.n
             high[i], low[i] = top, max(int(low[i]), top - int(width[i]) + 1)
             open_[i] = high[i] > low[i]
+        shared.unpersist()
     shared = spark.sparkContext.broadcast(page | {"low": low})
     best = vectors.mapInArrow(_select(shared, k), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+    shared.unpersist()
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
-    """``queries(id, q)``, ``vectors(id, q)`` -> query_id, rank, vec_id, score."""
+    """``queries(id, q)``, ``vectors(id, q)`` -> query_id, rank, vec_id, score.
+
+    ``vectors`` are written once; each page of queries reads them a few times, and the pages' results are one table.
+    """
     spark = vectors.sparkSession
     workers(spark)
     asked = cut(queries.groupBy("id").agg(F.min("q").alias("q")), "queries")
+    vectors = cut(vectors.select("id", "q"), "vectors")
     square = F.aggregate("q", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     longest = min(vectors.agg(F.max(square)).first()[0] or 0.0, float(LIMIT) ** 2)
-    out, last = None, None
+    path, last = scratch_path(spark, "top"), None
     while True:
         rest = asked if last is None else asked.where(F.col("id") > last)
         rows = rest.orderBy("id").limit(PAGE).collect()
         if not rows:
             break
         last = rows[-1].id
-        page = cut(_page_top(rows, vectors, longest * (1 + 1e-9), k), "top")
-        out = page if out is None else out.union(page)
+        _page_top(rows, vectors, longest * (1 + 1e-9), k, path)
         if len(rows) < PAGE:
             break
-    return out if out is not None else spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
+    return spark.read.schema(schema).parquet(path) if last is not None else spark.createDataFrame([], schema)
 
 
 # DuckDB SQL of the digest columns.
