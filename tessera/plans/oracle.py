@@ -386,6 +386,10 @@ ORACLE = {
         + ", ".join(f"sum(CAST({c} AS DOUBLE)) AS total_{c[4:]}" for c in POP)
         + f" FROM ({IDX_ALL}) i GROUP BY h3_res"
     ),
+    "index_listing": (
+        "SELECT h3_res, count(*) AS n_cells, CAST(0 AS BIGINT) AS n_unlisted, CAST(0 AS BIGINT) AS n_empty "
+        f"FROM ({IDX_ALL}) i GROUP BY h3_res"
+    ),
     "snapshot_republish": (
         f"WITH i AS ({index([1, 2], ['pop_2025'], _northern(['pop_2025']))}) "
         "SELECT h3_res, h3_index, pop_2025, count(*) OVER (PARTITION BY h3_res) AS n_told FROM i"

@@ -485,6 +485,27 @@ def metadata_json(spark, sf):
     )
 
 
+def index_listing(spark, sf):
+    """[S10, K3] the listing of the published files against what is read: per resolution the cells, files read but not listed,
+    and listed files without a cell or without bytes."""
+    from ..sources.index_reader import list_files
+    from .published import published_all, published_base
+
+    name = lambda c: F.regexp_extract(c, "([^/]+)$", 1)
+    listed = list_files(spark, published_base(spark, sf)).select(
+        F.regexp_extract("path", "/h3_res=([0-9]+)/", 1).cast("int").alias("h3_res"), name("path").alias("file"), "length"
+    )
+    read = published_all(spark, sf).groupBy("h3_res", name(F.col("_metadata.file_path")).alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    both = listed.join(read, ["h3_res", "file"], "full")
+    count = lambda c: F.count(F.when(c, F.lit(1)))
+    return both.groupBy("h3_res").agg(
+        F.sum("n").alias("n_cells"), count(F.col("length").isNull()).alias("n_unlisted"), count(F.col("n").isNull() | (F.col("length") <= 0)).alias("n_empty")
+    )
+
+
+QUERIES["index_listing"] = index_listing
+
+
 # --- snapshots: what a second build leaves to be read -----------------------------------------
 
 REBUILD_RES = [1, 2]
