@@ -105,14 +105,17 @@ def read_merged(spark: SparkSession, base: str, glob: str = "*.parquet") -> Data
     For data of unlike runs: files under ``base`` may differ in year columns (their schemas are merged, by a
     Spark job over the footers) and, from one version to another, in the type of a year (FLOAT and DOUBLE read as
     DOUBLE). Folder names are not trusted: partition inference is off, the resolution is that of the
-    id, and the scenario is what the file's path names (null if it names none).
+    id, and the scenario is what the file's path names (null if it names none). Versions
+    without a cell have no files and add nothing but, where all are so, their years.
     """
     from ..functions import cells
     from ..operators.analytics import pop_columns
-    from ..sinks.snapshots import data_roots
+    from ..sinks.snapshots import current, data_roots, scenarios
 
     parts, kinds = [], {}
     for root in data_roots(spark, base):  # one for plain folders, else one a scenario
+        if _listing(spark, [root], glob).isEmpty():
+            continue
         df = (
             spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(root)
         )
@@ -127,6 +130,9 @@ def read_merged(spark: SparkSession, base: str, glob: str = "*.parquet") -> Data
         value = lambda c, own=own: (F.col(c) if c in own else F.lit(None)).cast("float" if kinds[c] == {"float"} else "double").alias(c)
         rows = df.select(F.nullif(named, F.lit("")).alias("scenario"), cells.cell_res("h3_index").alias("h3_res"), "h3_index", *[value(c) for c in years])
         out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        known = sorted({y for s in scenarios(spark, base) for y in current(spark, base, s).years})
+        return spark.createDataFrame([], ", ".join(["scenario string, h3_res int, h3_index bigint", *(f"pop_{y} float" for y in known)]))
     return out
 
 

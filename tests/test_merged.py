@@ -53,3 +53,12 @@ def test_float_and_double_years(spark, tmp_dir):
     assert df.schema["pop_2050"].dataType.simpleString() == "double"
     a, b = (df.where(f"scenario = '{s}'").agg(F.sum("pop_2050"), F.count("*")).first() for s in ("SSP1", "SSP2"))
     assert b[0] - a[0] == 0.25 * a[1] and a[1] == b[1]
+
+
+def test_versions_without_cells(spark, tmp_dir):
+    px = pixel_view(spark, SF_SMALL)
+    build_population_index(spark, px.where("lat > 100"), FIXTURE_GRID, [2050], tmp_dir, "SSP1", [2])
+    assert read_merged(spark, tmp_dir).columns == ["scenario", "h3_res", "h3_index", "pop_2050"] and read_merged(spark, tmp_dir).count() == 0
+    build_population_index(spark, px, FIXTURE_GRID, [2100], tmp_dir, "SSP2", [2])
+    df = read_merged(spark, tmp_dir)
+    assert df.columns[3:] == ["pop_2100"] and {r[0] for r in df.select("scenario").distinct().collect()} == {"SSP2"}
