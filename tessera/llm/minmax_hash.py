@@ -23,7 +23,7 @@ some n / ``BLOCK`` blocks and its pairs of signatures compared there:
    member that has reached a component need not meet the rest of it. Pairs are
    left out that can't be links by the triangle inequality over the bucket's
    smallest member, and those whose estimate is more than ``SLACK`` below the
-   limit (7 standard deviations: a pair at exactly the limit falls below it with probability 2e-10, far less than that
+   limit (7 standard deviations: a pair at exactly the limit falls below it with probability 1e-10, far less than that
    of missing all buckets, and is then lost unless other links join its components).
 4. Components by repeated contraction to the least neighbour; each round is
    two aggregations and a join, cut at the shared checkpoint folder.
