@@ -1,6 +1,7 @@
 """Operators on documents: odd rows, empty tables and brute force."""
 
 import base64
+import hashlib
 import random
 from collections import defaultdict
 
@@ -10,9 +11,9 @@ import pytest
 from tessera.llm import bpe, minmax_hash, mixing, quality_rules, secrets, substrings
 from tessera.llm.queries import tokenizer_path
 
-from ..conftest import SF_SMALL
+from ..conftest import SF_MID, SF_SMALL
 from . import brute
-from .conftest import odd_rows
+from .conftest import odd_rows, sentence
 
 
 def _docs(spark):
@@ -248,14 +249,69 @@ def test_secrets_base(spark, odd, no_docs, finder):
 
 def test_secrets_network(finder):
     held = secrets.made_up_findings(600, seed=123)
-    x = np.stack([secrets.window(t, a, b) for t, a, b, _ in held])
     y = np.array([m[3] for m in held])
-    q = 1 / (1 + np.exp(-(finder["slope"] * secrets.logits(finder["net"], x) + finder["offset"])))
+    q = secrets.probabilities([m[:3] for m in held], finder)
     taken = q >= finder["threshold"]
     assert taken[y == 1].mean() >= 0.97 and taken[y == 0].mean() <= 0.05
     assert 0.4 < q[y == 1].mean() <= 1 and q[y == 0].mean() < 0.2  # calibrated
 
 
+def _foreign_keys(n: int) -> list[str]:
+    """Keys of shapes and alphabets that training doesn't make up: encoded digests of a counter."""
+    out = []
+    for i in range(n):
+        d = hashlib.sha512(f"key {i}".encode()).digest()
+        plain = base64.urlsafe_b64encode(d).decode().rstrip("=")
+        out += [
+            "AIza" + plain[:35], "npm_" + plain[:36].replace("-", "Q").replace("_", "z"), "SG." + plain[:22] + "." + plain[22:65],
+            base64.b32encode(d[:20]).decode(), base64.b85encode(d[:24]).decode().translate(str.maketrans("!#$%&()*;<>?@^`{|}~", "abcdefghijABCDEFGHI")),
+            base64.b64encode(d[:30]).decode(), d[:20].hex().upper(), "".join(c for c in plain if c.isalpha())[:40],
+            "dop_v1_" + plain[:40].replace("-", "7"), plain + plain[::-1],
+        ]
+    return out
+
+
+def test_secrets_recall_on_foreign_findings(spark, finder):
+    r = random.Random(8)
+    keys = _foreign_keys(40)
+    texts = [f"{sentence(r, 12)} {k} {sentence(r, 12)}." for k in keys]
+    found = [secrets.masked(t, s) for t, s in zip(texts, secrets.find(texts, finder), strict=True)]
+    gone = [k not in t and not any(k[i : i + 12] in t for i in range(len(k) - 11)) for k, t in zip(keys, found, strict=True)]
+    assert np.mean(gone) >= 0.95
+    # words of the corpus are no secrets
+    docs = [x.text for x in spark.read.parquet(f"{SF_MID}/documents.parquet").where("text is not null").collect()]
+    asked = [(t, a, b) for t in docs for a, b, _ in secrets.candidates(t, secrets.base_spans(t)) if t[a:b].isalpha() and t[a + 1 : b].islower()]
+    assert len(asked) > 50 and (secrets.probabilities(asked, finder) >= finder["threshold"]).mean() <= 0.01
+
+
+def test_secrets_whole_keys_go(finder):
+    run = hashlib.md5(b"run").hexdigest()[:24]
+    letters = "".join(c for c in base64.b64encode(hashlib.sha512(b"letters").digest() * 4).decode() if c.isalpha())[:200]
+    mixed = "qZvBnRtKwXpLmHsDfGjCyTbNkVzQ"
+    far = "/".join(["some", "plain", "path"] * 12) + "/" + letters[:60] + "/" + "/".join(["other", "words"] * 20)
+    for key in (mixed, f"ghp_{run}Zq9TTTTTT", run + letters, letters + run, letters[:90] + run + letters[90:]):
+        text = f"we found {key} in the file"
+        assert secrets.masked(text, secrets.find([text], finder)[0]) == "we found [SECRET] in the file", key
+    for text in (f"at {far} here", f"at {run}/{letters[:50]} here"):
+        assert letters[10:40] not in secrets.masked(text, secrets.find([text], finder)[0])
+
+
+def test_secrets_candidates():
+    run = "0a1b2c3d4e5f" * 2
+    span = lambda t: [t[a:b] for a, b, _ in secrets.candidates(t, secrets.base_spans(t))]
+    assert span("a word, ----------------- ================ and more. 12 letterswords") == []
+    assert span("Abcdefghijklmnop. abcdefghijkl aB3dE6gH9jKl, -_abcdefghijklmnopq_-") == ["Abcdefghijklmnop", "aB3dE6gH9jKl", "abcdefghijklmnopq"]
+    assert span(f"x {run} y token={run} z") == []  # base findings as they are
+    assert span(f"x_{run} {run}-Y see/this/long/path/{run}.q/that/other/path") == [f"x_{run}", f"{run}-Y", "see/this/long/path", "q/that/other/path"]
+    assert span(f"{run}G{run}") == [f"{run}G{run}"]
+    long = "k" * 300_000 + "/" + run
+    assert span(long) == ["k" * 300_000]
+    w = secrets.windows("left " + "abc123XYZ" * 40, 5, 365)
+    assert w.shape == (14, secrets.WIDTH) and secrets.windows("ab", 0, 2).shape == (1, secrets.WIDTH)
+    covered = {i for k in [*range(0, 312, secrets.STEP), 312] for i in range(k, k + secrets.BODY)}
+    assert covered == set(range(360))
+
+
 def test_secrets_gradient():
     r = np.random.default_rng(0)
     x = r.integers(0, secrets.N_CODES, (40, secrets.WIDTH)).astype(np.uint8)
