@@ -11,8 +11,12 @@ needed for contractions (``'s 't 're 've 'm 'll 'd``); runs of letters,
 numbers, other marks and white space follow from neighbouring classes.
 
 The slices between boundaries feed a bounded cache of merged pieces; a miss is
-merged by rank, lowest first. Piece offsets are kept beside the ids, so any
-id range can be decoded and located in its text.
+merged by rank, lowest first. Piece offsets, in code points and in ids, are kept
+beside the ids: any range of the text is decoded from its own pieces alone
+(``decode_span``), and the round trip checks each piece's offset against the
+bytes that its ids stand for.
+
+The rank file is sent to the executors with ``addFile``; its path need not exist there.
 
 One map-only pass; a text is never split between tasks and a batch is cut by
 characters, not rows, so very long texts bound memory by themselves. Null text
@@ -30,7 +34,8 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import workers
@@ -64,6 +69,7 @@ CACHE_PIECES = 150_000  # entries of each of a worker's two generations
 NO_RANK = 1 << 40
 CACHE_LONGEST = 64  # longer pieces are merged each time
 BATCH_CHARS = 1 << 20
+DECODE_PIECES = 1 << 14  # pieces decoded at once
 
 
 def class_table() -> np.ndarray:
@@ -267,6 +273,7 @@ class Merger:
 
 
 _MERGERS: dict[str, Merger] = {}
+_SENT: set[tuple[str, str]] = set()
 
 
 def merger(path: str) -> Merger:
@@ -276,8 +283,21 @@ def merger(path: str) -> Merger:
     return _MERGERS[path]
 
 
-def encode_texts(texts: list[str], m: Merger) -> Iterator[tuple[bytes, np.ndarray]]:
-    """Packed ids and the start of each piece (code points) of each text."""
+def send(spark: SparkSession, path: str) -> str:
+    """Send the rank file to all executors, once an application; the name that they find it by."""
+    sc = spark.sparkContext
+    if (sc.applicationId, path) not in _SENT:
+        sc.addFile(path)
+        _SENT.add((sc.applicationId, path))
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def sent_merger(name: str) -> Merger:
+    return merger(SparkFiles.get(name))
+
+
+def encode_texts(texts: list[str], m: Merger) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """Packed ids of each text, and the start of each piece in code points and in ids."""
     joined = "".join(texts)
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes + 1)
@@ -294,7 +314,29 @@ def encode_texts(texts: list[str], m: Merger) -> Iterator[tuple[bytes, np.ndarra
         cuts = own.tolist()
         cuts.append(size)
         pieces = [text[a:b] for a, b in zip(cuts, cuts[1:])]  # noqa: B905
-        yield b"".join(m.pack(pieces)), own.astype(np.int64)
+        packed = m.pack(pieces)
+        counts = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
+        yield b"".join(packed), own.astype(np.int64), np.cumsum(counts) - counts
+
+
+def decode_span(packed: bytes, starts: np.ndarray, id_starts: np.ndarray, a: int, b: int, m: Merger) -> str:
+    """Code points [a, b) of the text, from the ids of the pieces that hold them alone; b: its length at most."""
+    if a >= b or not len(starts):
+        return ""
+    i, j = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, b, "left"))
+    to = 4 * int(id_starts[j]) if j < len(starts) else len(packed)
+    first = int(starts[i])
+    return m.decode(packed[4 * int(id_starts[i]) : to]).decode()[a - first : b - first]
+
+
+def decode_pieces(packed: bytes, starts: np.ndarray, id_starts: np.ndarray, m: Merger) -> Iterator[bytes]:
+    """The bytes of a text, ``DECODE_PIECES`` pieces at a time; fails where the offsets disagree with the ids."""
+    for i in range(0, len(starts), DECODE_PIECES):
+        j = i + DECODE_PIECES
+        data = m.decode(packed[4 * int(id_starts[i]) : 4 * int(id_starts[j]) if j < len(starts) else len(packed)])
+        if j < len(starts) and len(data.decode()) != starts[j] - starts[i]:
+            raise ValueError("piece offsets disagree with the ids")
+        yield data
 
 
 def _batches(texts: Iterable[str]) -> Iterator[list[str]]:
@@ -312,41 +354,45 @@ def _batches(texts: Iterable[str]) -> Iterator[list[str]]:
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", offsets: bool = True) -> DataFrame:
-    """``docs(key, text)`` -> key, ids (packed little-endian unsigned 32-bit), piece_starts."""
+    """``docs(key, text)`` -> key, ids (packed little-endian unsigned 32-bit); ``offsets``: also the start of each
+    piece in code points (piece_starts) and in ids (piece_ids)."""
     workers(docs.sparkSession)
+    name = send(docs.sparkSession, path)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        m = merger(path)
+        m = sent_merger(name)
         for b in batches:
             texts = b.column("text").to_pylist()
-            ids, starts = [], []
+            ids, starts, firsts = [], [], []
             for group in _batches(texts):
-                for packed, own in encode_texts(group, m):
+                for packed, own, first in encode_texts(group, m):
                     ids.append(packed)
                     starts.append(own)
+                    firsts.append(first)
             cols = [b.column(key), pa.array(ids, pa.binary())]
             names = [key, "ids"]
             if offsets:
-                cols.append(pa.array(starts, pa.list_(pa.int64())))
-                names.append("piece_starts")
+                cols += [pa.array(starts, pa.list_(pa.int64())), pa.array(firsts, pa.list_(pa.int64()))]
+                names += ["piece_starts", "piece_ids"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    schema = f"`{key}` {kind}, ids binary" + ", piece_starts array<bigint>" * offsets
+    schema = f"`{key}` {kind}, ids binary" + ", piece_starts array<bigint>, piece_ids array<bigint>" * offsets
     return docs.select(key, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """``encoded(key, ids)`` -> key, data (the bytes the ids stand for)."""
     workers(encoded.sparkSession)
+    name = send(encoded.sparkSession, path)
     kind = encoded.schema[key].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        m = merger(path)
+        m = sent_merger(name)
         for b in batches:
             data = [m.decode(x or b"") for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(key), pa.array(data, pa.binary())], names=[key, "data"])
@@ -355,21 +401,25 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
-    """Encode every text, decode the ids again, and give the digests of both (one pass, no join);
+    """Encode every text, decode the ids again by the offsets, and give the digests of both (one pass, no join);
     ``ids``: the packed ids as well."""
     workers(docs.sparkSession)
+    name = send(docs.sparkSession, path)
 
     def run(batches):
         import pyarrow as pa
 
-        m = merger(path)
+        m = sent_merger(name)
         for b in batches:
             n, ids_sha, text_sha, kept = [], [], [], []
             for group in _batches(b.column("text").to_pylist()):
-                for packed, _ in encode_texts(group, m):
+                for packed, starts, firsts in encode_texts(group, m):
                     n.append(len(packed) // 4)
                     ids_sha.append(hashlib.sha256(packed).hexdigest())
-                    text_sha.append(hashlib.sha256(m.decode(packed)).hexdigest())
+                    text = hashlib.sha256()
+                    for data in decode_pieces(packed, starts, firsts, m):
+                        text.update(data)
+                    text_sha.append(text.hexdigest())
                     if ids:
                         kept.append(packed)
             cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]

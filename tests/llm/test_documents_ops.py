@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 from collections import defaultdict
 
@@ -162,10 +163,40 @@ def test_bpe_random_texts(reference):
     texts = ["".join(parts[i] for i in r.integers(0, len(parts), r.integers(0, 40))) for _ in range(4000)]
     texts += ["", "a" * 1000, "x'" * 300, " " * 300, "中" * 500]
     m = bpe.merger(tokenizer_path())
-    for t, (packed, starts) in zip(texts, bpe.encode_texts(texts, m), strict=True):
+    for t, (packed, starts, firsts) in zip(texts, bpe.encode_texts(texts, m), strict=True):
         assert np.frombuffer(packed, "<u4").tolist() == reference.encode_ordinary(t), t
         assert m.decode(packed).decode() == t
         assert not len(starts) or starts[0] == 0
+        a, b = sorted(r.integers(0, len(t) + 1, 2).tolist())
+        assert bpe.decode_span(packed, starts, firsts, a, b, m) == t[a:b]
+
+
+def test_bpe_decodes_by_offsets(spark, odd, monkeypatch):
+    rows = {d: t or "" for d, t, _ in odd_rows() if d is not None}
+    m = bpe.merger(tokenizer_path())
+    for r in bpe.encode(odd.where("doc_id IS NOT NULL"), tokenizer_path()).collect():
+        t, starts, firsts = rows[r.doc_id], np.array(r.piece_starts), np.array(r.piece_ids)
+        assert len(starts) == len(firsts)
+        for a, b in ((0, len(t)), (3, 40), (len(t) // 2, len(t))):
+            assert bpe.decode_span(bytes(r.ids), starts, firsts, a, min(b, len(t)), m) == t[a : min(b, len(t))]
+    monkeypatch.setattr(bpe, "DECODE_PIECES", 3)
+    packed, starts, firsts = next(bpe.encode_texts(["one two é three four five"], m))
+    assert b"".join(bpe.decode_pieces(packed, starts, firsts, m)).decode() == "one two é three four five"
+    with pytest.raises(ValueError, match="offsets"):
+        list(bpe.decode_pieces(packed, starts + np.arange(len(starts)), firsts, m))
+
+
+def test_bpe_rank_file_is_sent(spark, odd, tmp_dir, reference):
+    """The workers read the application's copy of the file by its name, not the driver's path."""
+    import shutil
+
+    from pyspark import SparkFiles
+
+    place = os.path.join(tmp_dir, "ranks-of-another-place.tiktoken")
+    shutil.copy(tokenizer_path(), place)
+    _check_bpe(bpe.round_trip(odd, place).collect(), _pairs(odd_rows()), reference)
+    name = bpe.send(spark, place)
+    assert name == os.path.basename(place) and os.path.exists(SparkFiles.get(name)) and SparkFiles.get(name) != place
 
 
 def test_bpe_scan_is_the_automaton():
