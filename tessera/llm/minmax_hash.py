@@ -253,7 +253,9 @@ def _completion(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, sets: Da
     keys, cols = ["band", "key", "pc", "mc"], ["rep", "label", "sig", "distance"]
     as_member = rows.select("band", "key", all_of("pn").alias("pc"), own("mn", 1).alias("mc"), *cols, F.lit(False).alias("pivot"))
     as_pivot = rows.where("label <> major").select("band", "key", own("pn", 2).alias("pc"), all_of("mn").alias("mc"), *cols, F.lit(True).alias("pivot"))
-    blocks = as_member.union(as_pivot)
+    # blocks are bounded by their comparisons, not by bytes: dealt by number, so that no reader merges them by size
+    parts = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = as_member.union(as_pivot).repartition(parts, *keys)
     limits = (percent / 100 - SLACK, 1 - percent / 100)
     asked = cut(blocks.groupBy(*keys).applyInPandas(_asked(*limits), blocks.schema), "asked")
     full = asked.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
