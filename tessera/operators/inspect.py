@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.num import sql_is_finite
 from .mask import sql_is_nodata
-from ..sources.grid import GridSpec, pixel_lat, pixel_lon, pop_col, tiles_to_wide_pixels
+from ..sources.grid import GridSpec, layer_key, pixel_lat, pixel_lon, pop_col, tiles_to_wide_pixels
 
 # --- fixed values of the inspection ----------------------------------------------------
 CENTER_WINDOW_MAX = 1000  # side of the centre window, pixels
@@ -98,7 +98,8 @@ def sample_points_tiles(spark: SparkSession, tiles: DataFrame, grid: GridSpec, y
     """O7 on a stored tile table with a folder per tile: the points' tiles are the only ones read.
 
     The five points carry their tile; their filter (inside the grid) makes the join prune the tile folders at run
-    time (dynamic partition pruning), and a pixel is picked out of its block without unpacking it.
+    time (dynamic partition pruning), and a pixel is picked out of its block without unpacking it. A point with several
+    pixels (a layered table) gives a row for each, like the join with the pixels.
     """
     side = grid.tile_side(tile)
     h, w, d = grid.height, grid.width, CORNER_INSET
@@ -110,10 +111,14 @@ def sample_points_tiles(spark: SparkSession, tiles: DataFrame, grid: GridSpec, y
     at = pts.withColumn("tile_key", F.expr(f"CAST(r DIV {side} AS INT) * {cols} + CAST(c DIV {side} AS INT)"))
     value = F.expr(f"values[CAST(r % {side} AS INT)][CAST(c % {side} AS INT)]")
     wanted = tiles.where(F.col("year").isin([int(y) for y in years]))
-    hit = wanted.join(F.broadcast(at), F.expr(f"tile_row * {cols} + tile_col = tile_key")).select("label", "year", value.alias("value"))
-    per_point = hit.groupBy("label").agg(*[F.max(F.when(F.col("year") == int(y), F.col("value"))).alias(pop_col(y)) for y in years])
+    layer = layer_key(wanted)
+    hit = wanted.join(F.broadcast(at), F.expr(f"tile_row * {cols} + tile_col = tile_key")).select("label", *layer, "year", value.alias("value"))
+    per_point = hit.groupBy("label", *layer).agg(*[F.max(F.when(F.col("year") == int(y), F.col("value"))).alias(pop_col(y)) for y in years])
+    if layer:
+        per_point = per_point.where(" OR ".join(["layer = 0", *[f"{pop_col(y)} IS NOT NULL" for y in years]]))
     fill = F.lit(grid.nodata).cast("float") if grid.nodata is not None else F.lit(None).cast("float")
-    out = pts.join(F.broadcast(per_point), "label", "left")  # five rows on either side
+    # five rows on either side, or on one only: a point has as many as pixels
+    out = pts.join(per_point if layer else F.broadcast(per_point), "label", "left")
     return out.select(
         "label", "r", "c", pixel_lat("r", grid).alias("lat"), pixel_lon("c", grid).alias("lon"),
         *[F.coalesce(F.col(pop_col(y)), fill).alias(pop_col(y)) for y in years],

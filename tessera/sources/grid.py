@@ -5,7 +5,9 @@ column per year) or as a *tile table*::
 
     year INT, tile_row INT, tile_col INT, values ARRAY<ARRAY<FLOAT>>
 
-with one dense ``tile x tile`` block per row, plus one grid descriptor. A
+with one dense ``tile x tile`` block per row, plus one grid descriptor. Where
+positions repeat (overlapping rasters), the table is layered: a column
+``layer INT`` tells the blocks of a year and tile apart. A
 tile row is a bounded unit of work (at most ``tile**2`` floats), so a tile
 table splits evenly over any number of tasks and a tile-range filter on
 ``tile_row``/``tile_col`` is pushed to the Parquet scan (the spatial window
@@ -18,7 +20,7 @@ import re
 from dataclasses import asdict, dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -276,22 +278,55 @@ def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFra
     functions, no Python worker.
 
     A (year, pixel) that comes twice and a pixel left of or above the grid fail
-    the job: nothing is picked or dropped.
+    the job: nothing is picked or dropped. Pixels that may repeat go through
+    ``wide_pixels_to_tiles``.
     """
-    fill = sql_float_literal(float("nan") if nodata is None else nodata)
-    n = tile * tile
-    keyed = long.selectExpr(
-        "CAST(year AS INT) AS year",
-        f"CAST(r DIV {tile} AS INT) AS tile_row",
-        f"CAST(c DIV {tile} AS INT) AS tile_col",
-        "CASE WHEN r >= 0 AND c >= 0 AND year IS NOT NULL "
+    keyed = long.selectExpr("CAST(year AS INT) AS year", *_sql_place(tile), _sql_pos(tile, "year IS NOT NULL"), "CAST(value AS FLOAT) AS value")
+    return _dense(keyed.repartition("tile_row", "tile_col"), tile, nodata)
+
+
+def wide_pixels_to_tiles(wide: DataFrame, tile: int, years: list[int], nodata: float | None, order: list[str]) -> DataFrame:
+    """Wide pixels ``(r, c, pop_<year>...)`` -> layered tile table, as many rows a position as there are.
+
+    The k-th row of a position (by the columns ``order``, then by its values) goes to layer k, from 0, with all its
+    years: ``year, layer, tile_row, tile_col, values``. A layer is a raster like any other, so a block holds ``tile**2``
+    values however often positions repeat, and every reader here takes the layers one by one. Gaps are nodata in
+    layer 0 (the boundless fill) and NULL in the others, where a pixel without any value is no row.
+
+    Rows are dealt by tile once, while they are wide: numbering, blocks and the reader's years hold on it.
+    """
+    pops = [pop_col(y) for y in years]
+    dealt = wide.selectExpr(*dict.fromkeys([*order, *pops]), *_sql_place(tile), _sql_pos(tile)).repartition("tile_row", "tile_col")
+    at = Window.partitionBy("tile_row", "tile_col", "pos").orderBy(*dict.fromkeys([*order, *pops]))
+    numbered = dealt.withColumn("layer", F.row_number().over(at) - F.lit(1))
+    return _dense(unstack_years(numbered, ["layer", "tile_row", "tile_col", "pos"], years), tile, nodata)
+
+
+def _sql_place(tile: int) -> list[str]:
+    return [f"CAST(r DIV {tile} AS INT) AS tile_row", f"CAST(c DIV {tile} AS INT) AS tile_col"]
+
+
+def _sql_pos(tile: int, also: str = "true") -> str:
+    """Place in the block; a pixel outside the grid fails the job."""
+    return (
+        f"CASE WHEN r >= 0 AND c >= 0 AND {also} "
         f"THEN CAST((r % {tile}) * {tile} + (c % {tile}) AS INT) "
-        "ELSE raise_error('pixel outside the grid: its row, column or year is negative or missing') END AS pos",
-        "CAST(value AS FLOAT) AS value",
-    ).repartition("tile_row", "tile_col")
-    entries = keyed.groupBy("year", "tile_row", "tile_col").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("e")
+        "ELSE raise_error('pixel outside the grid: its row, column or year is negative or missing') END AS pos"
     )
+
+
+def layer_key(tiles: DataFrame) -> list[str]:
+    return ["layer"] if "layer" in tiles.columns else []
+
+
+def _dense(keyed: DataFrame, tile: int, nodata: float | None) -> DataFrame:
+    """``year, [layer,] tile_row, tile_col, pos, value`` dealt by tile -> dense blocks."""
+    keys = ["year", *layer_key(keyed), "tile_row", "tile_col"]
+    fill = sql_float_literal(float("nan") if nodata is None else nodata)
+    if "layer" in keys:
+        fill = f"CASE WHEN layer = 0 THEN {fill} END"
+    n = tile * tile
+    entries = keyed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("e"))
     prev = "concat(array(-1), slice(transform(e, x -> x.pos), 1, size(e) - 1))"
     runs = f"flatten(zip_with(e, {prev}, (x, p) -> concat(array_repeat({fill}, greatest(x.pos - p - 1, 0)), array(x.value))))"
     dense = f"concat({runs}, array_repeat({fill}, {n - 1} - element_at(e, -1).pos))"
@@ -302,9 +337,7 @@ def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFra
         f"CASE WHEN size(d) = {n} THEN transform(sequence(0, {tile - 1}), i -> slice(d, i * {tile} + 1, {tile})) "
         "ELSE raise_error('a year and pixel came twice') END"
     )
-    return entries.select("year", "tile_row", "tile_col", F.expr(dense).alias("d")).select(
-        "year", "tile_row", "tile_col", F.expr(block).alias("values")
-    )
+    return entries.select(*keys, F.expr(dense).alias("d")).select(*keys, F.expr(block).alias("values"))
 
 
 def _blocks(tiles: DataFrame, tile: int, row_range, col_range) -> DataFrame:
@@ -316,7 +349,7 @@ def _blocks(tiles: DataFrame, tile: int, row_range, col_range) -> DataFrame:
         t = t.where(F.col("tile_col").between(col_range[0] // tile, col_range[1] // tile))
     fits = f"size(values) = {tile} AND forall(values, x -> x IS NOT NULL AND size(x) = {tile}) AND tile_row >= 0 AND tile_col >= 0"
     checked = f"CASE WHEN {fits} THEN values ELSE raise_error('a block is missing or not {tile} x {tile}, or lies outside the grid') END"
-    return t.select("year", "tile_row", "tile_col", F.expr(checked).alias("values"))
+    return t.select("year", *layer_key(t), "tile_row", "tile_col", F.expr(checked).alias("values"))
 
 
 def tiles_to_pixels(
@@ -330,19 +363,26 @@ def tiles_to_pixels(
 
     ``row_range``/``col_range`` (inclusive pixel ranges) select a window: the
     tile-range part is a plain predicate on the tile columns, pushed to the
-    scan; the exact pixel range is applied after the explode.
+    scan; the exact pixel range is applied after the explode. The layers of a
+    layered table follow one another: a position gives a row for each value.
     """
     tile = grid.tile_side(tile)
     t = _blocks(tiles, tile, row_range, col_range)
+    layer = layer_key(t)
+    # a block is never empty; a plain explode would get a filter on its size, for which the block is built another time
     rows = t.select(
-        "year", "tile_row", "tile_col", F.posexplode("values").alias("lr", "row_values")
+        "year", *layer, "tile_row", "tile_col", F.posexplode_outer("values").alias("lr", "row_values")
     )
     px = rows.select(
         "year",
+        *layer,
         (F.col("tile_row") * F.lit(tile) + F.col("lr")).cast("long").alias("r"),
         "tile_col",
-        F.posexplode("row_values").alias("lc", "value"),
-    ).select(
+        F.posexplode_outer("row_values").alias("lc", "value"),
+    )
+    if layer:
+        px = px.where("layer = 0 OR value IS NOT NULL")
+    px = px.select(
         "r",
         (F.col("tile_col") * F.lit(tile) + F.col("lc")).cast("long").alias("c"),
         "year",
@@ -382,6 +422,8 @@ def tiles_to_wide_pixels(
     zipped and exploded row by row, column by column. A year missing for a
     tile reads as nodata (the boundless fill); a tile with two blocks for one
     year, or a block of another size than the descriptor says, fails the job.
+    The layers of a layered table are aligned one by one: a position gives a row
+    for each pixel that it has.
     """
     if len(set(years)) != len(years):
         raise ValueError(f"duplicate years: {years}")
@@ -389,22 +431,28 @@ def tiles_to_wide_pixels(
     t = _blocks(tiles, tile, row_range, col_range)
     ys = [int(y) for y in years]
     aggs, picked = _one_per_year("values", ys, "first")
-    per_tile = t.where(F.col("year").isin(ys)).groupBy("tile_row", "tile_col").agg(*aggs)
+    layer = layer_key(t)
+    per_tile = t.where(F.col("year").isin(ys)).groupBy("tile_row", "tile_col", *layer).agg(*aggs)
     fill = sql_float_literal(float("nan") if grid.nodata is None else grid.nodata)
-    fill_tile = f"array_repeat(array_repeat({fill}, {tile}), {tile})"
+    # its side hangs on a column, or the optimizer would put all the block's values into the plan
+    fill_tile = f"array_repeat(array_repeat({fill}, {tile}), IF(tile_row >= 0, {tile}, 0))"
     yc = [F.expr(f"coalesce({picked[y].format(what='tile')}, {fill_tile})").alias(pop_col(y)) for y in ys]
     rows = per_tile.select(
-        "tile_row", "tile_col", F.posexplode(F.arrays_zip(*yc)).alias("lr", "yrows")
+        "tile_row", "tile_col", *layer, F.posexplode_outer(F.arrays_zip(*yc)).alias("lr", "yrows")
     )
     own = ["tile_row", "tile_col"] if keep_tile else []
     px = rows.select(
         *own[:1],
+        *layer,
         (F.col("tile_row") * F.lit(tile) + F.col("lr")).cast("long").alias("r"),
         "tile_col",
-        F.posexplode(F.arrays_zip(*[F.col("yrows")[pop_col(y)].alias(pop_col(y)) for y in ys])).alias(
+        F.posexplode_outer(F.arrays_zip(*[F.col("yrows")[pop_col(y)].alias(pop_col(y)) for y in ys])).alias(
             "lc", "v"
         ),
-    ).select(
+    )
+    if layer:
+        px = px.where(" OR ".join(["layer = 0", *[f"v.{pop_col(y)} IS NOT NULL" for y in ys]]))
+    px = px.select(
         *own,
         "r",
         (F.col("tile_col") * F.lit(tile) + F.col("lc")).cast("long").alias("c"),

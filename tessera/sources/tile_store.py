@@ -10,7 +10,7 @@ Every block of a tile, whatever its year, lies in one bucket, sorted by tile. So
 table of points prunes at run time.
 
 The blocks are plain Parquet with the bucket layout in a descriptor beside them
-(``_tile_store.json``: grid, tile side, buckets), from which any session opens the table.
+(``_tile_store.json``: grid, tile side, buckets, whether layered), from which any session opens the table.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .grid import GridSpec
+from .grid import GridSpec, layer_key
 
 # --- fixed names of the layout -------------------------------------------------------------
 DESCRIPTOR = "_tile_store.json"
@@ -29,6 +29,7 @@ KEYS = ("tile_row", "tile_col")
 # -------------------------------------------------------------------------------------------
 
 COLUMNS = "year INT, tile_row INT, tile_col INT, `values` ARRAY<ARRAY<FLOAT>>"
+LAYERED_COLUMNS = f"{COLUMNS}, layer INT"
 BUCKET_BYTES = 256 << 20  # of blocks before compression that a bucket is to hold
 
 
@@ -47,12 +48,13 @@ def write_tiles(tiles: DataFrame, path: str, grid: GridSpec, tile: int | None, b
 
     spark = tiles.sparkSession
     name = f"tiles_{uuid.uuid4().hex}"
-    dealt = tiles.select("year", *KEYS, "values").repartition(buckets, *KEYS).sortWithinPartitions(*KEYS, "year")
+    layer = layer_key(tiles)
+    dealt = tiles.select("year", *KEYS, "values", *layer).repartition(buckets, *KEYS).sortWithinPartitions(*KEYS, *layer, "year")
     (
         dealt.write.format("parquet").mode("errorifexists").option("compression", "zstd").option("path", path)
         .bucketBy(buckets, *KEYS).sortBy(*KEYS).saveAsTable(name)
     )
-    facts = {"grid": asdict(grid), "tile": grid.tile_side(tile), "buckets": buckets}
+    facts = {"grid": asdict(grid), "tile": grid.tile_side(tile), "buckets": buckets, "layered": bool(layer)}
     write_marker(spark, f"{path}/{DESCRIPTOR}", json.dumps(facts))
     return _opened(spark, name)
 
@@ -66,15 +68,23 @@ def write_tile_folders(tiles: DataFrame, path: str, grid: GridSpec, tile: int |
     from ..sinks.manifest import write_marker
 
     spark = tiles.sparkSession
-    dealt = tiles.select("year", *KEYS, "values").repartition(*KEYS).sortWithinPartitions(*KEYS, "year")
+    layer = layer_key(tiles)
+    dealt = tiles.select("year", *KEYS, "values", *layer).repartition(*KEYS).sortWithinPartitions(*KEYS, *layer, "year")
     dealt.write.mode("errorifexists").option("compression", "zstd").partitionBy(*KEYS).parquet(path)
-    write_marker(spark, f"{path}/{DESCRIPTOR}", json.dumps({"grid": asdict(grid), "tile": grid.tile_side(tile)}))
+    facts = {"grid": asdict(grid), "tile": grid.tile_side(tile), "layered": bool(layer)}
+    write_marker(spark, f"{path}/{DESCRIPTOR}", json.dumps(facts))
     return read_tile_folders(spark, path)
 
 
 def read_tile_folders(spark: SparkSession, path: str) -> DataFrame:
-    """``year, values, tile_row, tile_col`` of a table with a folder per tile."""
-    return spark.read.schema(COLUMNS).parquet(path)
+    """``year, values, [layer,] tile_row, tile_col`` of a table with a folder per tile."""
+    from ..sinks.snapshots import read_text
+
+    return spark.read.schema(_columns(json.loads(read_text(spark, f"{path}/{DESCRIPTOR}")))).parquet(path)
+
+
+def _columns(facts: dict) -> str:
+    return LAYERED_COLUMNS if facts.get("layered") else COLUMNS
 
 
 def _opened(spark: SparkSession, name: str) -> DataFrame:
@@ -93,7 +103,7 @@ def open_tiles(spark: SparkSession, path: str) -> tuple[DataFrame, GridSpec, int
     keys = ", ".join(KEYS)
     where = path.replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE {name} ({COLUMNS}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+        f"CREATE TABLE {name} ({_columns(facts)}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
         f"INTO {int(facts['buckets'])} BUCKETS LOCATION '{where}'"
     )
     return _opened(spark, name), GridSpec(**facts["grid"]), int(facts["tile"])

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions import cells
 from tessera.operators import index as X
+from tessera.operators import inspect as I
+from tessera.operators.mask import apply_mask
 from tessera.operators.tiled_index import build_index_from_tiles, interior, tile_sums
 from tessera.plans import queries as Q
 from tessera.sources.fixture import FIXTURE_GRID, FIXTURE_YEARS, pixel_view
-from tessera.sources.grid import GridSpec, pixels_to_tiles, tiles_to_wide_pixels, unstack_years
-from tessera.sources.tile_store import buckets_for, open_tiles, write_tiles
+from tessera.sources.grid import GridSpec, pixels_to_tiles, tiles_to_pixels, tiles_to_wide_pixels, unstack_years, wide_pixels_to_tiles
+from tessera.sources.tile_store import buckets_for, open_tiles, write_tile_folders, write_tiles
 
 from .conftest import SF_SMALL
 
@@ -153,3 +155,69 @@ def test_empty_tiles(spark):
 def test_flag_is_a_column_expression(spark):
     plan = _plan(spark.range(5).selectExpr("0 AS tile_row", "1 AS tile_col", "2 AS h3_res", f"id + {cells.res_constants(2).base} AS h3_index").select(interior(FIXTURE_GRID, 32)))
     assert "Python" not in plan
+
+
+# --- positions that repeat: a layer for each
+
+
+def _repeated(spark):
+    """Pixels of which some come two to five times, once with equal and once with null values, on FIXTURE_GRID's lattice."""
+    rows = [(k, k * 7 % 200, k * 11 % 300) for k in range(400)]
+    rows += [(1000 + k, 0, 0) for k in range(5)] + [(2000, 360, 720), (2001, 360, 720), (2001, 360, 720), (2002, 360, 720)]
+    rows += [(3000 + k, 10 + k % 2, 10) for k in range(6)] + [(4000 + k, 719, 1439) for k in range(2)]
+    px = spark.createDataFrame(rows, "pixel_id long, r long, c long")
+    pops = {p: F.expr(f"CAST(CASE WHEN pixel_id = 1003 THEN NULL WHEN pixel_id % 17 = {i} THEN -99999 ELSE (pixel_id * 13 + {i}) % 90 END AS FLOAT)") for i, p in enumerate(Q.POP)}
+    return px.withColumns({"lat": F.expr("90.0D - (r + 0.5D) * 0.25D"), "lon": F.expr("-180.0D + (c + 0.5D) * 0.25D"), **pops})
+
+
+def _layered(px, tile):
+    return wide_pixels_to_tiles(px, tile, FIXTURE_YEARS, -99999.0, ["pixel_id"])
+
+
+@pytest.mark.parametrize("tile", [16, 90])
+def test_repeated_pixels_all_come_back(spark, tile):
+    px = _repeated(spark)
+    tiles = _layered(px, tile)
+    assert tiles.agg(F.max("layer")).first()[0] == 5 and tiles.groupBy("year", "layer", "tile_row", "tile_col").count().where("count > 1").isEmpty()
+    want = apply_mask(px, Q.POP, Q.NODATA).select("r", "c", "lat", "lon", *Q.POP)
+    assert want.count() > want.select("r", "c").distinct().count()
+    assert _same(apply_mask(tiles_to_wide_pixels(tiles, FIXTURE_GRID, tile, FIXTURE_YEARS), Q.POP, Q.NODATA), want)
+    long = unstack_years(px, ["r", "c"], FIXTURE_YEARS).where("value <> -99999")
+    assert _same(tiles_to_pixels(tiles, FIXTURE_GRID, tile).where("value <> -99999").select("r", "c", "year", "value"), long)
+    # the years of a pixel stay together, whatever the order of rows
+    assert _same(tiles, _layered(px.orderBy(F.desc("pixel_id")), tile))
+
+
+def test_repeated_pixels_in_stored_tiles(spark, tmp_dir):
+    px = _repeated(spark)
+    path = os.path.join(tmp_dir, "tiles")
+    write_tiles(_layered(px, 32), path, FIXTURE_GRID, 32, 4)
+    tiles, grid, tile = open_tiles(spark, path)
+    win = tiles_to_wide_pixels(tiles, grid, tile, FIXTURE_YEARS, (0, 100), (0, 100))
+    assert "Exchange" not in _plan(win) and "Exchange" not in _plan(tile_sums(tiles, grid, tile, FIXTURE_YEARS, [2, 5]))
+    want = apply_mask(px, Q.POP, Q.NODATA).where("r <= 100 AND c <= 100").select("r", "c", "lat", "lon", *Q.POP)
+    assert _same(apply_mask(win, Q.POP, Q.NODATA), want)
+    assert _same(build_index_from_tiles(tiles, grid, FIXTURE_YEARS, [1, 3, 8], tile), X.build_index(px, Q.POP, [1, 3, 8], Q.NODATA))
+
+
+def test_repeated_pixels_in_tile_folders(spark, tmp_dir):
+    px = _repeated(spark)
+    folders = write_tile_folders(_layered(px, 90), os.path.join(tmp_dir, "folders"), FIXTURE_GRID, 90)
+    got = I.sample_points_tiles(spark, folders, FIXTURE_GRID, FIXTURE_YEARS, 90)
+    want = I.sample_points(spark, px, FIXTURE_GRID, FIXTURE_YEARS)
+    assert _same(got, want) and got.count() == 5 + 3 + 2
+    stats = [f.orderBy("year").collect() for f in (I.grid_stats_center_tiles(folders, FIXTURE_GRID, FIXTURE_YEARS, 90), I.grid_stats_center(px, FIXTURE_GRID, FIXTURE_YEARS))]
+    for a, b in zip(*stats, strict=True):
+        assert (a.n_valid, a["min"], a["max"]) == (b.n_valid, b["min"], b["max"]) and a["mean"] == pytest.approx(b["mean"])
+
+
+def test_tile_queries_take_more_orders_than_positions(spark, tmp_dir):
+    """Keys beyond the fixture's lattice fall on positions that are taken."""
+    orders = spark.range(60).selectExpr("id % 30 + 1036800 * (id DIV 30) AS o_orderkey", "id * 7 AS o_custkey")
+    orders.write.parquet(os.path.join(tmp_dir, "orders.parquet"))
+    px = Q._valid(spark, tmp_dir)
+    assert _same(Q.tiles_roundtrip(spark, tmp_dir), px.select("r", "c", "lat", "lon", *Q.POP))
+    assert all(t.n_pixels == t.n_tiles and t.total_pixels == t.total_tiles for t in Q.tile_conservation(spark, tmp_dir).collect())
+    assert _same(Q.index_tiled(spark, tmp_dir), Q.QUERIES["index_all_res"](spark, tmp_dir))
+    for name in ("tile_window", "tile_split", "sample_points_tiles", "grid_stats_tiles"):
+        Q.QUERIES[name](spark, tmp_dir).collect()
