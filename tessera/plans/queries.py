@@ -388,7 +388,8 @@ QUERIES = {
 # --- written index, resumable build, layout ---------------------------------------------------
 
 STREAM_FILE_ROWS = 4_000  # rows a staged pixel file; their number grows with the data
-STREAM_BATCH_BYTES = 512 << 10  # bytes a micro-batch takes
+STREAM_BATCH_BYTES = 512 << 10  # bytes a micro-batch takes, or more:
+STREAM_BATCHES = 48  # a backlog is taken in about so many at most
 
 
 def _written_index(spark, sf):
@@ -435,7 +436,9 @@ def index_resumable(spark, sf):
     staged = f"{work}/pixels"
     _pixels(spark, sf).select("pixel_id", "lat", "lon", *POP).write.option("maxRecordsPerFile", STREAM_FILE_ROWS).parquet(staged)
     schema = spark.read.parquet(staged).schema
-    return run_resumable(spark, staged, schema, POP, ALL_RES, NODATA, work, max_bytes_per_trigger=STREAM_BATCH_BYTES)
+    return run_resumable(
+        spark, staged, schema, POP, ALL_RES, NODATA, work, max_bytes_per_trigger=STREAM_BATCH_BYTES, about_batches=STREAM_BATCHES
+    )
 
 
 def index_file_ranges(spark, sf):

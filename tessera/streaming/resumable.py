@@ -57,14 +57,25 @@ def run_resumable(
     max_bytes_per_trigger: int = 64 << 30,
     system: str = "hex",
     max_files_per_trigger: int | None = None,
+    about_batches: int | None = None,
 ) -> DataFrame:
     """Consume all pixel files under ``pixel_dir`` (resuming if ``work_dir``
-    holds an earlier attempt) and return the merged index (lazy)."""
+    holds an earlier attempt) and return the merged index (lazy).
+
+    A batch has costs of its own (offsets, commit, a job's start), which bounded batches pay as often as the
+    backlog holds them. With ``about_batches`` the bound in bytes rises to that share of the files present, so
+    their number stays about that whatever the backlog; ``max_bytes_per_trigger`` is then the least bound.
+    """
+    from ..sources.index_reader import list_files
+
     res = validate_resolutions(resolutions)
     partials_dir = os.path.join(work_dir, "partials")
     ckpt = os.path.join(work_dir, "stream-checkpoint")
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        # a batch is a job like any other, but its session has re-planning off: each of them would write a file
+        # for every shuffle partition, however few its rows
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         part = partial_sums(batch, pop_cols, res, nodata, system=system)
         (
             part.withColumn("batch_id", F.lit(int(batch_id)))
@@ -74,6 +85,10 @@ def run_resumable(
             .parquet(partials_dir)
         )
 
+    if about_batches:
+        present = list_files(spark, pixel_dir).agg(F.sum("length")).first()[0] or 0
+        max_bytes_per_trigger = max(max_bytes_per_trigger, -(-present // about_batches))
+
     # batches are bounded by bytes, so a backlog is few large batches whatever the file sizes
     reader = spark.readStream.schema(pixel_schema)
     if max_files_per_trigger:

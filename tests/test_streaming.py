@@ -34,3 +34,17 @@ def test_resume_takes_only_new_files(spark, tmp_dir):
     assert n_batches_2 - n_batches_1 <= 2
     exp = X.build_index(px, Q.POP, [3, 5], Q.NODATA)
     assert second.exceptAll(exp).count() == 0 and exp.exceptAll(second).count() == 0
+
+
+def test_a_larger_backlog_takes_larger_batches(spark, tmp_dir):
+    """24 files, a bound of one byte: the share of the backlog holds, every file is read, and a batch's files are few."""
+    px = pixel_view(spark, SF_SMALL).select("pixel_id", "lat", "lon", *Q.POP)
+    pix_dir, work = os.path.join(tmp_dir, "pixels"), os.path.join(tmp_dir, "work")
+    px.repartition(24).write.parquet(pix_dir)
+    schema = spark.read.parquet(pix_dir).schema
+    got = run_resumable(spark, pix_dir, schema, Q.POP, [3, 5], Q.NODATA, work, max_bytes_per_trigger=1, about_batches=3)
+    batches = [d for d in os.listdir(os.path.join(work, "partials")) if d.startswith("batch_id=")]
+    assert 2 <= len(batches) <= 5
+    assert all(sum(f.endswith(".parquet") for f in os.listdir(os.path.join(work, "partials", b))) == 1 for b in batches)
+    exp = X.build_index(px, Q.POP, [3, 5], Q.NODATA)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
