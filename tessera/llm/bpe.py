@@ -10,8 +10,9 @@ the states. Boundaries are then array comparisons. The automaton is only
 needed for contractions (``'s 't 're 've 'm 'll 'd``); runs of letters,
 numbers, other marks and white space follow from neighbouring classes.
 
-The slices between boundaries feed a bounded cache of merged pieces; a miss is
-merged by rank, lowest first. Piece offsets, in code points and in ids, are kept
+The slices between boundaries feed a bounded cache of merged pieces; the misses of
+a batch are merged together by rank, lowest first: one numpy round makes one merge in
+each of them. Piece offsets, in code points and in ids, are kept
 beside the ids: any range of the text is decoded from its own pieces alone
 (``decode_span``), and the round trip checks each piece's offset against the
 bytes that its ids stand for.
@@ -67,7 +68,9 @@ NUMBERS_16 = [
 
 CACHE_PIECES = 150_000  # entries of each of a worker's two generations
 NO_RANK = 1 << 40
+NO_PAIR = (1 << 31) - 1  # no rank either, where a place of 32 bits follows
 CACHE_LONGEST = 64  # longer pieces are merged each time
+PACK_PIECES = 1 << 17  # pieces looked up at once; a generation of the cache holds them
 BATCH_CHARS = 1 << 20
 DECODE_PIECES = 1 << 14  # pieces decoded at once
 
@@ -203,6 +206,17 @@ class PieceCache(dict):
             self[piece] = ids
         return ids
 
+    def fill(self, missing: set[str], merge_many) -> None:
+        """Hold these pieces, which this generation lacks: from the one before, or merged together."""
+        short = [p for p in missing if len(p) <= CACHE_LONGEST]
+        found = {p: self.old[p] for p in short if p in self.old}
+        new = [p for p in short if p not in found]
+        if len(self) + len(short) > CACHE_PIECES:
+            self.old = dict(self)
+            self.clear()
+        self.update(found)
+        self.update(zip(new, merge_many([p.encode() for p in new]), strict=True))
+
 
 class Merger:
     """Merges the bytes of one piece by rank; results are cached as packed ids."""
@@ -214,6 +228,21 @@ class Merger:
         for b, i in self.ranks.items():
             self.vocabulary[i] = b
         self.cache = PieceCache(self.merge)
+        ranks = self.ranks
+        self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        # what two neighbours merge to, by (left id, right id) as one sorted key
+        made = {
+            left * len(self.vocabulary) + right: i
+            for b, i in ranks.items()
+            for k in range(1, len(b))
+            if (left := ranks.get(b[:k])) is not None and (right := ranks.get(b[k:])) is not None
+        }
+        keys = np.fromiter(made, np.int64, len(made))
+        order = np.argsort(keys)
+        self.pair_keys = np.append(keys[order], np.int64(1) << 62)
+        self.pair_ranks = np.append(np.fromiter(made.values(), np.int64, len(made))[order], NO_PAIR)
+        # the same for two bytes
+        self.byte_pairs = np.array([ranks.get(bytes([i >> 8, i & 255]), NO_PAIR) for i in range(1 << 16)], np.int64)
 
     def merge(self, piece: bytes) -> bytes:
         ranks = self.ranks
@@ -263,10 +292,56 @@ class Merger:
                     heapq.heappush(heap, (q, k))
         return b"".join(ranks[piece[i : end[i]]].to_bytes(4, "little") for i in range(n) if alive[i])
 
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """``merge`` of each piece. All pieces lie in one array; a round makes the lowest, then leftmost merge of each."""
+        out = [self.ranks[p].to_bytes(4, "little") if p in self.ranks else b"" for p in pieces]
+        word = np.array([i for i, ids in enumerate(out) if not ids and pieces[i]], np.int64)  # those still merged
+        if not len(word):
+            return out
+        size = np.array([len(pieces[i]) for i in word.tolist()], np.int64)
+        data = np.frombuffer(b"".join([pieces[i] for i in word.tolist()]), np.uint8).astype(np.int64)
+        ids = self.byte_ids[data]
+        if ids.min() < 0:  # bytes without a rank of their own
+            return [self.merge(p) for p in pieces]
+        rank = np.append(self.byte_pairs[data[:-1] << 8 | data[1:]], NO_PAIR)  # of the merge with the next id
+        rank[np.cumsum(size) - 1] = NO_PAIR
+        while len(word):
+            end = np.cumsum(size)
+            start = end - size
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), start)
+            live = best >> 32 != NO_PAIR
+            packed = ids.astype("<u4").tobytes()
+            for i, a, b in zip(word[~live].tolist(), (4 * start[~live]).tolist(), (4 * end[~live]).tolist(), strict=True):
+                out[i] = packed[a:b]
+            best, first, last = best[live], start[live], end[live]
+            at = best & 0xFFFFFFFF
+            ids[at] = best >> 32
+            right, left = at[at + 2 < last], at[at > first]
+            rank[at] = NO_PAIR
+            near = self._pair_rank(ids[np.concatenate([right, left - 1])], ids[np.concatenate([right + 2, left])])
+            rank[right], rank[left - 1] = near[: len(right)], near[len(right) :]
+            keep = np.repeat(live, size)
+            keep[at + 1] = False
+            ids, rank, word, size = ids[keep], rank[keep], word[live], size[live] - 1
+        return out
+
+    def _pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * len(self.vocabulary) + right
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO_PAIR)
+
     def pack(self, pieces: list[str]) -> list[bytes]:
         """Packed ids of each piece."""
-        cache = self.cache
-        return [cache[p] for p in pieces]
+        cache, out = self.cache, []
+        for i in range(0, len(pieces), PACK_PIECES):
+            some = pieces[i : i + PACK_PIECES]
+            got = list(map(cache.get, some))
+            lost = [j for j, ids in enumerate(got) if ids is None]
+            cache.fill({some[j] for j in lost}, self.merge_many)
+            for j in lost:
+                got[j] = cache[some[j]]
+            out += got
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -307,16 +382,21 @@ def encode_texts(texts: list[str], m: Merger) -> Iterator[tuple[bytes, np.ndarra
     points[inside] = np.frombuffer(joined.encode("utf-32-le"), "<u4")
     starts = np.flatnonzero(piece_starts(points))
     at = np.searchsorted(starts, ends - 1)  # index of each text's separator
-    first = 0
+    first, owns, pieces = 0, [], []
     for text, size, end, stop in zip(texts, sizes.tolist(), ends.tolist(), at.tolist(), strict=True):
         own = starts[first:stop] - (end - 1 - size)
         first = stop + 1
         cuts = own.tolist()
         cuts.append(size)
-        pieces = [text[a:b] for a, b in zip(cuts, cuts[1:])]  # noqa: B905
-        packed = m.pack(pieces)
-        counts = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
-        yield b"".join(packed), own.astype(np.int64), np.cumsum(counts) - counts
+        pieces += [text[a:b] for a, b in zip(cuts, cuts[1:])]  # noqa: B905
+        owns.append(own.astype(np.int64))
+    packed = m.pack(pieces)
+    first = 0
+    for own in owns:
+        ids = packed[first : first + len(own)]
+        first += len(own)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        yield b"".join(ids), own, np.cumsum(counts) - counts
 
 
 def decode_span(packed: bytes, starts: np.ndarray, id_starts: np.ndarray, a: int, b: int, m: Merger) -> str:

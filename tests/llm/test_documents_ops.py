@@ -200,6 +200,28 @@ def test_bpe_rank_file_is_sent(spark, odd, tmp_dir, reference):
     assert name == os.path.basename(place) and os.path.exists(SparkFiles.get(name)) and SparkFiles.get(name) != place
 
 
+def test_bpe_misses_are_merged_together(reference, monkeypatch):
+    """Random pieces, merged in rounds, have the ids of one-by-one merging; a batch of texts takes one call for its misses."""
+    r = np.random.default_rng(8)
+    m = bpe.Merger(tokenizer_path())
+    alphabet = list("aeionrst thé\u4e2d\U0001f600'\x00 \n9")
+    pieces = ["".join(r.choice(alphabet, int(k))).encode() for k in r.integers(0, 70, 3000)] + [b"the" * 20, b"\xff\x00", b"a", b""]
+    assert m.merge_many(pieces) == [m.merge(p) for p in pieces]
+    assert m.merge_many([]) == []
+    calls, alone, many = [], [], m.merge_many
+    monkeypatch.setattr(m, "merge_many", lambda some: calls.append(len(some)) or many(some))
+    m.cache.merge = lambda piece: alone.append(piece) or m.merge(piece)
+    texts = ["".join(r.choice(list("etao in sh rd lu"), 400)) for _ in range(50)] + ["z" * 65 + " done", ""]
+    want = [reference.encode_ordinary(t) for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids, _, _ in bpe.encode_texts(texts, m)] == want
+    assert len(calls) == 1 and calls[0] > 500 and alone == [b"z" * 65]
+    # a cache of a few pieces and few pieces at a time give the same
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 10)
+    monkeypatch.setattr(bpe, "PACK_PIECES", 7)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids, _, _ in bpe.encode_texts(texts, m)] == want
+    assert len(m.cache) <= 10 and len(calls) > 100
+
+
 def test_bpe_scan_is_the_automaton():
     r = np.random.default_rng(1)
     c = r.choice([bpe.SPACE, bpe.QUOTE, bpe.LETTER, bpe.L_R, bpe.L_E, bpe.L_S, bpe.NUMBER], 3000).astype(np.uint8)
