@@ -272,17 +272,18 @@ def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFra
 
     Pixels are dealt by tile once; grouping by (year, tile) here and by tile in
     the reader both hold on that partitioning, so the pixel data moves once.
-    Each (year, tile) collects its at most ``tile**2`` (position, value)
-    entries, sorts them and expands them into the dense block by emitting a run
-    of fill values before each entry -- O(tile**2) per tile with higher-order
-    functions, no Python worker.
+    Each line of a block collects its at most ``tile`` (position, value)
+    entries, sorts them and expands them by emitting a run of fill values
+    before each entry; the block is made of its lines likewise -- O(tile**2)
+    per tile with higher-order functions, no Python worker.
 
     A (year, pixel) that comes twice and a pixel left of or above the grid fail
     the job: nothing is picked or dropped. Pixels that may repeat go through
     ``wide_pixels_to_tiles``.
     """
     keyed = long.selectExpr("CAST(year AS INT) AS year", *_sql_place(tile), _sql_pos(tile, "year IS NOT NULL"), "CAST(value AS FLOAT) AS value")
-    return _dense(keyed.repartition("tile_row", "tile_col"), tile, nodata)
+    keys = ["year", "tile_row", "tile_col"]
+    return _dense(keyed.repartition("tile_row", "tile_col"), keys, tile, ["value"], nodata).withColumnRenamed("value", "values")
 
 
 def wide_pixels_to_tiles(wide: DataFrame, tile: int, years: list[int], nodata: float | None, order: list[str]) -> DataFrame:
@@ -299,7 +300,10 @@ def wide_pixels_to_tiles(wide: DataFrame, tile: int, years: list[int], nodata: f
     dealt = wide.selectExpr(*dict.fromkeys([*order, *pops]), *_sql_place(tile), _sql_pos(tile)).repartition("tile_row", "tile_col")
     at = Window.partitionBy("tile_row", "tile_col", "pos").orderBy(*dict.fromkeys([*order, *pops]))
     numbered = dealt.withColumn("layer", F.row_number().over(at) - F.lit(1))
-    return _dense(unstack_years(numbered, ["layer", "tile_row", "tile_col", "pos"], years), tile, nodata)
+    keys = ["layer", "tile_row", "tile_col"]
+    by_year = ", ".join(f"named_struct('year', {int(y)}, 'values', {pop_col(y)})" for y in years)
+    blocks = _dense(numbered.select(*keys, "pos", *pops), keys, tile, pops, nodata)
+    return blocks.select(*keys, F.expr(f"inline(array({by_year}))")).select("year", *keys, "values")
 
 
 def _sql_place(tile: int) -> list[str]:
@@ -319,25 +323,31 @@ def layer_key(tiles: DataFrame) -> list[str]:
     return ["layer"] if "layer" in tiles.columns else []
 
 
-def _dense(keyed: DataFrame, tile: int, nodata: float | None) -> DataFrame:
-    """``year, [layer,] tile_row, tile_col, pos, value`` dealt by tile -> dense blocks."""
-    keys = ["year", *layer_key(keyed), "tile_row", "tile_col"]
+def _dense(keyed: DataFrame, keys: list[str], tile: int, cols: list[str], nodata: float | None) -> DataFrame:
+    """``keys, pos, cols`` dealt by tile -> a row per key with one dense block for each of ``cols``.
+
+    First a block's lines, then the block from its lines: the lists under way hold a line's entries or a block's
+    lines, never all entries of many blocks.
+    """
     fill = sql_float_literal(float("nan") if nodata is None else nodata)
     if "layer" in keys:
         fill = f"CASE WHEN layer = 0 THEN {fill} END"
-    n = tile * tile
-    entries = keyed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("e"))
-    prev = "concat(array(-1), slice(transform(e, x -> x.pos), 1, size(e) - 1))"
-    runs = f"flatten(zip_with(e, {prev}, (x, p) -> concat(array_repeat({fill}, greatest(x.pos - p - 1, 0)), array(x.value))))"
-    dense = f"concat({runs}, array_repeat({fill}, {n - 1} - element_at(e, -1).pos))"
-    # `d` is read twice (size check + the row lambda): the optimizer then keeps it in
-    # its own projection instead of inlining the whole expansion into the lambda,
-    # where it would be rebuilt once per tile row. A repeated position makes it too long.
-    block = (
-        f"CASE WHEN size(d) = {n} THEN transform(sequence(0, {tile - 1}), i -> slice(d, i * {tile} + 1, {tile})) "
-        "ELSE raise_error('a year and pixel came twice') END"
-    )
-    return entries.select(*keys, F.expr(dense).alias("d")).select(*keys, F.expr(block).alias("values"))
+    # its length hangs on a column: no literal of the plan
+    fill_line = f"array_repeat({fill}, IF(tile_row >= 0, {tile}, 0))"
+    prev = "concat(array(-1), slice(transform(e, x -> x.at), 1, size(e) - 1))"
+
+    def collected(df, by):
+        return df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("at", *cols))).alias("e"))
+
+    def filled(col, gap):
+        """The entries in order, with a run of ``gap`` before each and after the last; a repeated place makes it too long."""
+        runs = f"flatten(zip_with(e, {prev}, (x, p) -> concat(array_repeat({gap}, greatest(x.at - p - 1, 0)), array(x.{col}))))"
+        return F.expr(f"concat({runs}, array_repeat({gap}, {tile - 1} - element_at(e, -1).at))").alias(col)
+
+    entries = keyed.selectExpr(*keys, f"CAST(pos DIV {tile} AS INT) AS line", f"CAST(pos % {tile} AS INT) AS at", *cols)
+    lines = collected(entries, [*keys, "line"]).select(*keys, "line", *[filled(c, fill) for c in cols])
+    once = f"CASE WHEN size({cols[0]}) = {tile} THEN line ELSE raise_error('a year and pixel came twice') END AS at"
+    return collected(lines.selectExpr(*keys, once, *cols), keys).select(*keys, *[filled(c, fill_line) for c in cols])
 
 
 def _blocks(tiles: DataFrame, tile: int, row_range, col_range) -> DataFrame:

@@ -31,6 +31,7 @@ KEYS = ("tile_row", "tile_col")
 COLUMNS = "year INT, tile_row INT, tile_col INT, `values` ARRAY<ARRAY<FLOAT>>"
 LAYERED_COLUMNS = f"{COLUMNS}, layer INT"
 BUCKET_BYTES = 256 << 20  # of blocks before compression that a bucket is to hold
+GROUP_VALUES = 1 << 19  # of a row group: a reader unpacks as many rows at once as a group has, up to thousands of blocks
 
 
 def buckets_for(n_tiles: int, n_years: int, tile: int, at_least: int = 1) -> int:
@@ -38,6 +39,11 @@ def buckets_for(n_tiles: int, n_years: int, tile: int, at_least: int = 1) -> int
     return max(at_least, -(-n_tiles * n_years * tile * tile * 4 // BUCKET_BYTES))
 
 
+def _rows_of_a_group(grid: GridSpec, tile: int | None) -> dict[str, int]:
+    """Write option that bounds the values, not the encoded bytes, of a row group: blocks of fill take hardly any bytes."""
+    return {"parquet.block.row.count.limit": max(1, GROUP_VALUES // grid.tile_side(tile) ** 2)}
+
+
 def write_tiles(tiles: DataFrame, path: str, grid: GridSpec, tile: int | None, buckets: int) -> DataFrame:
     """Store a tile table; the stored table, opened. ``path`` must be new.
 
@@ -52,7 +58,7 @@ def write_tiles(tiles: DataFrame, path: str, grid: GridSpec, tile: int | None, b
     dealt = tiles.select("year", *KEYS, "values", *layer).repartition(buckets, *KEYS).sortWithinPartitions(*KEYS, *layer, "year")
     (
         dealt.write.format("parquet").mode("errorifexists").option("compression", "zstd").option("path", path)
-        .bucketBy(buckets, *KEYS).sortBy(*KEYS).saveAsTable(name)
+        .options(**_rows_of_a_group(grid, tile)).bucketBy(buckets, *KEYS).sortBy(*KEYS).saveAsTable(name)
     )
     facts = {"grid": asdict(grid), "tile": grid.tile_side(tile), "buckets": buckets, "layered": bool(layer)}
     write_marker(spark, f"{path}/{DESCRIPTOR}", json.dumps(facts))
@@ -70,7 +76,7 @@ def write_tile_folders(tiles: DataFrame, path: str, grid: GridSpec, tile: int |
     spark = tiles.sparkSession
     layer = layer_key(tiles)
     dealt = tiles.select("year", *KEYS, "values", *layer).repartition(*KEYS).sortWithinPartitions(*KEYS, *layer, "year")
-    dealt.write.mode("errorifexists").option("compression", "zstd").partitionBy(*KEYS).parquet(path)
+    dealt.write.mode("errorifexists").option("compression", "zstd").options(**_rows_of_a_group(grid, tile)).partitionBy(*KEYS).parquet(path)
     facts = {"grid": asdict(grid), "tile": grid.tile_side(tile), "layered": bool(layer)}
     write_marker(spark, f"{path}/{DESCRIPTOR}", json.dumps(facts))
     return read_tile_folders(spark, path)

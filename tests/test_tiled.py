@@ -221,3 +221,23 @@ def test_tile_queries_take_more_orders_than_positions(spark, tmp_dir):
     assert _same(Q.index_tiled(spark, tmp_dir), Q.QUERIES["index_all_res"](spark, tmp_dir))
     for name in ("tile_window", "tile_split", "sample_points_tiles", "grid_stats_tiles"):
         Q.QUERIES[name](spark, tmp_dir).collect()
+
+
+def test_blocks_are_collected_by_line_and_read_a_few_at_a_time(spark, tmp_dir):
+    """No list holds a block's single pixels, and a row group has a bounded number of values (heap errors at 9M orders)."""
+    import pyarrow.parquet as pq
+
+    grid, n = GridSpec(0.0, 8.0, 0.25, 0.25, 32, 32), 1200  # so many pixels at one position: a layer each
+    px = spark.range(n).selectExpr("id AS pixel_id", "CAST(floor(id / 1e9) AS BIGINT) + 5 AS r", "CAST(floor(id / 1e9) AS BIGINT) + 7 AS c", "CAST(id AS FLOAT) AS pop_2025")
+    tiles = wide_pixels_to_tiles(px, 32, [2025], -99999.0, ["pixel_id"])
+    plan = _plan(tiles)
+    assert plan.count("Exchange") == 1 and re.search(r"line#\d+\w*\], functions=\[collect_list", plan)
+    for name, stored in (
+        ("bucketed", write_tiles(tiles, os.path.join(tmp_dir, "bucketed"), grid, 32, 1)),
+        ("folders", write_tile_folders(tiles, os.path.join(tmp_dir, "folders"), grid, 32)),
+    ):
+        files = [os.path.join(d, f) for d, _, fs in os.walk(os.path.join(tmp_dir, name)) for f in fs if f.endswith(".parquet")]
+        groups = [m.row_group(i).num_rows for m in map(pq.read_metadata, files) for i in range(m.num_row_groups)]
+        assert sum(groups) == n and max(groups) <= 512
+        got = tiles_to_wide_pixels(stored, grid, 32, [2025]).where("r = 5 AND c = 7")
+        assert sorted(x.pop_2025 for x in got.collect()) == list(range(n))
