@@ -32,6 +32,7 @@ LAT_MIN, LAT_MAX = -90.0, 90.0
 LON_MIN, LON_MAX = -180.0, 180.0
 WINDOW_ID_FORMAT = "w_%+08.1f_%+07.1f"  # west, south
 DEFAULT_NODATA_FILL = -99999.0
+TASK_PIXELS = 1 << 16  # pixels of a task that makes blocks: as many rows its sorts and lists hold, so they rarely spill
 # ---------------------------------------------------------------------------------
 
 # --- fixed values: geographic (lat/lon degree) systems known by code
@@ -283,7 +284,7 @@ def pixels_to_tiles(long: DataFrame, tile: int, nodata: float | None) -> DataFra
     """
     keyed = long.selectExpr("CAST(year AS INT) AS year", *_sql_place(tile), _sql_pos(tile, "year IS NOT NULL"), "CAST(value AS FLOAT) AS value")
     keys = ["year", "tile_row", "tile_col"]
-    return _dense(keyed.repartition("tile_row", "tile_col"), keys, tile, ["value"], nodata).withColumnRenamed("value", "values")
+    return _dense(_dealt(keyed, long), keys, tile, ["value"], nodata).withColumnRenamed("value", "values")
 
 
 def wide_pixels_to_tiles(wide: DataFrame, tile: int, years: list[int], nodata: float | None, order: list[str]) -> DataFrame:
@@ -297,7 +298,7 @@ def wide_pixels_to_tiles(wide: DataFrame, tile: int, years: list[int], nodata: f
     Rows are dealt by tile once, while they are wide: numbering, blocks and the reader's years hold on it.
     """
     pops = [pop_col(y) for y in years]
-    dealt = wide.selectExpr(*dict.fromkeys([*order, *pops]), *_sql_place(tile), _sql_pos(tile)).repartition("tile_row", "tile_col")
+    dealt = _dealt(wide.selectExpr(*dict.fromkeys([*order, *pops]), *_sql_place(tile), _sql_pos(tile)), wide)
     at = Window.partitionBy("tile_row", "tile_col", "pos").orderBy(*dict.fromkeys([*order, *pops]))
     numbered = dealt.withColumn("layer", F.row_number().over(at) - F.lit(1))
     keys = ["layer", "tile_row", "tile_col"]
@@ -306,6 +307,15 @@ def wide_pixels_to_tiles(wide: DataFrame, tile: int, years: list[int], nodata: f
     return blocks.select(*keys, F.expr(f"inline(array({by_year}))")).select("year", *keys, "values")
 
 
+def _dealt(keyed: DataFrame, pixels: DataFrame) -> DataFrame:
+    """Rows dealt by tile into as many tasks as the count of ``pixels`` asks for.
+
+    The number is given, as AQE would merge partitions by their bytes before they grow to blocks, into one a core.
+    """
+    at_least = keyed.sparkSession.sparkContext.defaultParallelism
+    return keyed.repartition(max(at_least, -(-pixels.count() // TASK_PIXELS)), "tile_row", "tile_col")
+
+
 def _sql_place(tile: int) -> list[str]:
     return [f"CAST(r DIV {tile} AS INT) AS tile_row", f"CAST(c DIV {tile} AS INT) AS tile_col"]
 

@@ -241,3 +241,14 @@ def test_blocks_are_collected_by_line_and_read_a_few_at_a_time(spark, tmp_dir):
         assert sum(groups) == n and max(groups) <= 512
         got = tiles_to_wide_pixels(stored, grid, 32, [2025]).where("r = 5 AND c = 7")
         assert sorted(x.pop_2025 for x in got.collect()) == list(range(n))
+
+
+def test_tasks_that_make_blocks_follow_the_pixels(spark):
+    """A task has a bounded number of pixels, whatever their bytes (AQE merged them into a task a core: heap errors at 9M orders)."""
+    n = (12 << 16) + 1
+    px = spark.range(n).selectExpr("id AS pixel_id", "id % 720 AS r", "id DIV 720 AS c", *[f"CAST(1 + id % 9 AS FLOAT) AS {p}" for p in Q.POP])
+    wide, long = _layered(px, 32), pixels_to_tiles(px.selectExpr("2025 AS year", "r", "c", "pop_2025 AS value"), 32, -99999.0)
+    for tiles in (wide, long):
+        assert re.search(r"hashpartitioning\(tile_row#\d+, tile_col#\d+, 13\), REPARTITION_BY_NUM", _plan(tiles))
+    few = _layered(px.limit(5), 32)
+    assert f", {spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in _plan(few) and few.count() == 3
