@@ -68,16 +68,19 @@ def write_tiles(tiles: DataFrame, path: str, grid: GridSpec, tile: int | None, b
 def write_tile_folders(tiles: DataFrame, path: str, grid: GridSpec, tile: int | None) -> DataFrame:
     """Store a tile table with a folder per tile, for point reads; the stored table. ``path`` must be new.
 
-    A folder holds a tile's blocks of all years. Meant for tiles of a few hundred pixels a side: a 1 km grid of
+    A folder holds a tile's blocks of all years and is written by one task, so there are as many tasks as tiles of the
+    grid: merged by their bytes, which blocks of fill take hardly any of, one would sort many tiles. Meant for tiles of a few hundred pixels a side: a 1 km grid of
     the globe has some 3,000 of 512.
     """
     from ..sinks.manifest import write_marker
 
     spark = tiles.sparkSession
     layer = layer_key(tiles)
-    dealt = tiles.select("year", *KEYS, "values", *layer).repartition(*KEYS).sortWithinPartitions(*KEYS, *layer, "year")
+    side = grid.tile_side(tile)
+    n_tiles = -(-grid.height // side) * -(-grid.width // side)
+    dealt = tiles.select("year", *KEYS, "values", *layer).repartition(n_tiles, *KEYS).sortWithinPartitions(*KEYS, *layer, "year")
     dealt.write.mode("errorifexists").option("compression", "zstd").options(**_rows_of_a_group(grid, tile)).partitionBy(*KEYS).parquet(path)
-    facts = {"grid": asdict(grid), "tile": grid.tile_side(tile), "layered": bool(layer)}
+    facts = {"grid": asdict(grid), "tile": side, "layered": bool(layer)}
     write_marker(spark, f"{path}/{DESCRIPTOR}", json.dumps(facts))
     return read_tile_folders(spark, path)
 

@@ -252,3 +252,12 @@ def test_tasks_that_make_blocks_follow_the_pixels(spark):
         assert re.search(r"hashpartitioning\(tile_row#\d+, tile_col#\d+, 13\), REPARTITION_BY_NUM", _plan(tiles))
     few = _layered(px.limit(5), 32)
     assert f", {spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in _plan(few) and few.count() == 3
+
+
+def test_no_task_sorts_many_tile_folders(spark, tmp_dir):
+    """Folders of blocks are dealt over as many tasks as the grid has tiles, not merged by their few bytes."""
+    path = os.path.join(tmp_dir, "folders")
+    write_tile_folders(_layered(_repeated(spark), 90), path, FIXTURE_GRID, 90)
+    tasks = [(f.split("-")[1], d) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")]
+    per_task = [sum(t == task for t, _ in tasks) for task in {t for t, _ in tasks}]
+    assert len({d for _, d in tasks}) == len(tasks) >= 12 and max(per_task) <= 4
