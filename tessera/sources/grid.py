@@ -454,8 +454,9 @@ def tiles_to_wide_pixels(
     layer = layer_key(t)
     per_tile = t.where(F.col("year").isin(ys)).groupBy("tile_row", "tile_col", *layer).agg(*aggs)
     fill = sql_float_literal(float("nan") if grid.nodata is None else grid.nodata)
-    # its side hangs on a column, or the optimizer would put all the block's values into the plan
-    fill_tile = f"array_repeat(array_repeat({fill}, {tile}), IF(tile_row >= 0, {tile}, 0))"
+    # its sides hang on a column, or the optimizer would put the block's values into the plan
+    side = f"IF(tile_row >= 0, {tile}, 0)"
+    fill_tile = f"array_repeat(array_repeat({fill}, {side}), {side})"
     yc = [F.expr(f"coalesce({picked[y].format(what='tile')}, {fill_tile})").alias(pop_col(y)) for y in ys]
     rows = per_tile.select(
         "tile_row", "tile_col", *layer, F.posexplode_outer(F.arrays_zip(*yc)).alias("lr", "yrows")

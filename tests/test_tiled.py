@@ -261,3 +261,10 @@ def test_no_task_sorts_many_tile_folders(spark, tmp_dir):
     tasks = [(f.split("-")[1], d) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")]
     per_task = [sum(t == task for t, _ in tasks) for task in {t for t, _ in tasks}]
     assert len({d for _, d in tasks}) == len(tasks) >= 12 and max(per_task) <= 4
+
+
+def test_fill_of_a_missing_year_is_no_literal_of_the_plan(spark):
+    """A block's line of fill values stood in the plan's text for each year: 40 KB at tiles of 1440."""
+    tiles = _tiles(pixel_view(spark, SF_SMALL).where("lat > 100"), 1440)
+    plan = _plan(tiles_to_wide_pixels(tiles, FIXTURE_GRID, 1440, FIXTURE_YEARS))
+    assert "-99999.0,-99999.0" not in plan and len(plan) < 20_000
