@@ -39,7 +39,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import workers
+from .common import KEPT, tidy, workers
 
 # Classes of code points; letters that occur in contractions have their own.
 END, SPACE, WHITE, NUMBER, MARK, QUOTE, LETTER = range(7)
@@ -368,6 +368,7 @@ def send(spark: SparkSession, path: str) -> str:
 
 
 def sent_merger(name: str) -> Merger:
+    KEPT["bpe"] = _MERGERS.clear
     return merger(SparkFiles.get(name))
 
 
@@ -460,7 +461,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", offsets: bool = True
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = f"`{key}` {kind}, ids binary" + ", piece_starts array<bigint>, piece_ids array<bigint>" * offsets
-    return docs.select(key, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
+    return docs.select(key, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(tidy(run, "bpe"), schema)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -477,7 +478,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
             data = [m.decode(x or b"") for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(key), pa.array(data, pa.binary())], names=[key, "data"])
 
-    return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, data binary")
+    return encoded.select(key, "ids").mapInArrow(tidy(run, "bpe"), f"`{key}` {kind}, data binary")
 
 
 def round_trip(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
@@ -510,4 +511,4 @@ def round_trip(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(tidy(run, "bpe"), schema)

@@ -44,7 +44,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop_cut, workers
+from .common import cut, drop_cut, tidy, workers
 from .wordhash import window_hashes, word_hashes
 
 # Parameters.
@@ -98,7 +98,7 @@ def _sketch(docs: DataFrame, n: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "d1", "d2", "sig"],
             )
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary")
+    return docs.mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -111,7 +111,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
             sets = [shingle_set(w, n).tobytes() for w in word_hashes(b.column("text").to_pylist(), lower=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "set"])
 
-    return docs.mapInArrow(run, "doc_id bigint, set binary")
+    return docs.mapInArrow(tidy(run), "doc_id bigint, set binary")
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     of = lambda name: sets.select(F.col("doc_id").alias(name), F.col("set").alias("s" + name))
     joined = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "sa", "sb")
-    return joined.mapInArrow(run, "a bigint, b bigint, both bigint, either bigint")
+    return joined.mapInArrow(tidy(run), "a bigint, b bigint, both bigint, either bigint")
 
 
 def connected(links: DataFrame) -> DataFrame:

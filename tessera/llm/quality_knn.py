@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import workers
+from .common import tidy, workers
 from .wordhash import mix, window_hashes, word_hashes
 
 # Fixed values of the task.
@@ -112,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
         taught.select("doc_id", "quality", "text")
-        .mapInPandas(run, f"doc_id {kind}, quality int, x binary")
+        .mapInPandas(tidy(run), f"doc_id {kind}, quality int, x binary")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "x")
         .limit(SAMPLE)
         .collect()
@@ -177,4 +177,4 @@ def score(docs: DataFrame, model: dict, cut: float = CUT, added: tuple[str, str]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, *added])
 
     schema = docs.select(names).schema.add(added[0], "double").add(added[1], "integer")
-    return docs.select(names).mapInArrow(run, schema)
+    return docs.select(names).mapInArrow(tidy(run), schema)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, minmax_hash, mixing, quality_rules, secrets, substrings
+from tessera.llm import bpe, common, minmax_hash, mixing, quality_knn, quality_rules, secrets, substrings
 from tessera.llm.queries import tokenizer_path
 
 from ..conftest import SF_MID, SF_SMALL
@@ -250,6 +250,61 @@ def test_piece_cache_is_bounded(monkeypatch):
     assert len(cache) + len(cache.old) <= 21 and made.count(b"often") < 5
 
 
+# --- memory of the Python workers
+
+
+def _anonymous_mb() -> float:
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(x.split()[1]) for x in f if x.startswith("Pss_Anon")) / 1024
+
+
+def test_tasks_give_memory_back():
+    pins = []
+
+    def run(batches):
+        for _ in batches:
+            freed = [np.ones(12_000) for _ in range(1000)]  # 96 KB each, too little for a mapping of its own
+            pins.append(np.ones(12_000))  # lies above them
+            yield len(freed)
+
+    before = _anonymous_mb()
+    assert list(common.tidy(run)([0, 0])) == [1000, 1000]
+    assert _anonymous_mb() - before < 40  # 96 while a batch is worked on
+
+
+def test_tasks_hold_nothing_of_other_operators(spark, monkeypatch):
+    """The functions as the workers get them, called here: each gives memory back, and the merged pieces go."""
+    import pyarrow as pa
+
+    given, asked = [], []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(bpe, "_MERGERS", {})
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id bigint, text string")
+
+    class Frame:
+        sparkSession, schema, columns = docs.sparkSession, docs.schema, docs.columns
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            asked.append(run)
+
+        mapInPandas = mapInArrow
+
+    bpe.round_trip(Frame(), tokenizer_path())
+    bpe.encode(Frame(), tokenizer_path())
+    minmax_hash._sketch(Frame(), 5)
+    minmax_hash._sets(Frame(), 5)
+    quality_knn.score(Frame(), {"prior": 0.5, "vectors": None})
+    secrets.redact(Frame(), {"net": {}, "threshold": 1.0})
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["one two three"]})
+    for k, run in enumerate(asked):
+        assert sum(b.num_rows for b in run([batch])) == 1
+        assert len(given) == k + 1
+        assert bool(bpe._MERGERS) == (k < 2)  # the second task of the tokenizer finds the first one's
+
+
 # --- quality rules
 
 
