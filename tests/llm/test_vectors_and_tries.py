@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import zlib
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import prefix_trie, vector_cells, whitening
 from tessera.llm.queries import LLM_QUERIES
+from tessera.session import scratch_path
 
 from ..conftest import SF_SMALL
 
@@ -275,6 +277,65 @@ def test_near_cells_and_blocks_lose_nothing(spark, monkeypatch):
     assert all(h[1] <= w[1] for h, w in zip(home, want, strict=True))
 
 
+def _stored(spark):
+    """Bytes of shuffles and of tables in the scratch folder."""
+    dirs = [*spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    dirs.append(os.path.dirname(scratch_path(spark, "x")))
+    return sum(os.path.getsize(os.path.join(d, f)) for top in dirs for d, _, files in os.walk(top) for f in files if not f.startswith("broadcast"))
+
+
+def test_near_disk_follows_the_input(spark, monkeypatch, tmp_dir):
+    """Without structure nearly all cells are visited: their visits take no disk, and the links are all found."""
+    for name, v in {"CELL": 150, "BLOCK": 64, "SAMPLE": 1000}.items():
+        monkeypatch.setattr(vector_cells, name, v)
+    r = np.random.default_rng(9)
+    x = r.normal(size=(6000, 32)).astype(np.float32)
+    x[5000:] = x[:1000] + 0.1 * r.normal(size=(1000, 32))
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(4).write.parquet(f"{tmp_dir}/in")
+    given = sum(os.path.getsize(f"{tmp_dir}/in/{f}") for f in os.listdir(f"{tmp_dir}/in"))
+    most, before, cut = 0, _stored(spark), vector_cells.cut
+
+    def measured(*a, **b):
+        nonlocal most
+        out = cut(*a, **b)
+        most = max(most, _stored(spark) - before)
+        return out
+
+    monkeypatch.setattr(vector_cells, "cut", measured)
+    got = sorted(_near(spark.read.parquet(f"{tmp_dir}/in")))
+    y = vector_cells.normal(x.astype(float))
+    linked = y @ y.T >= 0.95
+    assert [g[1] for g in got] == (linked.sum(1) - 1).tolist() and linked.sum() > 6500
+    # a table of classes, one of pages, a shuffle for each of them, and a few columns besides
+    print(f"{most} bytes for {given}")
+    assert most < 4 * given, f"{most} bytes for {given}"
+
+
+def test_near_floats_as_doubles(spark, monkeypatch):
+    for name, v in {"CELL": 60, "BLOCK": 16, "PIECE": 24, "SAMPLE": 150, "PAGE_BYTES": 3000}.items():
+        monkeypatch.setattr(vector_cells, name, v)
+    r = np.random.default_rng(10)
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in _groups(r, 250, 24, [(k, 9, 0.2) for k in range(10)] + [(40, 60, 0.15)])]
+    rows += [(600 + i, rows[3][1]) for i in range(5)] + [(700, rows[4][1][:5]), (701, [2 * c for c in rows[4][1][:5]]), (702, [0.0, -0.0]), (703, None)]
+    for cosine in (0.95, 0.3):
+        want = plain_near(rows, cosine)
+        for kind in ("float", "double"):
+            df = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>").repartition(3)
+            assert _near(df, cosine=cosine) == want
+
+
+def test_narrowed_vectors_bound_products():
+    """The few axes and the rest's lengths never fall short of a product; a sample that fills all of them gets none."""
+    r = np.random.default_rng(11)
+    x = vector_cells.normal(r.normal(size=(3000, 64)) / np.arange(1, 65) ** 0.3)
+    axes = vector_cells.narrowing(x, 0.95)
+    assert axes.shape[1] < 48 and np.allclose(axes.T @ axes, np.eye(axes.shape[1]))
+    assert vector_cells.narrowing(vector_cells.normal(r.normal(size=(500, 2))), 0.95) is None
+    rows = x[:300].astype(np.float32)
+    page = vector_cells.Page(0, 64, np.array([0, 200]), np.array([0, 1]), np.arange(300).tobytes(), np.ones(300, int).tobytes(), rows.tobytes(), "float32", axes)
+    assert (page.narrow @ page.narrow.T >= page.units(slice(None)) @ page.units(slice(None)).T).all()
+
+
 def test_border_recall_on_random_pairs():
     """A border of four standard deviations of a random direction keeps nearly all links; the exact one keeps all."""
     r = np.random.default_rng(7)
