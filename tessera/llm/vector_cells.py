@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from .common import cut, drop_cut, tidy, workers
+from .common import cut, drop_cut, give_back, tidy, workers
 from .minmax_hash import connected
 
 # Parameters.
@@ -50,7 +50,7 @@ SAMPLE = 16_384  # classes that the centres are fitted on
 SAMPLE_BYTES = 32 << 20
 ROUNDS = 12
 BLOCK = 2_048  # classes on a side of a block pair
-PAGE_BYTES = 8 << 20
+PAGE_BYTES = 6 << 20
 TASKS = 96  # of pairs of pages, at least
 TASK_PAIRS = 1 << 36  # pairs of classes that are looked at in a task, about
 PAGES = 24  # as many at least, where they have a block each, so that all cores get pairs
@@ -394,8 +394,9 @@ def _products(table: np.ndarray | None, axes: np.ndarray | None, border: float,
                     of = lambda c, side=side, i=i, batch=batch: batch.column(f"{side}_{c}")[i]
                     number = of("page").as_py()
                     if number not in held:
-                        while len(held) > 1 and sum(x.single.nbytes + x.x.nbytes for x in held.values()) > 16 * PAGE_BYTES:
+                        while len(held) > 1 and sum(x.single.nbytes + x.x.nbytes for x in held.values()) > 12 * PAGE_BYTES:
                             held.pop(next(k for k in held if k not in [x.number for x in pages]))
+                            give_back()
                         starts, homes = (of(c).values.to_numpy() for c in ("starts", "homes"))
                         held[number] = Page(number, of("d").as_py(), starts, homes, *(of(c).as_py() for c in ("class", "n", "x")), kind, axes)
                     held[number] = held.pop(number)  # the latest stands last
@@ -455,7 +456,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
     if dims and dims["count"] > CELL:
         wanted = min(MAX_CELLS, math.ceil(dims["count"] / CELL))
         most = max(wanted, min(SAMPLE, SAMPLE_BYTES // (8 * dims.d)))
-        sample = classes.where(F.col("d") == dims.d).select("x", "h").orderBy("h").limit(most).select("x")
+        # hashes spread evenly: the least ones lie below this, so that not every task sends as many
+        below = min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, 1.2 * most / dims["count"])))
+        sample = classes.where((F.col("d") == dims.d) & (F.col("h") <= below)).select("x", "h").orderBy("h").limit(most).select("x")
         sample = normal(sample.toArrow().column("x").combine_chunks().flatten().to_numpy().reshape(-1, dims.d).astype(float))
         table = centres(sample, wanted)
         parts = leaves(sample, table, dims["count"])
