@@ -457,7 +457,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
         wanted = min(MAX_CELLS, math.ceil(dims["count"] / CELL))
         most = max(wanted, min(SAMPLE, SAMPLE_BYTES // (8 * dims.d)))
         # hashes spread evenly: the least ones lie below this, so that not every task sends as many
-        below = min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, 1.2 * most / dims["count"])))
+        below = min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, (1.2 * most + 200) / dims["count"])))
         sample = classes.where((F.col("d") == dims.d) & (F.col("h") <= below)).select("x", "h").orderBy("h").limit(most).select("x")
         sample = normal(sample.toArrow().column("x").combine_chunks().flatten().to_numpy().reshape(-1, dims.d).astype(float))
         table = centres(sample, wanted)
